@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from heliovane.config import PARTITION_COLUMNS, REGIONS, UNKNOWN_REGION, Region
 from heliovane.functions.clock import instant, utc_date
+from heliovane.operators.dedup import IDENTITY
 from heliovane.operators.gold import build_gold
 from heliovane.operators.silver import enrich, flatten_feed
 from heliovane.schemas import FEED_BRONZE
@@ -37,12 +38,12 @@ def _with_event_time(silver: DataFrame) -> DataFrame:
 
 
 def _first_of_each(readings: DataFrame, lateness: str, lanes: int) -> DataFrame:
-    """One row per region, point and time within ``lateness``.
+    """One row per point and time within ``lateness``.
 
     A first pass keyed by the task that read a row spreads a reading that was delivered millions of
     times; the second then sees at most ``lanes`` copies of it per micro-batch.
     """
-    key = ["region", "lat", "lon", "dt"]
+    key = list(IDENTITY)
     return (
         readings.withWatermark("_seen", lateness)
         .withColumn("_lane", F.spark_partition_id() % lanes)

@@ -303,7 +303,7 @@ labelled AS (
 placed AS ({_region("SELECT * FROM labelled")}),
 ranked AS (
   SELECT *, row_number() OVER (
-           PARTITION BY region, lat, lon, dt
+           PARTITION BY dt, lat, lon
            ORDER BY source_rank, uvi NULLS LAST, temp NULLS LAST, pressure NULLS LAST,
                     humidity NULLS LAST, wind_speed NULLS LAST) AS copy
   FROM placed)
