@@ -7,7 +7,7 @@ calendar bounds, whatever the number of observations.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from heliovane.config import PANEL, UNKNOWN_REGION, SolarPanel
@@ -30,6 +30,15 @@ def _known_days(daily: DataFrame) -> DataFrame:
     return daily.where(F.col("region") != UNKNOWN_REGION)
 
 
+def _correlation(x: str, y: str, window: WindowSpec) -> Column:
+    """Pearson correlation over the rows with both values. Unlike ``corr`` under ANSI rules, a column
+    that never varies gives null instead of failing the query."""
+    paired = F.col(x).isNotNull() & F.col(y).isNotNull()
+    a, b = F.when(paired, F.col(x)), F.when(paired, F.col(y))
+    scale = F.stddev_pop(a).over(window) * F.stddev_pop(b).over(window)
+    return F.try_divide(F.covar_pop(a, b).over(window), scale)
+
+
 def low_power_conditions(daily: DataFrame, share: float = LOW_SHARE) -> DataFrame:
     """Weather on each region's low-power days against its other days.
 
@@ -46,7 +55,7 @@ def low_power_conditions(daily: DataFrame, share: float = LOW_SHARE) -> DataFram
     judged = means.where(F.col("total").isNotNull()).withColumns(
         {
             "threshold": F.percentile("total", F.lit(share)).over(region),
-            **{f"corr_{w}": F.corr(w, "total").over(region) for w in WEATHER},
+            **{f"corr_{w}": _correlation(w, "total", region) for w in WEATHER},
         }
     )
     return (

@@ -1,0 +1,118 @@
+from __future__ import annotations
+
+import random
+
+from conftest import NOON, NOWHERE, PATAGONIA, RIOHACHA, plan_of
+
+from heliovane.config import REGIONS
+from heliovane.operators.dedup import IDENTITY, dedup_observations, label_sources
+from heliovane.operators.quality import reject_report
+from heliovane.operators.silver import enrich
+from heliovane.schemas import FEED_BRONZE, HISTORY_BRONZE, OBSERVATION
+
+
+def rows_of(seed: int, count: int) -> list[tuple]:
+    rng = random.Random(seed)
+    places = [PATAGONIA, RIOHACHA, NOWHERE, (None, 1.0), (0.0, 1.0)]
+    return [
+        (
+            rng.choice([None, NOON, NOON + 3600, NOON + 7200]),
+            *rng.choice(places),
+            rng.choice([None, 1.0, 2.0]),
+            rng.choice([None, 1.0, 2.0]),
+            rng.choice([None, 1000, 1001]),
+            50,
+            rng.choice([1.0, 2.0]),
+        )
+        for _ in range(count)
+    ]
+
+
+def preferred(rank_and_row):
+    rank, row = rank_and_row
+    return rank, [(v is None, v or 0) for v in row]
+
+
+def brute_force(history, feed) -> list[tuple]:
+    kept, groups = [], {}
+    for rank, rows in ((1, history), (0, feed)):
+        for row in rows:
+            key = row[:3]
+            if None in key:
+                kept.append(row)
+            else:
+                groups.setdefault(key, []).append((rank, row))
+    return kept + [min(g, key=preferred)[1] for g in groups.values()]
+
+
+def as_text(rows):
+    return sorted(map(str, rows))
+
+
+def test_dedup_against_brute_force(spark):
+    history, feed = rows_of(1, 150), rows_of(2, 60)
+    both = label_sources(
+        spark.createDataFrame(history, OBSERVATION), spark.createDataFrame(feed, OBSERVATION)
+    )
+    got = dedup_observations(enrich(both)).select(*OBSERVATION.names).collect()
+    assert as_text(map(tuple, got)) == as_text(brute_force(history, feed))
+
+
+def test_hourly_feed_wins(spark):
+    old = (NOON, *PATAGONIA, 1.0, 1.0, 1000, 50, 1.0)
+    new = (NOON, *PATAGONIA, 9.0, 9.0, 1009, 59, 9.0)
+    both = label_sources(
+        spark.createDataFrame([old, old], OBSERVATION), spark.createDataFrame([new], OBSERVATION)
+    )
+    assert [tuple(r)[:8] for r in dedup_observations(enrich(both)).collect()] == [new]
+
+
+def test_copies_are_cut_before_the_shuffle(spark):
+    rows = spark.createDataFrame(rows_of(3, 10), OBSERVATION)
+    plan = plan_of(dedup_observations(enrich(label_sources(rows, rows))))
+    assert plan.count("- WindowGroupLimit (") == 2, "one before and one after the exchange"
+    assert plan.count("- Exchange (") == 1
+    assert IDENTITY[0] == "dt"
+
+
+def test_reject_report_counts_each_reason(spark):
+    history = spark.createDataFrame(
+        [
+            {"dt": "1", "lat": "-41.81012", "lon": "-68.9063", "uv_index": "x",
+             "main": {"temp": None, "pressure": "99999999999", "humidity": "1"},
+             "wind": {"speed": "2"}},
+            {"dt": "soon", "lat": "0", "lon": "0", "uv_index": "1", "main": None, "wind": None},
+        ],
+        HISTORY_BRONZE,
+    )
+    feed = spark.createDataFrame(
+        [{"_airbyte_data": {"lat": "-41.81012", "lon": "-68.9063", "current": {"dt": "1"}}}],
+        FEED_BRONZE,
+    )
+    report = reject_report(history, feed, REGIONS)
+    assert report.columns == ["feed", "field", "reason", "rows"]
+    counts = {(r.feed, r.field, r.reason): r.rows for r in report.collect()}
+    assert len(counts) == 2 * (2 * 8 + 1)
+    found = {k: v for k, v in counts.items() if v}
+    assert found == {
+        ("historical", "dt", "malformed"): 1,
+        ("historical", "uvi", "malformed"): 1,
+        ("historical", "temp", "missing"): 2,
+        ("historical", "pressure", "malformed"): 1,
+        ("historical", "pressure", "missing"): 1,
+        ("historical", "humidity", "missing"): 1,
+        ("historical", "wind_speed", "missing"): 1,
+        ("historical", "region", "unknown"): 1,
+        ("hourly", "region", "unknown"): 1,
+        **{("hourly", f, "missing"): 1
+           for f in ("uvi", "temp", "pressure", "humidity", "wind_speed")},
+    }
+
+
+def test_reject_report_scans_each_feed_once(spark, tmp_path):
+    for name, schema in (("h", HISTORY_BRONZE), ("f", FEED_BRONZE)):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
+    plan = plan_of(
+        reject_report(*[spark.read.parquet(str(tmp_path / name)) for name in ("h", "f")])
+    )
+    assert plan.count("- Scan parquet") == 2
