@@ -14,6 +14,8 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import oracle  # noqa: E402
 from fixtures import feed_bronze, history_bronze, landed_bronze  # noqa: E402
+from heliovane.config import UNKNOWN_REGION  # noqa: E402
+from heliovane.functions.clock import SECONDS_PER_DAY  # noqa: E402
 from heliovane.functions.convert import settle  # noqa: E402
 from heliovane.functions.power import air_density, heat_loss  # noqa: E402
 from heliovane.operators.daily import (  # noqa: E402
@@ -87,6 +89,12 @@ def bronze_hist_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_history(read_history(spark, history_path, "array"))
 
 
+def bronze_hist_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "history-lines")
+    history_bronze(spark, sf_dir).write.json(path)
+    return flatten_history(read_history(spark, path, "lines"))
+
+
 def bronze_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, feed_path = landed_bronze(spark, sf_dir)
     return flatten_feed(read_feed(spark, feed_path))
@@ -112,10 +120,36 @@ def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(read_gold(spark, _stored_gold(spark, sf_dir)))
 
 
-def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _registered_gold(spark: SparkSession, sf_dir: str) -> str:
     path = _stored_gold(spark, sf_dir)
     name = "gold_weather_metrics_" + path.rsplit("-", 1)[1]
-    return _comparable(register_table(spark, path, name))
+    register_table(spark, path, name)
+    return name
+
+
+def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(spark.table(_registered_gold(spark, sf_dir)))
+
+
+def gold_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL text over the catalog table: a CTE, a derived table without a name, CASE pivoting."""
+    return spark.sql(
+        f"""
+        WITH day_means AS (
+          SELECT region, year, month, day, AVG(potencial_eolico_w) AS mean_wind
+          FROM {_registered_gold(spark, sf_dir)} GROUP BY region, year, month, day)
+        SELECT year, month,
+               ROUND(pat_high - pat_low, 2) AS patagonia, ROUND(rio_high - rio_low, 2) AS riohacha
+        FROM (
+          SELECT year, month,
+                 ROUND(ROUND(MAX(CASE WHEN region = 'Patagonia' THEN mean_wind END), 8), 2) pat_high,
+                 ROUND(ROUND(MIN(CASE WHEN region = 'Patagonia' THEN mean_wind END), 8), 2) pat_low,
+                 ROUND(ROUND(MAX(CASE WHEN region = 'Riohacha' THEN mean_wind END), 8), 2) rio_high,
+                 ROUND(ROUND(MIN(CASE WHEN region = 'Riohacha' THEN mean_wind END), 8), 2) rio_low
+          FROM day_means GROUP BY year, month)
+        ORDER BY year DESC, month DESC
+        """
+    )
 
 
 def _partition_counts(spark: SparkSession, path: str) -> DataFrame:
@@ -245,6 +279,20 @@ def region_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily(spark, sf_dir).groupBy("year", "month", "day").agg(*columns)
 
 
+# --- Forecasts ---------------------------------------------------------------------------------
+
+
+def forecast_feed_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forecast for each place and time: what was observed there a day before."""
+    gold = _gold(spark, sf_dir)
+    day_ahead = (
+        gold.where((F.col("region") != UNKNOWN_REGION) & F.col("dt").isNotNull())
+        .groupBy("region", (F.col("dt") + SECONDS_PER_DAY).alias("dt"))
+        .agg(F.avg("potencial_renovable_total_w").alias("forecast_total_w"))
+    )
+    return insights.forecast_errors(day_ahead, gold)
+
+
 # --- Data quality ------------------------------------------------------------------------------
 
 
@@ -298,10 +346,12 @@ def queries() -> dict[str, Query]:
     return {
         "bronze_hist_scan": bronze_hist_scan,
         "bronze_hist_split_scan": bronze_hist_split_scan,
+        "bronze_hist_lines_scan": bronze_hist_lines_scan,
         "bronze_stream_scan": bronze_stream_scan,
         "silver_roundtrip": silver_roundtrip,
         "gold_roundtrip": gold_roundtrip,
         "gold_table": gold_table,
+        "gold_table_sql": gold_table_sql,
         "overwrite_static": overwrite_static,
         "overwrite_dynamic": overwrite_dynamic,
         "row_counts": row_counts,
@@ -329,6 +379,7 @@ def queries() -> dict[str, Query]:
         "q4_extremes_all": _on_daily(reports.extreme_days_all),
         "q3_low_power_conditions": _on_daily(insights.low_power_conditions),
         "forecast_vs_observed": _on_daily(insights.persistence_forecast),
+        "forecast_feed_errors": forecast_feed_errors,
         "intermittency": _on_daily(insights.intermittency),
         "hot_day_derating": _on_gold(insights.heat_losses),
         "seasonality": _on_daily(insights.seasonality),

@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,10 +106,18 @@ def land_feed(feed: DataFrame, path: str, records: int = FEED_FILE_RECORDS) -> N
 _landed: dict[tuple[str, str], tuple[str, str]] = {}
 
 
+def _present(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def landed_bronze(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Paths of both feeds as JSON files, written once per application and scale."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landed:
+    if key not in _landed or not all(_present(spark, path) for path in _landed[key]):
         root = scratch_dir(spark, "bronze")
         history_path, feed_path = f"{root}/history", f"{root}/feed"
         land_history(history_bronze(spark, sf_dir), history_path)

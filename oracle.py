@@ -192,10 +192,16 @@ _ORACLES = {
     # Sources, sinks, jobs
     "bronze_hist_scan": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM history",
     "bronze_hist_split_scan": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM history",
+    "bronze_hist_lines_scan": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM history",
     "bronze_stream_scan": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM feed",
     "silver_roundtrip": f"WITH {_SILVER} SELECT {_SILVER_COLUMNS} FROM silver",
     "gold_roundtrip": f"WITH {_GOLD} SELECT {_GOLD_COLUMNS} FROM gold",
     "gold_table": f"WITH {_GOLD} SELECT {_TABLE_COLUMNS} FROM gold",
+    "gold_table_sql": f"""WITH {_DAILY}
+SELECT year, month,
+       {_spread(_of("Patagonia", "max(wind)"), _of("Patagonia", "min(wind)"))} AS patagonia,
+       {_spread(_of("Riohacha", "max(wind)"), _of("Riohacha", "min(wind)"))} AS riohacha
+FROM daily GROUP BY year, month""",
     "overwrite_static": _partition_counts(_region("SELECT * FROM feed")),
     "overwrite_dynamic": _partition_counts("SELECT * FROM silver"),
     "row_counts": f"""WITH {_GOLD}
@@ -277,6 +283,17 @@ SELECT region, count(*) AS forecast_days,
        {_micros("avg(abs(prior - total))")} AS mean_absolute_error,
        {_micros("avg(prior - total)")} AS bias
 FROM pairs WHERE prior - total IS NOT NULL GROUP BY region""",
+    "forecast_feed_errors": f"""WITH {_GOLD},
+observed AS (
+  SELECT region, dt, avg(potencial_renovable_total_w) AS total
+  FROM gold WHERE dt IS NOT NULL GROUP BY region, dt),
+errors AS (
+  SELECT o.region, f.total - o.total AS error
+  FROM observed f JOIN observed o ON f.region = o.region AND f.dt + 86400 = o.dt
+  WHERE f.region <> 'No Region' AND f.total - o.total IS NOT NULL)
+SELECT region, count(*) AS forecasts, {_micros("avg(abs(error))")} AS mean_absolute_error,
+       {_micros("avg(error)")} AS bias
+FROM errors GROUP BY region""",
     "intermittency": f"""WITH {_DATED}
 SELECT region, count(*) AS day_pairs,
        {_micros("avg(abs(total - prior))")} AS mean_day_to_day_change,
