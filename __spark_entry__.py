@@ -298,7 +298,7 @@ def forecast_feed_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedup_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = label_sources(norm_hist(spark, sf_dir), norm_stream(spark, sf_dir))
-    return dedup_observations(enrich(both)).select(*OBSERVATION.names, "region")
+    return enrich(dedup_observations(both)).select(*OBSERVATION.names, "region")
 
 
 def reject_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:

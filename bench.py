@@ -87,7 +87,7 @@ def measure(spark: SparkSession, sf_dir: str, runs: int) -> tuple[dict[str, floa
 
     history, feed = history_bronze(spark, sf_dir), feed_bronze(spark, sf_dir)
     both = label_sources(flatten_history(history), flatten_feed(feed))
-    times["dedup_silver"] = timed(lambda: evaluate(dedup_observations(enrich(both))), runs)
+    times["dedup_silver"] = timed(lambda: evaluate(enrich(dedup_observations(both))), runs)
     times["reject_report"] = timed(lambda: evaluate(reject_report(history, feed)), runs)
     return times, read_gold(spark, gold).count()
 

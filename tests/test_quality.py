@@ -5,7 +5,7 @@ import random
 from conftest import NOON, NOWHERE, PATAGONIA, RIOHACHA, plan_of
 
 from heliovane.config import REGIONS
-from heliovane.operators.dedup import IDENTITY, dedup_observations, label_sources
+from heliovane.operators.dedup import dedup_observations, label_sources
 from heliovane.operators.quality import reject_report
 from heliovane.operators.silver import enrich
 from heliovane.schemas import FEED_BRONZE, HISTORY_BRONZE, OBSERVATION
@@ -54,7 +54,7 @@ def test_dedup_against_brute_force(spark):
     both = label_sources(
         spark.createDataFrame(history, OBSERVATION), spark.createDataFrame(feed, OBSERVATION)
     )
-    got = dedup_observations(enrich(both)).select(*OBSERVATION.names).collect()
+    got = dedup_observations(both).select(*OBSERVATION.names).collect()
     assert as_text(map(tuple, got)) == as_text(brute_force(history, feed))
 
 
@@ -64,15 +64,14 @@ def test_hourly_feed_wins(spark):
     both = label_sources(
         spark.createDataFrame([old, old], OBSERVATION), spark.createDataFrame([new], OBSERVATION)
     )
-    assert [tuple(r)[:8] for r in dedup_observations(enrich(both)).collect()] == [new]
+    assert [tuple(r) for r in dedup_observations(both).collect()] == [new]
 
 
 def test_copies_are_cut_before_the_shuffle(spark):
     rows = spark.createDataFrame(rows_of(3, 10), OBSERVATION)
-    plan = plan_of(dedup_observations(enrich(label_sources(rows, rows))))
+    plan = plan_of(enrich(dedup_observations(label_sources(rows, rows))))
     assert plan.count("- WindowGroupLimit (") == 2, "one before and one after the exchange"
     assert plan.count("- Exchange (") == 1
-    assert IDENTITY[0] == "dt"
 
 
 def test_reject_report_counts_each_reason(spark):
