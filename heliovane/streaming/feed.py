@@ -88,7 +88,7 @@ def stream_daily(
 ) -> DataFrame:
     """Tumbling one-day averages of the power columns per known region. Repeats are kept, as in gold.
 
-    State is one row per region and open day.
+    State is one row per region and day; in append mode a day leaves it ``lateness`` after its end.
     """
     gold = build_gold(_with_event_time(enrich(flatten_feed(raw), regions)))
     date = utc_date(F.col("window.start").cast("bigint"))
@@ -115,23 +115,23 @@ def stream_daily(
     )
 
 
-def write_daily_stream(daily: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep ``path`` at the current averages of every day seen, then stop.
+def write_daily_stream(
+    daily: DataFrame, path: str, checkpoint: str, finished_only: bool = False
+) -> StreamingQuery:
+    """Store the averages of everything that has arrived, then stop.
 
-    Complete mode, since a day must be visible before it is over. A replayed batch rewrites the same
-    rows, and the table has one row per region and day.
+    By default ``path`` is rewritten with the current value of every day seen, unfinished ones included;
+    a replayed batch rewrites the same rows, one per region and day. ``finished_only`` appends each day
+    once, when no reading can change it any more.
     """
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(path)
 
-    return (
-        daily.writeStream.foreachBatch(replace)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("complete")
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = daily.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if finished_only:
+        return writer.format("parquet").option("path", path).outputMode("append").start()
+    return writer.foreachBatch(replace).outputMode("complete").start()
 
 
 def late_rows(query: StreamingQuery) -> int:

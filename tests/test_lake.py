@@ -6,7 +6,7 @@ import sys
 from pathlib import Path
 
 import pytest
-from conftest import DAY, NOON, NOWHERE, PATAGONIA, RIOHACHA
+from conftest import DAY, NOON, NOWHERE, PATAGONIA, RIOHACHA, plan_of
 from pyspark.sql import functions as F
 
 from heliovane import __main__ as cli
@@ -104,6 +104,14 @@ def test_gold_of_chosen_months_only(spark, rows, tmp_path):
         jobs.run_gold(spark, silver, gold, months=[])
 
 
+def test_months_prune_partitions(spark, rows, tmp_path):
+    path = str(tmp_path / "silver")
+    write_partitioned(rows, path)
+    plan = plan_of(read_silver(spark, path).where(jobs.in_months([(2024, 1), (None, None)])))
+    filters = next(line for line in plan.splitlines() if line.startswith("PartitionFilters"))
+    assert "year" in filters and "month" in filters
+
+
 def test_gold_job_does_not_shuffle(spark, rows, tmp_path):
     path = str(tmp_path / "silver")
     write_partitioned(rows, path)

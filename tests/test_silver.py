@@ -5,6 +5,7 @@ from conftest import NOON, NOWHERE, PATAGONIA, RIOHACHA
 from pyspark.sql import functions as F
 
 from heliovane.config import REGIONS, Region, check_catalog
+from heliovane.functions import places
 from heliovane.functions.places import region_name, with_region
 from heliovane.operators.silver import build_silver, enrich, flatten_feed, flatten_history, unify
 from heliovane.schemas import FEED_BRONZE, HISTORY_BRONZE, OBSERVATION, SILVER
@@ -108,7 +109,9 @@ def test_region(spark, lat, lon, region):
     assert enrich(observations(spark, (NOON, lat, lon))).first().region == region
 
 
-def test_long_catalog_joins_to_the_same_regions(spark):
+@pytest.mark.parametrize("broadcast_limit", [100_000, 0])
+def test_long_catalog_joins_to_the_same_regions(spark, monkeypatch, broadcast_limit):
+    monkeypatch.setattr(places, "BROADCAST_LIMIT", broadcast_limit)
     many = REGIONS + tuple(Region(f"R{i}", float(i), float(-i), f"r{i}", f"r{i}") for i in range(1, 60))
     points = [(1, *PATAGONIA), (2, *NOWHERE), (3, 7.0, -7.0), (4, None, 1.0), (5, 7.0, 7.0)]
     rows = observations(spark, *points)

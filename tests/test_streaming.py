@@ -103,6 +103,23 @@ def test_daily_windows_are_utc_days_and_update(spark, feed, tmp_path, conf):
     assert run()[1] == ("Patagonia", 2024, 1, 2, 2, 81.0)
 
 
+def test_finished_days_are_appended_once(spark, feed, tmp_path):
+    table, state = str(tmp_path / "t"), str(tmp_path / "s")
+
+    def days():
+        daily = stream_daily(read_feed_stream(spark, path))
+        write_daily_stream(daily, table, state, finished_only=True).awaitTermination()
+        rows = spark.read.schema("day int, observations long").parquet(table)
+        return sorted((r.day, r.observations) for r in rows.collect())
+
+    path = feed("a", reading(NOON), reading(NOON + 60))
+    assert days() == []
+    feed("b", reading(NOON + DAY), reading(NOON + 120))
+    assert days() == [(1, 3)]
+    feed("c", reading(NOON + 180), reading(NOON + 2 * DAY))
+    assert days() == [(1, 3), (2, 1)]
+
+
 def test_stream_and_batch_share_the_power_model(spark, feed, tmp_path):
     path = feed("a", reading(NOON, temp=31, uvi=3.2, pressure=1010, wind_speed=7.1))
     daily = stream_daily(read_feed_stream(spark, path))
