@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle  # noqa: E402
-from fixtures import feed_bronze, history_bronze, landed_bronze  # noqa: E402
+from fixtures import feed_bronze, history_bronze, landed_bronze, stored_once  # noqa: E402
 from heliovane.config import UNKNOWN_REGION  # noqa: E402
 from heliovane.functions.clock import SECONDS_PER_DAY  # noqa: E402
 from heliovane.functions.convert import settle  # noqa: E402
@@ -101,15 +101,13 @@ def bronze_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_silver(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch_dir(spark, "silver")
-    jobs.run_silver(spark, *landed_bronze(spark, sf_dir), path)
-    return path
+    bronze = landed_bronze(spark, sf_dir)
+    return stored_once(spark, sf_dir, "silver", lambda path: jobs.run_silver(spark, *bronze, path))
 
 
 def _stored_gold(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch_dir(spark, "gold")
-    jobs.run_gold(spark, _stored_silver(spark, sf_dir), path)
-    return path
+    silver = _stored_silver(spark, sf_dir)
+    return stored_once(spark, sf_dir, "gold", lambda path: jobs.run_gold(spark, silver, path))
 
 
 def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,7 +105,7 @@ def land_feed(feed: DataFrame, path: str, records: int = FEED_FILE_RECORDS) -> N
     feed.write.option("compression", "gzip").option("maxRecordsPerFile", records).json(path)
 
 
-_landed: dict[tuple[str, str], tuple[str, str]] = {}
+_stored: dict[tuple[str, str, str], str] = {}
 
 
 def _present(spark: SparkSession, path: str) -> bool:
@@ -114,13 +116,22 @@ def _present(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def stored_once(
+    spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]
+) -> str:
+    """Path of a derived table, written by ``write(path)`` once per application and scale."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored or not _present(spark, _stored[key]):
+        path = scratch_dir(spark, name)
+        write(path)
+        _stored[key] = path
+    return _stored[key]
+
+
 def landed_bronze(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Paths of both feeds as JSON files, written once per application and scale."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landed or not all(_present(spark, path) for path in _landed[key]):
-        root = scratch_dir(spark, "bronze")
-        history_path, feed_path = f"{root}/history", f"{root}/feed"
-        land_history(history_bronze(spark, sf_dir), history_path)
-        land_feed(feed_bronze(spark, sf_dir), feed_path)
-        _landed[key] = history_path, feed_path
-    return _landed[key]
+    """Paths of both feeds as JSON files."""
+    history, feed = history_bronze(spark, sf_dir), feed_bronze(spark, sf_dir)
+    return (
+        stored_once(spark, sf_dir, "history", lambda path: land_history(history, path)),
+        stored_once(spark, sf_dir, "feed", lambda path: land_feed(feed, path)),
+    )

@@ -10,7 +10,12 @@ SETTINGS = {
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.adaptive.enabled": "true",
     # Target of merged and split shuffle partitions, and so of the files a rebalanced write makes.
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # A task that meets only a few table partitions writes them side by side instead of sorting first.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
+    # Copies of one row compress to almost nothing, so bytes understate the rows of a file. A higher
+    # price per file keeps a task from packing dozens of such files.
+    "spark.sql.files.openCostInBytes": "16m",
 }
 
 

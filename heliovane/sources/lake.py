@@ -10,6 +10,10 @@ from heliovane.config import PARTITION_COLUMNS
 from heliovane.schemas import GOLD, GOLD_TABLE, SILVER
 
 
+# Bounds the rows behind one file however well they compress, so that later scans can spread them.
+ROWS_PER_FILE = 4_000_000
+
+
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SILVER).parquet(path)
 
@@ -39,6 +43,7 @@ def write_partitioned(
         .write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite)
         .option("compression", "snappy")
+        .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(path)
     )
