@@ -315,6 +315,14 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, f"{root}/table").groupBy(*DAY_KEYS).agg(rows)
 
 
+def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental job without deduplication: the feed's rows as a batch run gives them."""
+    _, feed_path = landed_bronze(spark, sf_dir)
+    root = scratch_dir(spark, "stream-append")
+    jobs.run_feed(spark, feed_path, f"{root}/table", f"{root}/state", keep_repeats=True)
+    return read_silver(spark, f"{root}/table")
+
+
 def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, feed_path = landed_bronze(spark, sf_dir)
     root = scratch_dir(spark, "stream-daily")
@@ -384,6 +392,7 @@ def queries() -> dict[str, Query]:
         "dedup_silver": dedup_silver,
         "reject_report": reject_report_query,
         "stream_silver": stream_silver,
+        "stream_append": stream_append,
         "stream_daily": stream_daily,
     }
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from heliovane.plans.jobs import run_all, run_daily, run_gold, run_silver
+from heliovane.plans.jobs import run_all, run_daily, run_feed, run_gold, run_silver
 from heliovane.session import build_session
 
 
@@ -22,15 +22,19 @@ def parse(argv: list[str]) -> argparse.Namespace:
     jobs = parser.add_subparsers(dest="job", required=True)
 
     silver = jobs.add_parser("silver", help="bronze to silver")
+    feed = jobs.add_parser("feed", help="new feed files to a silver table of their own")
     gold = jobs.add_parser("gold", help="silver to gold")
     daily = jobs.add_parser("daily", help="gold to the region-day rollup")
     both = jobs.add_parser("all", help="silver, gold and, if named, the rollup")
 
     for job in (silver, both):
         job.add_argument("--history", required=True)
+    for job in (silver, feed, both):
         job.add_argument("--feed", required=True)
-    for job in (silver, gold, both):
         job.add_argument("--silver", required=True)
+    feed.add_argument("--state", required=True, help="folder kept between runs")
+    feed.add_argument("--keep-repeats", action="store_true")
+    gold.add_argument("--silver", required=True, action="append", help="may be repeated")
     for job in (gold, daily, both):
         job.add_argument("--gold", required=True)
     daily.add_argument("--daily", required=True)
@@ -43,6 +47,11 @@ def run(args: argparse.Namespace) -> None:
     spark = build_session(f"heliovane-{args.job}")
     if args.job == "silver":
         rows = {"silver": run_silver(spark, args.history, args.feed, args.silver)}
+    elif args.job == "feed":
+        late = run_feed(
+            spark, args.feed, args.silver, args.state, keep_repeats=args.keep_repeats
+        )
+        rows = {"late": late}
     elif args.job == "gold":
         rows = {"gold": run_gold(spark, args.silver, args.gold, args.month)}
     elif args.job == "daily":

@@ -58,19 +58,28 @@ def stream_silver(
     regions: tuple[Region, ...] = REGIONS,
     lateness: str = LATENESS,
     lanes: int = LANES,
+    keep_repeats: bool = False,
 ) -> DataFrame:
-    """Silver rows of the feed without repeated deliveries.
+    """Silver rows of the feed, by default without repeated deliveries.
 
-    Identity is the same as in batch: rows lacking a time or a place are never compared.
+    Identity is the same as in batch: rows lacking a time or a place are never compared. With
+    ``keep_repeats`` the stream holds no state, drops nothing and gives the rows of a batch run.
     """
-    silver = _with_event_time(enrich(flatten_feed(raw), regions))
+    silver = enrich(flatten_feed(raw), regions)
+    if keep_repeats:
+        return silver
+    silver = _with_event_time(silver)
     identified = F.col("_seen").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()
     unique = _first_of_each(silver.where(identified), lateness, lanes)
     return unique.drop("_seen").unionByName(silver.where(~identified).drop("_seen"))
 
 
 def write_silver_stream(silver: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append everything that has arrived to the silver layout, then stop."""
+    """Append everything that has arrived to the silver layout, then stop.
+
+    ``path`` must be the stream's own: Spark reads a directory that a stream writes through the stream's
+    log, and would not see files that a batch job put there.
+    """
     return (
         silver.writeStream.format("parquet")
         .option("path", path)

@@ -339,6 +339,8 @@ FROM (SELECT DISTINCT region, lat, lon, dt, year, month, day FROM placed
       SELECT region, lat, lon, dt, year, month, day FROM placed
       WHERE dt IS NULL OR lat IS NULL OR lon IS NULL)
 GROUP BY region, year, month, day""",
+    "stream_append": f"""WITH {_FEEDS}
+SELECT {_SILVER_COLUMNS} FROM ({_region("SELECT * FROM feed")})""",
     "stream_daily": f"""WITH {_FEEDS},
 gold AS ({_power(_region("SELECT * FROM feed"))})
 SELECT region, year, month, day, count(*) AS observations,

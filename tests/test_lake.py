@@ -149,8 +149,12 @@ def test_scratch_follows_the_cluster_setting(spark, conf):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
 
 
-HISTORY = '[{"dt":1704067200,"lat":-41.81012,"lon":-68.9063,"uv_index":1,"main":{"temp":10,"pressure":1000,"humidity":5},"wind":{"speed":2}}]'
-FEED = '{"_airbyte_data":{"lat":11.5384,"lon":-72.9168,"current":{"dt":1704070800,"uvi":2,"temp":30,"pressure":1010,"humidity":9,"wind_speed":3}}}'
+HISTORY = """[{"dt":1704067200,"lat":-41.81012,"lon":-68.9063,"uv_index":1,
+ "main":{"temp":10,"pressure":1000,"humidity":5},"wind":{"speed":2}}]"""
+FEED = (
+    '{"_airbyte_data":{"lat":11.5384,"lon":-72.9168,"current":{"dt":1704070800,"uvi":2,'
+    '"temp":30,"pressure":1010,"humidity":9,"wind_speed":3}}}'
+)
 
 
 @pytest.fixture
@@ -183,6 +187,31 @@ def test_command_line_runs_all(bronze_dirs, capsys):
     assert "gold: 2 rows" in capsys.readouterr().out
 
 
+def test_feed_increments_add_up_to_the_batch_result(spark, bronze_dirs, capsys):
+    root = bronze_dirs
+    history_only, later = root / "none", FEED.replace("1704070800", "1706745600")
+    history_only.mkdir()
+    (history_only / "a.json").write_text("")
+    assert cli.main(
+        ["silver", *arguments(root, "history"), "--feed", str(history_only),
+         *arguments(root, "silver")]
+    ) == 0
+    increment = [*arguments(root, "feed"), "--silver", str(root / "live"), *arguments(root, "state")]
+    both = ["gold", *arguments(root, "silver"), "--silver", str(root / "live")]
+    assert cli.main(["feed", *increment, "--keep-repeats"]) == 0
+    assert cli.main([*both, *arguments(root, "gold")]) == 0
+    (root / "feed" / "b.json").write_text(later + "\n" + later)
+    assert cli.main(["feed", *increment, "--keep-repeats"]) == 0
+    assert cli.main([*both, *arguments(root, "gold"), "--month", "2024-02"]) == 0
+    assert capsys.readouterr().out.count("late: 0 rows") == 2
+
+    batch = [*arguments(root, "history", "feed"), "--silver", str(root / "s2")]
+    assert cli.main(["all", *batch, "--gold", str(root / "g2")]) == 0
+    stepwise, whole = (read_gold(spark, str(root / g)) for g in ("gold", "g2"))
+    assert stepwise.count() == whole.count() == 4
+    assert stepwise.exceptAll(whole).count() == 0
+
+
 def test_failure_stops_the_sequence(spark, bronze_dirs, capsys):
     root = bronze_dirs
     missing = [*arguments(root, "history"), "--feed", str(root / "nowhere")]
