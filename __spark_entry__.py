@@ -336,8 +336,8 @@ def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Contract ----------------------------------------------------------------------------------
 
 
-def _on_daily(report: Callable[..., DataFrame], *args) -> Query:
-    return lambda spark, sf_dir: report(_daily(spark, sf_dir), *args)
+def _on_daily(report: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: report(_daily(spark, sf_dir))
 
 
 def _on_gold(report: Callable[[DataFrame], DataFrame]) -> Query:
@@ -374,15 +374,7 @@ def queries() -> dict[str, Query]:
         "daily_avg_by_region": daily_avg_by_region,
         "merged_daily": merged_daily,
         "region_pivot": region_pivot,
-        "q1_solar_daily": _on_daily(reports.solar_daily),
-        "q1_solar_monthly": _on_daily(reports.solar_monthly),
-        "q2_wind_daily": _on_daily(reports.wind_daily),
-        "q2_wind_monthly": _on_daily(reports.wind_monthly),
-        "q4_max_patagonia": _on_daily(reports.extreme_days, "Patagonia", True),
-        "q4_max_riohacha": _on_daily(reports.extreme_days, "Riohacha", True),
-        "q4_min_patagonia": _on_daily(reports.extreme_days, "Patagonia", False),
-        "q4_min_riohacha": _on_daily(reports.extreme_days, "Riohacha", False),
-        "q4_extremes_all": _on_daily(reports.extreme_days_all),
+        **{name: _on_daily(report) for name, report in reports.REPORTS.items()},
         "q3_low_power_conditions": _on_daily(insights.low_power_conditions),
         "forecast_vs_observed": _on_daily(insights.persistence_forecast),
         "forecast_feed_errors": forecast_feed_errors,

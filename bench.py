@@ -21,23 +21,12 @@ from heliovane.operators.daily import daily_metrics
 from heliovane.operators.dedup import dedup_observations, label_sources
 from heliovane.operators.quality import reject_report
 from heliovane.operators.silver import enrich, flatten_feed, flatten_history
-from heliovane.plans import insights, jobs, reports
+from heliovane.plans import insights, jobs
+from heliovane.plans.reports import REPORTS
 from heliovane.session import build_session
 from heliovane.sources.lake import read_gold
 from heliovane.sources.scratch import scratch_dir
 
-REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "q1_solar_daily": reports.solar_daily,
-    "q1_solar_monthly": reports.solar_monthly,
-    "q2_wind_daily": reports.wind_daily,
-    "q2_wind_monthly": reports.wind_monthly,
-    "q4_max_patagonia": lambda d: reports.extreme_days(d, "Patagonia", best=True),
-    "q4_max_riohacha": lambda d: reports.extreme_days(d, "Riohacha", best=True),
-    "q4_min_patagonia": lambda d: reports.extreme_days(d, "Patagonia", best=False),
-    "q4_min_riohacha": lambda d: reports.extreme_days(d, "Riohacha", best=False),
-    "q4_extremes_all": reports.extreme_days_all,
-}
-
 INSIGHTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "q3_low_power_conditions": insights.low_power_conditions,
     "forecast_vs_observed": insights.persistence_forecast,

@@ -114,7 +114,8 @@ def forecast_errors(forecasts: DataFrame, gold: DataFrame) -> DataFrame:
     """Error of a forecast feed (``region, dt, forecast_total_w``) against observations.
 
     Observations are averaged per region and time before the join, so a repeated observation neither
-    multiplies forecasts nor makes a hot join key.
+    multiplies forecasts nor makes a hot join key. Neither side has a size bound, hence the merge join,
+    which adaptive execution also splits where forecasts crowd on one key.
     """
     observed = (
         gold.where(F.col("dt").isNotNull())
@@ -123,7 +124,7 @@ def forecast_errors(forecasts: DataFrame, gold: DataFrame) -> DataFrame:
     )
     error = F.col("forecast_total_w") - F.col("observed_total_w")
     return (
-        forecasts.join(observed, ["region", "dt"])
+        forecasts.join(observed.hint("merge"), ["region", "dt"])
         .where(error.isNotNull())
         .groupBy("region")
         .agg(

@@ -6,6 +6,9 @@ gold. Every report keeps calendar groups in which none of its regions has a row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,3 +115,18 @@ def extreme_days_all(daily: DataFrame, limit: int = TOP_DAYS) -> DataFrame:
         .where(F.col("position") <= limit)
         .orderBy("region", "extreme", "position")
     )
+
+
+# Report name -> function of the rollup.
+REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "q1_solar_daily": solar_daily,
+    "q1_solar_monthly": solar_monthly,
+    "q2_wind_daily": wind_daily,
+    "q2_wind_monthly": wind_monthly,
+    **{
+        f"q4_{extreme}_{r.slug}": partial(extreme_days, region=r.name, best=extreme == "max")
+        for extreme in ("max", "min")
+        for r in REGIONS
+    },
+    "q4_extremes_all": extreme_days_all,
+}

@@ -65,6 +65,20 @@ def test_forecast_feed_against_observations(spark, gold):
     assert [tuple(r) for r in report] == [("Patagonia", 2, 3.0, -1.0)]
 
 
+def test_forecast_join_never_broadcasts(spark, gold):
+    observed = gold(PATAGONIA, {1: 10.0})
+    forecasts = observed.select("region", "dt", F.lit(1.0).alias("forecast_total_w"))
+    plan = plan_of(insights.forecast_errors(forecasts, observed))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_heat_losses_push_the_filter_to_the_scan(spark, gold, tmp_path):
+    gold(PATAGONIA, {1: 10.0}).write.parquet(str(tmp_path / "g"))
+    plan = plan_of(insights.heat_losses(spark.read.parquet(str(tmp_path / "g"))))
+    assert "GreaterThan(temp,32.0)" in plan
+    assert "ReadSchema: struct<temp:double,region:string>" in plan
+
+
 def test_heat_losses_on_hot_readings(silver):
     rows = silver(
         *[(NOON, RIOHACHA, 1.0, t, 1000, 1.0) for t in (20.0, 32.0, 33.0, 37.5, None)],

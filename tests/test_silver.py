@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from heliovane.config import REGIONS, Region, check_catalog
 from heliovane.functions import places
 from heliovane.functions.places import region_name, with_region
+from heliovane.operators.gold import build_gold
 from heliovane.operators.silver import build_silver, enrich, flatten_feed, flatten_history, unify
 from heliovane.schemas import FEED_BRONZE, HISTORY_BRONZE, OBSERVATION, SILVER
 
@@ -65,6 +66,19 @@ def test_epoch_seconds(spark, text, dt):
     assert flatten_feed(feed(spark, dt=text)).first().dt == dt
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_values_are_nulls_with_and_without_ansi(spark, conf, ansi):
+    conf("spark.sql.ansi.enabled", ansi)
+    bad = feed(spark, lat="x", lon="1e999", dt="10000000000000000000", uvi="--", temp="-273.15",
+               pressure="1e300", humidity="7.9", wind_speed="2")
+    row = build_gold(enrich(flatten_feed(bad))).first()
+    assert (row.dt, row.lat, row.uvi, row.pressure, row.humidity) == (None, None, None, None, 7)
+    assert (row.potencia_solar_w, row.potencial_eolico_w, row.year) == (None, None, None)
+    zero = feed(spark, dt="0", uvi="1", temp="-273.15", pressure="1000", wind_speed="2")
+    row = build_gold(enrich(flatten_feed(zero))).first()
+    assert (row.potencia_solar_w, row.potencial_eolico_w, row.year) == (13.5, None, 1970)
+
+
 def test_missing_structs_give_null_fields(spark):
     raw = spark.createDataFrame([{"dt": "5", "main": None, "wind": None}], HISTORY_BRONZE)
     assert tuple(flatten_history(raw).first()) == (5, *[None] * 7)
