@@ -130,22 +130,18 @@ def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SQL text over the catalog table: a CTE, a derived table without a name, CASE pivoting."""
+    """SQL text over the catalog table, with a CTE and a derived table: which region leads, by month."""
     return spark.sql(
         f"""
-        WITH day_means AS (
-          SELECT region, year, month, day, AVG(potencial_eolico_w) AS mean_wind
+        WITH days AS (
+          SELECT region, year, month, day, AVG(potencial_renovable_total_w) AS energy
           FROM {_registered_gold(spark, sf_dir)} GROUP BY region, year, month, day)
         SELECT year, month,
-               ROUND(pat_high - pat_low, 2) AS patagonia, ROUND(rio_high - rio_low, 2) AS riohacha
-        FROM (
-          SELECT year, month,
-                 ROUND(ROUND(MAX(CASE WHEN region = 'Patagonia' THEN mean_wind END), 8), 2) pat_high,
-                 ROUND(ROUND(MIN(CASE WHEN region = 'Patagonia' THEN mean_wind END), 8), 2) pat_low,
-                 ROUND(ROUND(MAX(CASE WHEN region = 'Riohacha' THEN mean_wind END), 8), 2) rio_high,
-                 ROUND(ROUND(MIN(CASE WHEN region = 'Riohacha' THEN mean_wind END), 8), 2) rio_low
-          FROM day_means GROUP BY year, month)
-        ORDER BY year DESC, month DESC
+               COUNT(CASE WHEN patagonia > riohacha THEN 1 END) AS patagonia_leads,
+               COUNT(CASE WHEN riohacha > patagonia THEN 1 END) AS riohacha_leads
+        FROM (SELECT * FROM days
+              PIVOT (FIRST(energy) FOR region IN ('Patagonia' AS patagonia, 'Riohacha' AS riohacha)))
+        GROUP BY year, month
         """
     )
 

@@ -197,11 +197,14 @@ _ORACLES = {
     "silver_roundtrip": f"WITH {_SILVER} SELECT {_SILVER_COLUMNS} FROM silver",
     "gold_roundtrip": f"WITH {_GOLD} SELECT {_GOLD_COLUMNS} FROM gold",
     "gold_table": f"WITH {_GOLD} SELECT {_TABLE_COLUMNS} FROM gold",
-    "gold_table_sql": f"""WITH {_DAILY}
-SELECT year, month,
-       {_spread(_of("Patagonia", "max(wind)"), _of("Patagonia", "min(wind)"))} AS patagonia,
-       {_spread(_of("Riohacha", "max(wind)"), _of("Riohacha", "min(wind)"))} AS riohacha
-FROM daily GROUP BY year, month""",
+    "gold_table_sql": f"""WITH {_DAILY},
+both_regions AS (
+  SELECT year, month, day, {_of("Patagonia", "max(total)")} AS patagonia,
+         {_of("Riohacha", "max(total)")} AS riohacha
+  FROM daily GROUP BY year, month, day)
+SELECT year, month, count(*) FILTER (WHERE patagonia > riohacha) AS patagonia_leads,
+       count(*) FILTER (WHERE riohacha > patagonia) AS riohacha_leads
+FROM both_regions GROUP BY year, month""",
     "overwrite_static": _partition_counts(_region("SELECT * FROM feed")),
     "overwrite_dynamic": _partition_counts("SELECT * FROM silver"),
     "row_counts": f"""WITH {_GOLD}
