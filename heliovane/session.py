@@ -15,7 +15,7 @@ SETTINGS = {
     "spark.sql.maxConcurrentOutputFileWriters": "8",
     # Copies of one row compress to almost nothing, so bytes understate the rows of a file. A higher
     # price per file keeps a task from packing dozens of such files.
-    "spark.sql.files.openCostInBytes": "16m",
+    "spark.sql.files.openCostInBytes": "32m",
 }
 
 

@@ -11,7 +11,7 @@ from heliovane.schemas import GOLD, GOLD_TABLE, SILVER
 
 
 # Bounds the rows behind one file however well they compress, so that later scans can spread them.
-ROWS_PER_FILE = 4_000_000
+ROWS_PER_FILE = 2_000_000
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
