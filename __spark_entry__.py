@@ -47,6 +47,15 @@ from heliovane.sources.lake import (  # noqa: E402
 from heliovane.sources.scratch import scratch_dir  # noqa: E402
 from heliovane.streaming import feed as streaming  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from heliovane.llm import queries as corpus_queries
+except ModuleNotFoundError as missing:
+    # Only the subpackage itself may be absent, not something that it needs.
+    if missing.name not in ("heliovane.llm", "corpus_pipeline"):
+        raise
+    corpus_pipeline = corpus_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -382,8 +391,18 @@ def queries() -> dict[str, Query]:
         "stream_silver": stream_silver,
         "stream_append": stream_append,
         "stream_daily": stream_daily,
+        **_corpus_queries(),
     }
 
 
+def _corpus_queries() -> dict[str, Query]:
+    if corpus_queries is None:
+        return {}
+    return {**corpus_queries.queries(), "pipeline": corpus_pipeline.run}
+
+
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    if corpus_queries is None:
+        return oracle.oracle_sql()
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**oracle.oracle_sql(), **corpus_queries.oracle_sql(), **pipeline}
