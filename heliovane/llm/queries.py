@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heliovane.llm.bpe import byte_bpe, token_digest
 from heliovane.llm.common import table
 from heliovane.llm.shards import hilbert_shards
 from heliovane.llm.simhash import simhash_components
@@ -14,6 +16,17 @@ from heliovane.llm.simhash import simhash_components
 SHARDS = 40
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = byte_bpe(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        token_digest(F.col("ids")).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = hilbert_shards(table(spark, sf_dir, "documents"), SHARDS)
     return shards.withColumn("grown_shard", F.lit(None).cast("int"))
@@ -24,7 +37,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_hilbert_shards": op9_hilbert_shards, "op10_simhash": op10_simhash}
+    return {"op1_byte_bpe": op1_byte_bpe, "op9_hilbert_shards": op9_hilbert_shards, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
