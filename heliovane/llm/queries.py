@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from heliovane.llm.bpe import byte_bpe, token_digest
 from heliovane.llm.common import table
+from heliovane.llm.lines import near_lines
 from heliovane.llm.quality import THRESHOLD, fit_rules, held_out, quality_scores, training_sample
 from heliovane.llm.shards import hilbert_shards
 from heliovane.llm.simhash import simhash_components
@@ -28,6 +29,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_lines(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op4_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_rules(training_sample(docs, table(spark, sf_dir, "labels")))
@@ -49,7 +54,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_byte_bpe": op1_byte_bpe, "op4_rule_ensemble": op4_rule_ensemble, "op9_hilbert_shards": op9_hilbert_shards, "op10_simhash": op10_simhash}
+    return {"op1_byte_bpe": op1_byte_bpe, "op3_line_dedup": op3_line_dedup, "op4_rule_ensemble": op4_rule_ensemble, "op9_hilbert_shards": op9_hilbert_shards, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
