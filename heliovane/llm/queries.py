@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from heliovane.llm.bpe import byte_bpe, token_digest
 from heliovane.llm.common import table
+from heliovane.llm.decontaminate import benchmark_matches
 from heliovane.llm.lines import near_lines
 from heliovane.llm.quality import THRESHOLD, fit_rules, held_out, quality_scores, training_sample
 from heliovane.llm.shards import hilbert_shards
@@ -44,6 +45,11 @@ def op4_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return benchmark_matches(docs, items).drop("text_hash")
+
+
 def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = hilbert_shards(table(spark, sf_dir, "documents"), SHARDS)
     return shards.withColumn("grown_shard", F.lit(None).cast("int"))
@@ -54,7 +60,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_byte_bpe": op1_byte_bpe, "op3_line_dedup": op3_line_dedup, "op4_rule_ensemble": op4_rule_ensemble, "op9_hilbert_shards": op9_hilbert_shards, "op10_simhash": op10_simhash}
+    return {"op1_byte_bpe": op1_byte_bpe, "op3_line_dedup": op3_line_dedup, "op4_rule_ensemble": op4_rule_ensemble, "op7_decontaminate": op7_decontaminate, "op9_hilbert_shards": op9_hilbert_shards, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
