@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliovane.llm.bpe import byte_bpe, token_digest
@@ -13,6 +13,7 @@ from heliovane.llm.common import table
 from heliovane.llm.decontaminate import benchmark_matches
 from heliovane.llm.lines import near_lines
 from heliovane.llm.quality import THRESHOLD, fit_rules, held_out, quality_scores, training_sample
+from heliovane.llm.secrets import KINDS, joined, secret_spans
 from heliovane.llm.shards import hilbert_shards
 from heliovane.llm.simhash import simhash_components
 
@@ -45,6 +46,21 @@ def op4_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*KINDS))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return benchmark_matches(docs, items).drop("text_hash")
@@ -60,7 +76,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_byte_bpe": op1_byte_bpe, "op3_line_dedup": op3_line_dedup, "op4_rule_ensemble": op4_rule_ensemble, "op7_decontaminate": op7_decontaminate, "op9_hilbert_shards": op9_hilbert_shards, "op10_simhash": op10_simhash}
+    return {"op1_byte_bpe": op1_byte_bpe, "op3_line_dedup": op3_line_dedup, "op4_rule_ensemble": op4_rule_ensemble, "op5_secret_scan": op5_secret_scan, "op7_decontaminate": op7_decontaminate, "op9_hilbert_shards": op9_hilbert_shards, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
