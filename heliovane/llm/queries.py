@@ -13,6 +13,7 @@ from heliovane.llm.common import table
 from heliovane.llm.decontaminate import benchmark_matches
 from heliovane.llm.lines import near_lines
 from heliovane.llm.quality import THRESHOLD, fit_rules, held_out, quality_scores, training_sample
+from heliovane.llm.render import page_texts
 from heliovane.llm.secrets import KINDS, joined, secret_spans
 from heliovane.llm.shards import hilbert_shards
 from heliovane.llm.simhash import simhash_components
@@ -66,6 +67,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_matches(docs, items).drop("text_hash")
 
 
+def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_texts(table(spark, sf_dir, "pages"))
+
+
 def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = hilbert_shards(table(spark, sf_dir, "documents"), SHARDS)
     return shards.withColumn("grown_shard", F.lit(None).cast("int"))
@@ -76,7 +81,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_byte_bpe": op1_byte_bpe, "op3_line_dedup": op3_line_dedup, "op4_rule_ensemble": op4_rule_ensemble, "op5_secret_scan": op5_secret_scan, "op7_decontaminate": op7_decontaminate, "op9_hilbert_shards": op9_hilbert_shards, "op10_simhash": op10_simhash}
+    return {"op1_byte_bpe": op1_byte_bpe, "op3_line_dedup": op3_line_dedup, "op4_rule_ensemble": op4_rule_ensemble, "op5_secret_scan": op5_secret_scan, "op7_decontaminate": op7_decontaminate, "op8_page_text": op8_page_text, "op9_hilbert_shards": op9_hilbert_shards, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
