@@ -12,6 +12,7 @@ from heliovane.llm.bpe import byte_bpe, token_digest
 from heliovane.llm.common import table
 from heliovane.llm.decontaminate import benchmark_matches
 from heliovane.llm.lines import near_lines
+from heliovane.llm.neighbours import nearest_neighbours
 from heliovane.llm.quality import THRESHOLD, fit_rules, held_out, quality_scores, training_sample
 from heliovane.llm.render import page_texts
 from heliovane.llm.secrets import KINDS, joined, secret_spans
@@ -32,6 +33,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_lines(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -81,7 +86,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_byte_bpe": op1_byte_bpe, "op3_line_dedup": op3_line_dedup, "op4_rule_ensemble": op4_rule_ensemble, "op5_secret_scan": op5_secret_scan, "op7_decontaminate": op7_decontaminate, "op8_page_text": op8_page_text, "op9_hilbert_shards": op9_hilbert_shards, "op10_simhash": op10_simhash}
+    return {"op1_byte_bpe": op1_byte_bpe, "op2_multi_index": op2_multi_index, "op3_line_dedup": op3_line_dedup, "op4_rule_ensemble": op4_rule_ensemble, "op5_secret_scan": op5_secret_scan, "op7_decontaminate": op7_decontaminate, "op8_page_text": op8_page_text, "op9_hilbert_shards": op9_hilbert_shards, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
