@@ -18,6 +18,7 @@ from heliovane.llm.render import page_texts
 from heliovane.llm.secrets import KINDS, joined, secret_spans
 from heliovane.llm.shards import hilbert_shards
 from heliovane.llm.simhash import simhash_components
+from heliovane.llm.suffixes import without_repeats
 
 SHARDS = 40
 
@@ -67,6 +68,17 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return benchmark_matches(docs, items).drop("text_hash")
@@ -86,7 +98,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_byte_bpe": op1_byte_bpe, "op2_multi_index": op2_multi_index, "op3_line_dedup": op3_line_dedup, "op4_rule_ensemble": op4_rule_ensemble, "op5_secret_scan": op5_secret_scan, "op7_decontaminate": op7_decontaminate, "op8_page_text": op8_page_text, "op9_hilbert_shards": op9_hilbert_shards, "op10_simhash": op10_simhash}
+    return {"op1_byte_bpe": op1_byte_bpe, "op2_multi_index": op2_multi_index, "op3_line_dedup": op3_line_dedup, "op4_rule_ensemble": op4_rule_ensemble, "op5_secret_scan": op5_secret_scan, "op6_suffix_dedup": op6_suffix_dedup, "op7_decontaminate": op7_decontaminate, "op8_page_text": op8_page_text, "op9_hilbert_shards": op9_hilbert_shards, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
