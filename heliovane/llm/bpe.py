@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterable, Iterator
+from operator import itemgetter
 
 import duckdb
 import numpy as np
@@ -20,22 +21,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of text whose words a task holds at once.
-TEXT_BLOCK = 1 << 21
+TEXT_BLOCK = 1 << 22
 
-#: Bytes of words given to one recursive query; a longer word goes alone.
-WORD_BLOCK = 1 << 19
+#: Characters of words given to one recursive query, and from which on a word goes alone.
+WORD_BLOCK = 1 << 20
+LONG_WORD = 64
 
 #: Words a worker remembers in each of two generations.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 #: A place where a text can be cut without changing its words: one space between printable ASCII characters begins a
 #: word.
 _CUT = re.compile(r"(?<=[!-~]) (?=[!-~])")
 
-# A merged token is "steady" if every pair that contains it has a larger rank. Then contracting one occurrence
-# cannot bring up a smaller pair, so a round contracts all occurrences that do not overlap, from the left, just as so many
-# single rounds would. This keeps the rounds of a very long word few.
+# Every round's rows are kept until the end, which is cheap for short words. A code is a rank in the upper half and a
+# position in the lower one.
 _ENCODE = """
+WITH RECURSIVE step(word, tokens) AS (
+  SELECT word, tokens FROM fresh
+  UNION ALL
+  (WITH pairs AS (
+     SELECT word, unnest(range(1, len(tokens))) AS pos,
+            unnest(tokens[:-2]) * 65536::BIGINT + unnest(tokens[2:]) AS pair
+     FROM step),
+   best AS (SELECT word, min(code + pos) AS code FROM pairs JOIN merges USING (pair) GROUP BY word)
+   SELECT s.word,
+          list_concat(list_append(tokens[:(code & 4294967295) - 1], (code >> 32)::INTEGER),
+                      tokens[(code & 4294967295) + 2:])
+   FROM step s JOIN best USING (word))
+)
+SELECT word, arg_min(tokens, len(tokens)) AS tokens FROM step GROUP BY word
+"""
+
+# The same for long words, keeping only the last round. A merged token is "steady" if every pair that contains it
+# has a larger rank. Then contracting one occurrence cannot bring up a smaller pair, so a round contracts all
+# occurrences that do not overlap, from the left, just as so many single rounds would.
+_ENCODE_LONG = """
 WITH RECURSIVE step(word, tokens) USING KEY (word) AS (
   SELECT word, tokens FROM fresh
   UNION
@@ -43,25 +64,21 @@ WITH RECURSIVE step(word, tokens) USING KEY (word) AS (
      SELECT word, unnest(range(1, len(tokens))) AS pos,
             unnest(tokens[:-2]) * 65536::BIGINT + unnest(tokens[2:]) AS pair
      FROM step),
-   hits AS (
-     SELECT word, pos, rank, steady, rank * 4294967296::BIGINT + pos AS code
-     FROM pairs JOIN merges USING (pair)),
+   hits AS (SELECT word, pos, code >> 32 AS rank, steady, code + pos AS code FROM pairs JOIN merges USING (pair)),
    best AS (
-     SELECT word, arg_min(rank, code) AS rank, arg_min(pos, code) AS pos,
-            bool_or(steady) FILTER (steady) AS any_steady, count(*) AS n
-     FROM hits GROUP BY word),
+     SELECT word, (min(code) >> 32)::INTEGER AS rank, min(code) & 4294967295 AS pos FROM hits GROUP BY word),
    runs AS (
      SELECT h.word, h.pos,
             h.pos - row_number() OVER (PARTITION BY h.word ORDER BY h.pos) AS run
      FROM hits h JOIN best b ON h.word = b.word AND h.rank = b.rank
-     WHERE h.steady AND b.any_steady AND b.n > 1),
+     WHERE h.steady),
    alternate AS (
      SELECT word, pos, row_number() OVER (PARTITION BY word, run ORDER BY pos) AS k FROM runs),
    several AS (
      SELECT word, list(pos) AS places FROM alternate WHERE k % 2 = 1
      GROUP BY word HAVING count(*) > 1)
    SELECT s.word,
-          CASE WHEN places IS NULL THEN tokens[:pos - 1] || [rank] || tokens[pos + 2:]
+          CASE WHEN places IS NULL THEN list_concat(list_append(tokens[:pos - 1], rank), tokens[pos + 2:])
           ELSE list_filter(
             list_transform(tokens, lambda t, i: CASE WHEN list_contains(places, i) THEN rank
                                                      WHEN list_contains(places, i - 1) THEN NULL
@@ -86,7 +103,8 @@ def read_ranks(text: bytes) -> dict[bytes, int]:
 
 
 def merge_rows(ranks: dict[bytes, int]) -> pa.Table:
-    """``pair, rank, steady``: every split of a token into two tokens, the pair packed into one number."""
+    """``pair, code, steady``: every split of a token into two tokens, the pair packed into one number, the rank in
+    the upper half of the code."""
     left, right, rank = [], [], []
     for token, merged in ranks.items():
         for cut in range(1, len(token)):
@@ -97,7 +115,7 @@ def merge_rows(ranks: dict[bytes, int]) -> pa.Table:
     smallest = np.full(max(ranks.values()) + 1, np.iinfo(np.int64).max)
     np.minimum.at(smallest, a, c)
     np.minimum.at(smallest, b, c)
-    return pa.table({"pair": a * 65536 + b, "rank": c.astype(np.int32), "steady": smallest[c] > c})
+    return pa.table({"pair": a * 65536 + b, "code": c << 32, "steady": smallest[c] > c})
 
 
 class Encoder:
@@ -116,32 +134,30 @@ class Encoder:
         self.recent: dict[str, tuple[bytes, bytes]] = {}
         self.older: dict[str, tuple[bytes, bytes]] = {}
 
-    def learn(self, words: Iterable[str]) -> None:
+    def learn(self, words: set[str]) -> None:
         """Make sure that every word is remembered."""
-        wanted = []
-        for word in words:
-            if word not in self.recent:
-                known = self.older.get(word)
-                if known is None:
-                    wanted.append(word)
-                else:
-                    self.recent[word] = known
+        new = words - self.recent.keys()
+        known = new & self.older.keys()
+        self.recent.update((word, self.older[word]) for word in known)
         block, size = [], 0
-        for word in wanted:
+        for word in new - known:
+            if len(word) > LONG_WORD:
+                self._encode([word], _ENCODE_LONG)
+                continue
             block.append(word)
             size += len(word)
             if size >= WORD_BLOCK:
-                self._encode(block)
+                self._encode(block, _ENCODE)
                 block, size = [], 0
         if block:
-            self._encode(block)
+            self._encode(block, _ENCODE)
 
     def forget(self) -> None:
         """Drop the words not met since the last generation once there are enough of new ones."""
         if len(self.recent) > REMEMBERED:
             self.recent, self.older = {}, self.recent
 
-    def _encode(self, words: list[str]) -> None:
+    def _encode(self, words: list[str], query: str) -> None:
         pieces = [word.encode("utf-8") for word in words]
         whole = [self.ranks.get(piece) for piece in pieces]
         tokens = [
@@ -155,7 +171,7 @@ class Encoder:
         db = self.db
         db.register("given", pa.table({"word": number, "tokens": lists}))
         db.execute("CREATE OR REPLACE TEMP TABLE fresh AS SELECT * FROM given")
-        db.execute(f"CREATE OR REPLACE TEMP TABLE encoded AS {_ENCODE}")
+        db.execute(f"CREATE OR REPLACE TEMP TABLE encoded AS {query}")
         ids = db.sql("SELECT tokens FROM encoded ORDER BY word").to_arrow_table()["tokens"].combine_chunks()
         decoded = db.sql(f"{_DECODE} ORDER BY word").to_arrow_table()["bytes"].to_pylist()
         db.unregister("given")
@@ -188,16 +204,16 @@ def blocks(text: str, size: int = TEXT_BLOCK) -> Iterator[str]:
 
 
 def _encode_batches(
-    batches: Iterable[pa.RecordBatch], ranks: bytes, pattern: str
+    batches: Iterable[pa.RecordBatch], ranks: bytes, pattern: str, text_block: int = TEXT_BLOCK
 ) -> Iterator[pa.RecordBatch]:
     encoder, find = _encoder(ranks), regex.compile(pattern).findall
 
     def finished(keys: pa.Array, docs: list[list[tuple[bytes, bytes]]]) -> pa.RecordBatch:
-        ids = [b"".join([pair[0] for pair in doc]) for doc in docs]
+        ids = [b"".join(map(itemgetter(0), doc)) for doc in docs]
         offsets = np.zeros(len(ids) + 1, np.int32)
         np.cumsum([len(x) // 4 for x in ids], out=offsets[1:])
         values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-        decoded = [b"".join([pair[1] for pair in doc]) for doc in docs]
+        decoded = [b"".join(map(itemgetter(1), doc)) for doc in docs]
         lists = pa.ListArray.from_arrays(pa.array(offsets), values)
         return pa.RecordBatch.from_arrays(
             [keys, lists, pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"]
@@ -209,7 +225,7 @@ def _encode_batches(
 
         def look_up() -> None:
             """Encode the waiting words and give each document its tokens."""
-            encoder.learn({word for _, words in waiting for word in words})
+            encoder.learn(set().union(*[words for _, words in waiting]))
             for number, words in waiting:
                 docs[number - first].extend(map(encoder.recent.__getitem__, words))
             waiting.clear()
@@ -217,10 +233,10 @@ def _encode_batches(
 
         for row in range(batch.num_rows):
             docs.append([])
-            for piece in blocks(texts[row].as_py() or ""):
+            for piece in blocks(texts[row].as_py() or "", text_block):
                 waiting.append((row, find(piece)))
                 size += len(piece)
-                if size >= TEXT_BLOCK:
+                if size >= text_block:
                     look_up()
                     size = 0
                     if len(docs) > 1:

@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -33,8 +34,7 @@ def texts():
 
 
 @pytest.mark.parametrize("name", PATHS)
-def test_equals_the_library(spark, documents, name, monkeypatch):
-    monkeypatch.setattr(bpe, "TEXT_BLOCK", 5000)
+def test_equals_the_library(spark, documents, name):
     given = dict(enumerate(texts()))
     docs = documents(*given.items(), (3, "\n\n  \n"), (None, "no id"))
     out = byte_bpe(docs, public_tokenizers.path(name), public_tokenizers.PATTERN)
@@ -60,6 +60,18 @@ def test_blocks_keep_words():
         assert [w for piece in cut for w in find(piece)] == find(text)
 
 
+def test_small_blocks_change_nothing(monkeypatch):
+    monkeypatch.setattr(bpe, "WORD_BLOCK", 100)
+    monkeypatch.setattr(bpe, "REMEMBERED", 50)
+    monkeypatch.setattr(bpe, "TEXT_BLOCK", 500)
+    given = [t or "" for t in texts()]
+    batches = [pa.record_batch({"doc_id": range(len(given)), "text": given})]
+    with open(public_tokenizers.path(PATHS[0]), "rb") as file:
+        out = list(bpe._encode_batches(batches, file.read(), public_tokenizers.PATTERN, 500))
+    ids = [x for batch in out for x in batch.column(1).to_pylist()]
+    assert len(out) > 5 and ids == [reference(PATHS[0]).encode_ordinary(t) for t in given]
+
+
 def test_every_token_of_the_vocabulary_survives():
     with open(public_tokenizers.path(PATHS[0]), "rb") as file:
         encoder = bpe.Encoder(file.read())
@@ -70,7 +82,7 @@ def test_every_token_of_the_vocabulary_survives():
             words[token.decode()] = rank
         except UnicodeDecodeError:
             pass
-    encoder.learn(words)
+    encoder.learn(set(words))
     for word, rank in words.items():
         assert encoder.recent[word] == (rank.to_bytes(4, "little"), word.encode())
 
