@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_collecting: list[list[str]] = []
+
+
+@contextmanager
+def noted_scratch() -> Iterator[list[str]]:
+    """The paths that ``stored`` writes inside the block, to be removed once their results are no longer read."""
+    paths: list[str] = []
+    _collecting.append(paths)
+    try:
+        yield paths
+    finally:
+        _collecting.remove(paths)
+
+
+def remove_paths(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def same_document(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join on ``doc_id`` and ``text_hash``, null ids included; the right side's two columns go."""
+    keys = {name: f"other_{name}" for name in ("doc_id", "text_hash")}
+    on = [F.col(name).eqNullSafe(F.col(other)) for name, other in keys.items()]
+    return left.join(right.withColumnsRenamed(keys), on, how).drop(*keys.values())
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back.
 
@@ -21,6 +49,8 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     derives from it cannot differ between attempts.
     """
     path = scratch_dir(df.sparkSession, purpose)
+    for paths in _collecting:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

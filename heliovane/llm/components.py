@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from heliovane.llm.common import stored
 
 
+#: Links that one task of a round takes at least; fewer tasks make fewer and larger files.
+TASK_LINKS = 100_000
+
+
+def _packed(edges: DataFrame, count: int) -> DataFrame:
+    return edges.coalesce(max(1, count // TASK_LINKS))
+
+
 def _checksum(edges: DataFrame) -> tuple:
     row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return tuple(row)
@@ -44,6 +52,6 @@ def connected_components(links: DataFrame) -> DataFrame:
     seen = None
     while (now := _checksum(edges)) != seen:
         seen = now
-        edges = stored(_small_star(_large_star(edges).distinct()), "links")
+        edges = stored(_packed(_small_star(_large_star(edges).distinct()), now[0]), "links")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

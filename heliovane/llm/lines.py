@@ -95,7 +95,7 @@ def probe_keys(threshold: int) -> Column:
             after = threshold - k
             for shift in range(max(-k, d - after), min(k, d + after) + 1):
                 keys.append(_key(k, size, F.substring(F.col("line"), first + shift, length)))
-    return F.array_distinct(F.array(*keys))
+    return F.array(*keys)
 
 
 def sketch(chars: Column) -> Column:
@@ -162,74 +162,139 @@ def banded_distance(a: Column, b: Column, threshold: int) -> Column:
     return F.when(F.abs(rows - columns) > threshold, threshold + 1).otherwise(distance)
 
 
-def _joined(index: DataFrame, probe: DataFrame, on: list[str]) -> DataFrame:
-    """Pairs of different lines that share a key; lines of one size meet once."""
-    other = probe.select(*on, F.col("line_id").alias("other"), F.col("size").alias("other_size"))
-    pairs = index.join(other, on).where(
-        "line_id <> other and (size < other_size or line_id < other)"
-    )
-    return pairs.select("line_id", "other").distinct()
+def _stripped(a: Column, b: Column, keep: int) -> Column:
+    """``a`` and ``b`` without their common start, of which the last ``keep`` characters stay. Edit distances stay as they are."""
+    shorter = F.least(F.char_length(a), F.char_length(b))
+    powers = F.transform(F.sequence(F.lit(20), F.lit(0)), lambda k: F.call_function("shiftleft", F.lit(1), k))
+
+    def longer(shared: Column, step: Column) -> Column:
+        size = shared + step
+        return F.when((size <= shorter) & (F.left(a, size) == F.left(b, size)), size).otherwise(shared)
+
+    start = F.greatest(F.aggregate(powers, F.lit(0), longer) - keep, F.lit(0)) + 1
+    whole = F.lit(2**31 - 1)
+    return let(start, lambda at: F.struct(F.substring(a, at, whole).alias("a"), F.substring(b, at, whole).alias("b")))
+
+
+def within(a: Column, b: Column, threshold: int) -> Column:
+    """Whether two lines of more than ``2 * threshold`` characters are within ``threshold`` edits.
+
+    What both begin and end with is left out first; enough of it stays for the band.
+    """
+    keep = 2 * threshold + 1
+
+    def middle(pair: Column) -> Column:
+        return _stripped(F.reverse(pair["a"]), F.reverse(pair["b"]), keep)
+
+    def compared(pair: Column) -> Column:
+        chars = F.struct(F.split(pair["a"], "").alias("a"), F.split(pair["b"], "").alias("b"))
+        return let(chars, lambda c: banded_distance(c["a"], c["b"], threshold) <= threshold)
+
+    return let(let(_stripped(a, b, keep), middle), compared)
 
 
-def candidate_pairs(lines: DataFrame, threshold: int, limit: int = KEY_LIMIT) -> DataFrame:
-    """``line_id, other`` for every pair of distinct lines (``line_id, line, size``) that may be near.
+def _pair(a: Column, b: Column) -> list[Column]:
+    return [F.least(a, b).alias("line_id"), F.greatest(a, b).alias("other")]
 
-    A key with more than ``limit`` index entries is not joined as it is: its lines would meet all at once. They are joined on
-    the key and one of ``2 * threshold + 1`` parts of their sketches. Sketches of near lines differ in at most
-    ``2 * threshold`` bits, so near lines agree in some part.
+
+def candidate_pairs(lines: DataFrame, threshold: int, limit: int = KEY_LIMIT) -> tuple[DataFrame, DataFrame | None]:
+    """``line_id, other`` for pairs of distinct lines (``line_id, line, size``) that may be near, and the lines of hot keys.
+
+    A key with more than ``limit`` index entries is not joined as it is: its lines would meet all at once. One of its entries
+    tells which lines probe it. These come out as ``key, part, bits, line_id, sketch, probes``, once for each of
+    ``2 * threshold + 1`` parts of their sketches: sketches of near lines differ in at most ``2 * threshold`` bits, so near
+    lines of a key agree in some part.
     """
-    entries = lines.select("line_id", "size", F.explode(index_keys(threshold)).alias("key"))
-    probes = lines.select("line_id", "size", F.explode(probe_keys(threshold)).alias("key"))
-    counted = entries.withColumn("entries", F.count(F.lit(1)).over(Window.partitionBy("key")))
-    pairs = stored(_joined(counted.where(F.col("entries") <= limit), probes, ["key"]), "line-pairs")
-    hot = stored(
-        entries.groupBy("key").agg(F.count(F.lit(1)).alias("entries")).where(F.col("entries") > limit),
-        "line-keys",
-    ).select("key")
-    keys = hot.count()
-    if not keys:
-        return pairs
-    if keys <= BROADCAST_LINES:
-        hot = F.broadcast(hot)
+    entries = lines.select("line_id", F.explode(index_keys(threshold)).alias("key"))
+    by_key = Window.partitionBy("key")
+    entries = entries.withColumns(
+        {
+            "hot": F.count(F.lit(1)).over(by_key) > limit,
+            "first": F.row_number().over(by_key.orderBy("line_id")) == 1,
+        }
+    )
+    probes = lines.select(F.col("line_id").alias("other"), F.explode(probe_keys(threshold)).alias("key"))
+    met = entries.where("not hot or first").join(probes, "key").where("hot or line_id <> other")
+    met = stored(met, "line-met")
+    pairs = met.where("not hot").select(*_pair(F.col("line_id"), F.col("other"))).distinct()
+    if met.where("hot").isEmpty():
+        return pairs, None
+    probing = met.where("hot").select("key", F.col("other").alias("line_id"), F.lit(True).alias("probes")).distinct()
+    indexed = entries.where("hot").select("key", "line_id", F.lit(False).alias("probes"))
+    hot = stored(probing.unionByName(indexed), "line-hot")
+    texts = texts_of(lines, hot.select("line_id"))
+    texts = stored(texts.select("line_id", sketch(F.split("line", "")).alias("sketch")), "line-sketches")
+    parts = [
+        F.struct(F.lit(k).alias("part"), F.col("sketch").bitwiseAND(F.lit(mask)).alias("bits"))
+        for k, mask in enumerate(_part_masks(threshold))
+    ]
+    hot = hot.join(texts, "line_id").select("key", "line_id", "sketch", "probes", F.inline(F.array(*parts)))
+    return pairs, stored(hot, "line-parts")
+
+
+def _part_masks(threshold: int) -> list[int]:
+    """Parts of a sketch that share no bit; the sign bit is left to none."""
     parts = 2 * threshold + 1
+    return [sum(1 << b for b in range(k, 63, parts)) for k in range(parts)]
 
-    def split(keys_of: Column) -> DataFrame:
-        rows = lines.select("line_id", "size", "line", F.explode(keys_of).alias("key"))
-        rows = rows.join(hot, "key", "left_semi")
-        rows = rows.withColumn("sketch", sketch(F.split("line", "")))
-        blocks = [
-            F.struct(
-                F.lit(k).alias("part"),
-                F.col("sketch").bitwiseAND(F.lit(sum(1 << b for b in range(k, 63, parts)))).alias("bits"),
-            )
-            for k in range(parts)
-        ]
-        return rows.select("line_id", "size", "key", F.inline(F.array(*blocks)))
 
-    again = _joined(split(index_keys(threshold)), split(probe_keys(threshold)), ["key", "part", "bits"])
-    return pairs.unionByName(again).distinct()
+def star_pairs(hot: DataFrame) -> DataFrame:
+    """Every line that probes a hot key with the first line indexed there that agrees in a part: as many rows as lines."""
+    key = ["key", "part", "bits"]
+    centres = hot.where("not probes").groupBy(*key).agg(F.min("line_id").alias("centre"))
+    rows = hot.where("probes").join(centres, key).where("line_id <> centre")
+    return rows.select(*_pair(F.col("line_id"), F.col("centre"))).distinct()
+
+
+def missing_pairs(hot: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+    """The pairs of hot keys that may be near and whose lines no chain of links connects yet.
+
+    In a group of many lines near each other the stars have connected nearly all, so its pairs do not come up.
+    """
+    known = classes.withColumnRenamed("node", "line_id")
+    named = hot.join(known, "line_id", "left").withColumn("class", F.coalesce("component", "line_id"))
+    names = ["line_id", "sketch", "class"]
+    asking = named.where("probes").select("key", "part", "bits", *[F.col(n).alias(f"other_{n}") for n in names])
+    differ = F.col("sketch").bitwiseXOR(F.col("other_sketch"))
+    condition = (F.col("class") != F.col("other_class")) & (F.bit_count(differ) <= 2 * threshold)
+    for k, mask in enumerate(_part_masks(threshold)):
+        # A pair that agrees in several parts comes up in the first.
+        condition = condition & ((F.col("part") <= k) | (differ.bitwiseAND(F.lit(mask)) != 0))
+    met = named.where("not probes").join(asking, ["key", "part", "bits"]).where(condition)
+    return met.select(*_pair(F.col("line_id"), F.col("other_line_id"))).distinct()
+
+
+def line_classes(lines: DataFrame, threshold: int, limit: int = KEY_LIMIT) -> DataFrame:
+    """``node, component`` for every distinct line with a link."""
+    pairs, hot = candidate_pairs(lines, threshold, limit)
+    if hot is None:
+        return connected_components(verified_links(lines, pairs, threshold))
+    links = stored(verified_links(lines, pairs.unionByName(star_pairs(hot)).distinct(), threshold), "line-links")
+    more = verified_links(lines, missing_pairs(hot, connected_components(links), threshold), threshold)
+    return connected_components(links.unionByName(more))
+
+
+def texts_of(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The lines whose ids are wanted, by a broadcast of the ids or, beyond a size, a shuffle join."""
+    ids = stored(wanted.distinct(), "line-wanted")
+    if ids.count() <= BROADCAST_LINES:
+        ids = F.broadcast(ids)
+    return stored(lines.join(ids, "line_id", "left_semi"), "line-texts")
 
 
 def verified_links(lines: DataFrame, pairs: DataFrame, threshold: int) -> DataFrame:
     """The pairs whose lines are within ``threshold`` edits. Only lines of some pair are looked up."""
     pairs = stored(pairs, "line-candidates")
-    wanted = pairs.select("line_id").union(pairs.select("other")).distinct()
-    wanted = stored(wanted, "line-wanted")
-    if wanted.count() <= BROADCAST_LINES:
-        wanted = F.broadcast(wanted)
-    texts = lines.join(wanted, "line_id", "left_semi").select("line_id", "line")
-    chars = F.split("line", "")
-    texts = stored(texts.select("line_id", "line", sketch(chars).alias("sketch")), "line-texts")
-    both = pairs.join(texts, "line_id").join(
-        texts.select(
-            F.col("line_id").alias("other"), F.col("line").alias("line2"), F.col("sketch").alias("sketch2")
-        ),
-        "other",
-    )
-    both = both.where(F.bit_count(F.col("sketch").bitwiseXOR(F.col("sketch2"))) <= 2 * threshold)
-    both = both.select("line_id", "other", chars.alias("a"), F.split("line2", "").alias("b"))
-    near = banded_distance(F.col("a"), F.col("b"), threshold) <= threshold
-    return both.where(near).select("line_id", "other")
+    texts = texts_of(lines, pairs.select("line_id").union(pairs.select("other")))
+    texts = texts.select("line_id", "line", sketch(F.split("line", "")).alias("sketch"))
+    others = texts.toDF("other", "line2", "sketch2")
+    both = pairs.join(texts, "line_id").join(others, "other")
+    close = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sketch2"))) <= 2 * threshold
+    # Few bytes but much work: dealt evenly, so that adaptive execution does not put all pairs into one task.
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = both.where(close).select("line_id", "other", "line", "line2").repartition(tasks, "line_id", "other")
+    both = stored(both, "line-compared")
+    return both.where(within(F.col("line"), F.col("line2"), threshold)).select("line_id", "other")
 
 
 def near_lines(
@@ -264,8 +329,7 @@ def near_lines(
     )
     distinct = stored(distinct, "lines")
     lines = distinct.select("line_id", "line", "size")
-    links = verified_links(lines, candidate_pairs(lines, threshold), threshold)
-    classes = connected_components(links)
+    classes = line_classes(lines, threshold)
     known = distinct.join(classes.withColumnRenamed("node", "line_id"), "line_id", "left").select(
         "h1", "h2", "copies", "first", F.coalesce("component", "line_id").alias("class")
     )

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliovane.llm.common import stored
@@ -56,16 +56,20 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
 def fingerprints(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 3
 ) -> DataFrame:
-    """``doc_id, fp`` for every row; ``fp`` holds the 64 bits in a signed long. Null texts have no words."""
-    narrow = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("binary").alias("text"))
+    """``doc_id, text_hash, fp`` for every row; ``fp`` holds the 64 bits in a signed long. Null texts have no words."""
+    narrow = docs.select(
+        F.col(id_column).alias("doc_id"),
+        F.xxhash64(F.col(text_column)).alias("text_hash"),
+        F.col(text_column).cast("binary").alias("text"),
+    )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             values = np.array([fingerprint(text, shingle) for text in batch["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": values.view(np.int64)})
+            yield batch[["doc_id", "text_hash"]].assign(fp=values.view(np.int64))
 
     kind = dict(narrow.dtypes)["doc_id"]
-    return narrow.mapInPandas(run, f"doc_id {kind}, fp bigint")
+    return narrow.mapInPandas(run, f"doc_id {kind}, text_hash bigint, fp bigint")
 
 
 def covering_masks(positions: list[int], radius: int) -> list[int]:
@@ -162,6 +166,22 @@ def links_within(fps: DataFrame, radius: int, limit: int = BUCKET_LIMIT) -> Data
     return links.unionByName(_bucket_links(hot, keys, radius)).distinct()
 
 
+def _grouped(docs: DataFrame, id_column: str, text_column: str, shingle: int, radius: int) -> DataFrame:
+    """Every row with its fingerprint, the name of its component and what is known of both."""
+    rows = stored(fingerprints(docs, id_column, text_column, shingle), "simhash")
+    fps = stored(
+        rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")),
+        "simhash-distinct",
+    )
+    found = connected_components(links_within(fps.select("fp"), radius))
+    joined = fps.join(found.withColumnRenamed("node", "fp"), "fp", "left")
+    joined = joined.withColumn("component", F.coalesce("component", "fp"))
+    groups = joined.groupBy("component").agg(
+        F.min("least").alias("component_id"), F.sum("copies").alias("members")
+    )
+    return rows.join(joined.join(groups, "component").drop("least"), "fp")
+
+
 def simhash_components(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -179,22 +199,27 @@ def simhash_components(
     Equal fingerprints are combined before the shuffle, so copies cost one row per task. Only joins that adaptive
     execution can split meet them again.
     """
-    rows = stored(fingerprints(docs, id_column, text_column, shingle), "simhash")
-    fps = stored(
-        rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")),
-        "simhash-distinct",
-    )
-    found = connected_components(links_within(fps.select("fp"), radius))
-    joined = fps.join(found.withColumnRenamed("node", "fp"), "fp", "left")
-    joined = joined.withColumn("component", F.coalesce("component", "fp"))
-    groups = joined.groupBy("component").agg(
-        F.min("least").alias("component_id"), F.sum("copies").alias("members")
-    )
-    known = joined.join(groups, "component").select("fp", "copies", "component_id", "members")
-    return rows.join(known, "fp").select(
+    rows = _grouped(docs, id_column, text_column, shingle, radius)
+    return rows.select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
         "copies",
         (F.col("members") > 1).alias("linked"),
     )
+
+
+def simhash_representatives(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle: int = 3,
+    radius: int = 3,
+) -> DataFrame:
+    """``doc_id, text_hash, rows``: one document for each component of ``simhash_components``, that of the smallest id, null
+    ids last; ``rows`` counts the rows that repeat it."""
+    grouped = _grouped(docs, id_column, text_column, shingle, radius)
+    rows = grouped.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+    order = Window.partitionBy("component").orderBy(F.asc_nulls_last("doc_id"), "text_hash")
+    first = rows.withColumn("place", F.row_number().over(order)).where("place = 1")
+    return first.select("doc_id", "text_hash", "rows")

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heliovane.llm.common import stored
+from heliovane.llm.common import same_document, stored
 
 #: Bytes of a string that counts as repeated, and of the grams among which anchors are chosen.
 WINDOW = 400
@@ -286,18 +286,11 @@ def _anchor_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
 _KEY = ["doc_id", "text_hash"]
 
 
-def _same_document(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-    """Join by document, null ids included; the columns of the key come once."""
-    other = right.withColumnsRenamed({name: f"other_{name}" for name in _KEY})
-    on = [F.col(name).eqNullSafe(F.col(f"other_{name}")) for name in _KEY]
-    return left.join(other, on, how).drop(*[f"other_{name}" for name in _KEY])
-
-
 def _spans_with_text(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     """``wanted`` (gram, place, first, last of a document) with the bytes of each span."""
     per_doc = wanted.groupBy(*_KEY).agg(F.collect_list(F.struct("gram", "place", "first", "end")).alias("wanted"))
     # Equal documents give a span several times, which is then repeated anyway.
-    joined = _same_document(_packed(docs), per_doc, "inner")
+    joined = same_document(_packed(docs), per_doc, "inner")
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, text_hash bigint, gram bigint, first int, at int, span binary"
 
@@ -450,7 +443,7 @@ def without_repeats(
     narrow = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     ranges = repeated_ranges(narrow, window, gram, limit)
     per_doc = ranges.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
-    joined = _same_document(_packed(narrow), per_doc, "left").select("doc_id", "packed", "ranges")
+    joined = same_document(_packed(narrow), per_doc, "left").select("doc_id", "packed", "ranges")
     schema = (
         f"doc_id {dict(narrow.dtypes)['doc_id']}, n_bytes bigint, "
         "removed array<struct<start: int, end: int>>, kept binary"

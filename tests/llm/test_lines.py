@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from heliovane.llm.lines import banded_distance, candidate_pairs, near_lines, sketch
+from heliovane.llm.lines import banded_distance, candidate_pairs, line_classes, near_lines, sketch, within
 
 
 def distance(a, b):
@@ -42,16 +42,17 @@ def test_banded_distance(spark, threshold):
     df = spark.createDataFrame(rows, "a string, b string")
     a, b = F.split("a", ""), F.split("b", "")
     got = df.select("a", "b", banded_distance(a, b, threshold).alias("d"),
-                    F.bit_count(sketch(a).bitwiseXOR(sketch(b))).alias("flips")).collect()
+                    F.bit_count(sketch(a).bitwiseXOR(sketch(b))).alias("flips"),
+                    within(F.col("a"), F.col("b"), threshold).alias("near")).collect()
     for r in got:
         true = distance(r["a"], r["b"])
         assert (r["d"] if r["d"] <= threshold else None) == (true if true <= threshold else None)
-        assert r["flips"] <= 2 * true
+        assert r["flips"] <= 2 * true and r["near"] == (true <= threshold)
 
 
 @pytest.mark.parametrize("limit", [1, 1000])
 @pytest.mark.parametrize("threshold", [1, 2, 3])
-def test_candidates_miss_no_pair(spark, threshold, limit):
+def test_classes_miss_no_link(spark, threshold, limit):
     rng = random.Random(10 + threshold)
     texts = set()
     for _ in range(8):
@@ -59,11 +60,26 @@ def test_candidates_miss_no_pair(spark, threshold, limit):
         texts |= {edited(rng, base, rng.randrange(5)) for _ in range(12)}
     texts = sorted(texts)
     lines = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "line_id bigint, line string, size int")
-    found = {frozenset(r) for r in candidate_pairs(lines, threshold, limit).collect()}
+    root = list(range(len(texts)))
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
     for i, a in enumerate(texts):
         for j in range(i):
             if abs(len(a) - len(texts[j])) <= threshold and distance(a, texts[j]) <= threshold:
-                assert frozenset((i, j)) in found
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    found = {r["node"]: r["component"] for r in line_classes(lines, threshold, limit).collect()}
+    assert {i: found.get(i, i) for i in range(len(texts))} == {i: find(i) for i in range(len(texts))}
+    if limit == 1000:
+        pairs = {frozenset(r) for r in candidate_pairs(lines, threshold, limit)[0].collect()}
+        for i, a in enumerate(texts):
+            for j in range(i):
+                if abs(len(a) - len(texts[j])) <= threshold and distance(a, texts[j]) <= threshold:
+                    assert frozenset((i, j)) in pairs
 
 
 def brute_force(rows, threshold=2, min_chars=20):
