@@ -13,7 +13,16 @@ from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle  # noqa: E402
-from fixtures import feed_bronze, history_bronze, landed_bronze, stored_once  # noqa: E402
+from fixtures import (  # noqa: E402
+    dirty_history_lines,
+    feed_bronze,
+    history_bronze,
+    land_feed,
+    land_mixed_history,
+    landed_bronze,
+    stored_once,
+    unsteady_feed,
+)
 from heliovane.config import UNKNOWN_REGION  # noqa: E402
 from heliovane.functions.clock import SECONDS_PER_DAY  # noqa: E402
 from heliovane.functions.convert import settle  # noqa: E402
@@ -41,7 +50,6 @@ from heliovane.sources.bronze import read_feed, read_history  # noqa: E402
 from heliovane.sources.lake import (  # noqa: E402
     read_gold,
     read_silver,
-    register_table,
     write_partitioned,
 )
 from heliovane.sources.scratch import scratch_dir  # noqa: E402
@@ -90,12 +98,22 @@ def _comparable(gold: DataFrame) -> DataFrame:
 
 def bronze_hist_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     history_path, _ = landed_bronze(spark, sf_dir)
-    return flatten_history(read_history(spark, history_path, "documents"))
+    return flatten_history(read_history(spark, history_path))
 
 
 def bronze_hist_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with splits much smaller than the files, so that every array is cut."""
     history_path, _ = landed_bronze(spark, sf_dir)
-    return flatten_history(read_history(spark, history_path, "array"))
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    session.conf.set("spark.sql.files.openCostInBytes", "0")
+    return flatten_history(read_history(session, history_path))
+
+
+def bronze_hist_mixed_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "history-mixed")
+    land_mixed_history(history_bronze(spark, sf_dir), path)
+    return flatten_history(read_history(spark, path))
 
 
 def bronze_hist_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,6 +127,20 @@ def bronze_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_feed(read_feed(spark, feed_path))
 
 
+def norm_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten_history(_dirty_history(spark, sf_dir))
+
+
+def _dirty_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "history-dirty")
+    dirty_history_lines(spark, sf_dir).write.text(path)
+    return read_history(spark, path, "lines")
+
+
+def reject_report_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reject_report(_dirty_history(spark, sf_dir), feed_bronze(spark, sf_dir))
+
+
 def _stored_silver(spark: SparkSession, sf_dir: str) -> str:
     bronze = landed_bronze(spark, sf_dir)
     return stored_once(spark, sf_dir, "silver", lambda path: jobs.run_silver(spark, *bronze, path))
@@ -127,10 +159,23 @@ def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(read_gold(spark, _stored_gold(spark, sf_dir)))
 
 
+def gold_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of an older silver, then one month refreshed, and another that silver has lost: as after a full run."""
+    root = scratch_dir(spark, "by-month")
+    silver, gold = f"{root}/silver", f"{root}/gold"
+    history = norm_hist(spark, sf_dir)
+    vanished = history.where("dt % 7 = 0").withColumn("dt", F.lit(1_893_456_000).cast("bigint"))
+    write_partitioned(enrich(unify(history, vanished)), silver)
+    jobs.run_gold(spark, silver, gold)
+    write_partitioned(_silver(spark, sf_dir), silver)
+    jobs.run_gold(spark, silver, gold, [(2024, 1), (2030, 1)])
+    return _comparable(read_gold(spark, gold))
+
+
 def _registered_gold(spark: SparkSession, sf_dir: str) -> str:
     path = _stored_gold(spark, sf_dir)
     name = "gold_weather_metrics_" + path.rsplit("-", 1)[1]
-    register_table(spark, path, name)
+    jobs.run_table(spark, path, name)
     return name
 
 
@@ -312,19 +357,31 @@ def reject_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental job, then repeats removed as a refresh of its months does."""
     _, feed_path = landed_bronze(spark, sf_dir)
     root = scratch_dir(spark, "stream-silver")
-    silver = streaming.stream_silver(streaming.read_feed_stream(spark, feed_path))
-    streaming.write_silver_stream(silver, f"{root}/table", f"{root}/state").awaitTermination()
+    jobs.run_feed(spark, feed_path, f"{root}/table", f"{root}/state")
     rows = F.count(F.lit(1)).alias("observations")
-    return read_silver(spark, f"{root}/table").groupBy(*DAY_KEYS).agg(rows)
+    return _without_repeats(spark, f"{root}/table").groupBy(*DAY_KEYS).agg(rows)
+
+
+def _without_repeats(spark: SparkSession, path: str) -> DataFrame:
+    return dedup_observations(read_silver(spark, path).withColumn("source_rank", F.lit(0)))
+
+
+def stream_late_and_bad_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch per file, later readings first, some times in milliseconds, some deliveries repeated: nothing is lost."""
+    root = scratch_dir(spark, "stream-late")
+    land_feed(unsteady_feed(spark, sf_dir), f"{root}/feed", records=2_000)
+    jobs.run_feed(spark, f"{root}/feed", f"{root}/table", f"{root}/state", files_per_batch=1)
+    return _without_repeats(spark, f"{root}/table").select(*OBSERVATION.names, "region")
 
 
 def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The incremental job without deduplication: the feed's rows as a batch run gives them."""
+    """The incremental job: the feed's rows as a batch run gives them."""
     _, feed_path = landed_bronze(spark, sf_dir)
     root = scratch_dir(spark, "stream-append")
-    jobs.run_feed(spark, feed_path, f"{root}/table", f"{root}/state", keep_repeats=True)
+    jobs.run_feed(spark, feed_path, f"{root}/table", f"{root}/state")
     return read_silver(spark, f"{root}/table")
 
 
@@ -354,13 +411,21 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    if corpus_queries is None:
+        return weather_queries()
+    return {**weather_queries(), **corpus_queries.queries(), "pipeline": corpus_pipeline.run}
+
+
+def weather_queries() -> dict[str, Query]:
     return {
         "bronze_hist_scan": bronze_hist_scan,
         "bronze_hist_split_scan": bronze_hist_split_scan,
         "bronze_hist_lines_scan": bronze_hist_lines_scan,
+        "bronze_hist_mixed_sizes": bronze_hist_mixed_sizes,
         "bronze_stream_scan": bronze_stream_scan,
         "silver_roundtrip": silver_roundtrip,
         "gold_roundtrip": gold_roundtrip,
+        "gold_by_month": gold_by_month,
         "gold_table": gold_table,
         "gold_table_sql": gold_table_sql,
         "overwrite_static": overwrite_static,
@@ -369,6 +434,7 @@ def queries() -> dict[str, Query]:
         "bronze_to_gold_end_to_end": bronze_to_gold_end_to_end,
         "norm_hist": norm_hist,
         "norm_stream": norm_stream,
+        "norm_dirty": norm_dirty,
         "silver_union": silver_union,
         "calendar_fields": calendar_fields,
         "region_classify": region_classify,
@@ -388,19 +454,14 @@ def queries() -> dict[str, Query]:
         "seasonality": _on_daily(insights.seasonality),
         "dedup_silver": dedup_silver,
         "reject_report": reject_report_query,
+        "reject_report_dirty": reject_report_dirty,
         "stream_silver": stream_silver,
+        "stream_late_and_bad_time": stream_late_and_bad_time,
         "stream_append": stream_append,
         "stream_daily": stream_daily,
-        **_corpus_queries(),
     }
 
 
-def _corpus_queries() -> dict[str, Query]:
-    if corpus_queries is None:
-        return {}
-    return {**corpus_queries.queries(), "pipeline": corpus_pipeline.run}
-
-
 def oracle_sql() -> dict[str, str]:
     if corpus_queries is None:
         return oracle.oracle_sql()

@@ -42,6 +42,10 @@ def _by_third(k: Column, first: float, second: float) -> Column:
 
 def history_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested historical records."""
+    return _history_rows(spark, sf_dir).drop("k")
+
+
+def _history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     r = _readings(k)
     return (
@@ -51,6 +55,7 @@ def history_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
             _epoch_seconds("l_shipdate").alias("ep"),
         )
         .select(
+            "k",
             (F.col("ep") + k % 24 * 3600).alias("dt"),
             _by_third(k, -41.810145, 11.538415).alias("lat"),
             _by_third(k, -68.9063, -72.91679).alias("lon"),
@@ -67,6 +72,10 @@ def history_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested hourly feed records."""
+    return _feed_rows(spark, sf_dir).drop("k")
+
+
+def _feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     r = _readings(k)
     lat = F.when(k % 17 == 0, F.lit(-41.81012)).otherwise(_by_third(k, -41.8101, 11.5384))
@@ -82,12 +91,53 @@ def feed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         spark.read.parquet(f"{sf_dir}/events.parquet")
         .select(F.col("event_id").alias("k"), _epoch_seconds("ts").alias("ep"))
-        .select(envelope.alias("_airbyte_data"))
+        .select("k", envelope.alias("_airbyte_data"))
     )
 
 
-def land_history(history: DataFrame, path: str, records: int = DOCUMENT_RECORDS) -> None:
-    """Write records as JSON files of one array each, none longer than ``records``."""
+def dirty_history_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The historical feed as text lines: quoted numbers, decimals for whole numbers, text and numbers out of range where
+    numbers belong, and lines that are not JSON."""
+    k = F.col("k")
+    pressure = F.when(k % 13 == 0, "1010.7").when(k % 17 == 0, "99999999999")
+    main = F.struct(
+        F.when(k % 11 == 0, "x").otherwise(F.col("main.temp").cast("string")).alias("temp"),
+        pressure.otherwise(F.col("main.pressure").cast("string")).alias("pressure"),
+        F.col("main.humidity").alias("humidity"),
+    )
+    dt = F.when(k % 19 == 0, "soon").otherwise(F.col("dt").cast("string")).alias("dt")
+    record = F.to_json(F.struct(dt, "lat", "lon", "uv_index", main.alias("main"), "wind"))
+    broken = F.concat(F.lit("not json "), k.cast("string"))
+    return _history_rows(spark, sf_dir).select(F.when(k % 29 == 0, broken).otherwise(record).alias("value"))
+
+
+def unsteady_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly feed, latest readings first, with times in milliseconds and with repeated deliveries."""
+    k = F.col("k")
+    dt = F.col("_airbyte_data.current.dt")
+    dt = F.when(k % 37 == 0, dt * 1000).otherwise(dt)
+    envelope = F.col("_airbyte_data").withField("current.dt", dt).alias("_airbyte_data")
+    rows = _feed_rows(spark, sf_dir).select("k", envelope)
+    again = rows.where(k % 5 == 0)
+    latest = F.col("_airbyte_data.current.dt").desc_nulls_last()
+    return rows.unionByName(again).orderBy(latest, "k").drop("k")
+
+
+def land_mixed_history(history: DataFrame, path: str) -> None:
+    """The historical feed in one folder as one long array, short ones, JSON Lines, and two arrays in a file."""
+    part = F.pmod(F.xxhash64("dt", "lat", "uv_index", "wind"), F.lit(20))
+    land_history(history.where(part < 17), f"{path}/long", records=2 * DOCUMENT_RECORDS)
+    land_history(history.where(part == 17), f"{path}/short", records=200)
+    history.where(part == 18).write.json(f"{path}/lines")
+    documents = _arrays(history.where(part == 19), 300)
+    twice = F.concat("value", F.lit("\n"), F.lit("["), F.lit("]"), F.lit("\n"))
+    both = documents.groupBy(F.pmod(F.xxhash64("document"), F.lit(4)).alias("file"))
+    texts = both.agg(F.array_join(F.collect_list(twice), "").alias("value"))
+    texts.write.partitionBy("file").text(f"{path}/several")
+
+
+def _arrays(history: DataFrame, records: int) -> DataFrame:
+    """``document, value``: JSON arrays of at most ``records``."""
     task, row = F.shiftright("id", 33), F.col("id").bitwiseAND(F.lit(2**33 - 1))
     documents = (
         history.select(
@@ -97,7 +147,12 @@ def land_history(history: DataFrame, path: str, records: int = DOCUMENT_RECORDS)
         .agg(F.collect_list("record").alias("array"))
     )
     body = F.concat(F.lit("["), F.array_join("array", ","), F.lit("]"))
-    documents.select("document", body.alias("value")).write.partitionBy("document").text(path)
+    return documents.select("document", body.alias("value"))
+
+
+def land_history(history: DataFrame, path: str, records: int = DOCUMENT_RECORDS) -> None:
+    """Write records as JSON files of one array each, none longer than ``records``."""
+    _arrays(history, records).write.partitionBy("document").text(path)
 
 
 def land_feed(feed: DataFrame, path: str, records: int = FEED_FILE_RECORDS) -> None:

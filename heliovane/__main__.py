@@ -6,17 +6,36 @@ Exits with 1 when a job fails, so that whatever starts the jobs can hold back th
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
-from heliovane.plans.jobs import run_all, run_daily, run_feed, run_gold, run_silver
+from heliovane.config import PANEL, REGIONS, TURBINE, Region, SolarPanel, WindTurbine, check_catalog
+from heliovane.plans.jobs import Month, run_all, run_daily, run_feed, run_gold, run_silver, run_table
 from heliovane.session import build_session
+from heliovane.sources.bronze import LAYOUTS
 
 
-def _month(text: str) -> tuple[int, int]:
+def _month(text: str) -> Month:
+    if text == "none":
+        return None, None
     year, month = text.split("-")
     return int(year), int(month)
 
 
+def read_model(path: str | None) -> tuple[tuple[Region, ...], SolarPanel, WindTurbine]:
+    """Regions, panel and turbine from a JSON file; what it does not name keeps its default."""
+    if path is None:
+        return REGIONS, PANEL, TURBINE
+    with open(path, encoding="utf-8") as file:
+        given = json.load(file)
+    regions = tuple(Region(**region) for region in given["regions"]) if "regions" in given else REGIONS
+    return (
+        check_catalog(regions),
+        SolarPanel(**given.get("panel", {})),
+        WindTurbine(**given.get("turbine", {})),
+    )
+
+
 def parse(argv: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="heliovane")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -25,39 +44,62 @@ def parse(argv: list[str]) -> argparse.Namespace:
     feed = jobs.add_parser("feed", help="new feed files to a silver table of their own")
     gold = jobs.add_parser("gold", help="silver to gold")
     daily = jobs.add_parser("daily", help="gold to the region-day rollup")
+    table = jobs.add_parser("table", help="gold as a table of the session's catalog")
     both = jobs.add_parser("all", help="silver, gold and, if named, the rollup")
 
     for job in (silver, both):
         job.add_argument("--history", required=True)
+        job.add_argument("--history-layout", choices=LAYOUTS, default="json")
+        job.add_argument("--record-head", help="how each record starts, to save a pass over the text")
     for job in (silver, feed, both):
         job.add_argument("--feed", required=True)
         job.add_argument("--silver", required=True)
+    for job in (silver, feed, gold, both):
+        job.add_argument("--model", help="JSON file with regions, panel and turbine")
+    for job in (silver, gold, both):
+        job.add_argument("--dedup", action="store_true", help="one row per point and time")
     feed.add_argument("--state", required=True, help="folder kept between runs")
-    feed.add_argument("--keep-repeats", action="store_true")
+    feed.add_argument("--files-per-batch", type=int)
     gold.add_argument("--silver", required=True, action="append", help="may be repeated")
-    for job in (gold, daily, both):
+    for job in (gold, daily, table, both):
         job.add_argument("--gold", required=True)
     daily.add_argument("--daily", required=True)
     both.add_argument("--daily")
-    gold.add_argument("--month", type=_month, action="append", help="YYYY-MM, may be repeated")
+    table.add_argument("--name", default="gold_weather_metrics")
+    for job in (gold, daily):
+        job.add_argument(
+            "--month", type=_month, action="append",
+            help="YYYY-MM, may be repeated; rows without a time (none) always come with it",
+        )
     return parser.parse_args(argv)
 
 
 def run(args: argparse.Namespace) -> None:
     spark = build_session(f"heliovane-{args.job}")
+    regions, panel, turbine = read_model(getattr(args, "model", None))
     if args.job == "silver":
-        rows = {"silver": run_silver(spark, args.history, args.feed, args.silver)}
+        written = run_silver(
+            spark, args.history, args.feed, args.silver, regions,
+            args.history_layout, args.record_head, args.dedup,
+        )
+        rows = {"silver": written}
     elif args.job == "feed":
-        late = run_feed(
-            spark, args.feed, args.silver, args.state, keep_repeats=args.keep_repeats
+        total = run_feed(
+            spark, args.feed, args.silver, args.state, regions, args.files_per_batch
         )
-        rows = {"late": late}
+        rows = {"feed": total}
     elif args.job == "gold":
-        rows = {"gold": run_gold(spark, args.silver, args.gold, args.month)}
+        rows = {"gold": run_gold(spark, args.silver, args.gold, args.month, panel, turbine, args.dedup)}
     elif args.job == "daily":
-        rows = {"daily": run_daily(spark, args.gold, args.daily).count()}
+        rows = {"daily": run_daily(spark, args.gold, args.daily, args.month).count()}
+    elif args.job == "table":
+        print(f"{args.name}: {run_table(spark, args.gold, args.name)} partitions")
+        return
     else:
-        rows = run_all(spark, args.history, args.feed, args.silver, args.gold, args.daily)
+        rows = run_all(
+            spark, args.history, args.feed, args.silver, args.gold, args.daily,
+            regions, panel, turbine, args.history_layout, args.record_head, args.dedup,
+        )
     for table, count in rows.items():
         print(f"{table}: {count} rows")
 

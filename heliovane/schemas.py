@@ -17,6 +17,10 @@ from pyspark.sql.types import (
 )
 
 
+# Bronze column with the text of a record that is not JSON; null for all others.
+CORRUPT = "_corrupt"
+
+
 def _texts(*names: str) -> list[StructField]:
     return [StructField(name, StringType()) for name in names]
 

@@ -50,13 +50,63 @@ def write_partitioned(
     return written.get["rows"]
 
 
+def partition_files(spark: SparkSession, pattern: str) -> dict[str, frozenset[str]]:
+    """Files of each existing folder that matches ``pattern``."""
+    glob = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = glob.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for folder in files.globStatus(glob) or ():
+        names = [status.getPath().getName() for status in files.listStatus(folder.getPath())]
+        found[folder.getPath().toString()] = frozenset(names)
+    return found
+
+
+def remove_unwritten(
+    spark: SparkSession, pattern: str, before: dict[str, frozenset[str]]
+) -> list[str]:
+    """Remove the folders of ``pattern`` that a write since ``before`` was taken has left as they were.
+
+    Dynamic overwriting replaces the partitions that still have rows; these are the ones that have none left.
+    """
+    stale = [f for f, names in partition_files(spark, pattern).items() if before.get(f) == names]
+    for folder in stale:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return stale
+
+
+def partition_value(value: int | None) -> str:
+    """A partition column's value as it stands in a folder's name."""
+    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.makeQualified(folder).toUri().getPath()
+
+
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """Where the files of a catalog table are, or None if there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
 def register_table(
     spark: SparkSession,
     path: str,
     name: str = "gold_weather_metrics",
     schema: StructType = GOLD_TABLE,
 ) -> DataFrame:
-    """Publish a gold directory as an external catalog table and load its partitions."""
+    """Publish a gold directory as an external catalog table and load its partitions.
+
+    A name that stands for another directory is refused: its readers would not notice the change.
+    """
+    taken = table_location(spark, name)
+    if taken is not None and _qualified(spark, taken) != _qualified(spark, path):
+        raise ValueError(f"table {name} already stands for {taken}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     location = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(

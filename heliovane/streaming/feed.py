@@ -1,7 +1,7 @@
-"""The hourly feed as a stream: the same flattening and enrichment as in batch, plus event time.
+"""The hourly feed as a stream: the same flattening and enrichment as in batch.
 
-Rows without a usable time cannot expire from state or enter a window. The silver stream passes them
-through; window averages leave them out.
+The silver stream holds no state and appends every reading, late, repeated or without a usable time; repeats are
+removed exactly when a month is refreshed. Only the running daily averages have event time.
 """
 
 from __future__ import annotations
@@ -12,18 +12,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from heliovane.config import PARTITION_COLUMNS, REGIONS, UNKNOWN_REGION, Region
 from heliovane.functions.clock import instant, utc_date
-from heliovane.operators.dedup import IDENTITY
 from heliovane.operators.gold import build_gold
 from heliovane.operators.silver import enrich, flatten_feed
 from heliovane.schemas import FEED_BRONZE
 
-# How late a reading may arrive and still be compared with, or added to, the ones before it.
+# How late a reading may arrive and still be added to a day's average.
 LATENESS = "2 hours"
 
-# Copies of one reading are first removed within this many lanes, then across them.
-LANES = 16
-
-
 def read_feed_stream(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
@@ -37,41 +32,9 @@ def _with_event_time(silver: DataFrame) -> DataFrame:
     return silver.withColumn("_seen", instant(F.col("dt")))
 
 
-def _first_of_each(readings: DataFrame, lateness: str, lanes: int) -> DataFrame:
-    """One row per point and time within ``lateness``.
-
-    A first pass keyed by the task that read a row spreads a reading that was delivered millions of
-    times; the second then sees at most ``lanes`` copies of it per micro-batch.
-    """
-    key = list(IDENTITY)
-    return (
-        readings.withWatermark("_seen", lateness)
-        .withColumn("_lane", F.spark_partition_id() % lanes)
-        .dropDuplicatesWithinWatermark([*key, "_lane"])
-        .drop("_lane")
-        .dropDuplicatesWithinWatermark(key)
-    )
-
-
-def stream_silver(
-    raw: DataFrame,
-    regions: tuple[Region, ...] = REGIONS,
-    lateness: str = LATENESS,
-    lanes: int = LANES,
-    keep_repeats: bool = False,
-) -> DataFrame:
-    """Silver rows of the feed, by default without repeated deliveries.
-
-    Identity is the same as in batch: rows lacking a time or a place are never compared. With
-    ``keep_repeats`` the stream holds no state, drops nothing and gives the rows of a batch run.
-    """
-    silver = enrich(flatten_feed(raw), regions)
-    if keep_repeats:
-        return silver
-    silver = _with_event_time(silver)
-    identified = F.col("_seen").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()
-    unique = _first_of_each(silver.where(identified), lateness, lanes)
-    return unique.drop("_seen").unionByName(silver.where(~identified).drop("_seen"))
+def stream_silver(raw: DataFrame, regions: tuple[Region, ...] = REGIONS) -> DataFrame:
+    """Silver rows of the feed, one for each reading delivered, as a batch run gives them."""
+    return enrich(flatten_feed(raw), regions)
 
 
 def write_silver_stream(silver: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -141,12 +104,3 @@ def write_daily_stream(
     if finished_only:
         return writer.format("parquet").option("path", path).outputMode("append").start()
     return writer.foreachBatch(replace).outputMode("complete").start()
-
-
-def late_rows(query: StreamingQuery) -> int:
-    """Readings dropped for arriving after the watermark, over the batches still in the progress log."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )

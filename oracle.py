@@ -169,33 +169,68 @@ FROM means JOIN per_region USING (region)
 GROUP BY region, total < threshold"""
 
 
-def _rejects(table: str, feed: str) -> str:
-    fields = _OBSERVATION.split(", ")
-    lines = [
-        f"SELECT '{feed}' AS feed, '{f}' AS field, 'missing' AS reason, "
-        f"count(*) FILTER (WHERE {f} IS NULL) AS rows FROM {table}"
-        for f in fields
-    ]
-    # The derived feeds hold typed numbers, so none is malformed.
-    lines += [
-        f"SELECT '{feed}', '{f}', 'malformed', count(*) FILTER (WHERE false) FROM {table}"
-        for f in fields
-    ]
+def _rejects(table: str, feed: str, malformed: dict[str, str] | None = None, corrupt: str = "false") -> str:
+    """Counts per field; ``malformed`` and ``corrupt`` are conditions on the rows, none by default."""
+    bad = malformed or {}
+    lines = [f"SELECT '{feed}' AS feed, 'record' AS field, 'corrupt' AS reason, count(*) FILTER (WHERE {corrupt}) AS rows FROM {table}"]
+    for f in _OBSERVATION.split(", "):
+        wrong = f"NOT ({corrupt}) AND ({bad.get(f, 'false')})"
+        lines.append(
+            f"SELECT '{feed}', '{f}', 'missing', count(*) FILTER (WHERE NOT ({corrupt}) AND {f} IS NULL "
+            f"AND NOT ({wrong})) FROM {table}"
+        )
+        lines.append(f"SELECT '{feed}', '{f}', 'malformed', count(*) FILTER (WHERE {wrong}) FROM {table}")
     lines.append(
-        f"SELECT '{feed}', 'region', 'unknown', count(*) FILTER (WHERE region = 'No Region') "
+        f"SELECT '{feed}', 'region', 'unknown', count(*) FILTER (WHERE NOT ({corrupt}) AND region = 'No Region') "
         f"FROM ({_region(f'SELECT * FROM {table}')})"
     )
     return "\nUNION ALL ".join(lines)
 
 
+# What ``fixtures.dirty_history_lines`` does to the historical feed.
+_DIRTY = f"""{_FEEDS},
+dirty AS (
+  SELECT k,
+         CASE WHEN k % 29 <> 0 AND k % 19 <> 0 THEN ep + (k % 24) * 3600 END AS dt,
+         CASE WHEN k % 29 <> 0 THEN
+           round(CASE k % 3 WHEN 0 THEN -41.810145e0 WHEN 1 THEN 11.538415e0 ELSE 0e0 END, 4) END AS lat,
+         CASE WHEN k % 29 <> 0 THEN
+           round(CASE k % 3 WHEN 0 THEN -68.9063e0 WHEN 1 THEN -72.91679e0 ELSE 0e0 END, 4) END AS lon,
+         CASE WHEN k % 29 <> 0 THEN uvi END AS uvi,
+         CASE WHEN k % 29 <> 0 AND k % 11 <> 0 THEN temp END AS temp,
+         CASE WHEN k % 29 = 0 THEN NULL WHEN k % 13 = 0 THEN 1010 WHEN k % 17 <> 0 THEN pressure END AS pressure,
+         CASE WHEN k % 29 <> 0 THEN humidity END AS humidity,
+         CASE WHEN k % 29 <> 0 THEN wind_speed END AS wind_speed
+  FROM (SELECT k, ep, {_READINGS} FROM history_keys))"""
+
+_DIRTY_FIELDS = {"dt": "k % 19 = 0", "temp": "k % 11 = 0", "pressure": "k % 17 = 0 AND k % 13 <> 0"}
+
+# The feed of ``fixtures.unsteady_feed`` without its repeats, which are equal rows.
+_UNSTEADY = f"""{_FEEDS},
+unsteady AS (
+  SELECT CASE WHEN k % 211 = 0 THEN NULL WHEN k % 37 = 0 THEN ep * 1000 ELSE ep END AS dt,
+         CASE WHEN k % 101 = 0 THEN NULL WHEN k % 17 = 0 THEN -41.81012e0
+              WHEN k % 3 = 0 THEN -41.8101e0 WHEN k % 3 = 1 THEN 11.5384e0 ELSE 0e0 END AS lat,
+         CASE k % 3 WHEN 0 THEN -68.9063e0 WHEN 1 THEN -72.9168e0 ELSE 0e0 END AS lon, {_READINGS}
+  FROM (SELECT * FROM feed_keys UNION ALL SELECT * FROM feed_keys WHERE k % 5 = 0)),
+ranked AS (
+  SELECT *, row_number() OVER (
+           PARTITION BY dt, lat, lon
+           ORDER BY uvi NULLS LAST, temp NULLS LAST, pressure NULLS LAST,
+                    humidity NULLS LAST, wind_speed NULLS LAST) AS copy
+  FROM unsteady)"""
+
+
 _ORACLES = {
     # Sources, sinks, jobs
     "bronze_hist_scan": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM history",
     "bronze_hist_split_scan": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM history",
     "bronze_hist_lines_scan": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM history",
+    "bronze_hist_mixed_sizes": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM history",
     "bronze_stream_scan": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM feed",
     "silver_roundtrip": f"WITH {_SILVER} SELECT {_SILVER_COLUMNS} FROM silver",
     "gold_roundtrip": f"WITH {_GOLD} SELECT {_GOLD_COLUMNS} FROM gold",
+    "gold_by_month": f"WITH {_GOLD} SELECT {_GOLD_COLUMNS} FROM gold",
     "gold_table": f"WITH {_GOLD} SELECT {_TABLE_COLUMNS} FROM gold",
     "gold_table_sql": f"""WITH {_DAILY},
 both_regions AS (
@@ -220,6 +255,7 @@ FROM daily GROUP BY year, month, day""",
     # Projections
     "norm_hist": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM history",
     "norm_stream": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM feed",
+    "norm_dirty": f"WITH {_DIRTY} SELECT {_OBSERVATION} FROM dirty",
     "silver_union": f"WITH {_SILVER} SELECT {_OBSERVATION} FROM both_feeds",
     "calendar_fields": f'WITH {_SILVER} SELECT dt, "timestamp", year, month, day FROM silver',
     "region_classify": f"WITH {_SILVER} SELECT dt, lat, lon, region FROM silver",
@@ -331,8 +367,17 @@ SELECT {_OBSERVATION}, region FROM ranked
 WHERE copy = 1 OR dt IS NULL OR lat IS NULL OR lon IS NULL""",
     "reject_report": f"""WITH {_FEEDS}
 {_rejects("history", "historical")}
+UNION ALL {_rejects("feed", "hourly")}""",
+    "reject_report_dirty": f"""WITH {_DIRTY}
+{_rejects("dirty", "historical", _DIRTY_FIELDS, "k % 29 = 0")}
 UNION ALL {_rejects("feed", "hourly")}""",
     # Streams
+    "stream_late_and_bad_time": f"""WITH {_UNSTEADY}
+SELECT {_OBSERVATION},
+       CASE WHEN lat = -41.8101e0 AND lon = -68.9063e0 THEN 'Patagonia'
+            WHEN lat = 11.5384e0 AND lon = -72.9168e0 THEN 'Riohacha'
+            ELSE 'No Region' END AS region
+FROM ranked WHERE copy = 1 OR dt IS NULL OR lat IS NULL OR lon IS NULL""",
     "stream_silver": f"""WITH {_FEEDS},
 placed AS ({_region("SELECT * FROM feed")})
 SELECT region, year, month, day, count(*) AS observations

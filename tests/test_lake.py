@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import os
 import subprocess
 import sys
@@ -95,8 +96,9 @@ def test_gold_of_chosen_months_only(spark, rows, tmp_path):
     assert jobs.run_gold(spark, silver, gold) == 4
     january = [f for f in files(gold) if "month=1" in str(f)]
     others = [f for f in files(gold) if "month=1" not in str(f)]
-    assert jobs.run_gold(spark, silver, gold, months=[(2024, 1)]) == 2
-    assert set(others) < set(files(gold)) and not set(january) & set(files(gold))
+    assert jobs.run_gold(spark, silver, gold, months=[(2024, 1)]) == 3
+    kept = {f for f in others if "month=2" in str(f)}
+    assert kept and kept < set(files(gold)) and not set(january) & set(files(gold))
     assert read_gold(spark, gold).exceptAll(build_gold(rows).select(*GOLD.names)).count() == 0
     assert jobs.run_gold(spark, silver, gold, months=[(None, None)]) == 1
     assert read_gold(spark, gold).count() == 4
@@ -104,6 +106,31 @@ def test_gold_of_chosen_months_only(spark, rows, tmp_path):
         jobs.run_gold(spark, silver, gold, months=[])
 
 
+def test_refreshed_months_lose_what_silver_lost(spark, rows, tmp_path):
+    silver, gold, daily = (str(tmp_path / t) for t in ("silver", "gold", "daily"))
+    write_partitioned(rows, silver)
+    jobs.run_gold(spark, silver, gold)
+    jobs.run_daily(spark, gold, daily)
+    write_partitioned(rows.where("region <> 'Riohacha'").unionByName(rows.where("dt IS NULL")), silver)
+    assert jobs.run_gold(spark, silver, gold, [(2024, 2)]) == 2
+    refreshed = jobs.run_daily(spark, gold, daily, [(2024, 2)])
+    full = str(tmp_path / "full")
+    jobs.run_gold(spark, silver, full)
+    assert sorted(map(str, read_gold(spark, gold).collect())) == sorted(map(str, read_gold(spark, full).collect()))
+    whole = jobs.run_daily(spark, full, str(tmp_path / "d2"))
+    assert sorted(map(str, refreshed.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_a_name_stands_for_one_path(spark, rows, tmp_path):
+    for name in ("a", "b"):
+        write_partitioned(build_gold(rows), str(tmp_path / name))
+    assert jobs.run_table(spark, str(tmp_path / "a"), "one_path") == 3
+    assert jobs.run_table(spark, str(tmp_path / "a") + "/", "one_path") == 3
+    with pytest.raises(ValueError, match="already stands for"):
+        jobs.run_table(spark, str(tmp_path / "b"), "one_path")
+    spark.sql("DROP TABLE one_path")
+
+
 def test_months_prune_partitions(spark, rows, tmp_path):
     path = str(tmp_path / "silver")
     write_partitioned(rows, path)
@@ -141,7 +168,7 @@ def test_rollup_is_stored(spark, rows, tmp_path):
     gold, daily = str(tmp_path / "gold"), str(tmp_path / "daily")
     write_partitioned(build_gold(rows), gold)
     assert jobs.run_daily(spark, gold, daily).count() == 3
-    assert len(files(daily)) == 1
+    assert len(files(daily)) == 2, "a file for each year"
 
 
 def test_scratch_follows_the_cluster_setting(spark, conf):
@@ -187,26 +214,57 @@ def test_command_line_runs_all(bronze_dirs, capsys):
     assert "gold: 2 rows" in capsys.readouterr().out
 
 
+def test_command_line_publishes_the_table(spark, bronze_dirs, capsys):
+    root = bronze_dirs
+    assert cli.main(["all", *arguments(root, "history", "feed", "silver", "gold")]) == 0
+    assert cli.main(["table", *arguments(root, "gold"), "--name", "from_cli"]) == 0
+    assert "from_cli: 2 partitions" in capsys.readouterr().out
+    assert spark.table("from_cli").count() == 2
+    spark.sql("DROP TABLE from_cli")
+
+
+def test_command_line_options_reach_the_jobs(spark, bronze_dirs, capsys):
+    root = bronze_dirs
+    line = " ".join(HISTORY.strip("[]").split())
+    (root / "history" / "a.json").write_text(f"{line}\n{line}\nnot json\n")
+    model = {
+        "regions": [{"name": "Here", "lat": -41.8101, "lon": -68.9063, "slug": "here", "short": "h"}],
+        "panel": {"efficiency": 0.36},
+        "turbine": {"power_coefficient": 0.2},
+    }
+    (root / "model.json").write_text(json.dumps(model))
+    options = ["--history-layout", "lines", "--model", str(root / "model.json"), "--dedup"]
+    assert cli.main(["all", *arguments(root, "history", "feed", "silver", "gold"), *options]) == 0
+    assert "silver: 3 rows" in capsys.readouterr().out
+    gold = read_gold(spark, str(root / "gold"))
+    here = gold.where("region = 'Here'").collect()
+    assert [r.potencia_solar_w for r in here] == [pytest.approx(27.0)]
+    assert gold.where("region = 'No Region'").count() == 2
+    head = ["--record-head", '{"dt":']
+    assert cli.main(["silver", *arguments(root, "history", "feed", "silver"), *head]) == 0
+    assert "silver: 4 rows" in capsys.readouterr().out
+
+
 def test_feed_increments_add_up_to_the_batch_result(spark, bronze_dirs, capsys):
     root = bronze_dirs
-    history_only, later = root / "none", FEED.replace("1704070800", "1706745600")
-    history_only.mkdir()
-    (history_only / "a.json").write_text("")
+    nothing, later = root / "none", FEED.replace("1704070800", "1706745600")
+    timeless = FEED.replace("1704070800", "null")
+    nothing.mkdir()
+    (nothing / "a.json").write_text("")
     assert cli.main(
-        ["silver", *arguments(root, "history"), "--feed", str(history_only),
-         *arguments(root, "silver")]
+        ["silver", *arguments(root, "history"), "--feed", str(nothing), *arguments(root, "silver")]
     ) == 0
     increment = [*arguments(root, "feed"), "--silver", str(root / "live"), *arguments(root, "state")]
-    both = ["gold", *arguments(root, "silver"), "--silver", str(root / "live")]
-    assert cli.main(["feed", *increment, "--keep-repeats"]) == 0
+    both = ["gold", *arguments(root, "silver"), "--silver", str(root / "live"), "--dedup"]
+    assert cli.main(["feed", *increment]) == 0
     assert cli.main([*both, *arguments(root, "gold")]) == 0
-    (root / "feed" / "b.json").write_text(later + "\n" + later)
-    assert cli.main(["feed", *increment, "--keep-repeats"]) == 0
+    (root / "feed" / "b.json").write_text("\n".join([later, later, timeless]))
+    assert cli.main(["feed", *increment]) == 0
     assert cli.main([*both, *arguments(root, "gold"), "--month", "2024-02"]) == 0
-    assert capsys.readouterr().out.count("late: 0 rows") == 2
+    assert "feed: 1 rows" in (out := capsys.readouterr().out) and "feed: 4 rows" in out
 
     batch = [*arguments(root, "history", "feed"), "--silver", str(root / "s2")]
-    assert cli.main(["all", *batch, "--gold", str(root / "g2")]) == 0
+    assert cli.main(["all", *batch, "--gold", str(root / "g2"), "--dedup"]) == 0
     stepwise, whole = (read_gold(spark, str(root / g)) for g in ("gold", "g2"))
     assert stepwise.count() == whole.count() == 4
     assert stepwise.exceptAll(whole).count() == 0

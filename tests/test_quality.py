@@ -8,6 +8,7 @@ from heliovane.config import REGIONS
 from heliovane.operators.dedup import dedup_observations, label_sources
 from heliovane.operators.quality import reject_report
 from heliovane.operators.silver import enrich
+from heliovane.sources.bronze import read_history
 from heliovane.schemas import FEED_BRONZE, HISTORY_BRONZE, OBSERVATION
 
 
@@ -72,6 +73,7 @@ def test_copies_are_cut_before_the_shuffle(spark):
     plan = plan_of(enrich(dedup_observations(label_sources(rows, rows))))
     assert plan.count("- WindowGroupLimit (") == 2, "one before and one after the exchange"
     assert plan.count("- Exchange (") == 1
+    assert plan.count("Scan ExistingRDD") <= 2 * 2, "each feed is scanned once (named twice in the plan)"
 
 
 def test_reject_report_counts_each_reason(spark):
@@ -91,7 +93,7 @@ def test_reject_report_counts_each_reason(spark):
     report = reject_report(history, feed, REGIONS)
     assert report.columns == ["feed", "field", "reason", "rows"]
     counts = {(r.feed, r.field, r.reason): r.rows for r in report.collect()}
-    assert len(counts) == 2 * (2 * 8 + 1)
+    assert len(counts) == 2 * (2 * 8 + 2)
     found = {k: v for k, v in counts.items() if v}
     assert found == {
         ("historical", "dt", "malformed"): 1,
@@ -115,3 +117,15 @@ def test_reject_report_scans_each_feed_once(spark, tmp_path):
         reject_report(*[spark.read.parquet(str(tmp_path / name)) for name in ("h", "f")])
     )
     assert plan.count("- Scan parquet") == 2
+
+
+def test_records_that_are_not_json_are_counted_apart(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"dt": 1, "lat": 1}\nnot json\n{"dt": "x"}\n')
+    feed = spark.createDataFrame([], FEED_BRONZE)
+    for layout in ("lines", "json"):
+        report = reject_report(read_history(spark, str(tmp_path), layout), feed)
+        counts = {(r.feed, r.field, r.reason): r.rows for r in report.collect()}
+        assert counts["historical", "record", "corrupt"] == 1
+        assert counts["historical", "dt", "malformed"] == 1
+        assert counts["historical", "dt", "missing"] == 0
+        assert counts["historical", "lat", "missing"] == 1

@@ -5,13 +5,13 @@ import json
 import pytest
 from conftest import DAY, NOON, NOWHERE, PATAGONIA, RIOHACHA
 
-from heliovane.operators.dedup import IDENTITY
+from heliovane.operators.dedup import dedup_observations
 from heliovane.operators.gold import build_gold
 from heliovane.operators.silver import enrich, flatten_feed
+from heliovane.plans import jobs
 from heliovane.sources.bronze import read_feed
 from heliovane.sources.lake import read_silver
 from heliovane.streaming.feed import (
-    late_rows,
     read_feed_stream,
     stream_daily,
     stream_silver,
@@ -48,41 +48,40 @@ def stored(spark, root):
     return read_silver(spark, str(root / "table"))
 
 
-def test_repeats_are_dropped_across_runs_and_the_rest_equals_batch(spark, feed, tmp_path):
-    copies = [reading(NOON)] * 50
-    path = feed("a", *copies, reading(NOON, RIOHACHA), reading(NOON, NOWHERE), reading(NOON, (1.0, 2.0)))
-    run_silver(spark, path, tmp_path)
-    feed("b", reading(NOON), reading(NOON + 3600), reading(NOON + 3600))
-    run_silver(spark, path, tmp_path)
-    batch = enrich(flatten_feed(read_feed(spark, path))).dropDuplicates(list(IDENTITY))
+def test_every_delivery_is_appended_once_and_read_once(spark, feed, tmp_path):
+    path = feed("a", *[reading(NOON)] * 50, reading(NOON, RIOHACHA), reading(NOON, NOWHERE))
+    assert run_silver(spark, path, tmp_path).lastProgress["numInputRows"] == 52
+    feed("b", reading(NOON), reading(NOON + 3600), reading(None), reading(NOON, (None, 1.0)), reading(2**62))
+    assert run_silver(spark, path, tmp_path).lastProgress["numInputRows"] == 5
+    batch = enrich(flatten_feed(read_feed(spark, path)))
     streamed = stored(spark, tmp_path)
-    assert streamed.count() == 5
+    assert streamed.count() == batch.count() == 57
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
 
 
-def test_rows_without_time_or_place_pass_through(spark, feed, tmp_path):
-    path = feed(
-        "a", reading(None), reading(None), reading(NOON, (None, 1.0)), reading(NOON, (None, 1.0)),
-        reading(2**62), reading(2**62),
-    )
-    run_silver(spark, path, tmp_path)
-    assert stored(spark, tmp_path).count() == 6
-
-
-def test_late_readings_are_counted(spark, feed, tmp_path):
-    path = feed("a", reading(NOON + DAY))
-    run_silver(spark, path, tmp_path)
-    feed("b", reading(NOON), reading(NOON + DAY - 600))
-    query = run_silver(spark, path, tmp_path)
-    assert late_rows(query) == 1
-    assert sorted(r.dt for r in stored(spark, tmp_path).collect()) == [NOON + DAY - 600, NOON + DAY]
+def test_late_readings_and_bad_times_lose_nothing(spark, feed, tmp_path):
+    path = feed("a", reading(NOON + 10 * DAY), reading((NOON + 5) * 1000))
+    for name, first in (("b", NOON), ("c", NOON - 100 * DAY)):
+        feed(name, *[reading(first + 3600 * h) for h in range(24)], reading(first))
+    silver, state = str(tmp_path / "table"), str(tmp_path / "state")
+    assert jobs.run_feed(spark, path, silver, state, files_per_batch=1) == 52
+    assert jobs.run_feed(spark, path, silver, state) == 52
+    kept = dedup_observations(read_silver(spark, silver).selectExpr("*", "0 AS source_rank"))
+    assert kept.count() == 50
+    gold = str(tmp_path / "gold")
+    assert jobs.run_gold(spark, silver, gold, dedup=True) == 50
+    feed("d", reading(NOON), reading(NOON + 60))
+    jobs.run_feed(spark, path, silver, state)
+    jobs.run_gold(spark, silver, gold, [(2024, 1)], dedup=True)
+    assert spark.read.parquet(gold).count() == 51
 
 
 def test_one_file_per_batch_gives_the_same_table(spark, feed, tmp_path):
     for i in range(4):
         path = feed(str(i), reading(NOON + i * 600), reading(NOON + 600))
     run_silver(spark, path, tmp_path, max_files_per_trigger=1)
-    assert sorted(r.dt - NOON for r in stored(spark, tmp_path).collect()) == [0, 600, 1200, 1800]
+    times = sorted(r.dt - NOON for r in stored(spark, tmp_path).collect())
+    assert times == [0, 600, 600, 600, 600, 600, 1200, 1800]
 
 
 def test_daily_windows_are_utc_days_and_update(spark, feed, tmp_path, conf):
