@@ -391,6 +391,8 @@ def repeated_ranges(
         F.count(F.lit(1)).alias("places"), F.min("span").alias("low"), F.max("span").alias("high")
     )
     grams = grams.where("places > 1").select("gram", (F.col("low") != F.col("high")).alias("varied"))
+    # Stored, so that the join below reads both sides from exchanges and can split a gram with very many places.
+    grams = stored(grams, "grams")
     twice = stored(found.join(grams, "gram"), "anchors-twice")
     whole = (F.col("last") + window).alias("end")
     alike = twice.where(~F.col("varied")).select(*_KEY, F.col("first").alias("start"), whole)
