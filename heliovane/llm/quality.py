@@ -7,7 +7,7 @@ L1 penalty keeps a few of them. The result is compiled into one column expressio
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -17,7 +17,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heliovane.llm.common import stored
+from heliovane.llm.common import let, stored
 
 #: Labelled rows that the fit reads, about; more are thinned by a hash of their id.
 TRAINING_ROWS = 20_000
@@ -74,10 +74,11 @@ class Rule:
 
     bounds: tuple[tuple[str, float, float], ...]
 
-    def column(self) -> Column:
+    def column(self, of: Callable[[str], Column] = F.col) -> Column:
+        """The rule over the statistics that ``of`` gives by their names."""
         infinite = float("inf")
-        tests = [F.col(name) > low for name, low, _ in self.bounds if low > -infinite]
-        tests += [F.col(name) <= high for name, _, high in self.bounds if high < infinite]
+        tests = [of(name) > low for name, low, _ in self.bounds if low > -infinite]
+        tests += [of(name) <= high for name, _, high in self.bounds if high < infinite]
         return reduce(and_, tests)
 
     def __str__(self) -> str:
@@ -91,11 +92,11 @@ class RuleModel:
     intercept: float
     rules: tuple[tuple[Rule, float], ...]
 
-    def score(self) -> Column:
-        """The score over columns named like ``FEATURES``."""
+    def score(self, of: Callable[[str], Column] = F.col) -> Column:
+        """The score over the statistics that ``of`` gives, by default columns named like ``FEATURES``."""
         total = F.lit(self.intercept)
         for rule, weight in self.rules:
-            total = total + F.when(rule.column(), F.lit(weight)).otherwise(F.lit(0.0))
+            total = total + F.when(rule.column(of), F.lit(weight)).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
@@ -165,10 +166,9 @@ def fit_rules(
 def quality_scores(docs: DataFrame, model: RuleModel) -> DataFrame:
     """``docs`` with a column ``quality_score`` from 0 to 1; all other columns and all rows stay as they are.
 
-    The statistics are computed once per row under names of their own, so columns of ``docs`` cannot clash. Null and empty
-    texts have a score like any other; repeated rows and an empty table need no care.
+    One expression computes the statistics once and all rules on them, so neither a filter on the score that moves below
+    it nor columns of ``docs`` with the same names matter. Null and empty texts have a score like any other; repeated
+    rows and an empty table need no care.
     """
-    kept = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("kept")
-    parts = [column.alias(name) for name, column in statistics(F.col("text")).items()]
-    scored = docs.select(kept, *parts).select("kept", model.score().alias("quality_score"))
-    return scored.select("kept.*", "quality_score")
+    values = F.struct(*[column.alias(name) for name, column in statistics(F.col("text")).items()])
+    return docs.withColumn("quality_score", let(values, lambda v: model.score(lambda name: v[name])))
