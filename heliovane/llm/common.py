@@ -15,6 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def as_text(name: str, alias: str) -> Column:
+    """An id on its way through pandas, where whole numbers beside a null become floating-point numbers."""
+    return F.col(name).cast("string").alias(alias)
+
+
+def as_before(df: DataFrame, name: str, kind: str) -> DataFrame:
+    """``df`` with an id that was text in its own type again."""
+    return df.withColumn(name, F.col(name).cast(kind))
+
+
 _collecting: list[list[str]] = []
 
 

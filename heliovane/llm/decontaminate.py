@@ -18,6 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heliovane.llm.common import as_before, as_text
+
 BITS = 64
 
 #: Words of a shingle.
@@ -214,11 +216,11 @@ def benchmark_matches(
     """
     context = docs.sparkSession.sparkContext
     narrow = docs.select(
-        F.col(id_column).alias("doc_id"),
+        as_text(id_column, "doc_id"),
         F.xxhash64(F.col(text_column)).alias("text_hash"),
         F.col(text_column).alias("text"),
     )
-    schema = f"doc_id {dict(narrow.dtypes)['doc_id']}, text_hash bigint, {RESULT}"
+    schema = f"doc_id string, text_hash bigint, {RESULT}"
     columns = [part.split()[0] for part in schema.split(", ")]
 
     def scan(block: list[tuple[int, str | None]]) -> DataFrame:
@@ -238,4 +240,4 @@ def benchmark_matches(
     result = found[0] if found else docs.sparkSession.createDataFrame([], schema)
     for more in found[1:]:
         result = result.unionByName(more)
-    return result
+    return as_before(result, "doc_id", dict(docs.dtypes)[id_column])

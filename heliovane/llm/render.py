@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heliovane.llm.common import as_before, as_text
+
 # Fixed values of HTML: which elements have no end, which are blocks, which close others, which are not shown.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEAD = frozenset("base link meta script style template title noscript".split())
@@ -419,10 +421,11 @@ def page_texts(pages: DataFrame, id_column: str = "page_id", html_column: str =
     null, an empty table gives an empty result, other columns are ignored. Nothing is shuffled; a task holds one batch of
     pages and the tree of one.
     """
-    narrow = pages.select(F.col(id_column).alias("page_id"), F.col(html_column).alias("html"))
+    narrow = pages.select(as_text(id_column, "page_id"), F.col(html_column).alias("html"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"page_id": batch["page_id"], "text": [render(html) for html in batch["html"]]})
 
-    return narrow.mapInPandas(run, f"page_id {dict(narrow.dtypes)['page_id']}, text string")
+    texts = narrow.mapInPandas(run, "page_id string, text string")
+    return as_before(texts, "page_id", dict(pages.dtypes)[id_column])

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from heliovane.llm.common import stored
+from heliovane.llm.common import as_before, as_text, stored
 
 # The kinds in their order, their patterns, and the least characters of what is checked.
 KINDS = ("assign", "access", "hex")
@@ -217,7 +217,7 @@ class Formats:
 
 def credential_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, base, candidates`` for every row: the pattern matches and the other credential-like runs."""
-    narrow = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    narrow = docs.select(as_text(id_column, "doc_id"), F.col(text_column).alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ("kind", "start", "end", "value")
@@ -227,8 +227,8 @@ def credential_spans(docs: DataFrame, id_column: str = "doc_id", text_column: st
             as_rows = [[[dict(zip(names, s, strict=True)) for s in spans] for spans in part] for part in (base, rest)]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "base": as_rows[0], "candidates": as_rows[1]})
 
-    kind = dict(narrow.dtypes)["doc_id"]
-    return narrow.mapInPandas(run, f"doc_id {kind}, base array<{SPAN}>, candidates array<{SPAN}>")
+    found = narrow.mapInPandas(run, f"doc_id string, base array<{SPAN}>, candidates array<{SPAN}>")
+    return as_before(found, "doc_id", dict(docs.dtypes)[id_column])
 
 
 def _sample(spans: DataFrame, bound: int) -> dict[str, list[str]]:
@@ -271,7 +271,9 @@ def secret_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str =
                 spans.append(sorted([*base, *more], key=_order))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "spans": spans})
 
-    return found.mapInPandas(run, f"doc_id {dict(found.dtypes)['doc_id']}, spans array<{SPAN}>")
+    narrow = found.select(as_text("doc_id", "doc_id"), "base", "candidates")
+    scored = narrow.mapInPandas(run, f"doc_id string, spans array<{SPAN}>")
+    return as_before(scored, "doc_id", dict(docs.dtypes)[id_column])
 
 
 def _order(span: dict) -> tuple:

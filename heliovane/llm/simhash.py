@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from heliovane.llm.common import stored
+from heliovane.llm.common import as_before, as_text, stored
 from heliovane.llm.components import connected_components
 
 BITS = 64
@@ -58,7 +58,7 @@ def fingerprints(
 ) -> DataFrame:
     """``doc_id, text_hash, fp`` for every row; ``fp`` holds the 64 bits in a signed long. Null texts have no words."""
     narrow = docs.select(
-        F.col(id_column).alias("doc_id"),
+        as_text(id_column, "doc_id"),
         F.xxhash64(F.col(text_column)).alias("text_hash"),
         F.col(text_column).cast("binary").alias("text"),
     )
@@ -68,8 +68,8 @@ def fingerprints(
             values = np.array([fingerprint(text, shingle) for text in batch["text"]], np.uint64)
             yield batch[["doc_id", "text_hash"]].assign(fp=values.view(np.int64))
 
-    kind = dict(narrow.dtypes)["doc_id"]
-    return narrow.mapInPandas(run, f"doc_id {kind}, text_hash bigint, fp bigint")
+    found = narrow.mapInPandas(run, "doc_id string, text_hash bigint, fp bigint")
+    return as_before(found, "doc_id", dict(docs.dtypes)[id_column])
 
 
 def covering_masks(positions: list[int], radius: int) -> list[int]:

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heliovane.llm.common import same_document, stored
+from heliovane.llm.common import as_before, same_document, stored
 
 #: Bytes of a string that counts as repeated, and of the grams among which anchors are chosen.
 WINDOW = 400
@@ -354,7 +354,7 @@ def _sorted_ranges(spans: DataFrame, window: int) -> DataFrame:
 
 def _counted_ranges(spans: DataFrame, window: int) -> DataFrame:
     """The same for grams with very many different spans: every window is counted by its hash and its place before the anchor."""
-    schema = f"doc_id {dict(spans.dtypes)['doc_id']}, text_hash bigint, gram bigint, offset int, start int, h1 bigint, h2 bigint"
+    schema = "doc_id string, text_hash bigint, gram bigint, offset int, start int, h1 bigint, h2 bigint"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -375,7 +375,8 @@ def _counted_ranges(spans: DataFrame, window: int) -> DataFrame:
                     }
                 )
 
-    windows = spans.mapInPandas(run, schema)
+    kind = dict(spans.dtypes)["doc_id"]
+    windows = as_before(as_before(spans, "doc_id", "string").mapInPandas(run, schema), "doc_id", kind)
     key = ["gram", "offset", "h1", "h2"]
     twice = windows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     return windows.join(twice, key).select(*_KEY, "start", (F.col("start") + window).alias("end"))

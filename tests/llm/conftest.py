@@ -31,3 +31,11 @@ def odd_documents(documents):
         (None, "lost and found", None, None, None),
         (6, "tab\tand\nline é ü \U0001f600", None, "src1", 3),
     )
+
+
+@pytest.fixture
+def large_ids(documents):
+    """Ids that no floating-point number holds, beside a null one."""
+    texts = ["alpha beta gamma delta epsilon zeta", None, "token = abcdef123456 one two three four"]
+    rows = [(2**53 + 1, texts[0]), (None, texts[0]), (2**53 + 3, texts[1]), (2**53 + 5, texts[2])]
+    return documents(*rows).coalesce(1)
