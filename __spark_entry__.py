@@ -52,6 +52,7 @@ from heliovane.sources.lake import (  # noqa: E402
     read_silver,
     write_partitioned,
 )
+from heliovane.shipping import ship_package  # noqa: E402
 from heliovane.sources.scratch import scratch_dir  # noqa: E402
 from heliovane.streaming import feed as streaming  # noqa: E402
 
@@ -413,7 +414,18 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Query]:
     if corpus_queries is None:
         return weather_queries()
-    return {**weather_queries(), **corpus_queries.queries(), "pipeline": corpus_pipeline.run}
+    corpus = {**corpus_queries.queries(), "pipeline": corpus_pipeline.run}
+    return {**weather_queries(), **{name: _shipped(query) for name, query in corpus.items()}}
+
+
+def _shipped(query: Query) -> Query:
+    """The query, after its Python workers have been given the package."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def weather_queries() -> dict[str, Query]:
