@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heliovane.llm import oracle
 from heliovane.llm.bpe import byte_bpe, token_digest
 from heliovane.llm.common import table
 from heliovane.llm.decontaminate import benchmark_matches
@@ -81,7 +82,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    return benchmark_matches(docs, items).drop("text_hash")
+    return benchmark_matches(docs, items).drop("text_hash", "distance")
 
 
 def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,4 +103,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()

@@ -148,6 +148,8 @@ def links_within(fps: DataFrame, radius: int, limit: int = BUCKET_LIMIT) -> Data
     masks = covering_masks(list(range(BITS)), radius)
     first = fps.select("fp", F.inline(_under_masks(F.col("fp"), masks)))
     counts = first.groupBy("table", "key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    # Stored, so that the join reads both sides from exchanges and a large bucket can be split.
+    counts = stored(counts, "simhash-counts")
     shared = stored(first.join(counts, ["table", "key"]), "simhash-buckets")
     small = shared.where(F.col("members") <= limit).select("table", "key", "fp")
     links = _bucket_links(small, ["table", "key"], radius)
