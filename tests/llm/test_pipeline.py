@@ -10,11 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from heliovane.llm.quality import THRESHOLD, fit_rules, statistics, training_sample
-from tests.llm.test_bpe import PATHS, reference
-from tests.llm.test_decontaminate import brute_force as leaks
-from tests.llm.test_lines import brute_force as line_classes
-from tests.llm.test_lines import edited
-from tests.llm.test_simhash import classes, plain_fingerprint
+
+from .test_bpe import PATHS, reference
+from .test_decontaminate import brute_force as leaks
+from .test_lines import brute_force as line_classes
+from .test_lines import edited
+from .test_simhash import classes, plain_fingerprint
 
 
 def rows_of(df):
