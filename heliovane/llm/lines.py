@@ -42,7 +42,11 @@ def line_occurrences(
         F.xxhash64(text).alias("text_hash"),
         F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("line_no", "raw"),
     )
-    rows = rows.withColumn("line", F.expr(r"trim(BOTH ' \t\r' FROM raw)"))
+    # Trimming several kinds of white space is slow, and few lines need it.
+    white = [" ", "\t", "\r"]
+    padded = F.left("raw", F.lit(1)).isin(white) | F.right("raw", F.lit(1)).isin(white)
+    trimmed = F.btrim("raw", F.lit("".join(white)))
+    rows = rows.withColumn("line", F.when(padded, trimmed).otherwise(F.col("raw")))
     order = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(_NO_ID).cast("decimal(20,0)"))
     place = (order * F.lit(_LINE_NUMBERS) + F.col("line_no")).cast("decimal(38,0)")
     rows = rows.where(F.char_length("line") >= min_chars)
@@ -54,48 +58,43 @@ def _identity(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit("line"), line).alias("h2")]
 
 
-def _segments(size: Column, threshold: int) -> list[tuple[Column, Column]]:
-    """First position (from 1) and size of each segment of a line of ``size`` characters, the longer ones last."""
+def _with_keys(lines: DataFrame, pieces: list[tuple[int, int, int]], threshold: int, keep: dict[str, Column]) -> DataFrame:
+    """A row with the column ``key`` for each line and piece ``(segment, shorter, shift)``.
+
+    The key hashes the segment's number, a size ``shorter`` than the line's by so much, and the part of the line where that
+    segment of a line of that size would be, shifted. Sizes are cut evenly, the longer segments last.
+    """
     parts = threshold + 1
-    short = F.floor(size / parts).cast("int")
-    longer = size - short * parts
-    found = []
-    for k in range(parts):
-        length = short + F.when(F.lit(parts - k) <= longer, 1).otherwise(0)
-        first = F.lit(1) + short * k + F.greatest(longer - (parts - k), F.lit(0))
-        found.append((first, length))
-    return found
-
-
-def _key(number: int, size: Column, piece: Column) -> Column:
-    return F.xxhash64(F.lit(number), size, piece)
-
-
-def index_keys(threshold: int) -> Column:
-    """Keys of a line's segments: their number, the line's size, their text."""
-    size = F.col("size")
-    return F.array(
-        *[
-            _key(k, size, F.substring(F.col("line"), first, length))
-            for k, (first, length) in enumerate(_segments(size, threshold))
-        ]
-    )
+    numbers, shorter, shifts = (F.array(*map(F.lit, column)) for column in zip(*pieces, strict=True))
+    rows = lines.select("*", F.explode(F.lit(list(range(1, len(pieces) + 1)))).alias("piece"))
+    segment, size = F.element_at(numbers, F.col("piece")), F.col("size") - F.element_at(shorter, F.col("piece"))
+    rows = rows.withColumns({"segment": segment, "of_size": size.cast("int")})
+    short = F.floor(F.col("of_size") / parts).cast("int")
+    longer = F.col("of_size") - short * parts - (F.lit(parts) - F.col("segment"))
+    first = F.col("segment") * short + F.greatest(longer, F.lit(0)) + 1 + F.element_at(shifts, F.col("piece"))
+    length = short + F.when(longer >= 0, 1).otherwise(0)
+    key = F.xxhash64("segment", "of_size", F.substring(F.col("line"), first, length)).alias("key")
+    return rows.select(*[column.alias(name) for name, column in keep.items()], key)
 
 
-def probe_keys(threshold: int) -> Column:
+def index_keys(lines: DataFrame, threshold: int, keep: dict[str, Column]) -> DataFrame:
+    """Keys of the lines' segments."""
+    return _with_keys(lines, [(k, 0, 0) for k in range(threshold + 1)], threshold, keep)
+
+
+def probe_keys(lines: DataFrame, threshold: int, keep: dict[str, Column]) -> DataFrame:
     """Keys under which partners of the same size or up to ``threshold`` shorter would be indexed.
 
     With ``d`` the difference in size, segment ``k`` (from 0) can be shifted by at most ``k`` edits before it and by at most
     ``threshold - k`` after it, whichever leaves fewer positions.
     """
-    keys = []
-    for d in range(threshold + 1):
-        size = F.col("size") - d
-        for k, (first, length) in enumerate(_segments(size, threshold)):
-            after = threshold - k
-            for shift in range(max(-k, d - after), min(k, d + after) + 1):
-                keys.append(_key(k, size, F.substring(F.col("line"), first + shift, length)))
-    return F.array(*keys)
+    pieces = [
+        (k, d, shift)
+        for d in range(threshold + 1)
+        for k in range(threshold + 1)
+        for shift in range(max(-k, d - threshold + k), min(k, d + threshold - k) + 1)
+    ]
+    return _with_keys(lines, pieces, threshold, keep)
 
 
 def sketch(chars: Column) -> Column:
@@ -205,7 +204,7 @@ def candidate_pairs(lines: DataFrame, threshold: int, limit: int = KEY_LIMIT) ->
     ``2 * threshold + 1`` parts of their sketches: sketches of near lines differ in at most ``2 * threshold`` bits, so near
     lines of a key agree in some part.
     """
-    entries = lines.select("line_id", F.explode(index_keys(threshold)).alias("key"))
+    entries = index_keys(lines, threshold, {"line_id": F.col("line_id")})
     by_key = Window.partitionBy("key")
     entries = entries.withColumns(
         {
@@ -213,7 +212,7 @@ def candidate_pairs(lines: DataFrame, threshold: int, limit: int = KEY_LIMIT) ->
             "first": F.row_number().over(by_key.orderBy("line_id")) == 1,
         }
     )
-    probes = lines.select(F.col("line_id").alias("other"), F.explode(probe_keys(threshold)).alias("key"))
+    probes = probe_keys(lines, threshold, {"other": F.col("line_id")})
     met = entries.where("not hot or first").join(probes, "key").where("hot or line_id <> other")
     met = stored(met, "line-met")
     pairs = met.where("not hot").select(*_pair(F.col("line_id"), F.col("other"))).distinct()
