@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heliovane.llm.common import as_before, same_document, stored
@@ -398,19 +398,15 @@ def repeated_ranges(
     whole = (F.col("last") + window).alias("end")
     alike = twice.where(~F.col("varied")).select(*_KEY, F.col("first").alias("start"), whole)
     varied = twice.where("varied")
-    # Anchors of equal spans are settled by their number; one of them stands for all in the sort.
-    spans = varied.groupBy("gram", "span").agg(F.count(F.lit(1)).alias("copies"))
-    spans = stored(spans, "anchors-spans")
-    sizes = spans.groupBy("gram").agg(F.count(F.lit(1)).alias("spans"))
-    known = stored(spans.join(sizes, "gram"), "anchors-groups")
-    varied = varied.join(known, ["gram", "span"])
-    copied = varied.where("copies > 1").select(*_KEY, F.col("first").alias("start"), whole)
-    single = varied.where("copies = 1").select(*_KEY, "gram", "span", "place", "first", whole, "spans")
-    order = Window.partitionBy("gram", "span").orderBy(*_KEY, "place")
-    chosen = varied.where("copies > 1").withColumn("k", F.row_number().over(order)).where("k = 1")
-    chosen = chosen.select(*_KEY, "gram", "span", "place", "first", whole, "spans")
-    asked = single.unionByName(chosen)
-    hot = known.where(F.col("spans") > limit).select("gram").distinct()
+    # Anchors of equal spans are settled by their number; the first that comes stands for all in the sort.
+    one = F.first(F.struct(*_KEY, "place", "first", whole)).alias("one")
+    spans = stored(varied.groupBy("gram", "span").agg(F.count(F.lit(1)).alias("copies"), one), "anchors-spans")
+    sizes = stored(spans.groupBy("gram").agg(F.count(F.lit(1)).alias("spans")), "anchors-grams")
+    repeated = spans.where("copies > 1").select("gram", "span")
+    copied = varied.join(repeated, ["gram", "span"], "left_semi")
+    copied = copied.select(*_KEY, F.col("first").alias("start"), whole)
+    asked = spans.select("one.*", "gram")
+    hot = sizes.where(F.col("spans") > limit).select("gram")
     texts = stored(_spans_with_text(asked, docs), "anchors-texts")
     ranges = alike.unionByName(copied)
     if hot.isEmpty():
