@@ -99,7 +99,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_byte_bpe": op1_byte_bpe, "op2_multi_index": op2_multi_index, "op3_line_dedup": op3_line_dedup, "op4_rule_ensemble": op4_rule_ensemble, "op5_secret_scan": op5_secret_scan, "op6_suffix_dedup": op6_suffix_dedup, "op7_decontaminate": op7_decontaminate, "op8_page_text": op8_page_text, "op9_hilbert_shards": op9_hilbert_shards, "op10_simhash": op10_simhash}
+    found = (
+        op1_byte_bpe,
+        op2_multi_index,
+        op3_line_dedup,
+        op4_rule_ensemble,
+        op5_secret_scan,
+        op6_suffix_dedup,
+        op7_decontaminate,
+        op8_page_text,
+        op9_hilbert_shards,
+        op10_simhash,
+    )
+    return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
