@@ -6,6 +6,7 @@ blocks on lines of their own, paragraphs apart from each other, list items with
 
 from __future__ import annotations
 
+import operator
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -48,10 +49,25 @@ CELLS = frozenset({"td", "th"})
 
 _space = re.compile(r"[ \t\n\r\f]+")
 _tag = re.compile(r"<[a-zA-Z/]")
-_rule = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_comment = re.compile(r"/\*.*?\*/", re.DOTALL)
+_mark = re.compile(r"[{};]|\Z")
+_opaque = re.compile(r"/\*.*?(?:\*/|\Z)|\"(?:\\.|[^\"\\\n])*\"|'(?:\\.|[^'\\\n])*'", re.DOTALL)
 _simple = re.compile(r"([a-z][a-z0-9]*|\*)?((?:[.#][\w-]+)*)$", re.IGNORECASE)
-_hides = re.compile(r"display:none|visibility:(?:hidden|collapse)")
+_value = re.compile(r"([a-z][a-z -]*?)\s*(!\s*important)?")
+_typed = re.compile(r"(?:(not|only)\s+)?([a-z][a-z-]*)(?:\s+and\s+(.+))?", re.DOTALL)
+_feature = re.compile(r"\(([^()]*)\)")
+_length = r"([0-9]*\.?[0-9]+)(px|em|rem|)"
+_limit = re.compile(rf"(min-|max-|)(?:device-)?(width|height)\s*:\s*{_length}")
+_range = re.compile(rf"(?:{_length}\s*([<>]=?|=)\s*)?(width|height)(?:\s*([<>]=?|=)\s*{_length})?")
+
+#: What hides an element, by property.
+HIDING = {"display": {"none"}, "visibility": {"hidden", "collapse"}}
+#: The screen that media queries are asked for, in pixels, and what else it answers.
+SCREEN = {"width": 1280.0, "height": 720.0}
+FEATURES = {
+    "orientation": "landscape", "hover": "hover", "any-hover": "hover", "pointer": "fine", "any-pointer": "fine",
+    "prefers-color-scheme": "light", "prefers-reduced-motion": "no-preference", "scripting": "enabled",
+}
+COMPARE = {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge, "=": operator.eq}
 
 
 class Node:
@@ -132,7 +148,8 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data: str) -> None:
         top = self.stack[-1]
         if top.tag == "style":
-            self.styles.append(data)
+            if on_screen(top.attributes.get("media") or ""):
+                self.styles.append(data)
         elif self.open["head"] and top.tag == "head":
             if data.strip():
                 self._close({"head"}, frozenset())
@@ -141,38 +158,163 @@ class TreeBuilder(HTMLParser):
             top.children.append(data)
 
 
-def hiding_rules(styles: list[str]) -> list[tuple[str, frozenset[str], str | None]]:
-    """``tag, classes, id`` of the simple selectors whose rules hide what they match."""
-    rules = []
-    for selectors, body in _rule.findall(_comment.sub("", "\n".join(styles))):
-        if _hides.search(re.sub(r"\s", "", body.lower())):
+#: Tag, classes and ids that a selector asks for, and ``property, weight, hides`` of its rule's declarations.
+Rule = tuple[str, frozenset[str], frozenset[str], list[tuple[str, tuple, bool]]]
+
+
+def _not(value: bool | None) -> bool | None:
+    return None if value is None else not value
+
+
+def _pixels(number: str, unit: str) -> float:
+    return float(number) * (16 if unit in ("em", "rem") else 1)
+
+
+def _has_feature(text: str) -> bool | None:
+    """Whether the screen has a media feature; None where that is not known."""
+    text = text.strip()
+    if found := _limit.fullmatch(text):
+        size = _pixels(found[3], found[4])
+        return COMPARE[{"min-": ">=", "max-": "<=", "": "="}[found[1]]](SCREEN[found[2]], size)
+    if (found := _range.fullmatch(text)) and (found[3] or found[5]):
+        own = SCREEN[found[4]]
+        left = not found[3] or COMPARE[found[3]](_pixels(found[1], found[2]), own)
+        return left and (not found[5] or COMPARE[found[5]](own, _pixels(found[6], found[7])))
+    name, _, value = map(str.strip, text.partition(":"))
+    if name in FEATURES:
+        return value in ("", FEATURES[name])
+    return None
+
+
+def _holds(condition: str) -> bool | None:
+    values = [_has_feature(text) for text in _feature.findall(condition)]
+    shape = _feature.sub("#", condition).split()
+    if shape == ["not", "#"]:
+        return _not(values[0])
+    if shape[::2] == ["#"] * len(values) and len(shape) == 2 * len(values) - 1:
+        if set(shape[1::2]) <= {"and"}:
+            return False if False in values else None if None in values else True
+        if set(shape[1::2]) == {"or"}:
+            return True if True in values else None if None in values else False
+    return None
+
+
+def on_screen(media: str) -> bool:
+    """Whether a list of media queries is known to apply to the screen."""
+
+    def applies(query: str) -> bool | None:
+        if not (found := _typed.fullmatch(query)):
+            return _holds(query)
+        value = found[2] in ("all", "screen") and (found[3] is None or _holds(found[3]))
+        return _not(value) if found[1] == "not" else value
+
+    media = media.strip().lower()
+    return not media or any(applies(query.strip()) for query in media.split(","))
+
+
+def _applies(prelude: str) -> bool:
+    """Whether the rules in the block of an at-rule hold: those of frames, fonts, pages and containers do not."""
+    name, rest = re.match(r"@([\w-]*)(.*)", prelude.lower(), re.DOTALL).groups()
+    if name == "media":
+        return on_screen(rest)
+    return name == "layer" or name == "supports" and not rest.strip().startswith("not")
+
+
+def style_rules(style: str) -> Iterator[tuple[str, list[str]]]:
+    """Selectors and declarations of a style sheet's rules for a screen; what is open at its end ends there."""
+    style = _opaque.sub(lambda m: "" if m[0][0] == "/" else '""', style)
+    # An open block: the selectors of a rule, True for a group whose rules hold, None for what is left out.
+    blocks: list[str | bool | None] = [True]
+    declarations: list[str] = []
+    start, broken = 0, False
+    for found in _mark.finditer(style):
+        text, mark, start, top = style[start : found.start()].strip(), found[0], found.end(), blocks[-1]
+        if mark == "{":
+            if top is not True or broken:
+                blocks.append(None)
+            elif text.startswith("@"):
+                blocks.append(_applies(text) or None)
+            else:
+                blocks.append(text)
+                declarations = []
+            broken = False
+            continue
+        if isinstance(top, str):
+            declarations.append(text)
+            if mark != ";":
+                yield top, declarations
+        elif not mark and (rule := next((b for b in blocks if isinstance(b, str)), None)) is not None:
+            yield rule, declarations
+        elif mark == ";":
+            broken = top is True and (broken or not text.startswith("@"))
+        if mark == "}":
+            broken = False
+            if len(blocks) > 1:
+                blocks.pop()
+
+
+def _shown(declarations: list[str]) -> dict[str, tuple[bool, bool]]:
+    """``important, hides`` of what the declarations say last about each property of ``HIDING``."""
+    said: dict[str, tuple[bool, bool]] = {}
+    for declaration in declarations:
+        name, _, value = declaration.lower().partition(":")
+        name = name.strip()
+        if name in HIDING and (found := _value.fullmatch(value.strip())):
+            important = found[2] is not None
+            if important or not said.get(name, (False,))[0]:
+                said[name] = important, found[1] in HIDING[name]
+    return said
+
+
+def hiding_rules(styles: list[str]) -> dict[str, list[Rule]]:
+    """The rules with simple selectors that say whether what they match is shown, by an id, class or tag they ask for.
+
+    A weight orders declarations as style sheets do: important ones, then by ids, classes and tags, then the later one.
+    """
+    rules: dict[str, list[Rule]] = {}
+    order, hiding = 0, False
+    for style in styles:
+        for selectors, declarations in style_rules(style):
+            order += 1
+            if not (said := _shown(declarations)):
+                continue
+            hiding = hiding or any(hides for _, hides in said.values())
             for selector in selectors.split(","):
                 found = _simple.match(selector.strip())
                 if found and found[0]:
                     names = re.findall(r"[.#][\w-]+", found[2])
                     classes = frozenset(n[1:] for n in names if n[0] == ".")
-                    ids = [n[1:] for n in names if n[0] == "#"]
-                    rules.append(((found[1] or "*").lower(), classes, ids[0] if ids else None))
-    return rules
+                    ids = frozenset(n[1:] for n in names if n[0] == "#")
+                    tag = (found[1] or "*").lower()
+                    rank = 0, sum(n[0] == "#" for n in names), sum(n[0] == "." for n in names), tag != "*", order
+                    said_by = [(name, (important, *rank), hides) for name, (important, hides) in said.items()]
+                    rules.setdefault(max(names, default=tag), []).append((tag, classes, ids, said_by))
+    return rules if hiding else {}
 
 
-def hidden(node: Node, rules: list[tuple[str, frozenset[str], str | None]]) -> bool:
+def hidden(node: Node, rules: dict[str, list[Rule]]) -> bool:
     if node.tag in UNSEEN:
         return True
     attributes = node.attributes
-    if not attributes:
-        return node.tag == "dialog" or any(r[0] in ("*", node.tag) and not r[1] and not r[2] for r in rules)
     if "hidden" in attributes or node.tag == "dialog" and "open" not in attributes:
         return True
     if node.tag == "input" and (attributes.get("type") or "").lower() == "hidden":
         return True
-    if _hides.search(_space.sub("", (attributes.get("style") or "").lower())):
-        return True
-    classes = frozenset((attributes.get("class") or "").split()) if rules else frozenset()
-    return any(
-        tag in ("*", node.tag) and wanted <= classes and name in (None, attributes.get("id"))
-        for tag, wanted, name in rules
-    )
+    style = attributes.get("style")
+    if not rules and not style:
+        return False
+    won: dict[str, tuple[tuple, bool]] = {}
+    if style:
+        for name, (important, hides) in _shown(_opaque.sub("", style).split(";")).items():
+            won[name] = (important, 1, 0, 0, False, 0), hides
+    if rules:
+        classes, own = frozenset((attributes.get("class") or "").split()), frozenset({attributes.get("id")})
+        for key in ("*", node.tag, *("." + c for c in classes), f"#{attributes.get('id')}"):
+            for tag, wanted, ids, said in rules.get(key, ()):
+                if tag in ("*", node.tag) and wanted <= classes and ids <= own:
+                    for name, weight, hides in said:
+                        won[name] = max(won.get(name, (weight, hides)), (weight, hides))
+    return any(hides for _, hides in won.values())
 
 
 class Frame:

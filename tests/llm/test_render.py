@@ -58,6 +58,42 @@ def test_cases(name):
     page, text = CASES[name]
     assert render(page) == text
 
+# Style sheets, attributes of the style element, and which of a to f a screen shows of PARTS.
+PARTS = "<p class=a>a</p><p class='b x'>b</p><p id=c>c</p><div>d</div><p style='display:none'>e</p><p style='display:block'>f</p>"
+SHEETS = {
+    "print": ("@media print{p,.a{display:none}}", "", "abcdf"),
+    "narrow": ("@media (max-width:600px){.a{display:none}} #c{display:none}", "", "abdf"),
+    "narrow range": ("@media (width <= 37.5em), print and (color){.a{display:none}}", "", "abcdf"),
+    "wide": ("@media only screen and (min-width:600px) and (orientation:landscape){.a{display:none}}", "", "bcdf"),
+    "not print": ("@media not print{.a{display:none}}", "", "bcdf"),
+    "not known": ("@media not (odd:1){.a{display:none}} @media (odd){.b{display:none}}", "", "abcdf"),
+    "nested groups": ("@supports (display:grid){@media print{.a{display:none}} .b{display:none}}", "", "acdf"),
+    "frames": ("@keyframes k{from{visibility:hidden}p{display:none}} @page{display:none}", "", "abcdf"),
+    "after a statement": ("@import 'x.css'; .a{display:none}", "", "bcdf"),
+    "later shows": (".a{display:none} .a{display:block}", "", "abcdf"),
+    "later hides": (".a{display:block} .a{display:none}", "", "bcdf"),
+    "later in the rule": (".a{display:none;display:block}", "", "abcdf"),
+    "more exact": ("p.a{display:block} #c{display:block} .a,p{display:none}", "", "acdf"),
+    "important": (".a{display:none!important} .a{display:block} p{display:block ! important}", "", "bcdef"),
+    "two properties": (".a{visibility:hidden} .a{display:block} .b{visibility:collapse} .x{visibility:visible}", "", "bcdf"),
+    "braces in strings": (".z::before{content:'}'} .a{content:\"{\";display:none}", "", "bcdf"),
+    "rule in a rule": (".a{color:red;&:hover{display:none}} .b{i{color:red} display:none}", "", "acdf"),
+    "open at the end": ("@media print{.a{display:none}", "", "abcdf"),
+    "print sheet": (".a{display:none}", " media=print", "abcdf"),
+    "screen sheet": (".a{display:none}", " media='screen, print'", "bcdf"),
+}
+
+
+@pytest.mark.parametrize("name", SHEETS)
+def test_style_sheets_of_a_screen(name):
+    sheet, attributes, shown = SHEETS[name]
+    assert "".join(render(f"<style{attributes}>{sheet}</style>{PARTS}").split()) == shown
+
+
+def test_odd_style_sheets_end():
+    assert render("<style>" + "@media all{" * 50_000 + ".a{display:none}</style><p class=a>a<p>b") == "b"
+    assert render("<style>" + ";{}}" * 50_000 + "</style>x") == "x"
+
 
 def visible_words(page):
     """Words of well-formed pages by plain substitution."""
