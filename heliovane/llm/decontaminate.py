@@ -2,11 +2,13 @@
 
 Every window of an item's number of words gets a fingerprint over its word shingles. The fingerprints of the items
 are indexed by ``radius + 1`` blocks of bits: two fingerprints within the radius agree in at least one block. What the blocks
-bring up is compared bit by bit, and then by the exact weighted similarity of the shingles.
+bring up is compared bit by bit, and then by the exact weighted similarity of the shingles. Windows beyond the radius that
+hold enough shingles of an item to be similar are compared exactly too, so the radius loses none.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -28,8 +30,8 @@ SHINGLE = 5
 #: Least similarity of a window and an item.
 SIMILARITY = 0.8
 
-#: Differing bits up to which fingerprints are compared further. At similarity 0.8 about 9 bits differ, and more than 18
-#: in fewer than one of 500 cases.
+#: Differing bits up to which fingerprints bring up an item. At similarity 0.8 about 9 bits differ, and more than 18
+#: in fewer than one of 500 cases; those are found by the shingles that they share.
 RADIUS = 18
 
 #: Items searched for in one pass over the documents, which bounds what is broadcast.
@@ -85,6 +87,8 @@ class Items:
         self.index: dict[tuple[int, int, int], list[int]] = defaultdict(list)
         # For each shingle width: its word numbers folded to one number, and the sizes of the items that have it.
         holders: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
+        self.codes: list[Counter] = []
+        self.sizes: list[int] = []
         for item_id, text in rows:
             words = words_of(text)
             if not words:
@@ -97,18 +101,32 @@ class Items:
             for block, mask in enumerate(self.masks):
                 self.index[size, block, self.prints[-1] & mask].append(number)
             coded = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words], np.uint64)
-            for code in fold(coded, width).tolist():
+            self.codes.append(Counter(fold(coded, width).tolist()))
+            self.sizes.append(size)
+            for code in self.codes[-1]:
                 holders[width][code].add(size)
+        # Items by their rarest shingles, so many that a window without any of these shares too few of the others.
+        held = Counter((min(SHINGLE, size), code) for size, codes in zip(self.sizes, self.codes, strict=True) for code in codes)
+        self.rare: dict[tuple[int, int], list[int]] = defaultdict(list)
+        for number, (size, codes) in enumerate(zip(self.sizes, self.codes, strict=True)):
+            width, left = min(SHINGLE, size), codes.total()
+            for code in sorted(codes, key=lambda c: (held[width, c], c)):
+                if left < self._least(codes.total()):
+                    break
+                self.rare[width, code].append(number)
+                left -= codes[code]
         self.holders = {width: (np.array(sorted(codes), np.uint64), codes) for width, codes in holders.items()}
 
-    def windows(self, words: list[str]) -> dict[int, set[int]]:
-        """Starts of the windows to compare, by size: all that contain some shingle of an item of that size.
+    def _least(self, item: int, window: int | None = None) -> int:
+        """Shingles that an item and a window of so many must share to be similar enough; at least, of any window."""
+        least = self.similarity * (item if window is None else (item + window) / (1 + self.similarity))
+        return max(1, math.ceil(least - 1e-9))
 
-        A window without any has similarity zero to each of them.
-        """
+    def _hits(self, words: list[str]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """Places of shingles that some item has, and their numbers, by width."""
         coded = np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.uint64, len(words))
-        starts: dict[int, set[int]] = defaultdict(set)
-        for width, (codes, holders) in self.holders.items():
+        hits = {}
+        for width, (codes, _) in self.holders.items():
             if len(words) < width:
                 continue
             known = np.lib.stride_tricks.sliding_window_view(coded != 0, width).all(axis=1)
@@ -116,7 +134,18 @@ class Items:
             values = fold(coded, width, places)
             at = np.minimum(np.searchsorted(codes, values), len(codes) - 1)
             hit = codes[at] == values
-            for place, value in zip(places[hit].tolist(), values[hit].tolist(), strict=True):
+            hits[width] = places[hit], values[hit]
+        return hits
+
+    def windows(self, words: list[str], hits: dict[int, tuple[np.ndarray, np.ndarray]]) -> dict[int, set[int]]:
+        """Starts of the windows to compare, by size: all that contain some shingle of an item of that size.
+
+        A window without any has similarity zero to each of them.
+        """
+        starts: dict[int, set[int]] = defaultdict(set)
+        for width, (places, values) in hits.items():
+            holders = self.holders[width][1]
+            for place, value in zip(places.tolist(), values.tolist(), strict=True):
                 for size in holders[value]:
                     last = max(0, len(words) - size)
                     starts[size].update(range(max(0, min(last, place + width - size)), min(last, place) + 1))
@@ -126,13 +155,47 @@ class Items:
         """For every item with a window similar enough: ``item_id``, its best window's start and size, the bits
         that differ and the similarity. Ties go to the earlier window."""
         best: dict[int, tuple] = {}
-        for size, starts in self.windows(words).items():
+        hits = self._hits(words)
+        sharing = self._sharing(words, hits)
+        for size, starts in self.windows(words, hits).items():
             for run in runs(sorted(starts)):
-                self._compare(words, size, run, best)
+                self._compare(words, size, run, sharing, best)
         for number, (negative, start, size, bits) in sorted(best.items()):
             yield self.ids[number], start, size, bits, -negative
 
-    def _compare(self, words: list[str], item_size: int, run: range, best: dict[int, tuple]) -> None:
+    def _sharing(
+        self, words: list[str], hits: dict[int, tuple[np.ndarray, np.ndarray]]
+    ) -> dict[tuple[int, int], list[int]]:
+        """Items, by size and start of a window, of which it holds so many shingles that they may be similar enough."""
+        found: dict[tuple[int, int], list[int]] = defaultdict(list)
+        for width, (places, values) in hits.items():
+            rare = (self.rare.get((width, value), ()) for value in np.unique(values).tolist())
+            for number in sorted(set(chain.from_iterable(rare))):
+                item_size = self.sizes[number]
+                size = min(len(words), item_size)
+                count = size - width + 1
+                least = self._least(self.codes[number].total(), count)
+                own = places[np.isin(values, np.array(list(self.codes[number]), np.uint64))]
+                if least > count or len(own) < least:
+                    continue
+                # A window with enough of these places holds some ``least`` neighbouring ones.
+                lows = np.maximum(own[least - 1 :] - count + 1, 0)
+                highs = np.minimum(own[: len(own) - least + 1], len(words) - size)
+                after = 0
+                for low, high in zip(lows.tolist(), highs.tolist(), strict=True):
+                    for start in range(max(low, after), high + 1):
+                        found[item_size, start].append(number)
+                    after = max(after, high + 1)
+        return found
+
+    def _compare(
+        self,
+        words: list[str],
+        item_size: int,
+        run: range,
+        sharing: dict[tuple[int, int], list[int]],
+        best: dict[int, tuple],
+    ) -> None:
         """Windows of items of that size that start in ``run``; a document shorter than the item is one window."""
         size, width = min(len(words), item_size), min(SHINGLE, item_size)
         part = words[run.start : run.stop - 1 + size]
@@ -142,9 +205,10 @@ class Items:
         count = size - width + 1
         for offset, print_ in enumerate(packed(total[count:] - total[:-count]).tolist()):
             bag = None
-            for number in self._near(print_, item_size):
+            alike = sharing.get((item_size, run.start + offset), ())
+            for number in self._near(print_, item_size).union(alike):
                 bits = (print_ ^ self.prints[number]).bit_count()
-                if bits > self.radius:
+                if bits > self.radius and number not in alike:
                     continue
                 bag = bag if bag is not None else Counter(found[offset : offset + count])
                 similarity = weighted_similarity(bag, self.bags[number])

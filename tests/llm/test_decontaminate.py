@@ -86,6 +86,34 @@ def test_radius_holds_what_is_similar_enough():
     assert far == 0
 
 
+@pytest.mark.parametrize("radius", [0, 5, RADIUS])
+def test_no_radius_loses_what_is_similar_enough(radius):
+    rng = random.Random(3)
+    beyond = 0
+    for k in range(400):
+        size = rng.choice([3, 9, 14, 27, 60])
+        vocabulary = [f"x{rng.randrange(10**6)}" for _ in range(rng.choice([2, 5, 1000]))]
+        item = rng.choices(vocabulary, k=size)
+        changed = item[:]
+        for _ in range(rng.randrange(4)):
+            changed[rng.choice([0, -1, rng.randrange(len(changed))])] = rng.choice(["other", *vocabulary])
+        changed = changed[rng.randrange(2) :] if rng.random() < 0.3 else changed
+        text = " ".join([*rng.choices(vocabulary, k=rng.choice([0, 5])), *changed, *rng.choices(vocabulary, k=rng.choice([0, 5]))])
+        other = " ".join([*item[:-1], "last"])
+        given = [(1, " ".join(item)), (2, other)]
+        found = list(Items(given, radius, 0.8).matches(words_of(text)))
+        assert {number: (similarity, start) for number, start, _, _, similarity in found} == brute_force(text, given)
+        beyond += any(bits > radius for *_, bits, _ in found)
+    assert beyond > 0 or radius == RADIUS
+
+
+def test_a_similar_window_beyond_the_radius():
+    words = [f"x559y{i}" for i in range(40)]
+    changed = [*words[:36], "some", "other", "words", "here"]
+    (found,) = Items([(1, " ".join(words))], RADIUS, 0.8).matches(changed)
+    assert found[:3] == (1, 0, 40) and found[3] > RADIUS and found[4] >= 0.8
+
+
 @pytest.mark.parametrize("radius", [0, 3, 11, 18, 31])
 def test_blocks_cover_the_fingerprint(radius):
     masks = block_masks(radius)
