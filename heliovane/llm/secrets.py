@@ -1,8 +1,8 @@
 """Secrets in texts: fixed patterns, and formats learned from what these find.
 
 The labelled credentials of each kind form a prefix tree over character classes. States whose outcomes are statistically
-compatible are merged, which leaves a probabilistic automaton of the format. Every other credential-like run of
-characters is scored by its likelihood under these automata against that of ordinary runs.
+compatible are merged, which leaves a probabilistic automaton of the format. Every other run of credential characters
+is scored by its likelihood under these automata against that of ordinary runs, whose classes are counted over all texts.
 """
 
 from __future__ import annotations
@@ -29,9 +29,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-#: Runs that are scored: this many credential characters or more, a digit among them.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
-_DIGIT = re.compile(r"[0-9]")
+#: Runs that are scored: as many credential characters as the smallest credential has, or more.
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=-]{{{min(LEAST.values())},}}")
 
 #: Labelled credentials of a kind that the automaton is learned from, and the most characters of one.
 TRAINING = 1000
@@ -44,6 +43,9 @@ FEWEST = 5
 #: Bits per character by which a format must explain a run better than ordinary runs do.
 MARGIN = 0.5
 
+#: Runs of up to so many characters whose kind a task remembers, as words come again and again.
+REMEMBERED, REMEMBERED_CHARS = 200_000, 64
+
 _CLASSES = {
     **dict.fromkeys("0123456789", "d"),
     **dict.fromkeys("abcdef", "h"),
@@ -52,6 +54,7 @@ _CLASSES = {
     **dict.fromkeys("GHIJKLMNOPQRSTUVWXYZ", "U"),
 }
 _SIZES = Counter(_CLASSES.values())
+_AS_CLASSES = str.maketrans(_CLASSES)
 END = "$"
 
 SPAN = "struct<kind: string, start: int, end: int, value: string>"
@@ -73,13 +76,18 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
 
 
 def candidate_spans(text: str, base: Iterable[tuple[str, int, int, str]]) -> list[tuple[str, int, int, str]]:
-    """Credential-like runs that no base span overlaps."""
+    """Runs of credential characters, but for those that lie in a base span."""
     taken = [(start, end) for _, start, end, _ in base]
-    return [
-        ("", m.start(), m.end(), m[0])
-        for m in CANDIDATE.finditer(text)
-        if _DIGIT.search(m[0]) and not any(a < m.end() and m.start() < b for a, b in taken)
-    ]
+    runs = [("", m.start(), m.end(), m[0]) for m in CANDIDATE.finditer(text)]
+    if taken:
+        runs = [run for run in runs if not any(a <= run[1] and run[2] <= b for a, b in taken)]
+    return runs
+
+
+def class_pairs(runs: Iterable[str]) -> Counter[str]:
+    """How often a class follows another in the runs; ``END`` stands before and after each of them."""
+    classes = END.join(["", *(run.translate(_AS_CLASSES) for run in runs), ""])
+    return Counter(map("".join, zip(classes, classes[1:], strict=False)))
 
 
 def symbols(value: str) -> list[str]:
@@ -116,6 +124,22 @@ class Automaton:
             at.ending += 1
         self._merge_all()
 
+    @staticmethod
+    def of_pairs(pairs: dict[str, int]) -> Automaton:
+        """The automaton whose states are the last class read, from the result of ``class_pairs``."""
+        automaton = Automaton([])
+        numbers = {c: n for n, c in enumerate(sorted({c for pair in pairs for c in pair} - {END}), 1)} | {END: 0}
+        automaton.states = [State() for _ in numbers]
+        for (last, following), count in pairs.items():
+            state = automaton.states[numbers[last]]
+            state.passing += count
+            if following == END:
+                state.ending += count
+            else:
+                state.count[following] += count
+                state.next[following] = numbers[following]
+        return automaton
+
     def _differ(self, hits_a: int, a: int, hits_b: int, b: int) -> bool:
         return abs(hits_a / a - hits_b / b) > self.bound * (1 / math.sqrt(a) + 1 / math.sqrt(b))
 
@@ -197,7 +221,7 @@ class Formats:
     ordinary: Automaton | None
 
     @staticmethod
-    def learned(examples: dict[str, list[str]], ordinary: list[str]) -> Formats:
+    def learned(examples: dict[str, list[str]], ordinary: list[str] | Automaton | None) -> Formats:
         enough = {kind: sorted(v) for kind, v in sorted(examples.items()) if len(v) >= FEWEST}
         kinds = {kind: Automaton(values) for kind, values in enough.items()}
         # A run must not be less likely, per character, than nearly all of the examples.
@@ -205,7 +229,9 @@ class Formats:
             kind: sorted(kinds[kind].bits(v) / len(v) for v in values)[int(0.95 * (len(values) - 1))]
             for kind, values in enough.items()
         }
-        return Formats(kinds, limits, Automaton(sorted(ordinary)) if len(ordinary) >= FEWEST else None)
+        if isinstance(ordinary, list):
+            ordinary = Automaton(sorted(ordinary)) if len(ordinary) >= FEWEST else None
+        return Formats(kinds, limits, ordinary)
 
     def best(self, value: str) -> str | None:
         """The kind whose format explains the run best, if any does so well enough."""
@@ -215,20 +241,24 @@ class Formats:
         return min(fitting, key=lambda k: (fitting[k], KINDS.index(k))) if fitting else None
 
 
-def credential_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, base, candidates`` for every row: the pattern matches and the other credential-like runs."""
-    narrow = docs.select(as_text(id_column, "doc_id"), F.col(text_column).alias("text"))
+def credential_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """``kind, value, count``: the credentials of the pattern matches, and without a kind the class pairs of other runs,
+    counted for every batch of texts."""
+    narrow = docs.select(F.col(text_column).alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ("kind", "start", "end", "value")
         for batch in batches:
-            base = [base_spans(text or "") for text in batch["text"]]
-            rest = [candidate_spans(t or "", spans) for t, spans in zip(batch["text"], base, strict=True)]
-            as_rows = [[[dict(zip(names, s, strict=True)) for s in spans] for spans in part] for part in (base, rest)]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "base": as_rows[0], "candidates": as_rows[1]})
+            counts: Counter[tuple[str, str]] = Counter()
+            rest: list[str] = []
+            for text in batch["text"]:
+                base = base_spans(text or "")
+                counts.update((kind, value) for kind, _, _, value in base)
+                rest += [value for *_, value in candidate_spans(text or "", base)]
+            rows = [(*key, n) for key, n in counts.items()]
+            rows += [("", pair, n) for pair, n in class_pairs(rest).items() if pair != END + END]
+            yield pd.DataFrame(rows, columns=["kind", "value", "count"])
 
-    found = narrow.mapInPandas(run, f"doc_id string, base array<{SPAN}>, candidates array<{SPAN}>")
-    return as_before(found, "doc_id", dict(docs.dtypes)[id_column])
+    return narrow.mapInPandas(run, "kind string, value string, count bigint")
 
 
 def _sample(spans: DataFrame, bound: int) -> dict[str, list[str]]:
@@ -242,13 +272,13 @@ def _sample(spans: DataFrame, bound: int) -> dict[str, list[str]]:
     return found
 
 
-def learn_formats(spans: DataFrame, bound: int = TRAINING) -> Formats:
-    """Formats from the result of ``credential_spans``: at most ``bound`` different credentials of each kind of up to
-    ``TRAINING_CHARS`` characters, and as many other runs. All runs of the corpus are scored with them."""
-    labelled = spans.select(F.inline("base"))
-    others = spans.select(F.inline("candidates"))
-    ordinary = _sample(others.withColumn("kind", F.lit("")), bound)
-    return Formats.learned(_sample(labelled, bound), ordinary.get("", []))
+def learn_formats(counts: DataFrame, bound: int = TRAINING) -> Formats:
+    """Formats from the result of ``credential_counts``: at most ``bound`` different credentials of each kind of up to
+    ``TRAINING_CHARS`` characters, and the class pairs of all other runs. The driver holds a row for each pair of classes."""
+    pairs = counts.where("kind = ''").groupBy("value").agg(F.sum("count").alias("count"))
+    ordinary = {row["value"]: row["count"] for row in pairs.collect()}
+    fewest = sum(n for pair, n in ordinary.items() if pair[0] == END) >= FEWEST
+    return Formats.learned(_sample(counts.where("kind <> ''"), bound), Automaton.of_pairs(ordinary) if fewest else None)
 
 
 def secret_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -258,20 +288,34 @@ def secret_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     ``like_`` and the kind for other runs of that format. Null and empty texts have no spans. Repeated rows are alike, a
     null id stays null, an empty table gives an empty result, other columns are ignored.
 
-    Texts are read once and never shuffled; what is stored, sampled and scored are the spans.
+    Texts are read twice, to learn and to score, and never shuffled; what is stored and sampled are credentials and counts.
     """
-    found = stored(credential_spans(docs, id_column, text_column), "secrets")
-    formats = docs.sparkSession.sparkContext.broadcast(learn_formats(found))
+    formats = docs.sparkSession.sparkContext.broadcast(learn_formats(stored(credential_counts(docs, text_column), "secrets")))
+    narrow = docs.select(as_text(id_column, "doc_id"), F.col(text_column).alias("text"))
+    names = ("kind", "start", "end", "value")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        learned, known = formats.value, {}
+
+        def kind_of(value: str) -> str | None:
+            if value in known:
+                return known[value]
+            kind = learned.best(value)
+            if len(value) <= REMEMBERED_CHARS:
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                known[value] = kind
+            return kind
+
+        def spans_of(text: str) -> list[dict]:
+            base = base_spans(text)
+            rest = candidate_spans(text, base) if learned.kinds else []
+            more = [(f"like_{kind}", *span[1:]) for span in rest if (kind := kind_of(span[3]))]
+            return sorted((dict(zip(names, span, strict=True)) for span in [*base, *more]), key=_order)
+
         for batch in batches:
-            spans = []
-            for base, rest in zip(batch["base"], batch["candidates"], strict=True):
-                more = [{**s, "kind": f"like_{kind}"} for s in rest if (kind := formats.value.best(s["value"]))]
-                spans.append(sorted([*base, *more], key=_order))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "spans": spans})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "spans": [spans_of(text or "") for text in batch["text"]]})
 
-    narrow = found.select(as_text("doc_id", "doc_id"), "base", "candidates")
     scored = narrow.mapInPandas(run, f"doc_id string, spans array<{SPAN}>")
     return as_before(scored, "doc_id", dict(docs.dtypes)[id_column])
 

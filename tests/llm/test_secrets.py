@@ -93,6 +93,32 @@ def test_credentials_without_their_pattern_are_added(documents):
     assert all([s["kind"] for s in found[i]] == ["assign"] for i in range(199))
 
 
+def test_short_runs_and_runs_around_matches_are_scored(documents):
+    rng = random.Random(7)
+    letters = "BCDFGHJKLMNPQRSTVWXZ"
+    *keys, loose, around = ["".join(rng.choices(letters, k=9)) for _ in range(300)]
+    text = "the other station and nation of ordinary people under another heading "
+    rows = [(i, f"{text}token: {k} {text}") for i, k in enumerate(keys)]
+    # The second stands around a match of its own, which it extends.
+    more = [(500, f"{text}{loose} {text}"), (501, f"see x_token={around}")]
+    found = {r["doc_id"]: r["spans"] for r in secret_spans(documents(*rows, *more)).collect()}
+    assert [(s["kind"], s["value"]) for s in found[500]] == [("like_assign", loose)]
+    assert all([s["kind"] for s in found[i]] == ["assign"] for i in range(298))
+    runs = secrets.candidate_spans(more[1][1], base_spans(more[1][1]))
+    assert [run[3] for run in runs] == [f"x_token={around}"]
+    assert secrets.candidate_spans(rows[0][1], base_spans(rows[0][1]))[0][3] == "station"
+
+
+def test_ordinary_runs_are_counted_over_all_texts(documents):
+    texts = [f"w{i}word{'ing' * (i % 9)}" for i in range(3000)]
+    pairs = secrets.class_pairs(texts)
+    docs = documents(*[(i, f"{t} a {t}") for i, t in enumerate(texts)]).repartition(7)
+    ordinary = secrets.learn_formats(secrets.credential_counts(docs)).ordinary
+    assert ordinary.states[0].passing == 2 * len(texts)
+    assert sum(state.passing for state in ordinary.states) == 2 * sum(n for p, n in pairs.items() if p != "$$")
+    assert sum(2 ** -ordinary.bits(c) for c in "0123456789") < 1
+
+
 def test_too_few_examples_learn_nothing():
     formats = Formats.learned({"hex": ["0" * 24]}, [])
     assert formats.best("0123456789abcdef0123456789") is None
