@@ -7,6 +7,8 @@ files by any of them. Only DataFrame and SQL functions are used.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,33 +20,55 @@ BITS = 4
 #: Bytes counted for a row besides its text.
 ROW_BYTES = 16
 
-#: Leading bytes of a string that order it among others.
-ORDER_BYTES = 6
-
 
 def text_size(text: Column) -> Column:
     """UTF-8 bytes of a text (none for null) plus the bytes of the rest of the row."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + ROW_BYTES
 
 
-def ordered_number(name: str, kind: str) -> Column:
-    """A column as a number in the same order; strings by their first bytes."""
-    if kind != "string":
-        return F.col(name).cast("double")
-    digits = 2 * ORDER_BYTES
-    head = F.rpad(F.substring(F.hex(F.encode(F.col(name), "UTF-8")), 1, digits), digits, "0")
-    return F.conv(head, 16, 10).cast("double")
+def ordered(name: str, kind: str) -> Column:
+    """A column as something in the same order: strings as they are, by their bytes, others as a number."""
+    return F.col(name) if kind == "string" else F.col(name).cast("double")
+
 
+def string_bounds(df: DataFrame, name: str, shares: list[float]) -> list[str]:
+    """The values at which these shares of the rows with a value are reached, in ascending order.
 
-def quantile_bounds(df: DataFrame, names: list[str], bits: int = BITS) -> dict[str, list[float]]:
+    Equal values are counted first. The counts are sorted in ranges, of which one row each gives what lies before it.
+    """
+    counts = df.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = counts.repartitionByRange(partitions, "value").sortWithinPartitions("value")
+    counted = stored(counted.withColumn("place", F.monotonically_increasing_id()), "shard-values")
+    counted = counted.withColumn("piece", F.shiftright("place", 33))
+    # One row per partition of the sort.
+    pieces = counted.groupBy("piece").agg(F.sum("rows").alias("rows")).orderBy("piece").collect()
+    total, offsets = 0, []
+    for row in pieces:
+        offsets.append((row["piece"], total))
+        total += row["rows"]
+    offset = df.sparkSession.createDataFrame(offsets, "piece bigint, rows_before bigint")
+    reached = F.col("rows_before") + F.sum("rows").over(Window.partitionBy("piece").orderBy("place"))
+    counted = counted.join(F.broadcast(offset), "piece").withColumn("reached", reached)
+    wanted = [max(1, math.ceil(share * total)) for share in shares]
+    at = F.exists(F.array(*map(F.lit, wanted)), lambda w: (w <= F.col("reached")) & (w > F.col("reached") - F.col("rows")))
+    return sorted({row["value"] for row in counted.where(at).select("value").collect()}, key=lambda v: v.encode())
+
+
+def quantile_bounds(df: DataFrame, names: list[str], bits: int = BITS) -> dict[str, list]:
     """At most 2**bits - 1 ascending bounds for each column, from all rows."""
     cells = 2**bits
     shares = [i / cells for i in range(1, cells)]
-    row = df.agg(*[F.percentile_approx(name, shares, 100_000).alias(name) for name in names]).first()
-    return {name: sorted(set(row[name] or [])) for name in names}
+    texts = [name for name in names if dict(df.dtypes)[name] == "string"]
+    numbers = [name for name in names if name not in texts]
+    found = {name: string_bounds(df, name, shares) for name in texts}
+    if numbers:
+        row = df.agg(*[F.percentile_approx(name, shares, 100_000).alias(name) for name in numbers]).first()
+        found |= {name: sorted(set(row[name] or [])) for name in numbers}
+    return found
 
 
-def cell_of(value: Column, bounds: list[float], bits: int = BITS) -> Column:
+def cell_of(value: Column, bounds: list, bits: int = BITS) -> Column:
     """Number of bounds below the value, spread over 2**bits cells so that a dimension of few values
     weighs as much as others; null counts as the lowest."""
     if not bounds:
@@ -136,7 +160,7 @@ def hilbert_shards(
     text = F.coalesce(F.col(text_column), F.lit(""))
     names = [f"dimension_{k}" for k in range(len(dimensions) + 1)]
     parts = [
-        ordered_number(column, kinds[column]).alias(name)
+        ordered(column, kinds[column]).alias(name)
         for column, name in zip(dimensions, names[1:], strict=True)
     ]
     narrow = docs.select(

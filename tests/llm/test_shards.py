@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from heliovane.llm.shards import hilbert_index, hilbert_shards
+from heliovane.llm.shards import hilbert_index, hilbert_shards, string_bounds
 
 
 @pytest.mark.parametrize("bits,dims", [(3, 2), (3, 3), (2, 4)])
@@ -62,5 +63,23 @@ def test_order_follows_the_curve_and_prunes(documents):
     assert all(total / 20 < 0.7 for total in spread.values()), spread
 
 
+def test_sources_of_one_prefix_prune(documents):
+    rows = [(i, "x" * (i * 37 % 500), "en", f"https://example.org/é/{i * 7 % 11:02}", 0) for i in range(1000)]
+    source = {row[0]: row[3] for row in rows}
+    out = hilbert_shards(documents(*rows, (1000, "x", None, None, None)), 20).collect()
+    spread = [len({source[r["doc_id"]] for r in out if r["shard"] == k and r["doc_id"] < 1000}) / 11 for k in range(20)]
+    assert sum(spread) / 20 < 0.7, spread
+
+
+def test_string_bounds_are_quantiles(documents):
+    rows = [(i, "", "en", f"https://e.org/{'aéz'[i % 3] * (i % 40)}", 0) for i in range(500)]
+    docs = documents(*rows, (500, "", "en", None, 0))
+    values = sorted((row[3] for row in rows), key=str.encode)
+    shares = [i / 16 for i in range(1, 16)]
+    expected = {values[math.ceil(share * len(values)) - 1] for share in shares}
+    assert string_bounds(docs, "source", shares) == sorted(expected, key=str.encode)
+    assert string_bounds(docs.where("doc_id = 500"), "source", shares) == []
+
+
 def test_empty_table(documents):
     assert hilbert_shards(documents(), 4).collect() == []
