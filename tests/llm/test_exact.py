@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import hashlib
+import os
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from heliovane.llm import exact
+from heliovane.llm.exact import exact_groups, found_slots, perfect_slots, sha256
+
+
+def plain(rows) -> list:
+    """``doc_id, keep_id, group_size, text_sha256`` by comparing normalised texts."""
+    groups = defaultdict(list)
+    lower = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+    for doc_id, text in rows:
+        groups[(text or "").translate(lower)].append(doc_id)
+    found = []
+    for text, ids in groups.items():
+        keep = max((i for i in ids if i is not None), default=None)
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        found += [(i, keep, len(ids), digest) for i in ids]
+    return sorted(found, key=str)
+
+
+def check(out, rows) -> None:
+    result = out.collect()
+    assert sorted([(r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in result], key=str) == plain(rows)
+    kept = [r for r in result if r.kept]
+    assert len({r.text_sha256 for r in result}) == len(kept) == len({r.text_sha256 for r in kept})
+    assert all(r.doc_id == r.keep_id for r in kept)
+
+
+@pytest.mark.parametrize("count", [1, 2, 63, 64, 65, 5_000])
+def test_slots_are_minimal_and_perfect(count):
+    words = np.frombuffer(np.random.default_rng(count).bytes(32 * count), np.uint64).reshape(count, 4)
+    slots, levels = perfect_slots(words)
+    assert sorted(slots) == list(range(count))
+    assert (found_slots(words, levels) == slots).all()
+    others = found_slots(words + np.uint64(1), levels)
+    assert ((others >= -1) & (others < count)).all()
+
+
+def test_digests_that_differ_in_one_byte_only():
+    raw = np.zeros((256, 32), np.uint8)
+    raw[:, 31] = range(256)
+    slots, _ = perfect_slots(raw.view(np.uint64))
+    assert sorted(slots) == list(range(256))
+
+
+def test_equal_digests_are_refused(monkeypatch):
+    monkeypatch.setattr(exact, "_LEVELS", 8)
+    with pytest.raises(ValueError):
+        perfect_slots(np.zeros((2, 4), np.uint64))
+
+
+@pytest.mark.parametrize("shard_digests", [1, 7, 20_000])
+@pytest.mark.parametrize("past", [None, "doc_id % 3 = 0", "doc_id < 150", "false"])
+def test_groups_equal_brute_force(documents, past, shard_digests):
+    rng = random.Random(5)
+    texts = [f"Text {rng.randrange(60)} É {'x' * rng.randrange(3)}" for _ in range(300)]
+    texts += [t.upper() for t in texts[:40]] + ["the hot text"] * 200
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    out = exact_groups(documents(*rows), None if past is None else F.expr(past), shard_digests=shard_digests)
+    check(out, rows)
+
+
+def test_only_a_to_z_are_folded(documents):
+    rows = [(1, "ÀB"), (2, "àb"), (3, "Àb"), (4, "àB"), (5, "İ K"), (6, "i̇ k"), (7, "AB "), (8, "ab")]
+    check(exact_groups(documents(*rows), F.col("doc_id") < 4), rows)
+
+
+def test_odd_rows(documents, odd_documents):
+    long = "very long " * 200_000
+    rows = [(None, "twice"), (None, "TWICE"), (3, None), (4, ""), (5, long), (6, long.upper()), (7, long + "."), (7, "same"), (7, "same")]
+    docs = documents(*rows).withColumns({n: F.lit("clash") for n in ("key", "kept", "place", "past", "a.b", "rows")})
+    out = exact_groups(docs, F.col("doc_id") < 6)
+    assert out.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    check(out, rows)
+    check(exact_groups(odd_documents), [(r.doc_id, r.text) for r in odd_documents.collect()])
+
+
+def test_no_rows(documents):
+    assert exact_groups(documents()).collect() == []
+
+
+def test_texts_of_one_digest_are_told_apart(documents):
+    """Digests of one byte: whole groups collide at every salt but a late one, and the result is still exact."""
+
+    def weak(text, salt):
+        return sha256(text, salt) if salt > 2 else F.substring(sha256(text, salt), 1, 1)
+
+    rows = [(i, f"text {i % 400}") for i in range(900)]
+    check(exact_groups(documents(*rows), F.col("doc_id") < 500, digest=weak), rows)
+
+
+@pytest.mark.parametrize("limit", [0, 1_000])
+def test_texts_are_compared_with_and_without_a_broadcast(documents, monkeypatch, limit):
+    monkeypatch.setattr(exact, "BROADCAST_GROUPS", limit)
+    rows = [(i, f"text {i % 7}") for i in range(50)]
+    check(exact_groups(documents(*rows)), rows)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables not present")
+def test_query_equals_brute_force(spark):
+    from heliovane.llm.queries import op11_exact_dedup
+
+    sf_dir = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    check(op11_exact_dedup(spark, sf_dir), rows)
