@@ -1,0 +1,171 @@
+from __future__ import annotations
+
+import os
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from heliovane.llm import phrases
+from heliovane.llm.phrases import collocations, mined_phrases
+
+
+@pytest.fixture
+def tagged(documents):
+    """Documents out of ``(doc_id, text, lang)``."""
+    return lambda *rows: documents(*[(k, text, lang, "src0", 0) for k, text, lang in rows])
+
+
+LOWER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def counts_of(rows) -> tuple[dict, Counter]:
+    """Occurrences of all phrases of up to four words by language, and all words."""
+    found, total = {}, Counter()
+    for _, text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            total[lang] += len(words)
+            for size in range(1, 5):
+                for at in range(len(words) - size + 1):
+                    found.setdefault(lang, Counter())[tuple(words[at : at + size])] += 1
+    return found, total
+
+
+def plain(rows, least, top) -> list:
+    out = []
+    found, total = counts_of(rows)
+    for lang, f in found.items():
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        inside = Counter()
+        for p, a in candidates.items():
+            for size in range(2, len(p)):
+                for at in range(len(p) - size + 1):
+                    inside[p[at : at + size]] = max(inside[p[at : at + size]], a)
+        scored = []
+        for p, a in candidates.items():
+            if p in inside and 100 * inside[p] >= 80 * a:
+                continue
+            cuts = [(2_000_000 * a // (f[p[:k]] + f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p))]
+            score, _, left, right = min(cuts)
+            scored.append((-score, -a, " ".join(p).encode(), a, left, right, score))
+        for rank, (_, _, phrase, a, left, right, score) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, phrase.decode(), a, left, right, total[lang], score))
+    return sorted(out)
+
+
+def check(docs, rows, least=5, top=50, **options) -> None:
+    got = collocations(docs, least=least, top=top, **options).collect()
+    assert sorted(map(tuple, got)) == plain(rows, least, top)
+
+
+def some_rows(seed=1, count=300):
+    rng = random.Random(seed)
+    words = ["the", "The", "of", "new", "york", "city", "é", "Über", "a_b", "x"] + [f"w{i}" for i in range(60)]
+    rows = []
+    for k in range(count):
+        parts = []
+        for _ in range(rng.randrange(30)):
+            parts.append(rng.choice(["new york", "New\tYork  city hall", "at the end of", rng.choice(words)]))
+            parts.append(rng.choice([" ", " ", " ", ", ", ".", "\n", "\r\n", " \t ", "\x0b"]))
+        rows.append((k, "".join(parts), rng.choice(["en", "en", "en", "de", None])))
+    return rows
+
+
+@pytest.mark.parametrize("share", [0.0, 0.05, 0.5, 1.0])
+def test_any_sample_gives_the_same(tagged, share):
+    """Without a sample everything is a border failure, with all rows nothing is."""
+    rows = some_rows()
+    check(tagged(*rows), rows, share=share)
+
+
+@pytest.mark.parametrize("least,top", [(1, 10_000), (2, 30), (40, 5)])
+def test_equal_to_brute_force(tagged, least, top):
+    rows = some_rows(2, 120)
+    check(tagged(*rows), rows, least, top)
+
+
+def test_small_pieces_of_text_and_small_filters(tagged, monkeypatch):
+    """Many pieces a task, and a filter so full that it lets nearly everything pass."""
+    monkeypatch.setattr(phrases, "CHUNK_BYTES", 500)
+    monkeypatch.setattr(phrases, "HELD_BYTES", 800)
+    monkeypatch.setattr(phrases, "FILTER_BITS", 1 << 7)
+    rows = some_rows(3)
+    check(tagged(*rows), rows)
+
+
+def test_failures_of_the_border_lead_to_further_passes(tagged):
+    rows = [(k, "one two three four. five two three six.", "en") for k in range(20)]
+    texts = tagged(*rows).select("lang", "text")
+    found, passes = mined_phrases(texts, 5)
+    assert passes == 4
+    everything, _ = mined_phrases(texts, 5)
+    again, passes = mined_phrases(texts, 5, everything)
+    assert passes == 1
+    partly = everything.where("phrase not in ('three', 'three four')")
+    third, passes = mined_phrases(texts, 5, partly)
+    assert passes > 1
+    named = [sorted((r.lang, r.phrase, r.words, r.n) for r in t.collect()) for t in (found, again, third)]
+    assert named[0] == named[1] == named[2]
+    f, total = counts_of(rows)
+    assert [(r[1], r[3]) for r in named[0]] == sorted([("", total["en"]), *[(" ".join(p), a) for p, a in f["en"].items()]])
+
+
+def test_a_pass_counts_the_border_and_nothing_else(tagged, spark):
+    """Phrases with an unproposed part are not counted, those with both parts proposed are."""
+    texts = tagged((1, "a b c a b d", "en")).select("lang", "text")
+    everything, _ = mined_phrases(texts, 1)
+    proposals = everything.where("phrase in ('a', 'b', 'c', 'a b')")
+    bits = phrases._filter_bits(proposals)
+    batches = list(phrases._piece_counts("en", [b"a b c a b d"], bits, None))
+    counted = {p: n for b in batches for p, n in zip(b["phrase"].to_pylist(), b["n"].to_pylist(), strict=True)}
+    assert counted == {"": 6, "a": 2, "b": 2, "c": 1, "d": 1, "a b": 2, "b c": 1, "c a": 1}
+    more = bits | phrases._filter_bits(everything.where("phrase in ('b c', 'd')"))
+    batches = list(phrases._piece_counts("en", [b"a b c a b d"], more, bits))
+    counted = {p: n for b in batches for p, n in zip(b["phrase"].to_pylist(), b["n"].to_pylist(), strict=True)}
+    assert counted == {"b d": 1, "a b c": 1}
+
+
+def test_odd_rows(tagged, odd_documents):
+    texts = ["", None, "   ", "...", "one", "A B", "a b", "a  b", "a\tb", "a\x0cb", "a b \x00 a b", "a b", " a b c"] * 3
+    rows = [(None if k % 5 == 0 else k, text, None if k % 2 else "") for k, text in enumerate(texts)]
+    rows.append((1_000, "very long text " * 100_000, "xx"))
+    docs = tagged(*rows).withColumns({n: F.lit("clash") for n in ("phrase", "words", "n", "rank", "score", "a.b")})
+    check(docs, rows, least=2)
+    odd = [(r.doc_id, r.text, r.lang) for r in odd_documents.collect()]
+    check(odd_documents, odd, least=1)
+
+
+def test_no_rows(tagged):
+    assert collocations(tagged()).collect() == []
+    assert collocations(tagged((1, "", "en"), (2, None, None))).collect() == []
+
+
+def test_ties_and_large_numbers(tagged, spark):
+    rows = [(k, "b a, c a, é a, z a", "en") for k in range(4)]
+    check(tagged(*rows), rows, least=2, top=3)
+    n = 2**62
+    found = spark.createDataFrame(
+        [("en", "a b", 2, n), ("en", "a", 1, n + 5), ("en", "b", 1, 2 * n - 1)], "lang string, phrase string, words int, n bigint"
+    )
+    assert phrases._scored(found).first()["score"] == 2_000_000 * n // (3 * n + 4)
+
+
+def test_filter_misses_nothing(spark):
+    hashes = np.random.default_rng(3).integers(-(2**63), 2**63 - 1, 5_000)
+    bits = phrases._filter_bits(spark.createDataFrame([(int(h),) for h in hashes], "hash bigint"))
+    assert bits.size == phrases.FILTER_BITS // 8
+    assert phrases._passes(bits, hashes.view(np.uint64)).all()
+    others = np.random.default_rng(4).integers(0, 2**63 - 1, 100_000).view(np.uint64)
+    assert phrases._passes(bits, others).mean() < 0.001
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables not present")
+def test_table_equals_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()]
+    check(docs, rows, least=30, top=2_000)
