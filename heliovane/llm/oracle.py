@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from heliovane.llm.conversations import DELETE, INSERT, REROLE, UNFINISHED
 from heliovane.llm.lines import MIN_CHARS, THRESHOLD
+from heliovane.llm.phrases import ABSORBED, LEAST, LONGEST, NO_LANGUAGE, SCORE_UNIT, TOP
 from heliovane.llm.suffixes import WINDOW
 
 # DuckDB counts bytes in an edit distance; small letters of two bytes become control characters first.
 _ACCENTED = "àâäáçèéêëíîïñóôöùúûüßæœ"
 _CONTROLS = [*range(1, 9), *range(14, 32)]
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 
 def _single_bytes(text: str) -> str:
     for letter, code in zip(_ACCENTED, _CONTROLS, strict=False):
@@ -108,9 +112,141 @@ SELECT doc_id, item_id, (start - 1)::INTEGER AS start_word, size::INTEGER AS n_w
 FROM ranked JOIN docs USING (r) WHERE place = 1"""
 
 
+def exact_dedup() -> str:
+    return f"""WITH
+texts AS (
+  SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST, r) = 1 AS kept, sha256(t) AS text_sha256
+FROM texts"""
+
+
+def collocations(least: int = LEAST, longest: int = LONGEST, absorbed: int = ABSORBED, top: int = TOP) -> str:
+    grams = " UNION ALL ".join(
+        f"SELECT lang, {k} AS k, array_to_string(w[p : p + {k - 1}], ' ') AS phrase"
+        f" FROM (SELECT lang, w, unnest(range(1, len(w) - {k - 2})) AS p FROM pieces)"
+        for k in range(1, longest + 1)
+    )
+    return f"""WITH
+texts AS (
+  SELECT coalesce(lang, '{NO_LANGUAGE}') AS lang,
+         translate(coalesce(text, ''), '{_UPPER}' || chr(9), '{_LOWER} ') AS t FROM documents),
+parts AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM texts),
+pieces AS (SELECT lang, list_filter(string_split(piece, ' '), lambda x: x <> '') AS w FROM parts),
+grams AS ({grams}),
+sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+found AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= {least}),
+cuts AS (
+  SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM found WHERE k >= 2),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, ({SCORE_UNIT} * c.a::HUGEINT // (x.f + y.f))::BIGINT AS score
+  FROM cuts c
+  JOIN found x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[: c.cut], ' ')
+  JOIN found y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1 :], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_parts AS (
+  SELECT lang, f, array_to_string(w[i : i + s - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, k - s + 2)) AS i
+        FROM (SELECT lang, f, k, string_split(phrase, ' ') AS w, unnest(range(2, k)) AS s FROM found WHERE k >= 3))),
+longer AS (SELECT lang, phrase, max(f) AS f FROM inner_parts GROUP BY ALL),
+kept AS (
+  SELECT s.* FROM lowest s LEFT JOIN longer o USING (lang, phrase)
+  WHERE o.f IS NULL OR 100 * o.f::HUGEINT < {absorbed} * s.a::HUGEINT)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+JOIN sizes USING (lang) WHERE rank <= {top}"""
+
+
+def conversation_repair() -> str:
+    def extended(state: str, cost: str, letter: str, line: str) -> str:
+        return (
+            f"CASE WHEN {state} IS NOT NULL THEN"
+            f" {{'c': {state}.c + {cost}, 'e': {state}.e || '{letter}', 'o': {state}.o || {line}}} END"
+        )
+
+    def inserted(state: str, role: str) -> str:
+        return extended(state, str(INSERT), "I", f"[{role!r} || ':']")
+
+    def deleted(state: str) -> str:
+        return extended(state, str(DELETE), "D", "[]::VARCHAR[]")
+
+    def kept(state: str, initial: str) -> str:
+        way = extended(state, "extra", "K", "[role || ':' || text]")
+        return f"CASE WHEN NOT must_go AND ini = '{initial}' THEN {way} END"
+
+    def changed(state: str, role: str) -> str:
+        way = extended(state, f"extra + {REROLE}", "R", f"[{role!r} || ':' || text]")
+        return f"CASE WHEN NOT must_go THEN {way} END"
+
+    to_user = ", ".join([*(kept(s, "u") for s in "zsa"), *(changed(s, "user") for s in "zsa")])
+    white = "[^\\x20\\x09-\\x0D]"
+    return f"""WITH RECURSIVE
+tab AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(
+    list_concat([n], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+source AS (
+  SELECT row_number() OVER () AS r, dense_rank() OVER (ORDER BY conv_id) AS g, conv_id, turn,
+         coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+  FROM conversations),
+kinds AS (
+  SELECT source.*, xor(list_reduce(
+    list_concat([4294967295], list_transform(string_split(name, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+  FROM source, tab),
+hurt AS (
+  SELECT r, g, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text, r, copy) AS i,
+         left(role, 1) AS ini, regexp_extract(text, '(?s)({white})[\\x20\\x09-\\x0D]*$', 1) AS ending
+  FROM hurt),
+marked AS (
+  SELECT *, row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 AS again,
+         lag(ini) OVER (PARTITION BY g ORDER BY i) AS previous
+  FROM numbered),
+turns AS (
+  SELECT g, i, turn, role, text, ini, ending = '' AS blank, ending <> '' AND again AS duplicate,
+         ending <> '' AND NOT again AND ending NOT IN ('.', '!', '?') AS truncated,
+         previous IS NOT NULL AND previous || ini NOT IN ('su', 'ua', 'au') AS illegal
+  FROM marked),
+steps AS (
+  SELECT *, blank OR duplicate AS must_go, CASE WHEN truncated THEN {UNFINISHED} ELSE 0 END AS extra FROM turns),
+counted AS (
+  SELECT g, count(*) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count_if(blank)::BIGINT AS blank, count_if(duplicate)::BIGINT AS duplicate,
+         count_if(truncated)::BIGINT AS truncated, count_if(illegal)::BIGINT AS illegal
+  FROM steps GROUP BY g),
+start AS (SELECT {{'c': 0::BIGINT, 'e': '', 'o': []::VARCHAR[]}} AS z),
+begun AS (SELECT z, {inserted("z", "user")} AS u FROM start),
+walk AS (
+  SELECT g, 0::BIGINT AS i, z, CASE WHEN false THEN z END AS s, u, {inserted("u", "assistant")} AS a
+  FROM begun, (SELECT DISTINCT g FROM source)
+  UNION ALL
+  SELECT g, i, z, s, u, list_min([a, {inserted("u", "assistant")}]) AS a
+  FROM (
+    SELECT g, i, z, s, a, list_min([u, {inserted("z", "user")}, {inserted("s", "user")}, {inserted("a", "user")}]) AS u
+    FROM (
+      SELECT g, t.i, {deleted("z")} AS z, list_min([{deleted("s")}, {kept("z", "s")}]) AS s,
+             list_min([{deleted("u")}, {to_user}]) AS u,
+             list_min([{deleted("a")}, {kept("u", "a")}, {changed("u", "assistant")}]) AS a
+      FROM (SELECT g, i + 1 AS i, z, s, u, a FROM walk) w JOIN steps t USING (g, i)))),
+ended AS (SELECT g, i, list_min([z, a]) AS best FROM walk),
+every AS (SELECT DISTINCT g, conv_id FROM source)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.e AS audit,
+       sha256(array_to_string(best.o, chr(10))) AS repaired_sha256
+FROM every LEFT JOIN counted USING (g) JOIN ended e USING (g) WHERE e.i = coalesce(rows, 0)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_line_dedup": line_dedup(),
         "op6_suffix_dedup": suffix_dedup(),
         "op7_decontaminate": decontaminate(),
+        "op11_exact_dedup": exact_dedup(),
+        "op12_conversation_repair": conversation_repair(),
+        "op13_collocations": collocations(),
     }

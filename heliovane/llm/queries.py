@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from heliovane.llm import oracle
 from heliovane.llm.bpe import byte_bpe, token_digest
 from heliovane.llm.common import table
+from heliovane.llm.conversations import damaged, repaired_conversations
 from heliovane.llm.decontaminate import benchmark_matches
+from heliovane.llm.exact import exact_groups
 from heliovane.llm.lines import near_lines
 from heliovane.llm.neighbours import nearest_neighbours
+from heliovane.llm.phrases import collocations
 from heliovane.llm.quality import THRESHOLD, fit_rules, held_out, quality_scores, training_sample
 from heliovane.llm.render import page_texts
 from heliovane.llm.secrets import KINDS, joined, secret_spans
@@ -98,6 +101,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # The history is the earlier half of the range of ids; what came later is looked up in its index.
+    first, last = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    middle = 0 if first is None else (first + last) // 2
+    return exact_groups(docs, F.col("doc_id") <= middle)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repaired_conversations(damaged(conversations), conversations)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_byte_bpe,
@@ -110,6 +130,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_page_text,
         op9_hilbert_shards,
         op10_simhash,
+        op11_exact_dedup,
+        op12_conversation_repair,
+        op13_collocations,
     )
     return {query.__name__: query for query in found}
 
