@@ -10,9 +10,10 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ FEWEST = 5
 #: Bits per character by which a format must explain a run better than ordinary runs do.
 MARGIN = 0.5
 
-#: Runs of up to so many characters whose kind a task remembers, as words come again and again.
+#: Class strings of up to so many characters whose kind a task remembers, as words of the same classes come again and again.
 REMEMBERED, REMEMBERED_CHARS = 200_000, 64
 
 _CLASSES = {
@@ -86,8 +87,10 @@ def candidate_spans(text: str, base: Iterable[tuple[str, int, int, str]]) -> lis
 
 def class_pairs(runs: Iterable[str]) -> Counter[str]:
     """How often a class follows another in the runs; ``END`` stands before and after each of them."""
-    classes = END.join(["", *(run.translate(_AS_CLASSES) for run in runs), ""])
-    return Counter(map("".join, zip(classes, classes[1:], strict=False)))
+    classes = END.join(["", *runs, ""]).translate(_AS_CLASSES).encode("ascii")
+    codes = np.frombuffer(classes, np.uint8).astype(np.int32)
+    counts = np.bincount(codes[:-1] * 128 + codes[1:])
+    return Counter({chr(pair >> 7) + chr(pair & 127): int(counts[pair]) for pair in np.flatnonzero(counts)})
 
 
 def symbols(value: str) -> list[str]:
@@ -202,9 +205,13 @@ class Automaton:
 
     def bits(self, value: str) -> float:
         """Information of a string, its end included; classes that a state has not seen get little probability."""
+        return self.bits_of(symbols(value))
+
+    def bits_of(self, classes: Sequence[str]) -> float:
+        """Of a string of these classes, whichever."""
         at, total = self.states[0], 0.0
         unseen = len(_SIZES) + 7
-        for symbol in symbols(value):
+        for symbol in classes:
             chance = (at.count[symbol] + 0.01) / (at.passing + 0.01 * unseen)
             total -= math.log2(chance / _SIZES.get(symbol, 1))
             # After an unseen class the string is read on in the first state.
@@ -235,8 +242,13 @@ class Formats:
 
     def best(self, value: str) -> str | None:
         """The kind whose format explains the run best, if any does so well enough."""
-        plain = self.ordinary.bits(value) / len(value) if self.ordinary else math.log2(68)
-        scores = {kind: a.bits(value) / len(value) for kind, a in self.kinds.items()}
+        return self.best_of(value.translate(_AS_CLASSES))
+
+    def best_of(self, classes: str) -> str | None:
+        """The same for a run of these classes: nothing else of it matters."""
+        size = len(classes)
+        plain = self.ordinary.bits_of(classes) / size if self.ordinary else math.log2(68)
+        scores = {kind: a.bits_of(classes) / size for kind, a in self.kinds.items()}
         fitting = {k: s for k, s in scores.items() if s <= self.limits[k] and s + MARGIN <= plain}
         return min(fitting, key=lambda k: (fitting[k], KINDS.index(k))) if fitting else None
 
@@ -298,13 +310,14 @@ def secret_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         learned, known = formats.value, {}
 
         def kind_of(value: str) -> str | None:
-            if value in known:
-                return known[value]
-            kind = learned.best(value)
-            if len(value) <= REMEMBERED_CHARS:
+            classes = value.translate(_AS_CLASSES)
+            if classes in known:
+                return known[classes]
+            kind = learned.best_of(classes)
+            if len(classes) <= REMEMBERED_CHARS:
                 if len(known) >= REMEMBERED:
                     known.clear()
-                known[value] = kind
+                known[classes] = kind
             return kind
 
         def spans_of(text: str) -> list[dict]:
