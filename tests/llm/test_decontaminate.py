@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,6 +121,40 @@ def test_blocks_cover_the_fingerprint(radius):
     assert len(masks) == radius + 1 and sum(masks) == (1 << 64) - 1 and all(masks)
 
 
+def test_blocks_bring_up_few_others():
+    prints = np.random.default_rng(5).integers(0, 2**63, (2, 20_000), np.uint64) * np.uint64(2)
+    differ = prints[0] ^ prints[1]
+    agree = np.any([differ & np.uint64(mask) == 0 for mask in block_masks(RADIUS)], axis=0)
+    assert 0.02 < agree.mean() < 0.04
+
+
+def test_what_each_source_brings_up(monkeypatch):
+    """Within the radius the blocks alone, beyond it the shingles alone: without the index all that is within it is lost."""
+    rng = random.Random(8)
+    vocabulary = [f"x{i}" for i in range(5_000)]
+    given = [(k, " ".join(rng.choices(vocabulary, k=40))) for k in range(60)]
+    texts = []
+    for k, item in given:
+        words = item.split()
+        for end in range(k % 6):
+            words[end] = "other"
+        texts.append(" ".join([*rng.choices(vocabulary, k=30), *words, *rng.choices(vocabulary, k=30)]))
+    items = Items(given, RADIUS, 0.8)
+
+    def found():
+        return {(n, *m[:2]): m[3] for n, text in enumerate(texts) for m in items.matches(words_of(text))}
+
+    both = found()
+    within = {key for key, bits in both.items() if bits <= RADIUS}
+    assert set(key[1] for key in both) == {k for k, _ in given if k % 6 < 5}
+    assert len(within) >= 25 and len(both) - len(within) >= 5
+    monkeypatch.setattr(Items, "_near", lambda *_: set())
+    assert not within & set(found()) and set(both) - within <= set(found())
+    monkeypatch.undo()
+    monkeypatch.setattr(Items, "_sharing", lambda *_: {})
+    assert set(found()) == within
+
+
 def test_long_text_and_repeats():
     item = " ".join(f"p{i}" for i in range(30))
     items = Items([(1, item)], RADIUS, 0.8)
