@@ -22,6 +22,9 @@ from heliovane.llm.simhash import simhash_representatives
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Characters of the shortest line that the line stage takes out.
+LINE_CHARS = 20
+
 #: Documents to leave out whose keys are broadcast; more are left out by a shuffle join.
 BROADCAST_DOCUMENTS = 1_000_000
 
@@ -52,17 +55,19 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble does not reject. It learns from the labelled documents of the input."""
     model = fit_rules(training_sample(docs, table(spark, sf_dir, "labels")))
-    scored = quality_scores(docs, model)
-    return scored.where(F.col("quality_score") >= THRESHOLD).select(docs.columns)
+    # The row as a whole, so that no column of it is taken for the score.
+    scored = quality_scores(_keyed(docs).select("row", F.col("row.text").alias("text")), model)
+    return scored.where(F.col("quality_score") >= THRESHOLD).select("row.*")
 
 
 @_stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that repeat or nearly repeat an earlier line of the table.
+    """All documents, without the lines of 20 characters or more that repeat or nearly repeat an earlier line of the table.
 
-    A text that loses no line stays as it is. One that loses all keeps its row with an empty text. ``n_chars`` follows the text.
+    Shorter lines are headings and answers that may well occur again. A text that loses no line stays as it is. One that
+    loses all keeps its row with an empty text. ``n_chars`` follows the text.
     """
-    gone = near_lines(docs).where(~F.col("kept"))
+    gone = near_lines(docs).where(~F.col("kept") & (F.col("n_chars") >= LINE_CHARS))
     gone = gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("gone_lines"))
     joined = same_document(_keyed(docs), gone, "left")
     text, untouched = F.col("row.text"), F.col("gone_lines").isNull()

@@ -1,44 +1,48 @@
 """Near-duplicate lines through a segment-partition edit join. Only DataFrame and SQL functions are used.
 
-A line is cut into ``threshold + 1`` even segments. A partner within the threshold contains at least one of them
-unchanged, shifted by no more than the edits on either side allow, so every line is indexed by its segments and probed by
-those of its substrings that can stand for a segment of a line at most ``threshold`` shorter. Candidates are verified with a
-bit-parallel edit distance that keeps only the diagonals within the threshold.
+Lines are sequences of words, and an edit inserts, deletes or replaces one. The more words a line has the more edits may part
+it from a near one. The shorter line of a pair is cut into ``threshold + 1`` even segments. A partner within the threshold
+contains at least one of them unchanged, shifted by no more than the edits on either side allow, so every line is indexed by
+its segments and probed by those of its runs of words that can stand for a segment of a line at most ``threshold`` words
+shorter. Candidates are verified with a bit-parallel edit distance that keeps only the diagonals within the threshold.
+
+Keys that many lines have are split by words: of the words of two near lines, taken from the rarest on, the first that both
+have is among the first ``threshold + 1`` of either. In each part lines are linked to the one with the most common words
+first, and only lines that no chain of links connects are then compared with one another.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heliovane.llm.common import let, stored
 from heliovane.llm.components import connected_components
 
-#: Edits within which two lines are near.
-THRESHOLD = 2
-
-#: Shorter lines carry too little to be called copies and are left alone.
-MIN_CHARS = 20
+#: Words from which lines may differ in so many edits; lines of fewer words are near only to themselves.
+THRESHOLDS = ((5, 1), (16, 2))
 
-#: Index entries of a key that are joined directly. Larger keys are first split by the lines' sketches.
-KEY_LIMIT = 16
+#: Index entries of a key that are joined as they are. Larger keys are split.
+KEY_LIMIT = 2
 
 #: Candidate lines whose ids are broadcast; beyond it their texts are found with a shuffle join.
 BROADCAST_LINES = 1_000_000
 
+Thresholds = tuple[tuple[int, int], ...]
+
 _LINE_NUMBERS = 1 << 32
 #: Above every id.
 _NO_ID = str(1 << 63)
 
 
-def line_occurrences(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = MIN_CHARS
-) -> DataFrame:
-    """``doc_id, text_hash, line_no, place, line`` for every line of ``min_chars`` or more, without the white
-    space around it. ``place`` orders lines by document and number, null ids last."""
-    text = F.col(text_column)
+def line_occurrences(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``doc_id, text_hash, line_no, place, line`` for every line that is not blank, without the white space around it.
+    ``place`` orders lines by document and number, null ids last."""
+    text = F.col(f"`{text_column}`")
     rows = docs.select(
-        F.col(id_column).alias("doc_id"),
+        F.col(f"`{id_column}`").alias("doc_id"),
         F.xxhash64(text).alias("text_hash"),
         F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("line_no", "raw"),
     )
@@ -49,8 +53,18 @@ def line_occurrences(
     rows = rows.withColumn("line", F.when(padded, trimmed).otherwise(F.col("raw")))
     order = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(_NO_ID).cast("decimal(20,0)"))
     place = (order * F.lit(_LINE_NUMBERS) + F.col("line_no")).cast("decimal(38,0)")
-    rows = rows.where(F.char_length("line") >= min_chars)
-    return rows.select("doc_id", "text_hash", "line_no", place.alias("place"), "line")
+    return rows.where("line <> ''").select("doc_id", "text_hash", "line_no", place.alias("place"), "line")
+
+
+def words_of(line: Column) -> Column:
+    """The words of a line; two blanks have an empty one between them, so that equal words mean equal lines."""
+    return F.split(line, " ")
+
+
+def threshold_of(words: Column, thresholds: Thresholds) -> Column:
+    """Edits that may part a line of so many words from a near one of as many or more."""
+    steps = sorted(thresholds, reverse=True)
+    return reduce(lambda column, step: column.when(words >= step[0], step[1]), steps, F.when(F.lit(False), 0)).otherwise(0)
 
 
 def _identity(line: Column) -> list[Column]:
@@ -58,62 +72,73 @@ def _identity(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit("line"), line).alias("h2")]
 
 
-def _with_keys(lines: DataFrame, pieces: list[tuple[int, int, int]], threshold: int, keep: dict[str, Column]) -> DataFrame:
-    """A row with the column ``key`` for each line and piece ``(segment, shorter, shift)``.
+def _with_keys(
+    lines: DataFrame, pieces: list[tuple[int, int, int, int]], thresholds: Thresholds, name: str
+) -> DataFrame:
+    """``name, key`` for each line and each piece ``(threshold, segment, shorter, shift)`` that concerns it.
 
-    The key hashes the segment's number, a size ``shorter`` than the line's by so much, and the part of the line where that
-    segment of a line of that size would be, shifted. Sizes are cut evenly, the longer segments last.
+    The key hashes the segment's number, a size ``shorter`` than the line's by so much, and the run of words where that
+    segment of a line of that size would be, shifted. Sizes are cut evenly, the longer segments last. A piece concerns lines
+    of whose size less ``shorter`` its threshold is the one.
     """
-    parts = threshold + 1
-    numbers, shorter, shifts = (F.array(*map(F.lit, column)) for column in zip(*pieces, strict=True))
-    rows = lines.select("*", F.explode(F.lit(list(range(1, len(pieces) + 1)))).alias("piece"))
-    segment, size = F.element_at(numbers, F.col("piece")), F.col("size") - F.element_at(shorter, F.col("piece"))
-    rows = rows.withColumns({"segment": segment, "of_size": size.cast("int")})
-    short = F.floor(F.col("of_size") / parts).cast("int")
-    longer = F.col("of_size") - short * parts - (F.lit(parts) - F.col("segment"))
-    first = F.col("segment") * short + F.greatest(longer, F.lit(0)) + 1 + F.element_at(shifts, F.col("piece"))
-    length = short + F.when(longer >= 0, 1).otherwise(0)
-    key = F.xxhash64("segment", "of_size", F.substring(F.col("line"), first, length)).alias("key")
-    return rows.select(*[column.alias(name) for name, column in keep.items()], key)
-
-
-def index_keys(lines: DataFrame, threshold: int, keep: dict[str, Column]) -> DataFrame:
+    given = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(p, ("t", "k", "d", "shift"), strict=True)]) for p in pieces])
+    concerned = F.filter(given, lambda p: threshold_of(F.col("size") - p["d"], thresholds) == p["t"])
+    rows = lines.select(F.col("line_id").alias(name), "size", "hashes", F.explode(concerned).alias("piece"))
+    parts, of_size = F.col("piece.t") + 1, F.col("size") - F.col("piece.d")
+    rows = rows.withColumns({"parts": parts, "of_size": of_size, "short": F.floor(of_size / parts).cast("int")})
+    longer = F.col("of_size") - F.col("short") * F.col("parts") - (F.col("parts") - F.col("piece.k"))
+    first = F.col("piece.k") * F.col("short") + F.greatest(longer, F.lit(0)) + 1 + F.col("piece.shift")
+    length = F.col("short") + F.when(longer >= 0, 1).otherwise(0)
+    return rows.select(name, F.xxhash64("piece.k", "of_size", F.slice("hashes", first, length)).alias("key"))
+
+
+def index_keys(lines: DataFrame, thresholds: Thresholds, name: str = "line_id") -> DataFrame:
     """Keys of the lines' segments."""
-    return _with_keys(lines, [(k, 0, 0) for k in range(threshold + 1)], threshold, keep)
+    pieces = [(t, k, 0, 0) for t in _edits(thresholds) for k in range(t + 1)]
+    return _with_keys(lines, pieces, thresholds, name)
 
 
-def probe_keys(lines: DataFrame, threshold: int, keep: dict[str, Column]) -> DataFrame:
-    """Keys under which partners of the same size or up to ``threshold`` shorter would be indexed.
+def probe_keys(lines: DataFrame, thresholds: Thresholds, name: str = "other") -> DataFrame:
+    """Keys under which partners of the same size or up to the threshold shorter would be indexed.
 
-    With ``d`` the difference in size, segment ``k`` (from 0) can be shifted by at most ``k`` edits before it and by at most
-    ``threshold - k`` after it, whichever leaves fewer positions.
+    With ``d`` the difference in size and ``t`` the threshold, segment ``k`` (from 0) can be shifted by at most ``k`` edits
+    before it and by at most ``t - k`` after it, whichever leaves fewer positions.
     """
     pieces = [
-        (k, d, shift)
-        for d in range(threshold + 1)
-        for k in range(threshold + 1)
-        for shift in range(max(-k, d - threshold + k), min(k, d + threshold - k) + 1)
+        (t, k, d, shift)
+        for t in _edits(thresholds)
+        for d in range(t + 1)
+        for k in range(t + 1)
+        for shift in range(max(-k, d - t + k), min(k, d + t - k) + 1)
     ]
-    return _with_keys(lines, pieces, threshold, keep)
+    return _with_keys(lines, pieces, thresholds, name)
+
+
+def _edits(thresholds: Thresholds) -> list[int]:
+    return sorted({t for _, t in thresholds})
 
 
-def sketch(chars: Column) -> Column:
-    """64 bits, each the parity of how often the characters of its class occur: one edit flips at most two."""
+def hashes_of(line: Column) -> Column:
+    return F.transform(words_of(line), lambda word: F.xxhash64(word))
 
-    def flip(bits: Column, char: Column) -> Column:
-        place = F.pmod(F.ascii(char) * 37, F.lit(64))
+
+def sketch(hashes: Column) -> Column:
+    """64 bits, each the parity of how often the words of its class occur: one edit flips at most two."""
+
+    def flip(bits: Column, word: Column) -> Column:
+        place = word.bitwiseAND(F.lit(63)).cast("int")
         return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), place))
 
-    return F.aggregate(chars, F.lit(0).cast("bigint"), flip)
+    return F.aggregate(hashes, F.lit(0).cast("bigint"), flip)
 
 
 def banded_distance(a: Column, b: Column, threshold: int) -> Column:
-    """Edit distance of two arrays of characters if it is at most ``threshold``, else something larger.
+    """Edit distance of two arrays if it is at most ``threshold``, else something larger.
 
     Two words hold the vertical differences of the ``2 * threshold + 1`` diagonals around the main one, the lowest
-    diagonal in the top bit. One step per character of ``b`` moves this band one row down; the carry of an addition runs
+    diagonal in the top bit. One step per element of ``b`` moves this band one row down; the carry of an addition runs
     along matching diagonals. The distance is followed on the lowest diagonal until that reaches the last row of
-    ``a``, and along this row afterwards. ``a`` needs more than ``2 * threshold`` characters.
+    ``a``, and along this row afterwards. ``a`` needs more than ``2 * threshold`` elements.
     """
     width = 2 * threshold + 1
     full, top = (1 << width) - 1, 1 << (width - 1)
@@ -125,10 +150,10 @@ def banded_distance(a: Column, b: Column, threshold: int) -> Column:
     def step(state: Column, i: Column) -> Column:
         vp, vn = state["vp"], state["vn"]
 
-        def matches(char: Column) -> Column:
+        def matches(word: Column) -> Column:
             found = F.lit(0)
             for k in range(width):
-                found = found + F.when(F.get(a, i + threshold - k) == char, top >> k).otherwise(0)
+                found = found + F.when(F.get(a, i + threshold - k) == word, top >> k).otherwise(0)
             return found
 
         def diagonal(match: Column) -> Column:
@@ -161,116 +186,120 @@ def banded_distance(a: Column, b: Column, threshold: int) -> Column:
     return F.when(F.abs(rows - columns) > threshold, threshold + 1).otherwise(distance)
 
 
-def _stripped(a: Column, b: Column, keep: int) -> Column:
-    """``a`` and ``b`` without their common start, of which the last ``keep`` characters stay. Edit distances stay as they are."""
-    shorter = F.least(F.char_length(a), F.char_length(b))
-    powers = F.transform(F.sequence(F.lit(20), F.lit(0)), lambda k: F.call_function("shiftleft", F.lit(1), k))
+def _stripped(pair: Column, keep: int) -> Column:
+    """The arrays ``a`` and ``b`` of a pair, each backwards, without their common start, of which the last ``keep`` elements
+    stay. Edit distances stay as they are."""
+    same = F.zip_with(pair["a"], pair["b"], lambda x, y: x.eqNullSafe(y))
+    start = F.greatest(F.array_position(same, False).cast("int") - keep, F.lit(1))
 
-    def longer(shared: Column, step: Column) -> Column:
-        size = shared + step
-        return F.when((size <= shorter) & (F.left(a, size) == F.left(b, size)), size).otherwise(shared)
+    def rest(name: str) -> Column:
+        return F.reverse(F.slice(pair[name], start, F.size(pair[name]))).alias(name)
 
-    start = F.greatest(F.aggregate(powers, F.lit(0), longer) - keep, F.lit(0)) + 1
-    whole = F.lit(2**31 - 1)
-    return let(start, lambda at: F.struct(F.substring(a, at, whole).alias("a"), F.substring(b, at, whole).alias("b")))
+    return F.struct(rest("a"), rest("b"))
 
 
-def within(a: Column, b: Column, threshold: int) -> Column:
-    """Whether two lines of more than ``2 * threshold`` characters are within ``threshold`` edits.
+def within(a: Column, b: Column, threshold: int, most: Column | int) -> Column:
+    """Whether two different lines of more than ``2 * threshold`` words are within ``most`` edits, ``threshold`` or fewer.
 
-    What both begin and end with is left out first; enough of it stays for the band.
+    The words that both begin and end with are left out first; enough of them stays for the band.
     """
     keep = 2 * threshold + 1
-
-    def middle(pair: Column) -> Column:
-        return _stripped(F.reverse(pair["a"]), F.reverse(pair["b"]), keep)
+    words = F.struct(words_of(a).alias("a"), words_of(b).alias("b"))
 
     def compared(pair: Column) -> Column:
-        chars = F.struct(F.split(pair["a"], "").alias("a"), F.split(pair["b"], "").alias("b"))
-        return let(chars, lambda c: banded_distance(c["a"], c["b"], threshold) <= threshold)
+        return banded_distance(pair["a"], pair["b"], threshold) <= most
 
-    return let(let(_stripped(a, b, keep), middle), compared)
+    return let(let(words, lambda p: _stripped(p, keep)), lambda p: let(_stripped(p, keep), compared))
 
 
 def _pair(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("line_id"), F.greatest(a, b).alias("other")]
 
 
-def candidate_pairs(lines: DataFrame, threshold: int, limit: int = KEY_LIMIT) -> tuple[DataFrame, DataFrame | None]:
-    """``line_id, other`` for pairs of distinct lines (``line_id, line, size``) that may be near, and the lines of hot keys.
-
-    A key with more than ``limit`` index entries is not joined as it is: its lines would meet all at once. One of its entries
-    tells which lines probe it. These come out as ``key, part, bits, line_id, sketch, probes``, once for each of
-    ``2 * threshold + 1`` parts of their sketches: sketches of near lines differ in at most ``2 * threshold`` bits, so near
-    lines of a key agree in some part.
+def candidate_pairs(
+    lines: DataFrame, thresholds: Thresholds, limit: int = KEY_LIMIT
+) -> tuple[DataFrame, DataFrame | None]:
+    """``line_id, other`` for pairs of distinct lines (``line_id, line, size, hashes``) that may be near, and the lines of hot
+    keys: those with more than ``limit`` index entries, two at most. These come out as ``key, line_id, probes``, once as
+    probing the key and once as indexed by it.
     """
-    entries = index_keys(lines, threshold, {"line_id": F.col("line_id")})
-    by_key = Window.partitionBy("key")
-    entries = entries.withColumns(
-        {
-            "hot": F.count(F.lit(1)).over(by_key) > limit,
-            "first": F.row_number().over(by_key.orderBy("line_id")) == 1,
-        }
+    entries = index_keys(lines, thresholds)
+    keys = entries.groupBy("key").agg(
+        F.count(F.lit(1)).alias("entries"), F.min("line_id").alias("first"), F.max("line_id").alias("last")
     )
-    probes = probe_keys(lines, threshold, {"other": F.col("line_id")})
-    met = entries.where("not hot or first").join(probes, "key").where("hot or line_id <> other")
-    met = stored(met, "line-met")
-    pairs = met.where("not hot").select(*_pair(F.col("line_id"), F.col("other"))).distinct()
+    hot = F.col("entries") > min(limit, 2)
+    met = keys.join(probe_keys(lines, thresholds), "key").where(hot | (F.col("first") != F.col("other")) | (F.col("entries") > 1))
+    met = stored(met.withColumn("hot", hot), "line-met")
+    both = met.where("not hot").select("other", F.explode(F.array("first", "last")).alias("line_id"))
+    pairs = both.where("line_id <> other").select(*_pair(F.col("line_id"), F.col("other"))).distinct()
     if met.where("hot").isEmpty():
         return pairs, None
-    probing = met.where("hot").select("key", F.col("other").alias("line_id"), F.lit(True).alias("probes")).distinct()
-    indexed = entries.where("hot").select("key", "line_id", F.lit(False).alias("probes"))
-    hot = stored(probing.unionByName(indexed), "line-hot")
-    texts = texts_of(lines, hot.select("line_id"))
-    texts = stored(texts.select("line_id", sketch(F.split("line", "")).alias("sketch")), "line-sketches")
-    parts = [
-        F.struct(F.lit(k).alias("part"), F.col("sketch").bitwiseAND(F.lit(mask)).alias("bits"))
-        for k, mask in enumerate(_part_masks(threshold))
-    ]
-    hot = hot.join(texts, "line_id").select("key", "line_id", "sketch", "probes", F.inline(F.array(*parts)))
-    return pairs, stored(hot, "line-parts")
+    probing = met.where("hot").select("key", F.col("other").alias("line_id"), F.lit(True).alias("probes"))
+    known = met.where("hot").select("key").distinct()
+    indexed = entries.join(known, "key", "left_semi").select("key", "line_id", F.lit(False).alias("probes"))
+    return pairs, stored(probing.unionByName(indexed).distinct(), "line-hot")
 
 
-def _part_masks(threshold: int) -> list[int]:
-    """Parts of a sketch that share no bit; the sign bit is left to none."""
-    parts = 2 * threshold + 1
-    return [sum(1 << b for b in range(k, 63, parts)) for k in range(parts)]
+def split_keys(lines: DataFrame, hot: DataFrame, thresholds: Thresholds) -> DataFrame:
+    """The rows of hot keys for each part of their key: ``part, line_id, probes, sketch, size, weight``.
 
-
-def star_pairs(hot: DataFrame) -> DataFrame:
-    """Every line that probes a hot key with the first line indexed there that agrees in a part: as many rows as lines."""
-    key = ["key", "part", "bits"]
-    centres = hot.where("not probes").groupBy(*key).agg(F.min("line_id").alias("centre"))
-    rows = hot.where("probes").join(centres, key).where("line_id <> centre")
+    Each of a line's words rarer than the first that it shares with a near one was lost by an edit. So near lines meet in the
+    part of a word that is among the ``threshold + 1`` rarest of both; lines of so few words that none need be shared
+    meet in a part of their own. Rarity is that among the lines of hot keys. ``weight`` is that of a line's rarest word.
+    """
+    most = max(_edits(thresholds))
+    texts = texts_of(lines, hot.select("line_id"))
+    own = texts.select("line_id", F.explode(F.array_distinct("hashes")).alias("word"))
+    counts = own.groupBy("word").agg(F.count(F.lit(1)).alias("lines"))
+    rarest = F.array_sort(F.collect_list(F.struct("lines", "word")))
+    ranked = own.join(counts, "word").groupBy("line_id").agg(rarest.alias("rarest"))
+    few = F.when(F.size("rarest") <= 2 * most, F.array(F.lit(None).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
+    first = F.transform(F.slice("rarest", 1, most + 1), lambda w: w["word"])
+    ranked = ranked.select("line_id", F.concat(first, few).alias("parts"), F.col("rarest")[0]["lines"].alias("weight"))
+    about = texts.select("line_id", "size", sketch(F.col("hashes")).alias("sketch")).join(ranked, "line_id")
+    rows = hot.join(stored(about, "line-hot-words"), "line_id").withColumn("word", F.explode("parts"))
+    # One value to join on; no word is another part than any word.
+    part = F.xxhash64("key", F.col("word").isNull(), "word").alias("part")
+    return stored(rows.select(part, "line_id", "probes", "sketch", "size", "weight"), "line-parts")
+
+
+def star_pairs(parts: DataFrame) -> DataFrame:
+    """Every line that probes a part of a hot key with one line indexed there: as many rows as lines.
+
+    That one has the most common words. Of many variants of a line it is the one that differs least from most.
+    """
+    order = F.struct("weight", (-F.col("line_id")).alias("earlier"))
+    centres = parts.where("not probes").groupBy("part").agg((-F.max(order)["earlier"]).alias("centre"))
+    rows = parts.where("probes").join(centres, "part").where("line_id <> centre")
     return rows.select(*_pair(F.col("line_id"), F.col("centre"))).distinct()
 
 
-def missing_pairs(hot: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+def missing_pairs(parts: DataFrame, classes: DataFrame, thresholds: Thresholds) -> DataFrame:
     """The pairs of hot keys that may be near and whose lines no chain of links connects yet.
 
-    In a group of many lines near each other the stars have connected nearly all, so its pairs do not come up.
+    In a part of many lines near each other the stars have connected nearly all, so its pairs do not come up.
     """
     known = classes.withColumnRenamed("node", "line_id")
-    named = hot.join(known, "line_id", "left").withColumn("class", F.coalesce("component", "line_id"))
-    names = ["line_id", "sketch", "class"]
-    asking = named.where("probes").select("key", "part", "bits", *[F.col(n).alias(f"other_{n}") for n in names])
-    differ = F.col("sketch").bitwiseXOR(F.col("other_sketch"))
-    condition = (F.col("class") != F.col("other_class")) & (F.bit_count(differ) <= 2 * threshold)
-    for k, mask in enumerate(_part_masks(threshold)):
-        # A pair that agrees in several parts comes up in the first.
-        condition = condition & ((F.col("part") <= k) | (differ.bitwiseAND(F.lit(mask)) != 0))
-    met = named.where("not probes").join(asking, ["key", "part", "bits"]).where(condition)
+    named = parts.join(known, "line_id", "left").withColumn("class", F.coalesce("component", "line_id"))
+    names = ["line_id", "sketch", "size", "class"]
+    asking = named.where("probes").select("part", *[F.col(n).alias(f"other_{n}") for n in names])
+    flips = F.bit_count(F.col("sketch").bitwiseXOR(F.col("other_sketch")))
+    allowed = threshold_of(F.least("size", "other_size"), thresholds)
+    met = named.where("not probes").join(asking, "part")
+    met = met.where((F.col("class") != F.col("other_class")) & (flips <= 2 * allowed))
     return met.select(*_pair(F.col("line_id"), F.col("other_line_id"))).distinct()
 
 
-def line_classes(lines: DataFrame, threshold: int, limit: int = KEY_LIMIT) -> DataFrame:
+def line_classes(lines: DataFrame, thresholds: Thresholds = THRESHOLDS, limit: int = KEY_LIMIT) -> DataFrame:
     """``node, component`` for every distinct line with a link."""
-    pairs, hot = candidate_pairs(lines, threshold, limit)
+    pairs, hot = candidate_pairs(lines, thresholds, limit)
     if hot is None:
-        return connected_components(verified_links(lines, pairs, threshold))
-    links = stored(verified_links(lines, pairs.unionByName(star_pairs(hot)).distinct(), threshold), "line-links")
-    more = verified_links(lines, missing_pairs(hot, connected_components(links), threshold), threshold)
-    return connected_components(links.unionByName(more))
+        return connected_components(verified_links(lines, pairs, thresholds))
+    parts = split_keys(lines, hot, thresholds)
+    first = pairs.unionByName(star_pairs(parts)).distinct()
+    links = stored(verified_links(lines, first, thresholds), "line-links")
+    more = missing_pairs(parts, connected_components(links), thresholds)
+    return connected_components(links.unionByName(verified_links(lines, more, thresholds)))
 
 
 def texts_of(lines: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -281,54 +310,54 @@ def texts_of(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     return stored(lines.join(ids, "line_id", "left_semi"), "line-texts")
 
 
-def verified_links(lines: DataFrame, pairs: DataFrame, threshold: int) -> DataFrame:
-    """The pairs whose lines are within ``threshold`` edits. Only lines of some pair are looked up."""
+def verified_links(lines: DataFrame, pairs: DataFrame, thresholds: Thresholds) -> DataFrame:
+    """The pairs whose lines are within their threshold. Only lines of some pair are looked up."""
     pairs = stored(pairs, "line-candidates")
     texts = texts_of(lines, pairs.select("line_id").union(pairs.select("other")))
-    texts = texts.select("line_id", "line", sketch(F.split("line", "")).alias("sketch"))
-    others = texts.toDF("other", "line2", "sketch2")
+    texts = texts.select("line_id", "line", "size", sketch(F.col("hashes")).alias("sketch"))
+    others = texts.toDF("other", "line2", "size2", "sketch2")
     both = pairs.join(texts, "line_id").join(others, "other")
-    close = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sketch2"))) <= 2 * threshold
+    both = both.withColumn("most", threshold_of(F.least("size", "size2"), thresholds))
+    close = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sketch2"))) <= 2 * F.col("most")
     # Few bytes but much work: dealt evenly, so that adaptive execution does not put all pairs into one task.
     tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    both = both.where(close).select("line_id", "other", "line", "line2").repartition(tasks, "line_id", "other")
+    both = both.where(close).select("line_id", "other", "line", "line2", "most").repartition(tasks, "line_id", "other")
     both = stored(both, "line-compared")
-    return both.where(within(F.col("line"), F.col("line2"), threshold)).select("line_id", "other")
+    near = within(F.col("line"), F.col("line2"), max(_edits(thresholds)), F.col("most"))
+    return both.where(near).select("line_id", "other")
 
 
 def near_lines(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    threshold: int = THRESHOLD,
-    min_chars: int = MIN_CHARS,
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", thresholds: Thresholds = THRESHOLDS
 ) -> DataFrame:
-    """One row per line of ``min_chars`` characters or more:
-    ``doc_id, text_hash, line_no, class_doc_id, class_line_no, lines, texts, kept``.
-
-    Lines belong to one class if a chain of links connects them, a link being at most ``threshold`` edits (characters
-    inserted, deleted or replaced) between lines without the white space around them. The class is named by its first line
-    in the order of document and line number, which alone is kept; ``lines`` counts its lines, ``texts`` the different
-    ones. Line numbers start at 0. Null and empty texts have no lines. Repeated rows agree in all columns, so they keep
+    """One row per line that is not blank:
+    ``doc_id, text_hash, line_no, n_chars, class_doc_id, class_line_no, lines, texts, kept``.
+
+    Lines belong to one class if a chain of links connects them. A link is between equal lines, without the white space around
+    them, or between lines that at most so many words inserted, deleted or replaced part: one for lines of 5 words or more,
+    two if both have 16 or more (``thresholds``). The class is named by its first line in the order of document and line
+    number, which alone is kept; ``lines`` counts its lines, ``texts`` the different ones, ``n_chars`` the characters of the
+    line. Line numbers start at 0. Null and empty texts have no lines. Repeated rows agree in all columns, so they keep
     the same lines; a null id comes after all others. An empty table gives an empty result; other columns are ignored.
 
     Equal lines are combined before they are shuffled. Only distinct lines enter the join.
     """
-    if min_chars <= 2 * threshold:
-        raise ValueError("lines need more than twice the threshold in characters")
-    found = line_occurrences(docs, id_column, text_column, min_chars)
+    if min(words for words, _ in thresholds) <= 2 * max(_edits(thresholds)):
+        raise ValueError("lines need more than twice the threshold in words")
+    found = line_occurrences(docs, id_column, text_column)
     distinct = found.groupBy("line").agg(F.count(F.lit(1)).alias("copies"), F.min("place").alias("first"))
     distinct = distinct.select(
         F.monotonically_increasing_id().alias("line_id"),
         "line",
-        F.char_length("line").alias("size"),
+        F.size(words_of(F.col("line"))).alias("size"),
         *_identity(F.col("line")),
         "copies",
         "first",
     )
     distinct = stored(distinct, "lines")
-    lines = distinct.select("line_id", "line", "size")
-    classes = line_classes(lines, threshold)
+    shortest = min(words for words, _ in thresholds)
+    lines = distinct.where(F.col("size") >= shortest)
+    classes = line_classes(lines.select("line_id", "line", "size", hashes_of(F.col("line")).alias("hashes")), thresholds)
     known = distinct.join(classes.withColumnRenamed("node", "line_id"), "line_id", "left").select(
         "h1", "h2", "copies", "first", F.coalesce("component", "line_id").alias("class")
     )
@@ -337,12 +366,14 @@ def near_lines(
         F.sum("copies").alias("lines"), F.count(F.lit(1)).alias("texts"), F.min("first").alias("class_place")
     )
     known = known.join(totals, "class").select("h1", "h2", "class_place", "lines", "texts")
-    rows = found.select("doc_id", "text_hash", "line_no", "place", *_identity(F.col("line")))
+    size = F.char_length("line").alias("n_chars")
+    rows = found.select("doc_id", "text_hash", "line_no", "place", size, *_identity(F.col("line")))
     order = F.floor(F.col("class_place") / _LINE_NUMBERS)
     return rows.join(known, ["h1", "h2"]).select(
         "doc_id",
         "text_hash",
         "line_no",
+        "n_chars",
         F.when(order < F.lit(_NO_ID).cast("decimal(20,0)"), order.cast("bigint")).alias("class_doc_id"),
         (F.col("class_place") - order * _LINE_NUMBERS).cast("int").alias("class_line_no"),
         "lines",

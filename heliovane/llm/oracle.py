@@ -3,27 +3,21 @@
 from __future__ import annotations
 
 from heliovane.llm.conversations import DELETE, INSERT, REROLE, UNFINISHED
-from heliovane.llm.lines import MIN_CHARS, THRESHOLD
+from heliovane.llm.lines import THRESHOLDS
 from heliovane.llm.phrases import ABSORBED, LEAST, LONGEST, NO_LANGUAGE, SCORE_UNIT, TOP
 from heliovane.llm.suffixes import WINDOW
 
-# DuckDB counts bytes in an edit distance; small letters of two bytes become control characters first.
-_ACCENTED = "àâäáçèéêëíîïñóôöùúûüßæœ"
-_CONTROLS = [*range(1, 9), *range(14, 32)]
-
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _single_bytes(text: str) -> str:
-    for letter, code in zip(_ACCENTED, _CONTROLS, strict=False):
-        text = f"replace({text}, '{letter}', chr({code}))"
-    return text
-
-
-def line_dedup(threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> str:
-    parts = threshold + 1
+def line_dedup(thresholds: tuple[tuple[int, int], ...] = THRESHOLDS) -> str:
+    steps = " ".join(f"WHEN n >= {words} THEN {edits}" for words, edits in sorted(thresholds, reverse=True))
+    most = max(edits for _, edits in thresholds)
+    # A segment of the shorter line stands somewhere in the longer one.
     pieces = " OR ".join(
-        f"contains(b.x, a.x[{k} * (a.n // {parts}) + 1 : {k + 1} * (a.n // {parts})])" for k in range(parts)
+        f"({k} <= a.t AND contains(b.spaced, ' ' || array_to_string("
+        f"a.w[{k} * (a.n // (a.t + 1)) + 1 : {k + 1} * (a.n // (a.t + 1))], ' ') || ' '))"
+        for k in range(most + 1)
     )
     return f"""WITH RECURSIVE
 split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
@@ -31,16 +25,35 @@ numbered AS (SELECT doc_id, unnest(range(len(lines))) AS line_no, unnest(lines)
 found AS (
   SELECT doc_id, line_no, trim(raw, ' ' || chr(9) || chr(13)) AS line,
          (doc_id IS NULL, doc_id, line_no) AS place
-  FROM numbered WHERE length(trim(raw, ' ' || chr(9) || chr(13))) >= {min_chars}),
+  FROM numbered WHERE trim(raw, ' ' || chr(9) || chr(13)) <> ''),
 texts AS (
-  SELECT row_number() OVER (ORDER BY line) AS id, line, length(line) AS n, count(*) AS copies, min(place) AS first,
-         {_single_bytes("line")} AS x
+  SELECT row_number() OVER (ORDER BY line) AS id, line, string_split(line, ' ') AS w, ' ' || line || ' ' AS spaced,
+         count(*) AS copies, min(place) AS first
   FROM found GROUP BY line),
-offsets AS (SELECT unnest(range({-threshold}, {threshold + 1})) AS d),
-links AS (
-  SELECT a.id AS a, b.id AS b
-  FROM texts a, offsets o, texts b
-  WHERE b.n = a.n + o.d AND a.id <> b.id AND ({pieces}) AND levenshtein(a.x, b.x) <= {threshold}),
+sized AS (SELECT *, len(w) AS n FROM texts),
+limited AS (SELECT *, CASE {steps} ELSE 0 END AS t FROM sized),
+offsets AS (SELECT unnest(range({most + 1})) AS d),
+pairs AS (
+  SELECT a.id AS a, b.id AS b, a.w AS v, b.w AS w, a.t AS t
+  FROM limited a, offsets o, limited b
+  WHERE b.n = a.n + o.d AND o.d <= a.t AND a.t > 0 AND (a.id < b.id OR o.d > 0) AND ({pieces})),
+reach AS (
+  SELECT a, b, v, w, t, 0 AS edits, 0::BIGINT AS i, 0::BIGINT AS j FROM pairs
+  UNION
+  SELECT a, b, v, w, t, edits + 1, i + di, j + dj
+  FROM (
+    SELECT a, b, v, w, t, edits, i + same AS i, j + same AS j
+    FROM (
+      SELECT *, coalesce(
+               list_position(list_transform(range(least(len(v) - i, len(w) - j)), lambda k: v[i + k + 1] = w[j + k + 1]), false) - 1,
+               least(len(v) - i, len(w) - j)) AS same
+      FROM reach)
+    WHERE edits < t), (VALUES (0, 1), (1, 0), (1, 1)) AS moves(di, dj)
+  WHERE i + di <= len(v) AND j + dj <= len(w)),
+near AS (
+  SELECT DISTINCT a, b FROM reach
+  WHERE len(v) - i = len(w) - j AND v[i + 1 :] = w[j + 1 :]),
+links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
 reached AS (
   SELECT id, id AS root FROM texts
   UNION
@@ -72,7 +85,8 @@ SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_re
        coalesce(n_spans, 0)::BIGINT AS n_spans,
        CASE WHEN n_spans IS NULL THEN sha256(unhex(h)) ELSE sha256(unhex(array_to_string(list_transform(
          list_zip(list_prepend(0, b), list_append(a, length(h) // 2)),
-         lambda x: substr(h, 2 * x[1] + 1, 2 * (x[2] - x[1]))), ''))) END AS kept_sha256
+         lambda x: substr(h, 2 * x[1] + 1, 2 * (x[2] - x[1]))), ''))) END AS kept_sha256,
+       (length(h) // 2 - coalesce(n_removed, 0))::BIGINT AS n_kept
 FROM docs LEFT JOIN cuts USING (r)"""
 
 

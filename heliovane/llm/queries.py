@@ -43,7 +43,7 @@ def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_lines(table(spark, sf_dir, "documents")).drop("text_hash")
+    return near_lines(table(spark, sf_dir, "documents")).drop("text_hash", "n_chars")
 
 
 def op4_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +80,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
         F.size("removed").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.octet_length("kept").cast("bigint").alias("n_kept"),
     )
 
 
