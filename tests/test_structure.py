@@ -1,0 +1,172 @@
+"""Cutting historical JSON by its structure, with splits so small that they begin anywhere."""
+
+from __future__ import annotations
+
+import gzip
+import json
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from heliovane.operators.silver import flatten_history
+from heliovane.sources import structure
+from heliovane.sources.bronze import read_history
+from heliovane.sources.structure import cut_records
+
+NASTY = ['{"dt":1}', "}{", '\\', '\\\\"', '"', "[{", "]},{", " é\U0001f600", "\\u007b", "\n{\t}", "", 'a "b\\" {c}']
+
+
+def compact(value) -> str:
+    return json.dumps(value, separators=(",", ":"), ensure_ascii=False)
+
+
+def nasty_record(dt: int, rng: random.Random) -> dict:
+    """Keys in any order, the first one often that of a nested object, strings full of braces, quotes and escapes."""
+
+    def anything(depth: int):
+        kind = rng.randrange(6 if depth else 3)
+        if kind == 0:
+            return "".join(rng.choices(NASTY, k=rng.randrange(4)))
+        if kind in (1, 2):
+            return rng.choice([None, True, 1.5, -7, {}, []])
+        if kind == 3:
+            return [anything(depth - 1) for _ in range(rng.randrange(4))]
+        return {rng.choice(["dt", "note", '{"dt":', "x"]) + "_" * k: anything(depth - 1) for k in range(rng.randrange(3))}
+
+    fields = {"dt": dt, "lat": 11.538415, "lon": -72.91679, "main": {"temp": 20.5}, "wind": {"dt": 1, "speed": 3}}
+    fields |= {name: anything(3) for name in rng.sample(["note", "nested", "more", "{", "}"], 3)}
+    names = list(fields)
+    rng.shuffle(names)
+    return {name: fields[name] for name in names}
+
+
+def small_splits(conf, size: str) -> None:
+    conf("spark.sql.files.maxPartitionBytes", size)
+    conf("spark.sql.files.openCostInBytes", "0")
+
+
+def read(spark, path) -> tuple[list, int]:
+    rows = read_history(spark, str(path))
+    found = [(r.dt, r.lat, r.temp, r.wind_speed) for r in flatten_history(rows).collect()]
+    return sorted(found, key=lambda r: (r[0] is None, r[0] or 0)), rows.where("_corrupt IS NOT NULL").count()
+
+
+@pytest.mark.parametrize("size", ["97", "400", "3k", "1m"])
+def test_any_record_in_any_style_in_any_splits(spark, tmp_path, conf, size):
+    rng = random.Random(7)
+    styles = [
+        compact,
+        json.dumps,
+        lambda rs: json.dumps(rs, indent=2, ensure_ascii=False),
+        lambda rs: "\n".join(map(compact, rs)) + "\n\n",
+        lambda rs: compact([rs[:3], [rs[3:]]]) + "\r\n[]" + compact([]),
+        lambda rs: " ".join(json.dumps(r, indent=1) for r in rs),
+    ]
+    dt = 0
+    for n, write in enumerate(styles * 2):
+        count = rng.choice([1, 6, 30])
+        (tmp_path / f"{n}.json").write_text(write([nasty_record(dt + k, rng) for k in range(count)]), encoding="utf-8")
+        dt += count
+    small_splits(conf, size)
+    assert read(spark, tmp_path) == ([(k, 11.5384, 20.5, 3.0) for k in range(dt)], 0)
+
+
+def test_nested_records_that_start_with_the_same_key(spark, tmp_path):
+    """All were lost once: each record's first value is an object that starts like a record."""
+    records = [{"main": {"main": {"temp": 1}, "temp": 2.5}, "dt": k} for k in range(100)]
+    (tmp_path / "a.json").write_text(compact(records))
+    rows = flatten_history(read_history(spark, str(tmp_path)))
+    assert [(r.dt, r.temp) for r in rows.orderBy("dt").collect()] == [(k, 2.5) for k in range(100)]
+
+
+def test_an_odd_first_record_does_not_make_one_piece(spark, tmp_path, conf):
+    count = 5_000
+    records = [{"dt": k, "lat": 1.0, "main": {"temp": 2}} for k in range(count)]
+    records[0] = dict(reversed(records[0].items()))
+    (tmp_path / "a.json").write_text(compact(records))
+    small_splits(conf, "16k")
+    cut = cut_records(spark, str(tmp_path))
+    assert cut.agg(F.max(F.length("text"))).first()[0] < 60
+    rows = read_history(spark, str(tmp_path))
+    assert rows.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < count / 4
+    assert read(spark, tmp_path)[0] == [(k, 1.0, 2.0, None) for k in range(count)]
+
+
+def test_a_record_larger_than_many_splits(spark, tmp_path, conf):
+    records = [{"dt": k, "note": "{" * 5_000, "list": [{"dt": i} for i in range(500)]} for k in range(5)]
+    (tmp_path / "a.json").write_text(compact(records) + "\n" + compact({"dt": 5}))
+    small_splits(conf, "1k")
+    assert [r[0] for r in read(spark, tmp_path)[0]] == list(range(6))
+
+
+def test_small_batches(spark, tmp_path, conf):
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    rng = random.Random(9)
+    (tmp_path / "a.json").write_text(compact([nasty_record(k, rng) for k in range(60)]), encoding="utf-8")
+    assert [r[0] for r in read(spark, tmp_path)[0]] == list(range(60))
+
+
+def test_lines_between_records_are_rows_of_their_own(spark, tmp_path, conf):
+    lines = ["not json", compact({"dt": 1}), "neither 1", "neither 2\r", "", compact({"dt": 2}), "{never}", "end"]
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    for size in ("8", "1m"):
+        small_splits(conf, size)
+        rows = read_history(spark, str(tmp_path))
+        texts = sorted(r["_corrupt"] for r in rows.where("_corrupt IS NOT NULL").collect())
+        assert texts == ["end", "neither 1", "neither 2", "not json", "{never}"]
+        assert sorted(r.dt for r in rows.where("dt IS NOT NULL").collect()) == ["1", "2"]
+
+
+@pytest.mark.parametrize("size", ["50", "300", "1m"])
+@pytest.mark.parametrize("broken", ['{"dt": -1, "lat"', '"', "}", '{"dt":-1,"note":"open}'])
+def test_a_file_without_structure_is_cut_at_its_heads(spark, tmp_path, conf, size, broken):
+    """However small the splits: what comes out is the same, and only what is next to the fault can be lost."""
+    lines = [compact({"dt": k, "main": {"temp": k}}) for k in range(40)]
+    lines.insert(20, broken)
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    (tmp_path / "b.json").write_text(compact([{"lat": 1, "dt": 100 + k, "x": {"lat": 1}} for k in range(30)]))
+    small_splits(conf, size)
+    found, lost = read(spark, tmp_path)
+    found = [r[0] for r in found if r[0] is not None and r[0] >= 0]
+    assert set(found) >= {*range(19), *range(21, 40), *range(100, 130)}
+    assert 1 <= lost <= 2
+
+
+def test_states_by_a_shuffle(spark, tmp_path, conf, monkeypatch):
+    monkeypatch.setattr(structure, "BROADCAST_SPLITS", 0)
+    rng = random.Random(11)
+    for n in range(3):
+        (tmp_path / f"{n}.json").write_text(compact([nasty_record(100 * n + k, rng) for k in range(50)]), encoding="utf-8")
+    (tmp_path / "broken.json").write_text(compact([{"dt": 300}, {"dt": 301}]) + "{")
+    small_splits(conf, "500")
+    found, lost = read(spark, tmp_path)
+    assert [r[0] for r in found if r[0] is not None] == [*range(50), *range(100, 150), *range(200, 250), 300, 301]
+
+
+def test_gzipped_files_beside_others(spark, tmp_path, conf):
+    rng = random.Random(13)
+    for n in range(3):
+        with gzip.open(tmp_path / f"{n}.json.gz", "wt", encoding="utf-8") as out:
+            out.write(compact([nasty_record(10 * n + k, rng) for k in range(10)]))
+    (tmp_path / "a.json").write_text(compact([nasty_record(30 + k, rng) for k in range(10)]), encoding="utf-8")
+    small_splits(conf, "300")
+    assert [r[0] for r in read(spark, tmp_path)[0]] == list(range(40))
+
+
+def test_other_splits_than_those_summed_up_are_refused(spark, tmp_path, conf):
+    (tmp_path / "a.json").write_text(compact([{"dt": k} for k in range(2_000)]))
+    small_splits(conf, "4k")
+    rows = read_history(spark, str(tmp_path))
+    small_splits(conf, "3k")
+    with pytest.raises(Exception, match="splits of the files"):
+        rows.collect()
+
+
+def test_braces_in_strings_for_either_beginning():
+    text = np.frombuffer(rb'{"a{\"}":"\\"}{"b}', np.uint8)
+    braces, within, quotes = structure._braces(text, 0)
+    assert [chr(text[b]) for b, w in zip(braces, within, strict=True) if not w] == ["{", "}", "{"]
+    assert quotes == 5
+    assert (structure._braces(text, 1)[1] == ~within).all()
