@@ -10,9 +10,10 @@ import json
 import sys
 
 from heliovane.config import PANEL, REGIONS, TURBINE, Region, SolarPanel, WindTurbine, check_catalog
-from heliovane.plans.jobs import Month, run_all, run_daily, run_feed, run_gold, run_silver, run_table
+from heliovane.plans.jobs import Month, run_all, run_daily, run_days, run_feed, run_gold, run_silver, run_table
 from heliovane.session import build_session
 from heliovane.sources.bronze import LAYOUTS
+from heliovane.streaming.feed import LATENESS
 
 
 def _month(text: str) -> Month:
@@ -42,6 +43,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
 
     silver = jobs.add_parser("silver", help="bronze to silver")
     feed = jobs.add_parser("feed", help="new feed files to a silver table of their own")
+    days = jobs.add_parser("days", help="daily averages of new feed files, without silver")
     gold = jobs.add_parser("gold", help="silver to gold")
     daily = jobs.add_parser("daily", help="gold to the region-day rollup")
     table = jobs.add_parser("table", help="gold as a table of the session's catalog")
@@ -51,21 +53,29 @@ def parse(argv: list[str]) -> argparse.Namespace:
         job.add_argument("--history", required=True)
         job.add_argument("--history-layout", choices=LAYOUTS, default="json")
         job.add_argument("--record-head", help="how each record starts, to save a pass over the text")
-    for job in (silver, feed, both):
+    for job in (silver, feed, days, both):
         job.add_argument("--feed", required=True)
+    for job in (silver, feed, both):
         job.add_argument("--silver", required=True)
-    for job in (silver, feed, gold, both):
+    for job in (silver, feed, days, gold, both):
         job.add_argument("--model", help="JSON file with regions, panel and turbine")
     for job in (silver, gold, both):
         job.add_argument("--dedup", action="store_true", help="one row per point and time")
-    feed.add_argument("--state", required=True, help="folder kept between runs")
-    feed.add_argument("--files-per-batch", type=int)
+    for job in (feed, days):
+        job.add_argument("--state", required=True, help="folder kept between runs")
+        job.add_argument("--files-per-batch", type=int)
+    feed.add_argument("--repeats-within", help="time in which repeated deliveries are left out, as '2 days'")
+    days.add_argument("--days", required=True)
+    days.add_argument("--rejected", required=True, help="table of readings that are in no average")
+    days.add_argument("--finished-only", action="store_true", help="each day once, when it is over")
+    days.add_argument("--lateness", default=LATENESS, help="how long after its end a day stays open")
     gold.add_argument("--silver", required=True, action="append", help="may be repeated")
     for job in (gold, daily, table, both):
         job.add_argument("--gold", required=True)
     daily.add_argument("--daily", required=True)
     both.add_argument("--daily")
     table.add_argument("--name", default="gold_weather_metrics")
+    gold.add_argument("--table", help="the catalog table of --gold, whose partitions are to follow")
     for job in (gold, daily):
         job.add_argument(
             "--month", type=_month, action="append",
@@ -85,11 +95,17 @@ def run(args: argparse.Namespace) -> None:
         rows = {"silver": written}
     elif args.job == "feed":
         total = run_feed(
-            spark, args.feed, args.silver, args.state, regions, args.files_per_batch
+            spark, args.feed, args.silver, args.state, regions, args.files_per_batch, args.repeats_within
         )
         rows = {"feed": total}
+    elif args.job == "days":
+        rejected = run_days(
+            spark, args.feed, args.days, args.rejected, args.state, regions,
+            args.files_per_batch, args.finished_only, args.lateness,
+        )
+        rows = {"rejected": rejected}
     elif args.job == "gold":
-        rows = {"gold": run_gold(spark, args.silver, args.gold, args.month, panel, turbine, args.dedup)}
+        rows = {"gold": run_gold(spark, args.silver, args.gold, args.month, panel, turbine, args.dedup, args.table)}
     elif args.job == "daily":
         rows = {"daily": run_daily(spark, args.gold, args.daily, args.month).count()}
     elif args.job == "table":

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -70,11 +73,21 @@ def remove_unwritten(
     """
     stale = [f for f, names in partition_files(spark, pattern).items() if before.get(f) == names]
     for folder in stale:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove_path(spark, folder)
     return stale
 
 
+def path_exists(spark: SparkSession, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def remove_path(spark: SparkSession, name: str) -> None:
+    """Remove a folder and what is in it, if there is one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def partition_value(value: int | None) -> str:
     """A partition column's value as it stands in a folder's name."""
     return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
@@ -118,6 +131,40 @@ def register_table(
     return spark.table(name)
 
 
+def partition_spec(folder: str, columns: Sequence[str] = PARTITION_COLUMNS) -> str:
+    """``PARTITION (…)`` for a folder of a partitioned table, as in ``…/region=A/year=2024/month=1``."""
+    values = dict(part.split("=", 1) for part in folder.rstrip("/").split("/")[-len(columns) :])
+
+    def literal(name: str) -> str:
+        value = unquote(values[name])
+        if value == partition_value(None):
+            return "null"
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    return f"PARTITION ({', '.join(f'{name} = {literal(name)}' for name in columns)})"
+
+
+def note_partitions(spark: SparkSession, name: str, written: Iterable[str], removed: Iterable[str]) -> None:
+    """Tell the catalog of folders that a refresh of a table has written and removed, without listing any others."""
+    for action, folders in (("ADD IF NOT EXISTS", written), ("DROP IF EXISTS", removed)):
+        specs = sorted(map(partition_spec, folders))
+        if specs:
+            between = " " if action.startswith("ADD") else ", "
+            spark.sql(f"ALTER TABLE {name} {action} {between.join(specs)}")
+    # Files of partitions that were there before have changed too.
+    spark.catalog.refreshTable(name)
+
+
+def published_table(spark: SparkSession, name: str, path: str) -> str:
+    """``name``, if it is a table of the catalog that stands for ``path``."""
+    taken = table_location(spark, name)
+    if taken is None:
+        raise ValueError(f"there is no table {name}; publish it first")
+    if _qualified(spark, taken) != _qualified(spark, path):
+        raise ValueError(f"table {name} stands for {taken}")
+    return name
+
+
 def repair_table(spark: SparkSession, name: str) -> None:
     """Bring the catalog's partitions in line with the files: new ones in, vanished ones out."""
     spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")

@@ -131,6 +131,52 @@ def test_a_name_stands_for_one_path(spark, rows, tmp_path):
     spark.sql("DROP TABLE one_path")
 
 
+def shown(spark, name) -> set[str]:
+    return {r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+
+
+def test_a_refresh_tells_the_catalog_its_partitions(spark, rows, silver, tmp_path, monkeypatch):
+    """New ones in, lost ones out, changed ones read anew, and no other folder looked at."""
+    table, gold = str(tmp_path / "silver"), str(tmp_path / "it's gold")
+    write_partitioned(rows, table)
+    jobs.run_gold(spark, table, gold)
+    jobs.run_table(spark, gold, "followed")
+    before = shown(spark, "followed")
+    assert spark.table("followed").where("month = 1").count() == 2
+    changed = silver(
+        *[(NOON + k, PATAGONIA, 1.0, 10.0, 1000, 2.0) for k in range(5)],
+        (NOON + 70 * DAY, RIOHACHA, 2.0, 30.0, 1010, 3.0),
+        (None, PATAGONIA, 1.0, None, None, None),
+    )
+    write_partitioned(changed, table)
+    monkeypatch.setattr(jobs, "repair_table", None)
+    assert jobs.run_gold(spark, table, gold, [(2024, 1), (2024, 2), (2024, 3)], table="followed") == 7
+    null = "__HIVE_DEFAULT_PARTITION__"
+    assert shown(spark, "followed") == {
+        "region=Patagonia/year=2024/month=1", "region=Riohacha/year=2024/month=3",
+        f"region=Patagonia/year={null}/month={null}",
+    }
+    assert len(before) == 3 and spark.table("followed").count() == 7
+    assert spark.table("followed").exceptAll(read_gold(spark, gold).drop("timestamp")).count() == 0
+    spark.sql("DROP TABLE followed")
+
+
+def test_a_full_run_repairs_the_table_and_another_path_is_refused(spark, rows, tmp_path):
+    table, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    write_partitioned(rows, table)
+    with pytest.raises(ValueError, match="publish it first"):
+        jobs.run_gold(spark, table, gold, table="followed")
+    assert not os.path.exists(gold)
+    jobs.run_gold(spark, table, gold)
+    jobs.run_table(spark, gold, "followed")
+    write_partitioned(rows.where("region = 'Riohacha'"), table)
+    jobs.run_gold(spark, table, gold, table="followed")
+    assert spark.table("followed").count() == 1 and len(shown(spark, "followed")) == 1
+    with pytest.raises(ValueError, match="stands for"):
+        jobs.run_gold(spark, table, str(tmp_path / "other"), table="followed")
+    spark.sql("DROP TABLE followed")
+
+
 def test_months_prune_partitions(spark, rows, tmp_path):
     path = str(tmp_path / "silver")
     write_partitioned(rows, path)
