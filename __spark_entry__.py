@@ -17,8 +17,10 @@ from fixtures import (  # noqa: E402
     dirty_history_lines,
     feed_bronze,
     history_bronze,
+    land_deliveries,
     land_feed,
     land_mixed_history,
+    land_styled_history,
     landed_bronze,
     stored_once,
     unsteady_feed,
@@ -55,6 +57,7 @@ from heliovane.sources.lake import (  # noqa: E402
 from heliovane.shipping import ship_package  # noqa: E402
 from heliovane.sources.scratch import scratch_dir  # noqa: E402
 from heliovane.streaming import feed as streaming  # noqa: E402
+from heliovane.streaming.days import read_rejected  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -105,10 +108,21 @@ def bronze_hist_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_hist_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with splits much smaller than the files, so that every array is cut."""
     history_path, _ = landed_bronze(spark, sf_dir)
+    return flatten_history(read_history(_with_small_splits(spark), history_path))
+
+
+def _with_small_splits(spark: SparkSession) -> SparkSession:
     session = spark.newSession()
     session.conf.set("spark.sql.files.maxPartitionBytes", "256k")
     session.conf.set("spark.sql.files.openCostInBytes", "0")
-    return flatten_history(read_history(session, history_path))
+    return session
+
+
+def bronze_hist_styles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records in records, heads in strings, odd first records, indented and deep arrays, all of them cut."""
+    path = scratch_dir(spark, "history-styles")
+    land_styled_history(history_bronze(spark, sf_dir), path)
+    return flatten_history(read_history(_with_small_splits(spark), path))
 
 
 def bronze_hist_mixed_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +198,21 @@ def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(spark.table(_registered_gold(spark, sf_dir)))
 
 
+def gold_table_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after a month was refreshed and another went, without a repair: the refresh tells the catalog."""
+    root = scratch_dir(spark, "table-by-month")
+    silver, gold = f"{root}/silver", f"{root}/gold"
+    history = norm_hist(spark, sf_dir)
+    vanished = history.where("dt % 7 = 0").withColumn("dt", F.lit(1_893_456_000).cast("bigint"))
+    write_partitioned(enrich(unify(history, vanished)), silver)
+    jobs.run_gold(spark, silver, gold)
+    name = "gold_by_month_" + root.rsplit("-", 1)[1]
+    jobs.run_table(spark, gold, name)
+    write_partitioned(_silver(spark, sf_dir), silver)
+    jobs.run_gold(spark, silver, gold, [(2024, 1), (2030, 1)], table=name)
+    return _comparable(spark.table(name))
+
+
 def gold_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL text over the catalog table, with a CTE and a derived table: which region leads, by month."""
     return spark.sql(
@@ -396,6 +425,33 @@ def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.withColumns({name: _row_level(name) for name in means})
 
 
+def stream_daily_bad_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily averages of a batch per delivery, running and of finished days only, and counts of what is in none and why."""
+    root = scratch_dir(spark, "stream-bad-time")
+    land_deliveries(spark, sf_dir, f"{root}/feed")
+
+    def mode(name: str, finished_only: bool) -> DataFrame:
+        paths = [f"{root}/{name}/{part}" for part in ("days", "rejected", "state")]
+        jobs.run_days(spark, f"{root}/feed", *paths, files_per_batch=1, finished_only=finished_only)
+        days = spark.read.parquet(paths[0]).drop("batch")
+        means = {f"{m}_mean": _row_level(f"{m}_mean") for m in ("solar", "wind", "total")}
+        rows = F.count(F.lit(1)).alias("observations")
+        rejected = read_rejected(spark, paths[1]).groupBy("region", "reason").agg(rows)
+        both = days.withColumns(means).unionByName(rejected, allowMissingColumns=True)
+        return both.withColumn("mode", F.lit(name))
+
+    return mode("running", False).unionByName(mode("finished", True))
+
+
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch per delivery, some readings delivered again: each reading once, as batch deduplication of equal rows has it."""
+    root = scratch_dir(spark, "stream-dedup")
+    land_deliveries(spark, sf_dir, f"{root}/feed", repeats=True)
+    paths = [f"{root}/feed", f"{root}/table", f"{root}/state"]
+    jobs.run_feed(spark, *paths, files_per_batch=1, repeats_within="2 days")
+    return read_silver(spark, paths[1]).select(*OBSERVATION.names, "region")
+
+
 # --- Contract ----------------------------------------------------------------------------------
 
 
@@ -434,11 +490,13 @@ def weather_queries() -> dict[str, Query]:
         "bronze_hist_split_scan": bronze_hist_split_scan,
         "bronze_hist_lines_scan": bronze_hist_lines_scan,
         "bronze_hist_mixed_sizes": bronze_hist_mixed_sizes,
+        "bronze_hist_styles": bronze_hist_styles,
         "bronze_stream_scan": bronze_stream_scan,
         "silver_roundtrip": silver_roundtrip,
         "gold_roundtrip": gold_roundtrip,
         "gold_by_month": gold_by_month,
         "gold_table": gold_table,
+        "gold_table_by_month": gold_table_by_month,
         "gold_table_sql": gold_table_sql,
         "overwrite_static": overwrite_static,
         "overwrite_dynamic": overwrite_dynamic,
@@ -471,6 +529,8 @@ def weather_queries() -> dict[str, Query]:
         "stream_late_and_bad_time": stream_late_and_bad_time,
         "stream_append": stream_append,
         "stream_daily": stream_daily,
+        "stream_daily_bad_time": stream_daily_bad_time,
+        "stream_dedup": stream_dedup,
     }
 
 

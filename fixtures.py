@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heliovane.functions.clock import SECONDS_PER_DAY
 from heliovane.sources.scratch import scratch_dir
 
 # Records per historical document: about 9 MB of JSON.
@@ -75,7 +76,7 @@ def feed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _feed_rows(spark, sf_dir).drop("k")
 
 
-def _feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _feed_rows(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     k = F.col("k")
     r = _readings(k)
     lat = F.when(k % 17 == 0, F.lit(-41.81012)).otherwise(_by_third(k, -41.8101, 11.5384))
@@ -91,7 +92,7 @@ def _feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         spark.read.parquet(f"{sf_dir}/events.parquet")
         .select(F.col("event_id").alias("k"), _epoch_seconds("ts").alias("ep"))
-        .select("k", envelope.alias("_airbyte_data"))
+        .select("k", *more, envelope.alias("_airbyte_data"))
     )
 
 
@@ -123,6 +124,30 @@ def unsteady_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(again).orderBy(latest, "k").drop("k")
 
 
+# Deliveries of the feed that are late, repeated or have bad times, a file each.
+DELIVERIES = 4
+DELIVERY_DAYS = 8
+
+
+def land_deliveries(spark: SparkSession, sf_dir: str, path: str, repeats: bool = False) -> None:
+    """The hourly feed in one file for each eight days, written in order; some readings come with the next file, some times are
+    in milliseconds. With ``repeats`` some come again with the next file."""
+    k, ep = F.col("k"), F.col("ep")
+    days = F.floor((ep - F.lit(1_704_067_200)) / SECONDS_PER_DAY / DELIVERY_DAYS)
+    dt = F.col("_airbyte_data.current.dt")
+    dt = F.when(k % 37 == 0, dt * 1000).otherwise(dt)
+    envelope = F.col("_airbyte_data").withField("current.dt", dt).alias("_airbyte_data")
+    rows = _feed_rows(spark, sf_dir, "ep").select(
+        F.least(F.when(k % 11 == 0, days + 1).otherwise(days), F.lit(DELIVERIES - 1)).alias("delivery"), "k", envelope
+    )
+    if repeats:
+        again = rows.where(k % 5 == 0)
+        later = F.least(F.col("delivery") + 1, F.lit(DELIVERIES - 1)).alias("delivery")
+        rows = rows.unionByName(again.select(later, "k", "_airbyte_data"))
+    for number in range(DELIVERIES):
+        rows.where(F.col("delivery") == number).drop("delivery", "k").coalesce(1).write.mode("append").json(path)
+
+
 def land_mixed_history(history: DataFrame, path: str) -> None:
     """The historical feed in one folder as one long array, short ones, JSON Lines, and two arrays in a file."""
     part = F.pmod(F.xxhash64("dt", "lat", "uv_index", "wind"), F.lit(20))
@@ -136,23 +161,55 @@ def land_mixed_history(history: DataFrame, path: str) -> None:
     texts.write.partitionBy("file").text(f"{path}/several")
 
 
-def _arrays(history: DataFrame, records: int) -> DataFrame:
+def land_styled_history(history: DataFrame, path: str) -> None:
+    """The historical feed in styles that only their structure can tell apart, a folder for each."""
+    style = F.pmod(F.xxhash64("dt", "lat", "uv_index", "wind"), F.lit(5))
+
+    def of(number: int) -> DataFrame:
+        return history.where(style == number)
+
+    # The first value of each record is an object that starts like a record.
+    inner = F.struct(F.struct(F.lit(1).alias("temp")).alias("main"), F.col("main.*")).alias("main")
+    _land(_arrays(of(0).select(inner, "dt", "lat", "lon", "uv_index", "wind"), 3_000), f"{path}/nested")
+    # Records, quotes and escapes inside a string.
+    note = F.lit('a "quoted" \\ {"note":"{\\"dt\\": 5}"}, [{"note":"').alias("note")
+    _land(_arrays(of(1).select(note, "*"), 3_000), f"{path}/strings")
+    # The first record of an array starts with another key than the rest.
+    turned = F.to_json(F.struct(*reversed(history.columns)))
+    odd = F.when(F.col("dt") % 1000 == 0, turned).otherwise(F.to_json(F.struct("*")))
+    arrays = _arrays(of(2), 3_000, odd, F.sort_array("array", asc=False))
+    _land(arrays, f"{path}/odd")
+    pretty = F.to_json(F.struct("*"), {"pretty": "true"})
+    _land(_arrays(of(3), 3_000, pretty), f"{path}/indented")
+    deep = _arrays(of(4), 3_000)
+    deep = deep.withColumn("value", F.concat(F.lit(" [\r\n["), "value", F.lit(",[]]]\n\n[]")))
+    _land(deep, f"{path}/deep")
+
+
+def _land(arrays: DataFrame, path: str) -> None:
+    arrays.write.partitionBy("document").text(path)
+
+
+def _arrays(
+    history: DataFrame, records: int, record: Column | None = None, order: Column | None = None
+) -> DataFrame:
     """``document, value``: JSON arrays of at most ``records``."""
+    record = F.to_json(F.struct("*")) if record is None else record
     task, row = F.shiftright("id", 33), F.col("id").bitwiseAND(F.lit(2**33 - 1))
     documents = (
         history.select(
-            F.to_json(F.struct("*")).alias("record"), F.monotonically_increasing_id().alias("id")
+            record.alias("record"), F.monotonically_increasing_id().alias("id")
         )
         .groupBy(F.concat_ws("-", task, F.floor(row / records)).alias("document"))
         .agg(F.collect_list("record").alias("array"))
     )
-    body = F.concat(F.lit("["), F.array_join("array", ","), F.lit("]"))
+    body = F.concat(F.lit("["), F.array_join("array" if order is None else order, ","), F.lit("]"))
     return documents.select("document", body.alias("value"))
 
 
 def land_history(history: DataFrame, path: str, records: int = DOCUMENT_RECORDS) -> None:
     """Write records as JSON files of one array each, none longer than ``records``."""
-    _arrays(history, records).write.partitionBy("document").text(path)
+    _land(_arrays(history, records), path)
 
 
 def land_feed(feed: DataFrame, path: str, records: int = FEED_FILE_RECORDS) -> None:

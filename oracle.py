@@ -220,6 +220,33 @@ ranked AS (
                     humidity NULLS LAST, wind_speed NULLS LAST) AS copy
   FROM unsteady)"""
 
+# The feed in four deliveries of eight days each, some readings one delivery late, some times in milliseconds.
+_DELIVERED = f"""{_FEEDS},
+deliveries AS (
+  SELECT k, ep, least(CAST(floor((ep - 1704067200) / 86400e0 / 8e0) AS INTEGER) + CASE WHEN k % 11 = 0 THEN 1 ELSE 0 END, 3) AS delivery
+  FROM feed_keys),
+delivered AS (
+  SELECT k, delivery, CASE WHEN k % 211 = 0 THEN NULL WHEN k % 37 = 0 THEN ep * 1000 ELSE ep END AS dt,
+         CASE WHEN k % 101 = 0 THEN NULL WHEN k % 17 = 0 THEN -41.81012e0
+              WHEN k % 3 = 0 THEN -41.8101e0 WHEN k % 3 = 1 THEN 11.5384e0 ELSE 0e0 END AS lat,
+         CASE k % 3 WHEN 0 THEN -68.9063e0 WHEN 1 THEN -72.9168e0 ELSE 0e0 END AS lon, {_READINGS}
+  FROM deliveries)"""
+
+
+def _days_of(mode: str, reason: str, last_day: str) -> str:
+    """Averages of the readings without a reason against them, and counts of the others."""
+    means = ", ".join(
+        f"{_micros(f'avg({column})')} AS {name}_mean"
+        for name, column in (
+            ("solar", "potencia_solar_w"), ("wind", "potencial_eolico_w"), ("total", "potencial_renovable_total_w"))
+    )
+    return f"""
+SELECT '{mode}' AS mode, NULL AS reason, region, year, month, day, count(*) AS observations, {means}
+FROM judged WHERE {reason} IS NULL AND {last_day} GROUP BY region, year, month, day
+UNION ALL BY NAME
+SELECT '{mode}' AS mode, {reason} AS reason, region, count(*) AS observations
+FROM judged WHERE {reason} IS NOT NULL GROUP BY region, {reason}"""
+
 
 _ORACLES = {
     # Sources, sinks, jobs
@@ -227,11 +254,13 @@ _ORACLES = {
     "bronze_hist_split_scan": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM history",
     "bronze_hist_lines_scan": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM history",
     "bronze_hist_mixed_sizes": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM history",
+    "bronze_hist_styles": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM history",
     "bronze_stream_scan": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM feed",
     "silver_roundtrip": f"WITH {_SILVER} SELECT {_SILVER_COLUMNS} FROM silver",
     "gold_roundtrip": f"WITH {_GOLD} SELECT {_GOLD_COLUMNS} FROM gold",
     "gold_by_month": f"WITH {_GOLD} SELECT {_GOLD_COLUMNS} FROM gold",
     "gold_table": f"WITH {_GOLD} SELECT {_TABLE_COLUMNS} FROM gold",
+    "gold_table_by_month": f"WITH {_GOLD} SELECT {_TABLE_COLUMNS} FROM gold",
     "gold_table_sql": f"""WITH {_DAILY},
 both_regions AS (
   SELECT year, month, day, {_of("Patagonia", "max(total)")} AS patagonia,
@@ -397,6 +426,25 @@ SELECT region, year, month, day, count(*) AS observations,
        {_micros("avg(potencial_renovable_total_w)")} AS total_mean
 FROM gold WHERE region <> 'No Region' AND dt IS NOT NULL
 GROUP BY region, year, month, day""",
+    "stream_daily_bad_time": f"""WITH {_DELIVERED},
+gold AS ({_power(_region("SELECT * FROM delivered"))}),
+timed AS (
+  SELECT *, CASE WHEN dt IS NULL THEN 'no time' WHEN dt > 100000000000 THEN 'ahead of its delivery' END AS bad
+  FROM gold WHERE region <> 'No Region'),
+latest AS (SELECT delivery, max(dt) FILTER (WHERE bad IS NULL) AS dt FROM timed GROUP BY delivery),
+seen AS (SELECT delivery, max(dt) OVER (ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM latest),
+judged AS (
+  SELECT t.*, (dt // 86400 + 1) * 86400 + 7200 AS closing,
+         CASE WHEN bad IS NOT NULL THEN bad
+              WHEN (dt // 86400 + 1) * 86400 + 7200 <= before THEN 'after its day was closed' END AS late
+  FROM timed t JOIN seen USING (delivery))
+{_days_of("running", "bad", "true")}
+UNION ALL BY NAME {_days_of("finished", "late", "closing <= (SELECT max(dt) FROM latest)")}""",
+    "stream_dedup": f"""WITH {_DELIVERED},
+placed AS ({_region("SELECT * FROM delivered UNION ALL SELECT * FROM delivered WHERE k % 5 = 0")})
+SELECT DISTINCT {_OBSERVATION}, region FROM placed WHERE dt IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL
+UNION ALL
+SELECT {_OBSERVATION}, region FROM placed WHERE dt IS NULL OR lat IS NULL OR lon IS NULL""",
 }
 
 
