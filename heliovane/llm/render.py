@@ -9,7 +9,8 @@ from __future__ import annotations
 import operator
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -51,7 +52,13 @@ _space = re.compile(r"[ \t\n\r\f]+")
 _tag = re.compile(r"<[a-zA-Z/]")
 _mark = re.compile(r"[{};]|\Z")
 _opaque = re.compile(r"/\*.*?(?:\*/|\Z)|\"(?:\\.|[^\"\\\n])*\"|'(?:\\.|[^'\\\n])*'", re.DOTALL)
-_simple = re.compile(r"([a-z][a-z0-9]*|\*)?((?:[.#][\w-]+)*)$", re.IGNORECASE)
+_ident = r"-?(?:[^\W\d]|[^\x00-\x7f])[\w-]*|--[\w-]+"
+_part = re.compile(
+    rf"""\s*(?P<combinator>[>+~])\s*|(?P<blank>\s+)|(?P<tag>{_ident}|\*)|\#(?P<id>[\w-]+)|\.(?P<class>{_ident})
+    |\[\s*(?P<name>[\w:-]+)\s*(?:(?P<test>[~|^$*]?=)\s*(?P<value>"[^"]*"|'[^']*'|[^\]\s"']+)\s*(?P<flag>[is])?\s*)?\]
+    |(?P<pseudo>::?[\w-]+)(?P<opened>\()?""",
+    re.VERBOSE | re.IGNORECASE,
+)
 _value = re.compile(r"([a-z][a-z -]*?)\s*(!\s*important)?")
 _typed = re.compile(r"(?:(not|only)\s+)?([a-z][a-z-]*)(?:\s+and\s+(.+))?", re.DOTALL)
 _feature = re.compile(r"\(([^()]*)\)")
@@ -59,8 +66,11 @@ _length = r"([0-9]*\.?[0-9]+)(px|em|rem|)"
 _limit = re.compile(rf"(min-|max-|)(?:device-)?(width|height)\s*:\s*{_length}")
 _range = re.compile(rf"(?:{_length}\s*([<>]=?|=)\s*)?(width|height)(?:\s*([<>]=?|=)\s*{_length})?")
 
-#: What hides an element, by property.
+#: What hides an element, by property, and what says that it is as without any rule or as its parent is.
 HIDING = {"display": {"none"}, "visibility": {"hidden", "collapse"}}
+UNSAID = {"display": {"revert", "revert-layer"}, "visibility": {"inherit", "unset", "revert", "revert-layer"}}
+#: What holds for no element of a page that nobody touches.
+IDLE = frozenset("hover focus focus-within focus-visible active visited target".split())
 #: The screen that media queries are asked for, in pixels, and what else it answers.
 SCREEN = {"width": 1280.0, "height": 720.0}
 FEATURES = {
@@ -71,10 +81,22 @@ COMPARE = {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "parent", "before", "last", "place", "typed", "counts")
 
     def __init__(self, tag: str, attributes: dict[str, str | None] | None = None) -> None:
         self.tag, self.attributes, self.children = tag, attributes or {}, []
+        # The element around it, the one before it, and the last one in it.
+        self.parent = self.before = self.last = None
+        # Its place among its siblings and those of its tag, from 1, and how many elements of each tag it has.
+        self.place = self.typed = 1
+        self.counts: dict[str, int] = {}
+
+    def add(self, child: Node) -> None:
+        self.children.append(child)
+        child.parent, child.before, self.last = self, self.last, child
+        if child.before is not None:
+            child.place = child.before.place + 1
+        child.typed = self.counts[child.tag] = self.counts.get(child.tag, 0) + 1
 
 
 class TreeBuilder(HTMLParser):
@@ -117,12 +139,12 @@ class TreeBuilder(HTMLParser):
             self._push(Node("tr"))
         node = Node(tag, dict(attrs))
         if tag in VOID:
-            self.stack[-1].children.append(node)
+            self.stack[-1].add(node)
         else:
             self._push(node)
 
     def _push(self, node: Node) -> None:
-        self.stack[-1].children.append(node)
+        self.stack[-1].add(node)
         self.stack.append(node)
         self.open[node.tag] += 1
 
@@ -134,7 +156,7 @@ class TreeBuilder(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br" or tag == "p" and not self.open["p"]:
-            self.stack[-1].children.append(Node(tag))
+            self.stack[-1].add(Node(tag))
         elif self.open[tag] and tag not in ("html", "body"):
             bound = frozenset() if tag in CELLS or tag in ("table", "tr", "tbody", "thead", "tfoot") else CELLS
             for k in range(len(self.stack) - 1, 0, -1):
@@ -158,8 +180,217 @@ class TreeBuilder(HTMLParser):
             top.children.append(data)
 
 
-#: Tag, classes and ids that a selector asks for, and ``property, weight, hides`` of its rule's declarations.
-Rule = tuple[str, frozenset[str], frozenset[str], list[tuple[str, tuple, bool]]]
+@dataclass
+class Compound:
+    """What a selector asks of one element, and how the one that the compound before it asks for is found from there."""
+
+    combinator: str = ""
+    tag: str = "*"
+    ids: list[str] = field(default_factory=list)
+    classes: list[str] = field(default_factory=list)
+    tests: list[Callable[[Node], bool]] = field(default_factory=list)
+    #: Ids, classes and tags that the tests count as.
+    weight: tuple[int, int, int] = (0, 0, 0)
+
+    def holds(self, node: Node) -> bool:
+        if self.tag not in ("*", node.tag):
+            return False
+        attributes = node.attributes
+        if self.ids and any(attributes.get("id") != i for i in self.ids):
+            return False
+        if self.classes and not set(self.classes) <= set((attributes.get("class") or "").split()):
+            return False
+        return all(test(node) for test in self.tests)
+
+    def specificity(self) -> tuple[int, int, int]:
+        a, b, c = self.weight
+        return a + len(self.ids), b + len(self.classes), c + (self.tag != "*")
+
+
+
+
+def _attribute_test(name: str, test: str | None, value: str | None, flag: str | None) -> Callable[[Node], bool]:
+    name = name.lower()
+    wanted = (value or "").strip("\"'") if value and value[0] in "\"'" else value or ""
+    fold = (lambda text: text.lower()) if (flag or "").lower() == "i" else (lambda text: text)
+    wanted = fold(wanted)
+    compare: dict[str | None, Callable[[str], bool]] = {
+        None: lambda own: True,
+        "=": lambda own: own == wanted,
+        "~=": lambda own: wanted in own.split(),
+        "|=": lambda own: own == wanted or own.startswith(wanted + "-"),
+        "^=": lambda own: wanted != "" and own.startswith(wanted),
+        "$=": lambda own: wanted != "" and own.endswith(wanted),
+        "*=": lambda own: wanted != "" and wanted in own,
+    }
+    holds = compare[test]
+    return lambda node: name in node.attributes and holds(fold(node.attributes[name] or ""))
+
+
+def _nth(text: str) -> tuple[int, int] | None:
+    """``a, b`` of ``an+b``."""
+    text = re.sub(r"\s+", "", text.lower())
+    if text in ("odd", "even"):
+        return 2, int(text == "odd")
+    if found := re.fullmatch(r"([+-]?[0-9]*)n([+-][0-9]+)?", text):
+        a = found[1] + "1" if found[1] in ("", "+", "-") else found[1]
+        return int(a), int(found[2] or 0)
+    return (0, int(text)) if re.fullmatch(r"[+-]?[0-9]+", text) else None
+
+
+def _pseudo_test(name: str, argument: str | None) -> tuple[Callable[[Node], bool], tuple[int, int, int]] | None:
+    """What a pseudo-class asks for, and what it weighs; None where that is not known."""
+    one = (0, 1, 0)
+    if name in ("is", "where", "not", "matches", "-webkit-any"):
+        lists = [selector(text) for text in _split_list(argument or "")]
+        if name == "not" and None in lists:
+            return None
+        known = [one for one in lists if one is not None]
+        weight = max((one.specificity() for one in known), default=(0, 0, 0))
+        wanted = name != "not"
+        return (lambda node: any(one.matches(node) for one in known) == wanted), (0, 0, 0) if name == "where" else weight
+    if name in IDLE:
+        return (lambda node: False), one
+    if name == "root":
+        return (lambda node: node.tag == "html"), one
+    if name == "empty":
+        return (lambda node: not node.children), one
+    if name in ("link", "any-link"):
+        return (lambda node: node.tag in ("a", "area") and "href" in node.attributes), one
+    if name in ("checked", "disabled", "required", "open"):
+        return (lambda node: name in node.attributes), one
+    if name == "enabled":
+        return (lambda node: node.tag in ("input", "button", "select", "textarea") and "disabled" not in node.attributes), one
+    found = re.fullmatch(r"(first|last|only|nth|nth-last)-(child|of-type)", name)
+    if not found:
+        return None
+    kind, of_type = found[1], found[2] == "of-type"
+    a, b = (0, 1) if argument is None else _nth(argument) or (None, None)
+    if a is None or kind.startswith("nth") != (argument is not None):
+        return None
+
+    def counted(node: Node) -> bool:
+        own = node.typed if of_type else node.place
+        last = node.parent.counts[node.tag] if of_type else node.parent.last.place
+        places = {"first": [own], "nth": [own], "only": [own, last - own + 1]}.get(kind, [last - own + 1])
+        return all(place == b if a == 0 else (place - b) % a == 0 and (place - b) // a >= 0 for place in places)
+
+    return counted, one
+
+
+def _split_list(text: str) -> list[str]:
+    """The selectors of a list, commas in brackets and strings left alone."""
+    parts, depth, quote, start = [], 0, "", 0
+    for at, char in enumerate(text):
+        if quote:
+            quote = "" if char == quote else quote
+        elif char in "\"'":
+            quote = char
+        elif char in "([":
+            depth += 1
+        elif char in ")]":
+            depth -= 1
+        elif char == "," and depth == 0:
+            parts.append(text[start:at])
+            start = at + 1
+    return [*parts, text[start:]]
+
+
+def _closing(text: str, at: int) -> int:
+    """The end of the bracket that was opened just before ``at``, -1 if it has none."""
+    depth, quote = 1, ""
+    for k in range(at, len(text)):
+        char = text[k]
+        if quote:
+            quote = "" if char == quote else quote
+        elif char in "\"'":
+            quote = char
+        elif char in "()":
+            depth += 1 if char == "(" else -1
+            if depth == 0:
+                return k
+    return -1
+
+
+class Selector:
+    """A selector's compounds, the last one first. It is asked about one page only, and remembers what it found there."""
+
+    def __init__(self, parts: list[Compound]) -> None:
+        self.parts = parts
+        self.found: dict[tuple[int, int], bool] = {}
+
+    def specificity(self) -> tuple[int, int, int]:
+        return tuple(map(sum, zip(*(part.specificity() for part in self.parts), strict=True)))
+
+    def matches(self, node: Node, k: int = 0) -> bool:
+        """Whether the compounds from ``k`` on match an element and what is around it."""
+        if node.parent is None or not self.parts[k].holds(node):
+            return False
+        if k + 1 == len(self.parts):
+            return True
+        combinator = self.parts[k].combinator
+        step = "parent" if combinator in " >" else "before"
+        other = getattr(node, step)
+        if combinator in ">+":
+            return other is not None and self.matches(other, k + 1)
+        # Some element on the way: what is known of one holds for those further on, so each is asked once.
+        way = []
+        while other is not None and (k, id(other)) not in self.found:
+            way.append(other)
+            other = getattr(other, step)
+        known = other is not None and self.found[k, id(other)]
+        for other in reversed(way):
+            known = known or self.matches(other, k + 1)
+            self.found[k, id(other)] = known
+        return known
+
+
+#: A selector, and ``property, weight, hides`` of its rule's declarations.
+Rule = tuple[Selector, list[tuple[str, tuple, bool | None]]]
+
+
+def selector(text: str) -> Selector | None:
+    """A selector read; None for one that is wrong, of more than 200 compounds, or not known to match anything."""
+    text = text.strip()
+    parts, at = [Compound()], 0
+    fresh = True
+    while at < len(text):
+        found = _part.match(text, at)
+        if not found:
+            return None
+        at = found.end()
+        here = parts[0]
+        if found["combinator"] or found["blank"]:
+            if fresh:
+                return None
+            parts.insert(0, Compound((found["combinator"] or " ").strip() or " "))
+            fresh = True
+            continue
+        if found["tag"]:
+            if not fresh:
+                return None
+            here.tag = found["tag"].lower()
+        elif found["id"]:
+            here.ids.append(found["id"])
+        elif found["class"]:
+            here.classes.append(found["class"])
+        elif found["name"]:
+            here.tests.append(_attribute_test(found["name"], found["test"], found["value"], found["flag"]))
+            here.weight = tuple(map(sum, zip(here.weight, (0, 1, 0), strict=True)))
+        else:
+            argument = None
+            if found["opened"]:
+                end = _closing(text, at)
+                if end < 0:
+                    return None
+                argument, at = text[at:end], end + 1
+            known = None if found["pseudo"].startswith("::") else _pseudo_test(found["pseudo"][1:].lower(), argument)
+            if known is None:
+                return None
+            here.tests.append(known[0])
+            here.weight = tuple(map(sum, zip(here.weight, known[1], strict=True)))
+        fresh = False
+    return None if fresh or len(parts) > 200 else Selector(parts)
 
 
 def _not(value: bool | None) -> bool | None:
@@ -222,7 +453,19 @@ def _applies(prelude: str) -> bool:
 
 def style_rules(style: str) -> Iterator[tuple[str, list[str]]]:
     """Selectors and declarations of a style sheet's rules for a screen; what is open at its end ends there."""
-    style = _opaque.sub(lambda m: "" if m[0][0] == "/" else '""', style)
+    strings: list[str] = []
+
+    def put_by(found: re.Match) -> str:
+        if found[0][0] == "/":
+            return ""
+        strings.append(found[0])
+        return f'"{len(strings) - 1}"'
+
+    def restored(text: str) -> str:
+        return re.sub(r'"([0-9]+)"', lambda m: strings[int(m[1])], text)
+
+    # Strings are put by, so that nothing in them is taken for a mark.
+    style = _opaque.sub(put_by, style)
     # An open block: the selectors of a rule, True for a group whose rules hold, None for what is left out.
     blocks: list[str | bool | None] = [True]
     declarations: list[str] = []
@@ -242,9 +485,9 @@ def style_rules(style: str) -> Iterator[tuple[str, list[str]]]:
         if isinstance(top, str):
             declarations.append(text)
             if mark != ";":
-                yield top, declarations
+                yield restored(top), declarations
         elif not mark and (rule := next((b for b in blocks if isinstance(b, str)), None)) is not None:
-            yield rule, declarations
+            yield restored(rule), declarations
         elif mark == ";":
             broken = top is True and (broken or not text.startswith("@"))
         if mark == "}":
@@ -253,68 +496,77 @@ def style_rules(style: str) -> Iterator[tuple[str, list[str]]]:
                 blocks.pop()
 
 
-def _shown(declarations: list[str]) -> dict[str, tuple[bool, bool]]:
-    """``important, hides`` of what the declarations say last about each property of ``HIDING``."""
-    said: dict[str, tuple[bool, bool]] = {}
+def _shown(declarations: list[str]) -> dict[str, tuple[bool, bool | None]]:
+    """``important, hides`` of what the declarations say last about each property of ``HIDING``; None for nothing of its own."""
+    said: dict[str, tuple[bool, bool | None]] = {}
     for declaration in declarations:
         name, _, value = declaration.lower().partition(":")
         name = name.strip()
         if name in HIDING and (found := _value.fullmatch(value.strip())):
             important = found[2] is not None
             if important or not said.get(name, (False,))[0]:
-                said[name] = important, found[1] in HIDING[name]
+                said[name] = important, None if found[1] in UNSAID[name] else found[1] in HIDING[name]
     return said
 
 
 def hiding_rules(styles: list[str]) -> dict[str, list[Rule]]:
-    """The rules with simple selectors that say whether what they match is shown, by an id, class or tag they ask for.
+    """The rules that say whether what they match is shown, by an id, class or tag that they ask of it.
 
     A weight orders declarations as style sheets do: important ones, then by ids, classes and tags, then the later one.
     """
     rules: dict[str, list[Rule]] = {}
-    order, hiding = 0, False
+    order = 0
     for style in styles:
         for selectors, declarations in style_rules(style):
             order += 1
             if not (said := _shown(declarations)):
                 continue
-            hiding = hiding or any(hides for _, hides in said.values())
-            for selector in selectors.split(","):
-                found = _simple.match(selector.strip())
-                if found and found[0]:
-                    names = re.findall(r"[.#][\w-]+", found[2])
-                    classes = frozenset(n[1:] for n in names if n[0] == ".")
-                    ids = frozenset(n[1:] for n in names if n[0] == "#")
-                    tag = (found[1] or "*").lower()
-                    rank = 0, sum(n[0] == "#" for n in names), sum(n[0] == "." for n in names), tag != "*", order
-                    said_by = [(name, (important, *rank), hides) for name, (important, hides) in said.items()]
-                    rules.setdefault(max(names, default=tag), []).append((tag, classes, ids, said_by))
-    return rules if hiding else {}
-
-
-def hidden(node: Node, rules: dict[str, list[Rule]]) -> bool:
-    if node.tag in UNSEEN:
-        return True
+            for one in map(selector, _split_list(selectors)):
+                if one is None:
+                    continue
+                rank, last = (0, *one.specificity(), order), one.parts[0]
+                said_by = [(name, (important, *rank), hides) for name, (important, hides) in said.items()]
+                names = [*("#" + i for i in last.ids), *("." + c for c in last.classes), last.tag]
+                rules.setdefault(names[0], []).append((one, said_by))
+    return rules
+
+
+def said_of(node: Node, rules: dict[str, list[Rule]]) -> dict[str, bool | None]:
+    """Whether the page's styles hide an element, by property, where they say so."""
     attributes = node.attributes
-    if "hidden" in attributes or node.tag == "dialog" and "open" not in attributes:
-        return True
-    if node.tag == "input" and (attributes.get("type") or "").lower() == "hidden":
-        return True
     style = attributes.get("style")
     if not rules and not style:
-        return False
-    won: dict[str, tuple[tuple, bool]] = {}
+        return {}
+    won: dict[str, tuple[tuple, bool | None]] = {}
     if style:
         for name, (important, hides) in _shown(_opaque.sub("", style).split(";")).items():
-            won[name] = (important, 1, 0, 0, False, 0), hides
+            won[name] = (important, 1, 0, 0, 0, 0), hides
     if rules:
-        classes, own = frozenset((attributes.get("class") or "").split()), frozenset({attributes.get("id")})
+        classes = set((attributes.get("class") or "").split())
         for key in ("*", node.tag, *("." + c for c in classes), f"#{attributes.get('id')}"):
-            for tag, wanted, ids, said in rules.get(key, ()):
-                if tag in ("*", node.tag) and wanted <= classes and ids <= own:
+            for one, said in rules.get(key, ()):
+                if one.matches(node):
                     for name, weight, hides in said:
-                        won[name] = max(won.get(name, (weight, hides)), (weight, hides))
-    return any(hides for _, hides in won.values())
+                        if name not in won or won[name][0] < weight:
+                            won[name] = weight, hides
+    return {name: hides for name, (_, hides) in won.items()}
+
+
+def hidden(node: Node, rules: dict[str, list[Rule]], inherited: bool = False) -> bool | None:
+    """Whether an element's own text is invisible; None if neither it nor anything in it is shown.
+
+    What is in an invisible element may be visible; what is in one that is not displayed is not.
+    """
+    attributes = node.attributes
+    if node.tag in UNSEEN or node.tag == "input" and (attributes.get("type") or "").lower() == "hidden":
+        return None
+    said = said_of(node, rules)
+    gone = said.get("display")
+    if gone is None:
+        # Without a word from the page's styles these are not displayed.
+        gone = "hidden" in attributes or node.tag == "dialog" and "open" not in attributes
+    own = said.get("visibility")
+    return None if gone else inherited if own is None else own
 
 
 class Frame:
@@ -454,23 +706,28 @@ class Renderer:
         self._walk(builder.root)
 
     def _walk(self, root: Node) -> None:
-        todo: list[tuple[Node | str, bool]] = [(root, False)]
+        # What is to do with a node: write or enter it, or leave it; and whether the text around it is invisible.
+        todo: list[tuple[Node | str, bool, bool]] = [(root, False, False)]
         while todo:
-            node, left = todo.pop()
+            node, left, unseen = todo.pop()
             if isinstance(node, str):
-                self.frames[-1].text(node, self.preserved > 0)
+                if not unseen:
+                    self.frames[-1].text(node, self.preserved > 0)
             elif left:
-                self._leave(node)
-            elif not hidden(node, self.rules):
-                if self._enter(node):
-                    todo.append((node, True))
+                self._leave(node, unseen)
+            elif (unseen := hidden(node, self.rules, unseen)) is not None:
+                if self._enter(node, unseen):
+                    todo.append((node, True, unseen))
                     children = node.children
                     if node.tag == "details" and "open" not in node.attributes:
                         children = [c for c in children if isinstance(c, Node) and c.tag == "summary"]
-                    todo += [(child, False) for child in reversed(children)]
+                    todo += [(child, False, unseen) for child in reversed(children)]
 
-    def _enter(self, node: Node) -> bool:
+    def _enter(self, node: Node, unseen: bool) -> bool:
+        """Begin an element; an invisible one takes its place, but has no text, mark or quotes of its own."""
         tag, frame = node.tag, self.frames[-1]
+        if unseen and tag in ("br", "input", "img"):
+            return False
         if tag == "br":
             frame.end_line(keep=bool(frame.lines))
             return False
@@ -501,18 +758,18 @@ class Renderer:
             number = self.lists[-1] if self.lists else None
             if number is not None:
                 self.lists[-1] = number + 1
-            frame.item("- " if number is None else f"{number}. ")
+            frame.item("" if unseen else "- " if number is None else f"{number}. ")
         elif tag in ("dd", "blockquote"):
             frame.indents.append("  ")
         elif tag in ("pre", "textarea", "listing"):
             self.preserved += 1
             if node.children and isinstance(node.children[0], str):
                 node.children[0] = node.children[0].removeprefix("\n")
-        elif tag == "q":
+        elif tag == "q" and not unseen:
             frame.text('"', True)
         return True
 
-    def _leave(self, node: Node) -> None:
+    def _leave(self, node: Node, unseen: bool) -> None:
         tag, frame = node.tag, self.frames[-1]
         if tag in CELLS and self.tables:
             lines = self.frames.pop().finish()
@@ -534,7 +791,7 @@ class Renderer:
             frame.indents.pop()
         elif tag in ("pre", "textarea", "listing"):
             self.preserved -= 1
-        elif tag == "q":
+        elif tag == "q" and not unseen:
             frame.text('"', True)
         if tag in BLOCKS:
             nested = tag in ("ul", "ol", "menu") and self.lists

@@ -90,6 +90,49 @@ def test_style_sheets_of_a_screen(name):
     assert "".join(render(f"<style{attributes}>{sheet}</style>{PARTS}").split()) == shown
 
 
+# Style sheets, a page's body, and what a screen shows of it.
+SELECTED = {
+    "visible in invisible": ("", "<div style='visibility:hidden'>a<p style='visibility:visible'>b</p>c</div>d", "bd"),
+    "invisible inherits": (".x{visibility:hidden} .y{visibility:inherit}", "<div class=x>a<p class=y>b</p><i>c</i></div>d", "d"),
+    "visible but not displayed": (".y{visibility:visible}", "<div style='display:none'><p class=y>b</p></div>d", "d"),
+    "display over hidden": (".x{display:block}", "<p hidden class=x>a</p><p hidden>b</p>", "a"),
+    "hidden reverted": (".x{display:block} p.x{display:revert}", "<p hidden class=x>a</p><p class=x>b</p>", "b"),
+    "dialog displayed": ("dialog{display:block}", "<dialog>a</dialog>", "a"),
+    "descendant": ("nav .x{display:none}", "<nav><b><i class=x>a</i></b></nav><i class=x>b</i>", "b"),
+    "child": (".y>p{display:none}", "<div class=y><p>a</p><div><p>b</p></div></div>", "b"),
+    "child of child": ("div > .y > p{display:none}", "<div><div class=y><p>a</p></div></div><section><div class=y><p>b</p></div></section>", "b"),
+    "either way up": (".a > .b .c{display:none}", "<div class=a><div class=b><div class=b><p class=c>x</p></div></div></div>", ""),
+    "next": ("h1 + p{display:none}", "<h1>a</h1><p>b</p><p>c</p>", "ac"),
+    "later": ("h1 ~ p{display:none}", "<p>a</p><h1>b</h1><div>c</div><p>d</p><p>e</p>", "abc"),
+    "attribute": ("[aria-hidden=true]{display:none}", "<p aria-hidden=true>a</p><p aria-hidden=false>b</p>", "b"),
+    "attributes": ("p[data-a]:not([data-a^='x' i]){display:none}", "<p data-a=XY>a</p><p data-a=y>b</p><p>c</p>", "ac"),
+    "attribute parts": ("[a~=x],[b|=en],[c$='z,'],[d*=q]{display:none}", "<p a='w x'>a</p><p b=en-US>b</p><p c='yz,'>c</p><p d=aqa>d</p><p a=xx b=english>e</p>", "e"),
+    "not and is": ("p:not(.k, #m):is(.j, .l){display:none}", "<p class='k j'>a</p><p class=l>b</p><p id=m class=j>c</p><p>d</p>", "acd"),
+    "places": ("li:first-child,li:nth-child(3n+2),li:last-child{display:none}", "<ul><li>a<li>b<li>c<li>d<li>e<li>f<li>g</ul>", "-c-d-f"),
+    "places of a tag": ("p:nth-of-type(even),p:nth-last-of-type(1){display:none}", "<div><p>a</p><b>x</b><p>b</p><p>c</p><p>d</p><p>e</p></div>", "axc"),
+    "nobody there": ("p:hover{display:none} p:focus-within b{display:none}", "<p>a<b>b</b></p>", "ab"),
+    "not known": ("p:odd-thing{display:none} p::before{display:none} p:not(:odd){display:none}", "<p>a</p>", "a"),
+    "weights": ("#i{display:block} div p.x:not(.z){display:none} .x{display:block}", "<div><p class=x>a</p><p class=x id=i>b</p></div>", "b"),
+    "root": (":root > body > p{display:none}", "<html><body><p>a</p><div>b</div></body></html>", "b"),
+    "marks and quotes": (".x{visibility:hidden} .y{visibility:visible}", "<ol><li>a<li class=x>b<q>c</q><b class=y>d</b><li>e</ol>", "1.ad3.e"),
+    "cells keep their places": (".x{visibility:hidden}", "<table><tr><td class=x>aa<td>b<tr><td>c<td>d</table>", "bcd"),
+}
+
+
+@pytest.mark.parametrize("name", SELECTED)
+def test_selectors_and_inheritance(name):
+    sheet, body, shown = SELECTED[name]
+    assert "".join(render(f"<style>{sheet}</style>{body}").split()) == shown
+
+
+def test_selectors_of_large_and_deep_pages():
+    sheet = "<style>div.x p, div ~ p, p:nth-last-child(2n), div div div p{display:none}</style>"
+    assert render(sheet + "<div>" * 5_000 + "<p>a").strip() == ""
+    rows = "".join(f"<p>{k}</p>" for k in range(5_001))
+    assert len(render(f"{sheet}<section>{rows}</section>").split()) == 2_501
+    assert render("<style>" + "a " * 5_000 + "{display:none}" + "p" + ":not(p" * 500 + "{display:none}</style><p>x") == "x"
+
+
 def test_odd_style_sheets_end():
     assert render("<style>" + "@media all{" * 50_000 + ".a{display:none}</style><p class=a>a<p>b") == "b"
     assert render("<style>" + ";{}}" * 50_000 + "</style>x") == "x"
