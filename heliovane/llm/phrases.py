@@ -10,12 +10,13 @@ what its extensions add. No such phrase left means closed, and nothing frequent
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,10 +37,10 @@ TOP = 2_000
 SCORE_UNIT = 2_000_000
 
 #: Share of the documents that proposes phrases. It decides how much the passes count, never what comes out.
-SAMPLE_SHARE = 0.2
+SAMPLE_SHARE = 0.1
 
 #: A sample's phrase is proposed from this share of the occurrences that the sample should hold of the rarest candidate.
-SAMPLE_LENIENCE = 0.5
+SAMPLE_LENIENCE = 0.6
 
 #: Bits of the filter that tells tasks which phrases are proposed, 8 MB however many there are. A phrase that passes by
 #: accident is extended without need; none is missed.
@@ -52,6 +53,13 @@ HELD_BYTES = 12 << 20
 #: Language of documents without one.
 NO_LANGUAGE = "und"
 
+#: Bits of the numbers that the first step counts, and the bytes of text for each of their ranges. A task holds the numbers of
+#: one range at a time, so there are more ranges the more text there is.
+NUMBER_BITS = 40
+RANGE_BYTES = 8 << 20
+
+_NUMBERS = "range int, numbers binary, times binary"
+
 _COUNTS = "lang string, phrase string, words int, hash bigint, n bigint"
 
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
@@ -94,6 +102,9 @@ class _Words:
 
     def distinct(self, places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """A place of each different phrase of ``size`` words at ``places``, and how often it stands there."""
+        if size == 1:
+            _, first, times = np.unique(self.ids[places], return_index=True, return_counts=True)
+            return places[first], times
         count = len(self.words)
 
         def pair(at: int) -> np.ndarray:
@@ -126,30 +137,25 @@ def _rows(lang: str, phrases: pa.Array, size: int, hashes: np.ndarray, times: np
     )
 
 
-def _piece_counts(
-    lang: str, texts: list[bytes], proposed: np.ndarray, counted: np.ndarray | None
-) -> Iterator[pa.RecordBatch]:
-    """Counts of the phrases both of whose parts are proposed, without those that the pass by ``counted`` has counted."""
-    found = _Words(texts, lang)
-    if not len(found.ids):
-        return
-    if counted is None:
-        total = np.array([len(found.ids)])
-        yield _rows(lang, pa.array([""]), 0, np.zeros(1, np.uint64), total)
-        yield _rows(lang, found.words, 1, found.word_hash, np.bincount(found.ids, minlength=len(found.words)))
+def _wanted(
+    found: _Words, proposed: np.ndarray, counted: np.ndarray | None
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Size, places and hashes at all places of the phrases that a pass counts: both of whose parts are proposed, without those
+    that the pass by ``counted`` has counted. Words are counted by the first pass."""
     hashes = found.word_hash[found.ids]
+    if counted is None:
+        yield 1, np.arange(len(hashes)), hashes
     known = _passes(proposed, found.word_hash)[found.ids]
     before = None if counted is None else _passes(counted, found.word_hash)[found.ids]
     for size in range(2, LONGEST + 1):
-        if len(hashes) < 2:
+        if not known.any():
             return
         wanted = known[:-1] & known[1:] & (found.piece[size - 1 :] == found.piece[: 1 - size])
         done = None if before is None else before[:-1] & before[1:]
         hashes = found.extended(hashes, size)
         places = np.flatnonzero(wanted if done is None else wanted & ~done)
         if len(places):
-            first, times = found.distinct(places, size)
-            yield _rows(lang, found.spelled(first, size), size, hashes[first], times)
+            yield size, places, hashes
         # Only what can be counted at all may be extended: both parts proposed, within one piece.
         known = np.zeros(len(wanted), bool)
         extending = np.flatnonzero(wanted)
@@ -158,21 +164,87 @@ def _piece_counts(
             before = np.zeros(len(wanted), bool)
             extending = np.flatnonzero(wanted & done)
             before[extending] = _passes(counted, hashes[extending])
-        if not known.any():
-            return
 
 
-def _counting(proposed, counted):
-    """The task that counts; filters come as broadcasts."""
+def _numbers(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - NUMBER_BITS)
+
+
+def _range_width(ranges: int) -> int:
+    return -(-(1 << NUMBER_BITS) // ranges)
+
+
+def _number_counts(lang: str, texts: list[bytes], proposed: np.ndarray, ranges: int) -> Iterator[pa.RecordBatch]:
+    """How often each number that the phrases of the first pass are hashed to stands for one: a row for each range of numbers,
+    with the numbers less the range's first, and their counts."""
+    wanted = [hashes[places] for _, places, hashes in _wanted(_Words(texts, lang), proposed, None)]
+    if not wanted:
+        return
+    numbers, times = np.unique(_numbers(np.concatenate(wanted)), return_counts=True)
+    width = np.uint64(_range_width(ranges))
+    of = numbers // width
+    held, first = np.unique(of, return_index=True)
+    offsets = pa.py_buffer((np.append(first, len(numbers)) * 4).astype(np.int32))
+
+    def packed(values: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(held), [None, offsets, pa.py_buffer(values.astype(np.uint32))])
+
+    arrays = [pa.array(held.astype(np.int32)), packed(numbers - of * width), packed(times)]
+    yield pa.RecordBatch.from_arrays(arrays, names=["range", "numbers", "times"])
+
+
+def _frequent_numbers(least: int, ranges: int):
+    """The numbers counted ``least`` times or more, out of rows sorted by range."""
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, numbers, times = None, [], []
+
+        def ended() -> pa.RecordBatch:
+            all_numbers, place = np.unique(np.concatenate(numbers), return_inverse=True)
+            totals = np.bincount(place, np.concatenate(times).astype(np.float64))
+            found = all_numbers[totals >= least].astype(np.int64) + current * _range_width(ranges)
+            return pa.RecordBatch.from_arrays([pa.array(found)], names=["hash"])
+
+        for batch in batches:
+            for held, *packed in zip(*batch.columns, strict=True):
+                if held.as_py() != current:
+                    if current is not None:
+                        yield ended()
+                    current, numbers, times = held.as_py(), [], []
+                for array, values in zip((numbers, times), packed, strict=True):
+                    array.append(np.frombuffer(values.as_buffer(), np.uint32))
+        if current is not None:
+            yield ended()
+
+    return frequent
+
+
+def _phrase_counts(
+    lang: str, texts: list[bytes], proposed: np.ndarray, counted: np.ndarray | None, heavy: np.ndarray | None
+) -> Iterator[pa.RecordBatch]:
+    """Counts of the phrases of a pass, spelled out; with ``heavy`` of those whose number may be frequent."""
+    found = _Words(texts, lang)
+    if counted is None and len(found.ids):
+        yield _rows(lang, pa.array([""]), 0, np.zeros(1, np.uint64), np.array([len(found.ids)]))
+    for size, places, hashes in _wanted(found, proposed, counted):
+        if heavy is not None:
+            places = places[_passes(heavy, _numbers(hashes[places]))]
+        if len(places):
+            first, times = found.distinct(places, size)
+            yield _rows(lang, found.spelled(first, size), size, hashes[first], times)
+
+
+def _counting(counts, *filters):
+    """The task that counts with ``counts`` in pieces of text of one language; filters come as broadcasts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = proposed.value, None if counted is None else counted.value
+        known = [None if bits is None else bits.value for bits in filters]
         held: dict[str, list[bytes]] = {}
         sizes: dict[str, int] = {}
 
         def emptied(lang: str) -> Iterator[pa.RecordBatch]:
             del sizes[lang]
-            return _piece_counts(lang, held.pop(lang), *filters)
+            return counts(lang, held.pop(lang), *known)
 
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1), strict=True):
@@ -199,6 +271,17 @@ def _filter_bits(phrases: DataFrame) -> np.ndarray:
     return bits.view(np.uint8)
 
 
+def _frequent(texts: DataFrame, proposed: Broadcast, least: int) -> DataFrame:
+    """The numbers in ``hash`` that phrases of the first pass are hashed to ``least`` times or more."""
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    # At least as many ranges as leave numbers of 32 bits in each.
+    ranges = max(1 << (NUMBER_BITS - 32), -(-total // RANGE_BYTES))
+    counts = texts.mapInArrow(_counting(partial(_number_counts, ranges=ranges), proposed), _NUMBERS)
+    dealt = counts.repartition(tasks, "range").sortWithinPartitions("range")
+    return dealt.mapInArrow(_frequent_numbers(least, ranges), "hash bigint")
+
+
 def mined_phrases(texts: DataFrame, least: int, proposals: DataFrame | None = None) -> tuple[DataFrame, int]:
     """``lang, phrase, words, hash, n`` of every phrase that occurs ``least`` times or more, and the passes it took.
 
@@ -206,17 +289,21 @@ def mined_phrases(texts: DataFrame, least: int, proposals: DataFrame | None = No
     first pass counts; without any the passes go word by word. All words of a language together are a row with no words.
     """
     context = texts.sparkSession.sparkContext
+    texts = texts.select("lang", F.col("text").cast("binary").alias("text"))
     known = None if proposals is None else proposals.where(F.col("words").between(1, LONGEST - 1))
     proposed = np.zeros(FILTER_BITS // 8, np.uint8) if known is None else _filter_bits(known)
     counted, found = None, []
     while True:
         sent = [None if bits is None else context.broadcast(bits) for bits in (proposed, counted)]
-        rows = texts.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(_counting(*sent), _COUNTS)
+        heavy = None
+        if counted is None:
+            heavy = context.broadcast(_filter_bits(_frequent(texts, sent[0], least)))
+        rows = texts.mapInArrow(_counting(_phrase_counts, *sent, heavy), _COUNTS)
         totals = rows.groupBy("lang", "phrase").agg(
             F.min("words").alias("words"), F.min("hash").alias("hash"), F.sum("n").alias("n")
         )
         found.append(stored(totals.where((F.col("n") >= least) | (F.col("words") == 0)), "phrase-counts"))
-        for bits in sent:
+        for bits in (*sent, heavy):
             if bits is not None:
                 bits.unpersist()
         failures = found[-1].where(F.col("words").between(1, LONGEST - 1))
@@ -290,14 +377,14 @@ def collocations(
     does an empty table. Repeated rows count as often as they stand. Very long texts are counted in one piece of their own.
     Ids only decide who is in the sample. Other columns are ignored.
 
-    Tasks count pieces of text with arrays and send one row per phrase and piece; exact totals come from one aggregate.
+    Tasks count pieces of text with arrays and send one row per phrase and piece; exact totals come from an aggregate.
     """
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text")
     lang = F.coalesce(F.col(f"`{lang_column}`"), F.lit(NO_LANGUAGE)).alias("lang")
     texts = docs.select(lang, text)
     picked = F.pmod(F.xxhash64(F.col(f"`{id_column}`"), F.col(f"`{text_column}`")), F.lit(1_000_000))
     sample = docs.where(picked < int(share * 1_000_000)).select(lang, text)
-    lenient = max(1, int(least * share * SAMPLE_LENIENCE))
+    lenient = max(1, round(least * share * SAMPLE_LENIENCE))
     proposals, _ = mined_phrases(sample, lenient)
     found, _ = mined_phrases(texts, least, proposals)
     found = stored(found, "phrases")

@@ -121,11 +121,18 @@ def test_a_pass_counts_the_border_and_nothing_else(tagged, spark):
     everything, _ = mined_phrases(texts, 1)
     proposals = everything.where("phrase in ('a', 'b', 'c', 'a b')")
     bits = phrases._filter_bits(proposals)
-    batches = list(phrases._piece_counts("en", [b"a b c a b d"], bits, None))
+    batches = list(phrases._phrase_counts("en", [b"a b c a b d"], bits, None, None))
     counted = {p: n for b in batches for p, n in zip(b["phrase"].to_pylist(), b["n"].to_pylist(), strict=True)}
     assert counted == {"": 6, "a": 2, "b": 2, "c": 1, "d": 1, "a b": 2, "b c": 1, "c a": 1}
+    (batch,) = phrases._number_counts("en", [b"a b c a b d"], bits, 300)
+    times = [n for packed in batch["times"].to_pylist() for n in np.frombuffer(packed, np.uint32)]
+    assert sorted(times) == sorted(n for p, n in counted.items() if p)
+    (found,) = zip(*[b["hash"].to_pylist() for b in phrases._frequent_numbers(2, 300)(iter([batch])) if len(b["hash"])])
+    heavy = phrases._filter_bits(spark.createDataFrame([(n,) for n in found], "hash bigint"))
+    batches = list(phrases._phrase_counts("en", [b"a b c a b d"], bits, None, heavy))
+    assert [p for b in batches for p in b["phrase"].to_pylist()] == ["", "a", "b", "a b"]
     more = bits | phrases._filter_bits(everything.where("phrase in ('b c', 'd')"))
-    batches = list(phrases._piece_counts("en", [b"a b c a b d"], more, bits))
+    batches = list(phrases._phrase_counts("en", [b"a b c a b d"], more, bits, None))
     counted = {p: n for b in batches for p, n in zip(b["phrase"].to_pylist(), b["n"].to_pylist(), strict=True)}
     assert counted == {"b d": 1, "a b c": 1}
 
