@@ -10,9 +10,21 @@ import json
 import sys
 
 from heliovane.config import PANEL, REGIONS, TURBINE, Region, SolarPanel, WindTurbine, check_catalog
-from heliovane.plans.jobs import Month, run_all, run_daily, run_days, run_feed, run_gold, run_silver, run_table
+from heliovane.plans.jobs import (
+    Month,
+    run_all,
+    run_daily,
+    run_days,
+    run_feed,
+    run_gold,
+    run_gold_switched,
+    run_history,
+    run_silver,
+    run_table,
+)
 from heliovane.session import build_session
 from heliovane.sources.bronze import LAYOUTS
+from heliovane.sources.published import publish_view
 from heliovane.streaming.feed import LATENESS
 
 
@@ -42,24 +54,28 @@ def parse(argv: list[str]) -> argparse.Namespace:
     jobs = parser.add_subparsers(dest="job", required=True)
 
     silver = jobs.add_parser("silver", help="bronze to silver")
+    history = jobs.add_parser("history", help="new historical files to a silver table of their own")
     feed = jobs.add_parser("feed", help="new feed files to a silver table of their own")
     days = jobs.add_parser("days", help="daily averages of new feed files, without silver")
     gold = jobs.add_parser("gold", help="silver to gold")
+    refresh = jobs.add_parser("refresh", help="months of a published view, in one step for its readers")
     daily = jobs.add_parser("daily", help="gold to the region-day rollup")
     table = jobs.add_parser("table", help="gold as a table of the session's catalog")
     both = jobs.add_parser("all", help="silver, gold and, if named, the rollup")
 
-    for job in (silver, both):
+    for job in (silver, history, both):
         job.add_argument("--history", required=True)
         job.add_argument("--history-layout", choices=LAYOUTS, default="json")
+    for job in (silver, both):
         job.add_argument("--record-head", help="how each record starts, to save a pass over the text")
     for job in (silver, feed, days, both):
         job.add_argument("--feed", required=True)
-    for job in (silver, feed, both):
+    for job in (silver, history, feed, both):
         job.add_argument("--silver", required=True)
-    for job in (silver, feed, days, gold, both):
+    history.add_argument("--manifest", required=True, help="lists the files read, kept between runs")
+    for job in (silver, history, feed, days, gold, refresh, both):
         job.add_argument("--model", help="JSON file with regions, panel and turbine")
-    for job in (silver, gold, both):
+    for job in (silver, gold, refresh, both):
         job.add_argument("--dedup", action="store_true", help="one row per point and time")
     for job in (feed, days):
         job.add_argument("--state", required=True, help="folder kept between runs")
@@ -69,16 +85,20 @@ def parse(argv: list[str]) -> argparse.Namespace:
     days.add_argument("--rejected", required=True, help="table of readings that are in no average")
     days.add_argument("--finished-only", action="store_true", help="each day once, when it is over")
     days.add_argument("--lateness", default=LATENESS, help="how long after its end a day stays open")
-    gold.add_argument("--silver", required=True, action="append", help="may be repeated")
+    for job in (gold, refresh):
+        job.add_argument("--silver", required=True, action="append", help="may be repeated")
+    refresh.add_argument("--refreshed", required=True, help="where refreshed months are written")
+    refresh.add_argument("--view", required=True)
     for job in (gold, daily, table, both):
         job.add_argument("--gold", required=True)
     daily.add_argument("--daily", required=True)
     both.add_argument("--daily")
     table.add_argument("--name", default="gold_weather_metrics")
+    table.add_argument("--view", action="store_true", help="publish a view, whose months can be refreshed in one step")
     gold.add_argument("--table", help="the catalog table of --gold, whose partitions are to follow")
-    for job in (gold, daily):
+    for job in (gold, refresh, daily):
         job.add_argument(
-            "--month", type=_month, action="append",
+            "--month", type=_month, action="append", required=job is refresh,
             help="YYYY-MM, may be repeated; rows without a time (none) always come with it",
         )
     return parser.parse_args(argv)
@@ -93,6 +113,14 @@ def run(args: argparse.Namespace) -> None:
             args.history_layout, args.record_head, args.dedup,
         )
         rows = {"silver": written}
+    elif args.job == "history":
+        added = run_history(spark, args.history, args.silver, args.manifest, regions, args.history_layout)
+        rows = {"history": added}
+    elif args.job == "refresh":
+        written = run_gold_switched(
+            spark, args.silver, args.refreshed, args.view, args.month, panel, turbine, args.dedup
+        )
+        rows = {"refresh": written}
     elif args.job == "feed":
         total = run_feed(
             spark, args.feed, args.silver, args.state, regions, args.files_per_batch, args.repeats_within
@@ -108,6 +136,10 @@ def run(args: argparse.Namespace) -> None:
         rows = {"gold": run_gold(spark, args.silver, args.gold, args.month, panel, turbine, args.dedup, args.table)}
     elif args.job == "daily":
         rows = {"daily": run_daily(spark, args.gold, args.daily, args.month).count()}
+    elif args.job == "table" and args.view:
+        publish_view(spark, args.gold, args.name)
+        print(f"{args.name}: view of {args.gold}")
+        return
     elif args.job == "table":
         print(f"{args.name}: {run_table(spark, args.gold, args.name)} partitions")
         return

@@ -21,6 +21,7 @@ from heliovane.sources.lake import (
     repair_table,
     write_partitioned,
 )
+from heliovane.sources.published import publish_view
 from heliovane.sources.scratch import scratch_dir
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -177,6 +178,97 @@ def test_a_full_run_repairs_the_table_and_another_path_is_refused(spark, rows, t
     spark.sql("DROP TABLE followed")
 
 
+@pytest.fixture
+def view(spark, rows, tmp_path):
+    """A published view, and how to refresh months of it from other rows."""
+    table, gold, name = str(tmp_path / "silver"), str(tmp_path / "it's gold"), "switched"
+    write_partitioned(rows, table)
+    jobs.run_gold(spark, table, gold)
+    publish_view(spark, gold, name)
+
+    def refresh(changed, *months):
+        write_partitioned(changed, table)
+        return jobs.run_gold_switched(spark, table, str(tmp_path / "refreshed"), name, list(months))
+
+    yield refresh
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+
+
+def seen(spark) -> list:
+    return sorted((r.region, r.year or 0, r.month or 0, r.dt or 0) for r in spark.table("switched").collect())
+
+
+def as_seen(rows) -> list:
+    return sorted((r.region, r.year or 0, r.month or 0, r.dt or 0) for r in rows.collect())
+
+
+def test_a_view_shows_refreshed_months_and_the_rest(spark, rows, silver, view, tmp_path):
+    assert spark.table("switched").columns == GOLD_TABLE.names and seen(spark) == as_seen(rows)
+    assert [f.dataType for f in spark.table("switched").schema] == [f.dataType for f in GOLD_TABLE]
+    changed = silver(
+        *[(NOON + k, PATAGONIA, 1.0, 10.0, 1000, 2.0) for k in range(5)],
+        (NOON + 40 * DAY, PATAGONIA, 2.0, 30.0, 1010, 3.0),
+        (None, PATAGONIA, 1.0, None, None, None),
+    )
+    assert view(changed, (2024, 1)) == 6
+    february = rows.where("month = 2").unionByName(changed.where("month = 1 OR month IS NULL"))
+    assert seen(spark) == as_seen(february)
+    assert view(changed, (2024, 2)) == 2
+    assert seen(spark) == as_seen(changed)
+    # A month that has gone, and all of them.
+    assert view(changed.where("month = 1"), (2024, 2)) == 0
+    assert seen(spark) == as_seen(changed.where("month = 1"))
+    assert view(changed.where("dt IS NULL"), (2024, 1)) == 1
+    assert seen(spark) == as_seen(changed.where("dt IS NULL"))
+    folders = os.listdir(tmp_path / "refreshed")
+    assert len(folders) <= 3, "folders that are no longer shown go with the next refresh but one"
+    gold = str(tmp_path / "full")
+    write_partitioned(rows, str(tmp_path / "silver"))
+    jobs.run_gold(spark, str(tmp_path / "silver"), gold)
+    publish_view(spark, gold, "switched")
+    assert seen(spark) == as_seen(rows)
+
+
+@pytest.mark.parametrize("step", ["write_partitioned", "switch_months"])
+def test_a_refresh_that_fails_shows_the_old_months(spark, rows, silver, view, monkeypatch, step):
+    """Before, after or while its months are written: readers see none of them until the view is replaced, then all."""
+    changed = silver(*[(NOON + k * 20 * DAY, place, 1.0, 10.0, 1000, 2.0) for k in range(3) for place in (PATAGONIA, RIOHACHA)])
+    months = [(2024, 1), (2024, 2)]
+    real = getattr(jobs, step)
+
+    def failing(*args, **options):
+        if step == "write_partitioned":
+            real(args[0].where("region = 'Patagonia'"), *args[1:], **options)
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(jobs, step, failing)
+    with pytest.raises(RuntimeError):
+        view(changed, *months)
+    assert seen(spark) == as_seen(rows)
+    monkeypatch.undo()
+    assert view(changed, *months) == 6 and seen(spark) == as_seen(changed)
+
+
+def test_a_reader_of_the_old_months_can_finish(spark, rows, silver, view):
+    changed = silver((NOON, PATAGONIA, 1.0, 10.0, 1000, 2.0))
+    view(changed, (2024, 1))
+    reader = spark.table("switched")
+    before = as_seen(reader)
+    view(silver((NOON + 5, PATAGONIA, 1.0, 10.0, 1000, 2.0), (NOON + 6, RIOHACHA, 1.0, 10.0, 1000, 2.0)), (2024, 1))
+    assert as_seen(reader) == before and len(seen(spark)) == len(before) + 1
+
+
+def test_only_published_views_are_refreshed(spark, rows, tmp_path):
+    table = str(tmp_path / "silver")
+    write_partitioned(rows, table)
+    with pytest.raises(ValueError, match="publish it first"):
+        jobs.run_gold_switched(spark, table, str(tmp_path / "r"), "nothing_there", [(2024, 1)])
+    spark.sql("CREATE VIEW another AS SELECT 1 AS one")
+    with pytest.raises(ValueError, match="not a published view"):
+        jobs.run_gold_switched(spark, table, str(tmp_path / "r"), "another", [(2024, 1)])
+    spark.sql("DROP VIEW another")
+
+
 def test_months_prune_partitions(spark, rows, tmp_path):
     path = str(tmp_path / "silver")
     write_partitioned(rows, path)
@@ -316,6 +408,81 @@ def test_feed_increments_add_up_to_the_batch_result(spark, bronze_dirs, capsys):
     assert stepwise.exceptAll(whole).count() == 0
 
 
+def history_file(root, name, *times):
+    (root / "history").mkdir(exist_ok=True)
+    records = [HISTORY.replace("1704067200", str(t)).strip()[1:-1] for t in times]
+    (root / "history" / name).write_text("[" + ",".join(records) + "]")
+
+
+def test_history_is_read_once(spark, tmp_path):
+    root = tmp_path
+    paths = [str(root / t) for t in ("history", "silver", "manifest")]
+
+    def rows():
+        return sorted(r.dt for r in read_silver(spark, paths[1]).collect())
+
+    history_file(root, "a [1] {b} 50%.json", NOON, NOON + 1)
+    history_file(root, "b.json", NOON + 2)
+    assert jobs.run_history(spark, *paths, files_per_load=1) == 3
+    assert rows() == [NOON, NOON + 1, NOON + 2]
+    assert jobs.run_history(spark, *paths) == 0
+    # What was read could not be read again: same names, sizes and times, but no JSON.
+    for file in (root / "history").iterdir():
+        size, time = file.stat().st_size, file.stat().st_mtime_ns
+        file.write_text("x" * size)
+        os.utime(file, ns=(time, time))
+    history_file(root, "c.json", NOON + 3, NOON + 40 * DAY)
+    assert jobs.run_history(spark, *paths) == 2
+    assert rows() == [NOON, NOON + 1, NOON + 2, NOON + 3, NOON + 40 * DAY]
+    whole = str(root / "gold")
+    assert jobs.run_gold(spark, paths[1], whole) == 5
+    assert jobs.run_gold(spark, paths[1], whole, [(2024, 2)]) == 1
+
+
+def test_a_load_that_fails_is_done_again(spark, tmp_path, monkeypatch):
+    paths = [str(tmp_path / t) for t in ("history", "silver", "manifest")]
+    history_file(tmp_path, "a.json", NOON)
+    jobs.run_history(spark, *paths)
+    history_file(tmp_path, "b.json", NOON + 1, NOON + 2)
+
+    def fail(*_):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(jobs, "note_files", fail)
+    with pytest.raises(RuntimeError):
+        jobs.run_history(spark, *paths)
+    monkeypatch.undo()
+    history_file(tmp_path, "c.json", NOON + 3)
+    assert jobs.run_history(spark, *paths) == 3
+    assert sorted(r.dt for r in read_silver(spark, paths[1]).collect()) == [NOON, NOON + 1, NOON + 2, NOON + 3]
+
+
+def test_a_file_that_changes_is_refused(spark, tmp_path):
+    paths = [str(tmp_path / t) for t in ("history", "silver", "manifest")]
+    history_file(tmp_path, "a.json", NOON)
+    jobs.run_history(spark, *paths)
+    history_file(tmp_path, "a.json", NOON, NOON + 1)
+    with pytest.raises(ValueError, match="changed after"):
+        jobs.run_history(spark, *paths)
+
+
+def test_command_line_of_increments(spark, bronze_dirs, capsys):
+    root = bronze_dirs
+    load = ["history", *arguments(root, "history", "silver", "manifest")]
+    assert cli.main(load) == 0 and cli.main(load) == 0
+    assert cli.main(["gold", *arguments(root, "silver", "gold")]) == 0
+    assert cli.main(["table", *arguments(root, "gold"), "--name", "cli_view", "--view"]) == 0
+    assert spark.table("cli_view").count() == 1
+    refresh = ["refresh", *arguments(root, "silver", "refreshed"), "--view", "cli_view", "--month", "2024-01"]
+    assert cli.main(refresh) == 0
+    days = ["days", *arguments(root, "feed", "days", "rejected", "state"), "--finished-only"]
+    assert cli.main(days) == 0
+    out = capsys.readouterr().out
+    assert "history: 1 rows" in out and "history: 0 rows" in out and "refresh: 1 rows" in out and "rejected: 0 rows" in out
+    assert spark.table("cli_view").count() == 1
+    spark.sql("DROP VIEW cli_view")
+
+
 def test_failure_stops_the_sequence(spark, bronze_dirs, capsys):
     root = bronze_dirs
     missing = [*arguments(root, "history"), "--feed", str(root / "nowhere")]
