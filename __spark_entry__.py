@@ -19,6 +19,7 @@ from fixtures import (  # noqa: E402
     history_bronze,
     land_deliveries,
     land_feed,
+    land_history,
     land_mixed_history,
     land_styled_history,
     landed_bronze,
@@ -55,6 +56,7 @@ from heliovane.sources.lake import (  # noqa: E402
     write_partitioned,
 )
 from heliovane.shipping import ship_package  # noqa: E402
+from heliovane.sources.published import publish_view  # noqa: E402
 from heliovane.sources.scratch import scratch_dir  # noqa: E402
 from heliovane.streaming import feed as streaming  # noqa: E402
 from heliovane.streaming.days import read_rejected  # noqa: E402
@@ -213,6 +215,21 @@ def gold_table_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(spark.table(name))
 
 
+def gold_view_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view of gold of an older silver, with the months of the feed and one that went refreshed in one step."""
+    root = scratch_dir(spark, "view-by-month")
+    silver, gold = f"{root}/silver", f"{root}/gold"
+    history = norm_hist(spark, sf_dir)
+    vanished = history.where("dt % 7 = 0").withColumn("dt", F.lit(1_893_456_000).cast("bigint"))
+    write_partitioned(enrich(unify(history, vanished)), silver)
+    jobs.run_gold(spark, silver, gold)
+    name = "gold_view_" + root.rsplit("-", 1)[1]
+    publish_view(spark, gold, name)
+    write_partitioned(_silver(spark, sf_dir), silver)
+    jobs.run_gold_switched(spark, silver, f"{root}/refreshed", name, [(2024, 1), (2030, 1)])
+    return _comparable(spark.table(name))
+
+
 def gold_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL text over the catalog table, with a CTE and a derived table: which region leads, by month."""
     return spark.sql(
@@ -235,6 +252,17 @@ def _partition_counts(spark: SparkSession, path: str) -> DataFrame:
     return read_silver(spark, path).groupBy("region", "year", "month").agg(rows)
 
 
+def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History in three deliveries, silver brought up to date after each: as one run over all files."""
+    root = scratch_dir(spark, "incremental")
+    history = history_bronze(spark, sf_dir)
+    part = F.pmod(F.xxhash64("dt", "lat", "uv_index", "wind"), F.lit(3))
+    for number in range(3):
+        land_history(history.where(part == number), f"{root}/history/{number}")
+        jobs.run_history(spark, f"{root}/history", f"{root}/silver", f"{root}/manifest")
+    return read_silver(spark, f"{root}/silver")
+
+
 def overwrite_static(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of both feeds, then the feed alone: nothing of the first write is left."""
     path = scratch_dir(spark, "static")
@@ -493,10 +521,12 @@ def weather_queries() -> dict[str, Query]:
         "bronze_hist_styles": bronze_hist_styles,
         "bronze_stream_scan": bronze_stream_scan,
         "silver_roundtrip": silver_roundtrip,
+        "silver_incremental": silver_incremental,
         "gold_roundtrip": gold_roundtrip,
         "gold_by_month": gold_by_month,
         "gold_table": gold_table,
         "gold_table_by_month": gold_table_by_month,
+        "gold_view_by_month": gold_view_by_month,
         "gold_table_sql": gold_table_sql,
         "overwrite_static": overwrite_static,
         "overwrite_dynamic": overwrite_dynamic,

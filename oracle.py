@@ -257,10 +257,13 @@ _ORACLES = {
     "bronze_hist_styles": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM history",
     "bronze_stream_scan": f"WITH {_FEEDS} SELECT {_OBSERVATION} FROM feed",
     "silver_roundtrip": f"WITH {_SILVER} SELECT {_SILVER_COLUMNS} FROM silver",
+    "silver_incremental": f"""WITH {_FEEDS}
+SELECT {_SILVER_COLUMNS} FROM ({_region("SELECT * FROM history")})""",
     "gold_roundtrip": f"WITH {_GOLD} SELECT {_GOLD_COLUMNS} FROM gold",
     "gold_by_month": f"WITH {_GOLD} SELECT {_GOLD_COLUMNS} FROM gold",
     "gold_table": f"WITH {_GOLD} SELECT {_TABLE_COLUMNS} FROM gold",
     "gold_table_by_month": f"WITH {_GOLD} SELECT {_TABLE_COLUMNS} FROM gold",
+    "gold_view_by_month": f"WITH {_GOLD} SELECT {_TABLE_COLUMNS} FROM gold",
     "gold_table_sql": f"""WITH {_DAILY},
 both_regions AS (
   SELECT year, month, day, {_of("Patagonia", "max(total)")} AS patagonia,
