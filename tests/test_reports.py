@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import math
+import random
+
 import pytest
 from conftest import DAY, NOON, NOWHERE, PATAGONIA, RIOHACHA, plan_of
 from pyspark.sql import functions as F
 
-from heliovane.operators.daily import daily_metrics, merge_daily
+from heliovane.operators.daily import daily_metrics, mean_of, merge_daily, pooled_mean
 from heliovane.operators.gold import build_gold
 from heliovane.plans import reports
 from heliovane.sources.lake import read_gold, write_partitioned
@@ -180,3 +183,46 @@ def test_reports_read_two_columns_and_aggregate_before_shuffling(stored, report,
     # By region-day, by report group, and for the final order: only the first carries more than days.
     assert plan.count("- Exchange (") == 3
     assert "partial_" in plan and "Join" not in plan
+
+
+def unguarded(df) -> list:
+    """The means behind the reports to the last bit, by day and pooled by month."""
+    days = df.select("region", "day", *[mean_of(p).alias(p) for p in ("solar", "wind", "total", "temp", "pressure")])
+    months = df.groupBy("region", "month").agg(pooled_mean("solar").alias("solar"), pooled_mean("total").alias("total"))
+    return sorted(map(repr, [*days.collect(), *months.collect()]))
+
+
+def test_means_do_not_depend_on_partitions_or_merges(spark, gold):
+    rng = random.Random(4)
+    rows = [
+        (rng.choice(["A", "B"]), (2024, 1, rng.randrange(1, 4)), *[rng.uniform(0, 4_000) / 3 ** rng.randrange(20) for _ in range(3)])
+        for _ in range(5_000)
+    ]
+    table = gold(*rows)
+    one = unguarded(daily_metrics(table.coalesce(1)))
+    for count in (7, 200):
+        assert unguarded(daily_metrics(table.repartition(count))) == one
+    part = F.pmod(F.xxhash64("potencia_solar_w"), F.lit(3))
+    loads = [daily_metrics(table.where(part == k).repartition(5)) for k in range(3)]
+    assert unguarded(merge_daily(*loads)) == unguarded(merge_daily(merge_daily(*loads[::-1][:2]), loads[0])) == one
+    for r in daily_metrics(table).select("region", "day", mean_of("wind").alias("wind")).collect():
+        own = [x[3] for x in rows if x[0] == r.region and x[1][2] == r.day]
+        assert r.wind == pytest.approx(math.fsum(own) / len(own), rel=0, abs=2**-40)
+
+
+@pytest.mark.parametrize("values,mean", [
+    ([-5.5, 2.25], -1.625), ([0.1] * 10, 0.1), ([1e300, 1.0, -1e300], 1 / 3), ([None, None], None), ([3.0, None], 3.0),
+    ([2.0**22, -(2.0**22) + 1], 0.5), ([float("nan"), 1.0], float("nan")), ([float("inf"), 1.0], float("inf")), ([-1e-13], 0.0),
+])
+def test_sums_of_any_numbers(gold, values, mean):
+    (row,) = daily_metrics(gold(*[("A", (2024, 1, 1), v, 0.0, 0.0) for v in values])).select(mean_of("solar").alias("m")).collect()
+    assert row.m == pytest.approx(mean, abs=2**-40, nan_ok=True) if mean is not None else row.m is None
+
+
+def test_sums_of_a_day_do_not_overflow(spark, gold):
+    """As many rows as no day has, all with the largest value: what the limbs of so many rows add up to."""
+    day = daily_metrics(gold(("A", (2024, 1, 1), 2.0**22 - 1, 0.0, 0.0), ("A", (2024, 1, 1), -3.0, 0.0, 0.0)))
+    for _ in range(30):
+        day = spark.createDataFrame(merge_daily(day, day).collect(), day.schema)
+    assert day.first().observations == 2**31
+    assert day.select(mean_of("solar")).first()[0] == (2.0**22 - 4) / 2
