@@ -17,35 +17,27 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from bench import evaluate, timed  # noqa: E402
 from fixtures import landed_bronze  # noqa: E402
-from heliovane.config import PARTITION_COLUMNS  # noqa: E402
+from heliovane.config import COORDINATE_DECIMALS, PARTITION_COLUMNS, REGIONS  # noqa: E402
+from heliovane.functions.places import with_region  # noqa: E402
+from heliovane.operators.gold import build_gold  # noqa: E402
+from heliovane.operators.silver import FEED_PATHS, HISTORY_PATHS  # noqa: E402
 from heliovane.session import build_session  # noqa: E402
 from heliovane.sources.scratch import scratch_dir  # noqa: E402
 
 
+def flat(raw: DataFrame, paths: dict[str, str]) -> DataFrame:
+    return raw.select(*[F.col(path).alias(name) for name, path in paths.items()])
+
+
 def plain_silver(spark, history_path: str, feed_path: str) -> DataFrame:
-    history = spark.read.option("multiLine", True).json(history_path).selectExpr(
-        "dt", "round(lat, 4) lat", "round(lon, 4) lon", "uv_index uvi", "main.temp", "main.pressure",
-        "main.humidity", "wind.speed wind_speed",
-    )
-    feed = spark.read.json(feed_path).selectExpr(
-        "_airbyte_data.current.dt", "_airbyte_data.lat", "_airbyte_data.lon", "_airbyte_data.current.uvi",
-        "_airbyte_data.current.temp", "_airbyte_data.current.pressure", "_airbyte_data.current.humidity",
-        "_airbyte_data.current.wind_speed",
-    )
-    both = history.unionByName(feed).withColumn("timestamp", F.from_unixtime("dt"))
-    for part, of in (("year", F.year), ("month", F.month), ("day", F.dayofmonth)):
-        both = both.withColumn(part, of(F.to_timestamp("timestamp")))
-    place = F.when((F.col("lat") == -41.8101) & (F.col("lon") == -68.9063), "Patagonia")
-    place = place.when((F.col("lat") == 11.5384) & (F.col("lon") == -72.9168), "Riohacha")
-    return both.withColumn("region", place.otherwise("No Region"))
-
-
-def plain_gold(silver: DataFrame) -> DataFrame:
-    loss = F.when(F.col("temp") > 25, (F.col("temp") - 25) * 0.004).otherwise(0)
-    density = F.col("pressure") * 100 / (287.05 * (F.col("temp") + 273.15))
-    solar = F.col("uvi") * 100 * 0.18 * (1 - loss) * 0.75
-    wind = density * 0.5 * F.pow("wind_speed", 3) * 0.4
-    return silver.withColumns({"solar": solar, "wind": wind, "total": solar + wind})
+    """Types as Spark infers them, calendar fields out of a text timestamp."""
+    history = flat(spark.read.option("multiLine", True).json(history_path), HISTORY_PATHS)
+    points = {name: F.round(name, COORDINATE_DECIMALS) for name in ("lat", "lon")}
+    both = history.withColumns(points).unionByName(flat(spark.read.json(feed_path), FEED_PATHS))
+    timed_rows = both.withColumn("timestamp", F.from_unixtime("dt"))
+    parts = {"year": F.year, "month": F.month, "day": F.dayofmonth}
+    dated = timed_rows.withColumns({name: part(F.to_timestamp("timestamp")) for name, part in parts.items()})
+    return with_region(dated, REGIONS)
 
 
 def counted_write(df: DataFrame, path: str) -> None:
@@ -54,11 +46,11 @@ def counted_write(df: DataFrame, path: str) -> None:
 
 
 REPORTS = {
-    "daily solar": "SELECT year, month, day, round(max(solar), 2) FROM gold WHERE region = 'Patagonia' "
+    "daily solar": "SELECT year, month, day, round(max(potencia_solar_w), 2) FROM gold WHERE region = 'Patagonia' "
     "GROUP BY year, month, day ORDER BY year DESC, month DESC, day DESC",
-    "monthly solar": "SELECT year, month, round(avg(s), 2) FROM (SELECT year, month, day, max(solar) s FROM gold "
+    "monthly solar": "SELECT year, month, round(avg(s), 2) FROM (SELECT year, month, day, max(potencia_solar_w) s FROM gold "
     "WHERE region = 'Patagonia' GROUP BY year, month, day) GROUP BY year, month ORDER BY year DESC, month DESC",
-    "ten best days": "SELECT year, month, day, round(avg(total), 2) e FROM gold WHERE region = 'Patagonia' "
+    "ten best days": "SELECT year, month, day, round(avg(potencial_renovable_total_w), 2) e FROM gold WHERE region = 'Patagonia' "
     "GROUP BY year, month, day ORDER BY e DESC LIMIT 10",
 }
 
@@ -71,7 +63,7 @@ def main() -> int:
     root = scratch_dir(spark, "plain")
     silver, gold = f"{root}/silver", f"{root}/gold"
     times = {"bronze to silver": timed(lambda: counted_write(plain_silver(spark, *bronze), silver), 3)}
-    times["silver to gold"] = timed(lambda: counted_write(plain_gold(spark.read.parquet(silver)), gold), 3)
+    times["silver to gold"] = timed(lambda: counted_write(build_gold(spark.read.parquet(silver)), gold), 3)
     spark.read.parquet(gold).createOrReplaceTempView("gold")
     for name, text in REPORTS.items():
         times[name] = timed(lambda t=text: evaluate(spark.sql(t)), 3)
