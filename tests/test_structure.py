@@ -53,7 +53,7 @@ def read(spark, path) -> tuple[list, int]:
     return sorted(found, key=lambda r: (r[0] is None, r[0] or 0)), rows.where("_corrupt IS NOT NULL").count()
 
 
-@pytest.mark.parametrize("size", ["97", "400", "3k", "1m"])
+@pytest.mark.parametrize("size", ["97", "1k", "1m"])
 def test_any_record_in_any_style_in_any_splits(spark, tmp_path, conf, size):
     rng = random.Random(7)
     styles = [
@@ -119,7 +119,7 @@ def test_lines_between_records_are_rows_of_their_own(spark, tmp_path, conf):
         assert sorted(r.dt for r in rows.where("dt IS NOT NULL").collect()) == ["1", "2"]
 
 
-@pytest.mark.parametrize("size", ["50", "300", "1m"])
+@pytest.mark.parametrize("size", ["60", "1m"])
 @pytest.mark.parametrize("broken", ['{"dt": -1, "lat"', '"', "}", '{"dt":-1,"note":"open}'])
 def test_a_file_without_structure_is_cut_at_its_heads(spark, tmp_path, conf, size, broken):
     """However small the splits: what comes out is the same, and only what is next to the fault can be lost."""
