@@ -13,6 +13,7 @@ import re
 from collections.abc import Iterable, Iterator
 from operator import itemgetter
 
+import ahocorasick
 import duckdb
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 #: Characters of text whose words a task holds at once.
 TEXT_BLOCK = 1 << 22
 
-#: Characters of words given to one recursive query, and from which on a word goes alone.
+#: Characters of words given to one recursive query, and from which on a word is taken apart first.
 WORD_BLOCK = 1 << 20
 LONG_WORD = 64
 
@@ -133,6 +134,7 @@ class Encoder:
         self.db.execute("CREATE TABLE vocabulary AS SELECT id::INTEGER AS id, hex FROM vocabulary")
         self.recent: dict[str, tuple[bytes, bytes]] = {}
         self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.finder: ahocorasick.Automaton | None = None
 
     def learn(self, words: set[str]) -> None:
         """Make sure that every word is remembered."""
@@ -142,32 +144,76 @@ class Encoder:
         block, size = [], 0
         for word in new - known:
             if len(word) > LONG_WORD:
-                self._encode([word], _ENCODE_LONG)
+                self.recent[word] = self._long(word.encode("utf-8"))
                 continue
             block.append(word)
             size += len(word)
             if size >= WORD_BLOCK:
-                self._encode(block, _ENCODE)
+                self._learn_short(block)
                 block, size = [], 0
         if block:
-            self._encode(block, _ENCODE)
+            self._learn_short(block)
+
+    def _learn_short(self, words: list[str]) -> None:
+        pieces = [word.encode("utf-8") for word in words]
+        self.recent.update(zip(words, self._encoded(pieces, _ENCODE), strict=True))
+
+    def _long(self, piece: bytes) -> tuple[bytes, bytes]:
+        """A long word by its parts. Words of any length come apart into parts as short as other words, mostly."""
+        if piece in self.ranks:
+            return self._encoded([piece], _ENCODE)[0]
+        parts = self._apart(piece)
+        found: dict[bytes, tuple[bytes, bytes]] = {}
+        block, size = [], 0
+        for part in dict.fromkeys(parts):
+            if len(part) > LONG_WORD:
+                found[part] = self._encoded([part], _ENCODE_LONG, whole=False)[0]
+                continue
+            block.append(part)
+            size += len(part)
+            if size >= WORD_BLOCK:
+                found.update(zip(block, self._encoded(block, _ENCODE, whole=False), strict=True))
+                block, size = [], 0
+        if block:
+            found.update(zip(block, self._encoded(block, _ENCODE, whole=False), strict=True))
+        return b"".join(found[part][0] for part in parts), b"".join(found[part][1] for part in parts)
+
+    def _apart(self, piece: bytes) -> list[bytes]:
+        """The parts between the places that no token of the vocabulary lies across, wherever it occurs.
+
+        Every token that merging makes is one that occurs there, so nothing is ever merged across such a place, and the
+        parts can be merged apart from each other.
+        """
+        if self.finder is None:
+            self.finder = ahocorasick.Automaton()
+            for token in self.ranks:
+                if len(token) > 1:
+                    self.finder.add_word(token.decode("latin-1"), len(token))
+            self.finder.make_automaton()
+        across = np.zeros(len(piece) + 1, np.int64)
+        found = np.array(list(self.finder.iter(piece.decode("latin-1"))), np.int64).reshape(-1, 2)
+        np.add.at(across, found[:, 0] - found[:, 1] + 2, 1)
+        np.add.at(across, found[:, 0] + 1, -1)
+        cuts = [0, *(np.flatnonzero(np.cumsum(across)[1:-1] == 0) + 1).tolist(), len(piece)]
+        return [piece[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def forget(self) -> None:
         """Drop the words not met since the last generation once there are enough of new ones."""
         if len(self.recent) > REMEMBERED:
             self.recent, self.older = {}, self.recent
 
-    def _encode(self, words: list[str], query: str) -> None:
-        pieces = [word.encode("utf-8") for word in words]
-        whole = [self.ranks.get(piece) for piece in pieces]
+    def _encoded(self, pieces: list[bytes], query: str, whole: bool = True) -> list[tuple[bytes, bytes]]:
+        """The packed tokens of each piece and what they decode to. With ``whole`` a piece that is a token is that token."""
         tokens = [
-            self.byte_ids[np.frombuffer(piece, np.uint8)] if rank is None else np.array([rank], np.int32)
-            for piece, rank in zip(pieces, whole, strict=True)
+            np.array([self.ranks[piece]], np.int32)
+            if whole and piece in self.ranks
+            else self.byte_ids[np.frombuffer(piece, np.uint8)]
+            for piece in pieces
         ]
         offsets = np.zeros(len(tokens) + 1, np.int32)
         np.cumsum([len(t) for t in tokens], out=offsets[1:])
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(tokens)))
-        number = pa.array(np.arange(len(words), dtype=np.int32))
+        number = pa.array(np.arange(len(pieces), dtype=np.int32))
         db = self.db
         db.register("given", pa.table({"word": number, "tokens": lists}))
         db.execute("CREATE OR REPLACE TEMP TABLE fresh AS SELECT * FROM given")
@@ -177,10 +223,9 @@ class Encoder:
         db.unregister("given")
         ends = (4 * ids.offsets.to_numpy()).tolist()
         packed = ids.values.to_numpy().astype("<i4").tobytes()
-        if not len(words) == len(ids) == len(decoded):
+        if not len(pieces) == len(ids) == len(decoded):
             raise RuntimeError("a word was lost")
-        for k, word in enumerate(words):
-            self.recent[word] = (packed[ends[k] : ends[k + 1]], decoded[k])
+        return [(packed[a:b], text) for a, b, text in zip(ends, ends[1:], decoded, strict=False)]
 
 
 _encoders: dict[int, Encoder] = {}

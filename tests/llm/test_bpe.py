@@ -3,11 +3,14 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import time
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from heliovane.llm import bpe
 from heliovane.llm.bpe import blocks, byte_bpe, read_ranks, token_digest
@@ -87,6 +90,52 @@ def test_every_token_of_the_vocabulary_survives():
         assert encoder.recent[word] == (rank.to_bytes(4, "little"), word.encode())
 
 
+def long_words():
+    rng = random.Random(13)
+    yield "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=100_000))
+    yield "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(30_000))
+    yield "".join(rng.choices(["the", "漢字", "ing", "q", "é", "かな"], k=5_000))
+    yield "".join(rng.choices("etaoin", k=2_000))
+
+
+@pytest.mark.parametrize("name", PATHS)
+def test_long_words_come_apart(name):
+    """Letters without a break by the hundred thousand once took hours."""
+    with open(public_tokenizers.path(name), "rb") as file:
+        encoder = bpe.Encoder(file.read())
+    encoding, given = reference(name), list(long_words())
+    start = time.perf_counter()
+    encoder.learn(set(given))
+    assert time.perf_counter() - start < 60
+    for word in given:
+        ids, decoded = encoder.recent[word]
+        assert np.frombuffer(ids, "<i4").tolist() == encoding._encode_single_piece(word)
+        assert decoded == word.encode()
+    assert len(encoder._apart(given[0].encode())) > 10_000
+
+
+def test_no_token_lies_across_a_cut():
+    with open(public_tokenizers.path(PATHS[0]), "rb") as file:
+        encoder = bpe.Encoder(file.read())
+    rng = random.Random(17)
+    for _ in range(50):
+        piece = "".join(rng.choices("abcxyzqjé漢1", k=rng.randrange(2, 80))).encode()
+        parts = encoder._apart(piece)
+        assert b"".join(parts) == piece and all(parts)
+        cuts = {sum(map(len, parts[:k])) for k in range(1, len(parts))}
+        free = {
+            p for p in range(1, len(piece))
+            if not any(piece[a:b] in encoder.ranks for a in range(p) for b in range(p + 1, len(piece) + 1))
+        }
+        assert cuts == free
+
+
+def test_columns_of_any_name(documents):
+    docs = documents((1, "two words")).withColumns({n: F.lit("clash") for n in ("ids", "decoded", "a.b")})
+    (row,) = byte_bpe(docs, public_tokenizers.path(PATHS[0]), public_tokenizers.PATTERN).collect()
+    assert row["ids"] == reference(PATHS[0]).encode_ordinary("two words") and bytes(row["decoded"]) == b"two words"
+
+
 def test_no_vocabulary_without_all_bytes():
     with pytest.raises(ValueError):
         bpe.Encoder(b"YQ== 0\n")
