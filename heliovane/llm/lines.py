@@ -30,6 +30,9 @@ KEY_LIMIT = 2
 #: Candidate lines whose ids are broadcast; beyond it their texts are found with a shuffle join.
 BROADCAST_LINES = 1_000_000
 
+#: Numbers of 64 bits in the sketch of a line.
+SKETCH_NUMBERS = 4
+
 Thresholds = tuple[tuple[int, int], ...]
 
 _LINE_NUMBERS = 1 << 32
@@ -75,11 +78,11 @@ def _identity(line: Column) -> list[Column]:
 def _with_keys(
     lines: DataFrame, pieces: list[tuple[int, int, int, int]], thresholds: Thresholds, name: str
 ) -> DataFrame:
-    """``name, key`` for each line and each piece ``(threshold, segment, shorter, shift)`` that concerns it.
+    """``name, key, own`` for each line and each piece ``(threshold, segment, shorter, shift)`` that concerns it.
 
     The key hashes the segment's number, a size ``shorter`` than the line's by so much, and the run of words where that
     segment of a line of that size would be, shifted. Sizes are cut evenly, the longer segments last. A piece concerns lines
-    of whose size less ``shorter`` its threshold is the one.
+    of whose size less ``shorter`` its threshold is the one. ``own`` tells the line's own segments.
     """
     given = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(p, ("t", "k", "d", "shift"), strict=True)]) for p in pieces])
     concerned = F.filter(given, lambda p: threshold_of(F.col("size") - p["d"], thresholds) == p["t"])
@@ -89,7 +92,8 @@ def _with_keys(
     longer = F.col("of_size") - F.col("short") * F.col("parts") - (F.col("parts") - F.col("piece.k"))
     first = F.col("piece.k") * F.col("short") + F.greatest(longer, F.lit(0)) + 1 + F.col("piece.shift")
     length = F.col("short") + F.when(longer >= 0, 1).otherwise(0)
-    return rows.select(name, F.xxhash64("piece.k", "of_size", F.slice("hashes", first, length)).alias("key"))
+    own = (F.col("piece.d") == 0) & (F.col("piece.shift") == 0)
+    return rows.select(name, F.xxhash64("piece.k", "of_size", F.slice("hashes", first, length)).alias("key"), own.alias("own"))
 
 
 def index_keys(lines: DataFrame, thresholds: Thresholds, name: str = "line_id") -> DataFrame:
@@ -123,13 +127,19 @@ def hashes_of(line: Column) -> Column:
 
 
 def sketch(hashes: Column) -> Column:
-    """64 bits, each the parity of how often the words of its class occur: one edit flips at most two."""
+    """256 bits in four numbers, each the parity of how often the words of its class occur: one edit flips at most two."""
 
     def flip(bits: Column, word: Column) -> Column:
-        place = word.bitwiseAND(F.lit(63)).cast("int")
-        return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), place))
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), word.bitwiseAND(F.lit(63)).cast("int"))
+        number = F.shiftright(word, 6).bitwiseAND(F.lit(SKETCH_NUMBERS - 1))
+        return F.transform(bits, lambda b, k: F.when(k == number, b.bitwiseXOR(bit)).otherwise(b))
+
+    return F.aggregate(hashes, F.array(*[F.lit(0).cast("bigint")] * SKETCH_NUMBERS), flip)
+
 
-    return F.aggregate(hashes, F.lit(0).cast("bigint"), flip)
+def flips(a: Column, b: Column) -> Column:
+    """In how many bits two sketches differ."""
+    return sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(SKETCH_NUMBERS)), F.lit(0))
 
 
 def banded_distance(a: Column, b: Column, threshold: int) -> Column:
@@ -220,11 +230,10 @@ def candidate_pairs(
     lines: DataFrame, thresholds: Thresholds, limit: int = KEY_LIMIT
 ) -> tuple[DataFrame, DataFrame | None]:
     """``line_id, other`` for pairs of distinct lines (``line_id, line, size, hashes``) that may be near, and the lines of hot
-    keys: those with more than ``limit`` index entries, two at most. These come out as ``key, line_id, probes``, once as
-    probing the key and once as indexed by it.
+    keys: those with more than ``limit`` index entries, two at most. These come out as ``key, line_id, indexed``: all of them
+    probe the key, and ``indexed`` are those that the key is a segment of.
     """
-    entries = index_keys(lines, thresholds)
-    keys = entries.groupBy("key").agg(
+    keys = index_keys(lines, thresholds).groupBy("key").agg(
         F.count(F.lit(1)).alias("entries"), F.min("line_id").alias("first"), F.max("line_id").alias("last")
     )
     hot = F.col("entries") > min(limit, 2)
@@ -234,14 +243,13 @@ def candidate_pairs(
     pairs = both.where("line_id <> other").select(*_pair(F.col("line_id"), F.col("other"))).distinct()
     if met.where("hot").isEmpty():
         return pairs, None
-    probing = met.where("hot").select("key", F.col("other").alias("line_id"), F.lit(True).alias("probes"))
-    known = met.where("hot").select("key").distinct()
-    indexed = entries.join(known, "key", "left_semi").select("key", "line_id", F.lit(False).alias("probes"))
-    return pairs, stored(probing.unionByName(indexed).distinct(), "line-hot")
+    # A line is indexed by the segments of its own that it probes for.
+    hot = met.where("hot").groupBy("key", F.col("other").alias("line_id")).agg(F.max("own").alias("indexed"))
+    return pairs, stored(hot, "line-hot")
 
 
 def split_keys(lines: DataFrame, hot: DataFrame, thresholds: Thresholds) -> DataFrame:
-    """The rows of hot keys for each part of their key: ``part, line_id, probes, sketch, size, weight``.
+    """The rows of hot keys for each part of their key: ``part, line_id, indexed, sketch, size, weight``.
 
     Each of a line's words rarer than the first that it shares with a near one was lost by an edit. So near lines meet in the
     part of a word that is among the ``threshold + 1`` rarest of both; lines of so few words that none need be shared
@@ -260,7 +268,7 @@ def split_keys(lines: DataFrame, hot: DataFrame, thresholds: Thresholds) -> Data
     rows = hot.join(stored(about, "line-hot-words"), "line_id").withColumn("word", F.explode("parts"))
     # One value to join on; no word is another part than any word.
     part = F.xxhash64("key", F.col("word").isNull(), "word").alias("part")
-    return stored(rows.select(part, "line_id", "probes", "sketch", "size", "weight"), "line-parts")
+    return stored(rows.select(part, "line_id", "indexed", "sketch", "size", "weight"), "line-parts")
 
 
 def star_pairs(parts: DataFrame) -> DataFrame:
@@ -269,25 +277,31 @@ def star_pairs(parts: DataFrame) -> DataFrame:
     That one has the most common words. Of many variants of a line it is the one that differs least from most.
     """
     order = F.struct("weight", (-F.col("line_id")).alias("earlier"))
-    centres = parts.where("not probes").groupBy("part").agg((-F.max(order)["earlier"]).alias("centre"))
-    rows = parts.where("probes").join(centres, "part").where("line_id <> centre")
+    centres = parts.where("indexed").groupBy("part").agg((-F.max(order)["earlier"]).alias("centre"))
+    rows = parts.join(centres, "part").where("line_id <> centre")
     return rows.select(*_pair(F.col("line_id"), F.col("centre"))).distinct()
 
 
 def missing_pairs(parts: DataFrame, classes: DataFrame, thresholds: Thresholds) -> DataFrame:
     """The pairs of hot keys that may be near and whose lines no chain of links connects yet.
 
-    In a part of many lines near each other the stars have connected nearly all, so its pairs do not come up.
+    In a part of many lines near each other the stars have connected nearly all, so its pairs do not come up. A pair that
+    shares several parts comes up in the first.
     """
     known = classes.withColumnRenamed("node", "line_id")
-    named = parts.join(known, "line_id", "left").withColumn("class", F.coalesce("component", "line_id"))
-    names = ["line_id", "sketch", "size", "class"]
-    asking = named.where("probes").select("part", *[F.col(n).alias(f"other_{n}") for n in names])
-    flips = F.bit_count(F.col("sketch").bitwiseXOR(F.col("other_sketch")))
+    # A line has no more parts than probes times words of a part, whatever the table.
+    own = F.collect_set(F.when(F.col("indexed"), F.col("part"))).alias("own")
+    every = parts.groupBy("line_id").agg(F.collect_set("part").alias("parts"), own)
+    named = parts.join(every, "line_id").join(known, "line_id", "left")
+    named = stored(named.withColumn("class", F.coalesce("component", "line_id")).drop("component"), "line-named")
+    names = ["line_id", "sketch", "size", "class", "parts", "own", "indexed"]
+    asking = named.select("part", *[F.col(n).alias(f"other_{n}") for n in names])
     allowed = threshold_of(F.least("size", "other_size"), thresholds)
-    met = named.where("not probes").join(asking, "part")
-    met = met.where((F.col("class") != F.col("other_class")) & (flips <= 2 * allowed))
-    return met.select(*_pair(F.col("line_id"), F.col("other_line_id"))).distinct()
+    met = named.where("indexed").join(asking, "part")
+    may_be_near = (F.col("class") != F.col("other_class")) & (flips(F.col("sketch"), F.col("other_sketch")) <= 2 * allowed)
+    shared = [F.array_min(F.array_intersect(*sides)) for sides in (("own", "other_parts"), ("parts", "other_own"))]
+    once = (F.least(*shared) == F.col("part")) & (~F.col("other_indexed") | (F.col("line_id") < F.col("other_line_id")))
+    return met.where(may_be_near & once).select(*_pair(F.col("line_id"), F.col("other_line_id"))).distinct()
 
 
 def line_classes(lines: DataFrame, thresholds: Thresholds = THRESHOLDS, limit: int = KEY_LIMIT) -> DataFrame:
@@ -318,7 +332,7 @@ def verified_links(lines: DataFrame, pairs: DataFrame, thresholds: Thresholds) -
     others = texts.toDF("other", "line2", "size2", "sketch2")
     both = pairs.join(texts, "line_id").join(others, "other")
     both = both.withColumn("most", threshold_of(F.least("size", "size2"), thresholds))
-    close = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sketch2"))) <= 2 * F.col("most")
+    close = flips(F.col("sketch"), F.col("sketch2")) <= 2 * F.col("most")
     # Few bytes but much work: dealt evenly, so that adaptive execution does not put all pairs into one task.
     tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     both = both.where(close).select("line_id", "other", "line", "line2", "most").repartition(tasks, "line_id", "other")
