@@ -76,14 +76,14 @@ def some_rows(seed=1, count=300):
     return rows
 
 
-@pytest.mark.parametrize("share", [0.0, 0.05, 0.5, 1.0])
+@pytest.mark.parametrize("share", [0.0, 0.3, 1.0])
 def test_any_sample_gives_the_same(tagged, share):
     """Without a sample everything is a border failure, with all rows nothing is."""
     rows = some_rows()
     check(tagged(*rows), rows, share=share)
 
 
-@pytest.mark.parametrize("least,top", [(1, 10_000), (2, 30), (40, 5)])
+@pytest.mark.parametrize("least,top", [(1, 10_000), (40, 5)])
 def test_equal_to_brute_force(tagged, least, top):
     rows = some_rows(2, 120)
     check(tagged(*rows), rows, least, top)
