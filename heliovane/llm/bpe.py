@@ -29,7 +29,7 @@ WORD_BLOCK = 1 << 20
 LONG_WORD = 64
 
 #: Words a worker remembers in each of two generations.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 #: A place where a text can be cut without changing its words: one space between printable ASCII characters begins a
 #: word.
