@@ -74,6 +74,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
+SMALL_SPLIT_TASKS = 128
+
 
 # --- Tables built lazily from the driver's parquet ---------------------------------------------
 
@@ -117,6 +119,8 @@ def _with_small_splits(spark: SparkSession) -> SparkSession:
     session = spark.newSession()
     session.conf.set("spark.sql.files.maxPartitionBytes", "256k")
     session.conf.set("spark.sql.files.openCostInBytes", "0")
+    # However many splits there are, so many tasks share them.
+    session.conf.set("spark.sql.files.maxPartitionNum", str(SMALL_SPLIT_TASKS))
     return session
 
 
