@@ -23,6 +23,8 @@ from fixtures import (  # noqa: E402
     land_mixed_history,
     land_styled_history,
     landed_bronze,
+    landed_feed,
+    landed_history,
     stored_once,
     unsteady_feed,
 )
@@ -105,14 +107,12 @@ def _comparable(gold: DataFrame) -> DataFrame:
 
 
 def bronze_hist_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history_path, _ = landed_bronze(spark, sf_dir)
-    return flatten_history(read_history(spark, history_path))
+    return flatten_history(read_history(spark, landed_history(spark, sf_dir)))
 
 
 def bronze_hist_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with splits much smaller than the files, so that every array is cut."""
-    history_path, _ = landed_bronze(spark, sf_dir)
-    return flatten_history(read_history(_with_small_splits(spark), history_path))
+    return flatten_history(read_history(_with_small_splits(spark), landed_history(spark, sf_dir)))
 
 
 def _with_small_splits(spark: SparkSession) -> SparkSession:
@@ -144,7 +144,7 @@ def bronze_hist_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, feed_path = landed_bronze(spark, sf_dir)
+    feed_path = landed_feed(spark, sf_dir)
     return flatten_feed(read_feed(spark, feed_path))
 
 
@@ -420,7 +420,7 @@ def reject_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The incremental job, then repeats removed as a refresh of its months does."""
-    _, feed_path = landed_bronze(spark, sf_dir)
+    feed_path = landed_feed(spark, sf_dir)
     root = scratch_dir(spark, "stream-silver")
     jobs.run_feed(spark, feed_path, f"{root}/table", f"{root}/state")
     rows = F.count(F.lit(1)).alias("observations")
@@ -441,14 +441,14 @@ def stream_late_and_bad_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The incremental job: the feed's rows as a batch run gives them."""
-    _, feed_path = landed_bronze(spark, sf_dir)
+    feed_path = landed_feed(spark, sf_dir)
     root = scratch_dir(spark, "stream-append")
     jobs.run_feed(spark, feed_path, f"{root}/table", f"{root}/state")
     return read_silver(spark, f"{root}/table")
 
 
 def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, feed_path = landed_bronze(spark, sf_dir)
+    feed_path = landed_feed(spark, sf_dir)
     root = scratch_dir(spark, "stream-daily")
     daily = streaming.stream_daily(streaming.read_feed_stream(spark, feed_path))
     streaming.write_daily_stream(daily, f"{root}/table", f"{root}/state").awaitTermination()

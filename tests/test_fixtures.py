@@ -46,3 +46,8 @@ def test_small_splits_share_tasks(spark, tmp_path, monkeypatch):
     tasks = text.select(F.spark_partition_id().alias("task"), F.col("_metadata.file_block_start").alias("start"))
     assert text.rdd.getNumPartitions() <= 4
     assert tasks.count() == 2
+
+
+def test_the_feed_is_landed_without_history(spark, tables):
+    # There is no lineitem table to land.
+    assert contract.bronze_stream_scan(spark, tables).count() == 3_000
