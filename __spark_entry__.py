@@ -18,15 +18,14 @@ from fixtures import (  # noqa: E402
     feed_bronze,
     history_bronze,
     land_deliveries,
-    land_feed,
     land_history,
     land_mixed_history,
     land_styled_history,
+    land_unsteady,
     landed_bronze,
     landed_feed,
     landed_history,
     stored_once,
-    unsteady_feed,
 )
 from heliovane.config import UNKNOWN_REGION  # noqa: E402
 from heliovane.functions.clock import SECONDS_PER_DAY  # noqa: E402
@@ -432,10 +431,10 @@ def _without_repeats(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_late_and_bad_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch per file, later readings first, some times in milliseconds, some deliveries repeated: nothing is lost."""
+    """A batch per file, of a large feed per few files, later readings first, some times in milliseconds, some deliveries repeated: nothing is lost."""
     root = scratch_dir(spark, "stream-late")
-    land_feed(unsteady_feed(spark, sf_dir), f"{root}/feed", records=2_000)
-    jobs.run_feed(spark, f"{root}/feed", f"{root}/table", f"{root}/state", files_per_batch=1)
+    files = land_unsteady(spark, sf_dir, f"{root}/feed")
+    jobs.run_feed(spark, f"{root}/feed", f"{root}/table", f"{root}/state", files_per_batch=files)
     return _without_repeats(spark, f"{root}/table").select(*OBSERVATION.names, "region")
 
 

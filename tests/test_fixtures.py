@@ -74,3 +74,13 @@ def test_small_splits_share_tasks(spark, tmp_path, monkeypatch):
 def test_the_feed_is_landed_without_history(spark, tables):
     # There is no lineitem table to land.
     assert contract.bronze_stream_scan(spark, tables).count() == 3_000
+
+
+def test_batches_of_the_unsteady_feed_take_more_files(spark, tables, tmp_path, monkeypatch):
+    assert fixtures.land_unsteady(spark, tables, str(tmp_path / "small")) == 1
+    monkeypatch.setattr(fixtures, "UNSTEADY_RECORDS", 10)
+    monkeypatch.setattr(fixtures, "UNSTEADY_FILES", 90)
+    monkeypatch.setattr(fixtures, "UNSTEADY_BATCHES", 30)
+    assert fixtures.land_unsteady(spark, tables, str(tmp_path / "feed")) == 3
+    assert len(list((tmp_path / "feed").glob("part-*"))) <= 100
+    assert spark.read.json(str(tmp_path / "feed")).count() == 3_600
