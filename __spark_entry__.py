@@ -459,11 +459,11 @@ def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_daily_bad_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily averages of a batch per delivery, running and of finished days only, and counts of what is in none and why."""
     root = scratch_dir(spark, "stream-bad-time")
-    land_deliveries(spark, sf_dir, f"{root}/feed")
+    files = land_deliveries(spark, sf_dir, f"{root}/feed")
 
     def mode(name: str, finished_only: bool) -> DataFrame:
         paths = [f"{root}/{name}/{part}" for part in ("days", "rejected", "state")]
-        jobs.run_days(spark, f"{root}/feed", *paths, files_per_batch=1, finished_only=finished_only)
+        jobs.run_days(spark, f"{root}/feed", *paths, files_per_batch=files, finished_only=finished_only)
         days = spark.read.parquet(paths[0]).drop("batch")
         means = {f"{m}_mean": _row_level(f"{m}_mean") for m in ("solar", "wind", "total")}
         rows = F.count(F.lit(1)).alias("observations")
@@ -477,9 +477,9 @@ def stream_daily_bad_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch per delivery, some readings delivered again: each reading once, as batch deduplication of equal rows has it."""
     root = scratch_dir(spark, "stream-dedup")
-    land_deliveries(spark, sf_dir, f"{root}/feed", repeats=True)
+    files = land_deliveries(spark, sf_dir, f"{root}/feed", repeats=True)
     paths = [f"{root}/feed", f"{root}/table", f"{root}/state"]
-    jobs.run_feed(spark, *paths, files_per_batch=1, repeats_within="2 days")
+    jobs.run_feed(spark, *paths, files_per_batch=files, repeats_within="2 days")
     return read_silver(spark, paths[1]).select(*OBSERVATION.names, "region")
 
 

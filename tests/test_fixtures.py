@@ -84,3 +84,12 @@ def test_batches_of_the_unsteady_feed_take_more_files(spark, tables, tmp_path, m
     assert fixtures.land_unsteady(spark, tables, str(tmp_path / "feed")) == 3
     assert len(list((tmp_path / "feed").glob("part-*"))) <= 100
     assert spark.read.json(str(tmp_path / "feed")).count() == 3_600
+
+
+def test_large_deliveries_have_several_files_each(spark, tables, tmp_path, monkeypatch):
+    expected = [tuple(r) for r in contract.stream_dedup(spark, tables).orderBy("dt", "uvi", "temp").collect()]
+    monkeypatch.setattr(fixtures, "DELIVERY_RECORDS", 300)
+    files = fixtures.land_deliveries(spark, tables, str(tmp_path / "feed"), repeats=True)
+    assert files > 1 and len(list((tmp_path / "feed").glob("part-*"))) == files * fixtures.DELIVERIES
+    got = [tuple(r) for r in contract.stream_dedup(spark, tables).orderBy("dt", "uvi", "temp").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, expected))
