@@ -1,10 +1,11 @@
 """Near-duplicate lines through a segment-partition edit join. Only DataFrame and SQL functions are used.
 
 Lines are sequences of words, and an edit inserts, deletes or replaces one. The more words a line has the more edits may part
-it from a near one. The shorter line of a pair is cut into ``threshold + 1`` even segments. A partner within the threshold
-contains at least one of them unchanged, shifted by no more than the edits on either side allow, so every line is indexed by
-its segments and probed by those of its runs of words that can stand for a segment of a line at most ``threshold`` words
-shorter. Candidates are verified with a bit-parallel edit distance that keeps only the diagonals within the threshold.
+it from a near one. The shorter line of a pair is cut into ``threshold + 1`` segments of one length. A partner within the
+threshold contains at least one of them unchanged, shifted by no more than the edits on either side allow, so every line is
+indexed by its segments and probed by those of its runs of words that can stand for a segment of a line at most ``threshold``
+words shorter. Lines of neighbouring sizes are cut alike, so that most of these runs are the same and come up once. Candidates
+are verified with a bit-parallel edit distance that keeps only the diagonals within the threshold.
 
 Keys that many lines have are split by words: of the words of two near lines, taken from the rarest on, the first that both
 have is among the first ``threshold + 1`` of either. In each part lines are linked to the one with the most common words
@@ -14,6 +15,7 @@ first, and only lines that no chain of links connects are then compared with one
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,7 +53,7 @@ def line_occurrences(docs: DataFrame, id_column: str = "doc_id", text_column: st
     )
     # Trimming several kinds of white space is slow, and few lines need it.
     white = [" ", "\t", "\r"]
-    padded = F.left("raw", F.lit(1)).isin(white) | F.right("raw", F.lit(1)).isin(white)
+    padded = reduce(or_, [end for w in white for end in (F.startswith("raw", F.lit(w)), F.endswith("raw", F.lit(w)))])
     trimmed = F.btrim("raw", F.lit("".join(white)))
     rows = rows.withColumn("line", F.when(padded, trimmed).otherwise(F.col("raw")))
     order = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(_NO_ID).cast("decimal(20,0)"))
@@ -75,47 +77,70 @@ def _identity(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit("line"), line).alias("h2")]
 
 
-def _with_keys(
-    lines: DataFrame, pieces: list[tuple[int, int, int, int]], thresholds: Thresholds, name: str
-) -> DataFrame:
-    """``name, key, own`` for each line and each piece ``(threshold, segment, shorter, shift)`` that concerns it.
+def _least_size(size: Column, thresholds: Thresholds) -> Column:
+    """The smallest size of those that are cut like a line of this one: sizes from a power of two on to the next are taken in
+    four or more classes, none of more than 16 sizes or with two thresholds."""
+    width = F.when(size < 8, 1)
+    for power in (8, 16, 32):
+        width = width.when(size < 2 * power, power // 4)
+    width = width.otherwise(16)
+    starts = sorted(thresholds, reverse=True)
+    start = reduce(lambda column, step: column.when(size >= step[0], step[0]), starts, F.when(F.lit(False), 0)).otherwise(0)
+    return F.greatest(F.floor(size / width) * width, start).cast("int")
+
 
-    The key hashes the segment's number, a size ``shorter`` than the line's by so much, and the run of words where that
-    segment of a line of that size would be, shifted. Sizes are cut evenly, the longer segments last. A piece concerns lines
-    of whose size less ``shorter`` its threshold is the one. ``own`` tells the line's own segments.
+def _pieces(thresholds: Thresholds) -> list[tuple[int, int, int, int, int | None]]:
+    """``threshold, segment, shorter, shift, before``: where the segments of a line of the same size, or up to the threshold
+    shorter, can be found.
+
+    With ``d`` the difference in size and ``t`` the threshold, segment ``k`` (from 0) can be shifted by at most ``k`` edits
+    before it and by at most ``t - k`` after it, whichever leaves fewer positions. The last one is looked for at the end of
+    the line. ``before`` is the next smaller difference with the same shift.
     """
-    given = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(p, ("t", "k", "d", "shift"), strict=True)]) for p in pieces])
-    concerned = F.filter(given, lambda p: threshold_of(F.col("size") - p["d"], thresholds) == p["t"])
-    rows = lines.select(F.col("line_id").alias(name), "size", "hashes", F.explode(concerned).alias("piece"))
-    parts, of_size = F.col("piece.t") + 1, F.col("size") - F.col("piece.d")
-    rows = rows.withColumns({"parts": parts, "of_size": of_size, "short": F.floor(of_size / parts).cast("int")})
-    longer = F.col("of_size") - F.col("short") * F.col("parts") - (F.col("parts") - F.col("piece.k"))
-    first = F.col("piece.k") * F.col("short") + F.greatest(longer, F.lit(0)) + 1 + F.col("piece.shift")
-    length = F.col("short") + F.when(longer >= 0, 1).otherwise(0)
-    own = (F.col("piece.d") == 0) & (F.col("piece.shift") == 0)
-    return rows.select(name, F.xxhash64("piece.k", "of_size", F.slice("hashes", first, length)).alias("key"), own.alias("own"))
 
+    def shifts(t: int, k: int, d: int) -> range:
+        return range(max(-k, d - t + k), min(k, d + t - k) + 1) if k < t else range(1)
 
-def index_keys(lines: DataFrame, thresholds: Thresholds, name: str = "line_id") -> DataFrame:
-    """Keys of the lines' segments."""
-    pieces = [(t, k, 0, 0) for t in _edits(thresholds) for k in range(t + 1)]
-    return _with_keys(lines, pieces, thresholds, name)
+    found = []
+    for t in _edits(thresholds):
+        for k in range(t + 1):
+            for d in range(t + 1):
+                for shift in shifts(t, k, d):
+                    before = max((e for e in range(d) if shift in shifts(t, k, e)), default=None)
+                    found.append((t, k, d, shift, before))
+    return found
 
 
-def probe_keys(lines: DataFrame, thresholds: Thresholds, name: str = "other") -> DataFrame:
-    """Keys under which partners of the same size or up to the threshold shorter would be indexed.
+def line_keys(lines: DataFrame, thresholds: Thresholds) -> DataFrame:
+    """``key, line_id, own`` for each line (``line_id, line, size``) and each run of its words that may stand for a segment of
+    a near line that is not longer. ``own`` tells the line's own segments.
 
-    With ``d`` the difference in size and ``t`` the threshold, segment ``k`` (from 0) can be shifted by at most ``k`` edits
-    before it and by at most ``t - k`` after it, whichever leaves fewer positions.
+    Lines of a class of sizes are cut alike, by the smallest of them: into segments of one length from the start on and the last
+    one at the end. The key hashes the class, the segment's number and the words.
     """
-    pieces = [
-        (t, k, d, shift)
-        for t in _edits(thresholds)
-        for d in range(t + 1)
-        for k in range(t + 1)
-        for shift in range(max(-k, d - t + k), min(k, d + t - k) + 1)
+    names = ("t", "k", "d", "shift", "before")
+    given = [
+        F.struct(*[F.lit(v).cast("int").alias(n) for v, n in zip(piece, names, strict=True)]) for piece in _pieces(thresholds)
     ]
-    return _with_keys(lines, pieces, thresholds, name)
+    rows = lines.select("line_id", "line", "size", F.explode(F.array(*given)).alias("piece"))
+    t, k, shift = F.col("piece.t"), F.col("piece.k"), F.col("piece.shift")
+    of_size, earlier = F.col("size") - F.col("piece.d"), F.col("size") - F.col("piece.before")
+    least = _least_size(of_size, thresholds)
+    # The same run for a larger difference is the same key if the sizes are of one class.
+    again = F.col("piece.before").isNotNull() & (_least_size(earlier, thresholds) == least)
+    again = again & (threshold_of(earlier, thresholds) == t)
+    rows = rows.where((threshold_of(of_size, thresholds) == t) & ~again)
+    rows = rows.withColumn("least", least).withColumn("length", F.floor(F.col("least") / (t + 1)).cast("int"))
+
+    def cut(text: Column, words: Column) -> Column:
+        """The first words, or the last ones for a negative number."""
+        return F.call_function("substring_index", text, F.lit(" "), words)
+
+    length = F.col("length")
+    inner = cut(cut(F.col("line"), (k + 1) * length + shift), -length)
+    run = F.when(k == 0, cut(F.col("line"), length)).when(k == t, cut(F.col("line"), -length)).otherwise(inner)
+    own = (F.col("piece.d") == 0) & (shift == 0)
+    return rows.select(F.xxhash64(t, k, "least", run).alias("key"), "line_id", own.alias("own"))
 
 
 def _edits(thresholds: Thresholds) -> list[int]:
@@ -233,11 +258,20 @@ def candidate_pairs(
     keys: those with more than ``limit`` index entries, two at most. These come out as ``key, line_id, indexed``: all of them
     probe the key, and ``indexed`` are those that the key is a segment of.
     """
-    keys = index_keys(lines, thresholds).groupBy("key").agg(
-        F.count(F.lit(1)).alias("entries"), F.min("line_id").alias("first"), F.max("line_id").alias("last")
+    # Counted and met again from one exchange.
+    rows = line_keys(lines, thresholds).repartition("key")
+    indexed = F.when(F.col("own"), F.col("line_id"))
+    keys = rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(indexed).alias("entries"),
+        F.min(indexed).alias("first"),
+        F.max(indexed).alias("last"),
     )
+    keys = keys.where("rows > 1 and entries > 0").drop("rows")
     hot = F.col("entries") > min(limit, 2)
-    met = keys.join(probe_keys(lines, thresholds), "key").where(hot | (F.col("first") != F.col("other")) | (F.col("entries") > 1))
+    # Few keys are met by several rows, so that these are hashed rather than all rows sorted.
+    met = rows.withColumnRenamed("line_id", "other").join(keys.hint("shuffle_hash"), "key")
+    met = met.where(hot | (F.col("first") != F.col("other")) | (F.col("entries") > 1))
     met = stored(met.withColumn("hot", hot), "line-met")
     both = met.where("not hot").select("other", F.explode(F.array("first", "last")).alias("line_id"))
     pairs = both.where("line_id <> other").select(*_pair(F.col("line_id"), F.col("other"))).distinct()
@@ -256,7 +290,7 @@ def split_keys(lines: DataFrame, hot: DataFrame, thresholds: Thresholds) -> Data
     meet in a part of their own. Rarity is that among the lines of hot keys. ``weight`` is that of a line's rarest word.
     """
     most = max(_edits(thresholds))
-    texts = texts_of(lines, hot.select("line_id"))
+    texts = _with_sketch(lines).join(hot.select("line_id").distinct(), "line_id", "left_semi")
     own = texts.select("line_id", F.explode(F.array_distinct("hashes")).alias("word"))
     counts = own.groupBy("word").agg(F.count(F.lit(1)).alias("lines"))
     rarest = F.array_sort(F.collect_list(F.struct("lines", "word")))
@@ -264,7 +298,7 @@ def split_keys(lines: DataFrame, hot: DataFrame, thresholds: Thresholds) -> Data
     few = F.when(F.size("rarest") <= 2 * most, F.array(F.lit(None).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
     first = F.transform(F.slice("rarest", 1, most + 1), lambda w: w["word"])
     ranked = ranked.select("line_id", F.concat(first, few).alias("parts"), F.col("rarest")[0]["lines"].alias("weight"))
-    about = texts.select("line_id", "size", sketch(F.col("hashes")).alias("sketch")).join(ranked, "line_id")
+    about = texts.select("line_id", "size", "sketch").join(ranked, "line_id")
     rows = hot.join(stored(about, "line-hot-words"), "line_id").withColumn("word", F.explode("parts"))
     # One value to join on; no word is another part than any word.
     part = F.xxhash64("key", F.col("word").isNull(), "word").alias("part")
@@ -307,8 +341,11 @@ def missing_pairs(parts: DataFrame, classes: DataFrame, thresholds: Thresholds)
 def line_classes(lines: DataFrame, thresholds: Thresholds = THRESHOLDS, limit: int = KEY_LIMIT) -> DataFrame:
     """``node, component`` for every distinct line with a link."""
     pairs, hot = candidate_pairs(lines, thresholds, limit)
+    pairs = stored(pairs, "line-pairs")
+    met = pairs.select("line_id").union(pairs.select("other"))
     if hot is None:
-        return connected_components(verified_links(lines, pairs, thresholds))
+        return connected_components(verified_links(texts_of(lines, met), pairs, thresholds))
+    lines = texts_of(lines, met.union(hot.select("line_id")))
     parts = split_keys(lines, hot, thresholds)
     first = pairs.unionByName(star_pairs(parts)).distinct()
     links = stored(verified_links(lines, first, thresholds), "line-links")
@@ -317,18 +354,22 @@ def line_classes(lines: DataFrame, thresholds: Thresholds = THRESHOLDS, limit: i
 
 
 def texts_of(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The lines whose ids are wanted, by a broadcast of the ids or, beyond a size, a shuffle join."""
+    """The lines whose ids are wanted, by a broadcast of the ids or, beyond a size, a shuffle join. Only their words are
+    hashed."""
     ids = stored(wanted.distinct(), "line-wanted")
     if ids.count() <= BROADCAST_LINES:
         ids = F.broadcast(ids)
-    return stored(lines.join(ids, "line_id", "left_semi"), "line-texts")
+    found = lines.select("line_id", "line", "size").join(ids, "line_id", "left_semi")
+    return stored(_with_sketch(found.withColumn("hashes", hashes_of(F.col("line")))), "line-texts")
+
+
+def _with_sketch(lines: DataFrame) -> DataFrame:
+    return lines if "sketch" in lines.columns else lines.withColumn("sketch", sketch(F.col("hashes")))
 
 
 def verified_links(lines: DataFrame, pairs: DataFrame, thresholds: Thresholds) -> DataFrame:
-    """The pairs whose lines are within their threshold. Only lines of some pair are looked up."""
-    pairs = stored(pairs, "line-candidates")
-    texts = texts_of(lines, pairs.select("line_id").union(pairs.select("other")))
-    texts = texts.select("line_id", "line", "size", sketch(F.col("hashes")).alias("sketch"))
+    """The pairs whose lines are within their threshold."""
+    texts = _with_sketch(lines).select("line_id", "line", "size", "sketch")
     others = texts.toDF("other", "line2", "size2", "sketch2")
     both = pairs.join(texts, "line_id").join(others, "other")
     both = both.withColumn("most", threshold_of(F.least("size", "size2"), thresholds))
@@ -363,7 +404,7 @@ def near_lines(
     distinct = distinct.select(
         F.monotonically_increasing_id().alias("line_id"),
         "line",
-        F.size(words_of(F.col("line"))).alias("size"),
+        (F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "))) + 1).alias("size"),
         *_identity(F.col("line")),
         "copies",
         "first",
@@ -371,11 +412,13 @@ def near_lines(
     distinct = stored(distinct, "lines")
     shortest = min(words for words, _ in thresholds)
     lines = distinct.where(F.col("size") >= shortest)
-    classes = line_classes(lines.select("line_id", "line", "size", hashes_of(F.col("line")).alias("hashes")), thresholds)
-    known = distinct.join(classes.withColumnRenamed("node", "line_id"), "line_id", "left").select(
+    classes = line_classes(lines.select("line_id", "line", "size"), thresholds)
+    linked = distinct.join(classes.withColumnRenamed("node", "line_id"), "line_id", "left")
+    # A line that occurs once and has no link is a class of its own, which needs no lookup.
+    linked = linked.where("component is not null or copies > 1").select(
         "h1", "h2", "copies", "first", F.coalesce("component", "line_id").alias("class")
     )
-    known = stored(known, "line-classes")
+    known = stored(linked, "line-classes")
     totals = known.groupBy("class").agg(
         F.sum("copies").alias("lines"), F.count(F.lit(1)).alias("texts"), F.min("first").alias("class_place")
     )
@@ -383,14 +426,17 @@ def near_lines(
     size = F.char_length("line").alias("n_chars")
     rows = found.select("doc_id", "text_hash", "line_no", "place", size, *_identity(F.col("line")))
     order = F.floor(F.col("class_place") / _LINE_NUMBERS)
-    return rows.join(known, ["h1", "h2"]).select(
+    alone = F.col("class_place").isNull()
+    class_doc_id = F.when(order < F.lit(_NO_ID).cast("decimal(20,0)"), order.cast("bigint"))
+    class_line_no = (F.col("class_place") - order * _LINE_NUMBERS).cast("int")
+    return rows.join(known.hint("shuffle_hash"), ["h1", "h2"], "left").select(
         "doc_id",
         "text_hash",
         "line_no",
         "n_chars",
-        F.when(order < F.lit(_NO_ID).cast("decimal(20,0)"), order.cast("bigint")).alias("class_doc_id"),
-        (F.col("class_place") - order * _LINE_NUMBERS).cast("int").alias("class_line_no"),
-        "lines",
-        "texts",
-        (F.col("place") == F.col("class_place")).alias("kept"),
+        F.when(alone, F.col("doc_id").cast("bigint")).otherwise(class_doc_id).alias("class_doc_id"),
+        F.when(alone, F.col("line_no")).otherwise(class_line_no).alias("class_line_no"),
+        F.coalesce("lines", F.lit(1).cast("bigint")).alias("lines"),
+        F.coalesce("texts", F.lit(1).cast("bigint")).alias("texts"),
+        (alone | (F.col("place") == F.col("class_place"))).alias("kept"),
     )

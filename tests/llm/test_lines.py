@@ -13,6 +13,7 @@ from heliovane.llm.lines import (
     flips,
     hashes_of,
     line_classes,
+    line_keys,
     missing_pairs,
     near_lines,
     sketch,
@@ -136,6 +137,50 @@ def test_every_near_pair_is_a_candidate(spark):
                 assert frozenset((i, j)) in pairs or any({i, j} <= ids for ids in shared.values())
 
 
+def test_near_lines_share_a_key_at_every_size(spark):
+    """The longer line meets a segment of the shorter one, where sizes change their class or threshold too."""
+    rng = random.Random(21)
+    pairs = []
+    for size in [*range(5, 70), 127, 128, 129, 130, 300]:
+        for _ in range(6):
+            base = some_line(rng, size, [f"w{i}" for i in range(rng.choice([3, 1000]))])
+            other = edited(rng, base, rng.choice([1, 2, 2]))
+            if base != other and allowed(base, other) and near(base, other):
+                pairs.append(sorted((base, other), key=lambda t: len(t.split(" "))))
+    texts = sorted({t for pair in pairs for t in pair})
+    place = {t: i for i, t in enumerate(texts)}
+    own, met = {}, {}
+    for r in line_keys(lines_of(spark, texts), THRESHOLDS).collect():
+        met.setdefault(r["line_id"], set()).add(r["key"])
+        if r["own"]:
+            own.setdefault(r["line_id"], set()).add(r["key"])
+    for a, b in pairs:
+        assert own[place[a]] & met[place[b]]
+
+
+def test_keys_of_a_line_are_few(spark):
+    """Three segments, two more shifts of the middle one, and what sizes at the edge of a class add."""
+    lines = lines_of(spark, [" ".join(f"w{i}_{n}" for i in range(n)) for n in range(32, 64)])
+    keys = line_keys(lines, THRESHOLDS)
+    assert keys.where("own").count() == 3 * 32 and keys.count() <= 6 * 32
+
+
+def test_a_line_without_partner_is_its_own_class(documents):
+    docs = documents((7, "alone in this text, nowhere else\n\nsecond"), (None, "second\nno id and no partner"))
+    got = near_lines(docs).select("doc_id", "line_no", "class_doc_id", "class_line_no", "lines", "texts", "kept").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(
+        map(
+            str,
+            [
+                (7, 0, 7, 0, 1, 1, True),
+                (7, 2, 7, 2, 2, 1, True),
+                (None, 0, 7, 2, 2, 1, False),
+                (None, 1, None, 1, 1, 1, True),
+            ],
+        )
+    )
+
+
 def candidates_of(spark, texts):
     """Candidates that are compared, and links."""
     lines = lines_of(spark, sorted(set(texts)))
