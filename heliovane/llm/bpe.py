@@ -22,14 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of text whose words a task holds at once.
-TEXT_BLOCK = 1 << 22
+TEXT_BLOCK = 1 << 20
 
 #: Characters of words given to one recursive query, and from which on a word is taken apart first.
-WORD_BLOCK = 1 << 20
+WORD_BLOCK = 1 << 18
 LONG_WORD = 64
 
 #: Words a worker remembers in each of two generations.
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 
 #: A place where a text can be cut without changing its words: one space between printable ASCII characters begins a
 #: word.
@@ -204,15 +204,20 @@ class Encoder:
 
     def _encoded(self, pieces: list[bytes], query: str, whole: bool = True) -> list[tuple[bytes, bytes]]:
         """The packed tokens of each piece and what they decode to. With ``whole`` a piece that is a token is that token."""
-        tokens = [
-            np.array([self.ranks[piece]], np.int32)
-            if whole and piece in self.ranks
-            else self.byte_ids[np.frombuffer(piece, np.uint8)]
-            for piece in pieces
-        ]
-        offsets = np.zeros(len(tokens) + 1, np.int32)
-        np.cumsum([len(t) for t in tokens], out=offsets[1:])
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(tokens)))
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        tokens = self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
+        if whole:
+            # Of a piece that is a token one place stays, which takes the token.
+            rank = np.fromiter((self.ranks.get(piece, -1) for piece in pieces), np.int32, len(pieces))
+            start = np.cumsum(lengths) - lengths
+            is_token = rank >= 0
+            stays = np.repeat(~is_token, lengths)
+            stays[start[is_token]] = True
+            tokens[start[is_token]] = rank[is_token]
+            tokens, lengths = tokens[stays], np.where(is_token, 1, lengths)
+        offsets = np.zeros(len(pieces) + 1, np.int32)
+        np.cumsum(lengths, out=offsets[1:])
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))
         number = pa.array(np.arange(len(pieces), dtype=np.int32))
         db = self.db
         db.register("given", pa.table({"word": number, "tokens": lists}))

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import time
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -75,6 +76,23 @@ def test_small_blocks_change_nothing(monkeypatch):
     assert len(out) > 5 and ids == [reference(PATHS[0]).encode_ordinary(t) for t in given]
 
 
+def test_a_task_holds_little():
+    """Two tasks of an executor, each with the words of 4 million characters and arrays for each of them, took too much memory."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("etaoinshr", k=rng.randrange(2, 9))) for _ in range(40_000)]
+    given = [" ".join(rng.choices(words, k=2_000)) for _ in range(400)]
+    with open(public_tokenizers.path(PATHS[0]), "rb") as file:
+        ranks = file.read()
+    bpe._encoder(ranks).learn({" " + word for word in words})
+    batches = [pa.record_batch({"doc_id": range(len(given)), "text": given})]
+    tracemalloc.start()
+    sizes = [len(batch) for batch in bpe._encode_batches(batches, ranks, public_tokenizers.PATTERN)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sizes) == len(given) and len(sizes) > 3
+    assert peak < 30 << 20
+
+
 def test_every_token_of_the_vocabulary_survives():
     with open(public_tokenizers.path(PATHS[0]), "rb") as file:
         encoder = bpe.Encoder(file.read())
